@@ -1 +1,42 @@
 """Captured search-result pages to clean, ranked tables, on Spark."""
+
+from resultlake.errors import CollectionError, ExportError, ResultLakeError
+from resultlake.plans.extraction import extract_tables, public_table, surface_table, union_tables
+from resultlake.plans.job import Run, run_job
+from resultlake.plans.summary import run_summary, surface_counts
+from resultlake.session import configure
+from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
+from resultlake.sources.captures import missing_captures, read_articles, read_captures, request_list
+from resultlake.sources.keywords import keyword_lines, read_keywords
+from resultlake.sources.registry import PLATFORMS, SURFACES, Platforms, Surface
+
+__all__ = [
+    "PLATFORMS",
+    "SURFACES",
+    "CollectionError",
+    "ExportError",
+    "Platforms",
+    "ResultLakeError",
+    "Run",
+    "Surface",
+    "configure",
+    "export",
+    "extract_tables",
+    "from_json_rows",
+    "keyword_lines",
+    "load_tables",
+    "missing_captures",
+    "public_table",
+    "read_articles",
+    "read_captures",
+    "read_csv",
+    "read_keywords",
+    "request_list",
+    "run_job",
+    "run_summary",
+    "save_tables",
+    "surface_counts",
+    "surface_table",
+    "to_json_rows",
+    "union_tables",
+]

@@ -1,6 +1,6 @@
 """Column -> Column helpers; everything here stays inside the JVM."""
 
-from resultlake.functions.dates import parse_post_date, post_date_text
+from resultlake.functions.dates import parse_clean_date, parse_post_date, post_date_text
 from resultlake.functions.text import contains_any, normalize_text, nullif_empty, strip_text
 from resultlake.functions.urls import (
     absolute_url,
@@ -27,6 +27,7 @@ __all__ = [
     "lb_trigger_url",
     "normalize_text",
     "nullif_empty",
+    "parse_clean_date",
     "parse_post_date",
     "percent_decode",
     "percent_encode",

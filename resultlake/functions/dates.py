@@ -69,7 +69,11 @@ def _iso_week(text: Column) -> Column:
 
 def parse_post_date(text: Column) -> Column:
     """Date named by a displayed date text, or NULL."""
-    clean = normalize_text(text)
+    return parse_clean_date(normalize_text(text))
+
+
+def parse_clean_date(clean: Column) -> Column:
+    """``parse_post_date`` for text that is normalized already."""
     iso = F.replace(clean, F.lit("Z"), F.lit("+09:00"))
     ascii_digits = F.translate(clean, *_digits())
     found = F.coalesce(
@@ -79,7 +83,8 @@ def parse_post_date(text: Column) -> Column:
         F.when(clean.rlike(_SPACED), _calendar(ascii_digits, _SPACED)),
         _iso_week(iso),
     )
-    return F.when(found >= F.lit("0001-01-01").cast("date"), found)
+    # Relative texts leave at the first test; there is no year 0.
+    return F.when(clean.rlike(r"\A\p{Nd}{4}") & ~clean.startswith("0000"), found)
 
 
 def post_date_text(date: Column) -> Column:

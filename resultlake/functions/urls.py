@@ -28,6 +28,13 @@ _RELATIVE_SCHEMES = (
     "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss",
 )
 
+# References most links have, whose resolution needs no taking apart: complete web
+# addresses stay as they are, rooted paths without dot segments follow the origin.
+_REST = r"(?:\?[^#\x00-\x20]+)?(?:#[^\x00-\x20]+)?\z"
+_COMPLETE = r"\Ahttps?://[^/?#;\x00-\x20]+(?:/[^?#;\x00-\x20]*)?" + _REST
+_ROOTED = r"\A/(?!/)(?:(?!/\.)[^?#;\x00-\x20])*" + _REST
+_WEB_ORIGIN = r"\Ahttps?://[^/?#]+"
+
 
 @lru_cache(maxsize=1)
 def _authority_breakers() -> str:
@@ -90,6 +97,19 @@ def usable_href(href: Column) -> Column:
 def resolve_url(base: Column | str, href: Column) -> Column:
     """Resolve ``href`` against ``base``; an empty href is the base itself."""
     base = _col(base)
+    on_web = base.rlike(_WEB_ORIGIN)
+    return (
+        F.when(href == "", base)
+        .when(on_web & href.rlike(_COMPLETE), href)
+        .when(
+            on_web & href.rlike(_ROOTED),
+            F.concat(F.regexp_extract(base, _WEB_ORIGIN, 0), href),
+        )
+        .otherwise(_resolve_any(base, href))
+    )
+
+
+def _resolve_any(base: Column, href: Column) -> Column:
     ref = _clean(href)
     base_scheme = F.lower(_part(base, _SCHEME))
     ref_scheme = F.lower(_part(ref, _SCHEME))
@@ -133,7 +153,7 @@ def resolve_url(base: Column | str, href: Column) -> Column:
         .when(path_params == "", same_document)
         .otherwise(merged),
     )
-    return F.when(href == "", base).when(foreign, href).otherwise(same_scheme)
+    return F.when(foreign, href).otherwise(same_scheme)
 
 
 def absolute_url(base: Column | str, href: Column) -> Column:
@@ -157,7 +177,9 @@ def is_malformed_url(href: Column) -> Column:
     bad = (authority.rlike(r"[\[\]]") & ~authority.rlike(bracketed)) | authority.rlike(
         f"[{_authority_breakers()}]"
     )
-    return F.coalesce(bad, F.lit(False))
+    return F.when(href.rlike(r"[\[\]]|[^\x00-\x7f]"), F.coalesce(bad, F.lit(False))).otherwise(
+        F.lit(False)
+    )
 
 
 def is_unfetchable_url(url: Column) -> Column:
