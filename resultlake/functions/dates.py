@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from resultlake.functions.text import normalize_text
+from resultlake.functions.text import bind, normalize_text
 
 # Dotted forms: "2025.01.02.", "2025. 1. 2.", each with or without the last dot and
 # a clock time. Only the year, a day's or hour's second digit and the minute may be
@@ -59,7 +59,9 @@ def _calendar(text: Column, pattern: str) -> Column:
 
 
 def _iso_week(text: Column) -> Column:
-    group = lambda n: F.regexp_extract(text, _WEEK, n)
+    def group(number: int) -> Column:
+        return F.regexp_extract(text, _WEEK, number)
+
     week = F.concat(group(2), group(4)).try_cast("int")
     day = F.coalesce(F.concat(group(3), group(5)).try_cast("int"), F.lit(1))
     jan4 = F.concat(group(1), F.lit("-01-04")).try_cast("date")
@@ -69,21 +71,21 @@ def _iso_week(text: Column) -> Column:
 
 def parse_post_date(text: Column) -> Column:
     """Date named by a displayed date text, or NULL."""
-    return parse_clean_date(normalize_text(text))
+    return bind(normalize_text(text), parse_clean_date)
 
 
 def parse_clean_date(clean: Column) -> Column:
     """``parse_post_date`` for text that is normalized already."""
-    iso = F.replace(clean, F.lit("Z"), F.lit("+09:00"))
-    ascii_digits = F.translate(clean, *_digits())
-    found = F.coalesce(
-        _calendar(iso, _EXTENDED),
-        _calendar(iso, _BASIC),
-        F.when(clean.rlike(_TIGHT), _calendar(ascii_digits, _TIGHT)),
-        F.when(clean.rlike(_SPACED), _calendar(ascii_digits, _SPACED)),
-        _iso_week(iso),
+    dotted = F.coalesce(
+        F.when(clean.rlike(_TIGHT), _calendar(F.translate(clean, *_digits()), _TIGHT)),
+        F.when(clean.rlike(_SPACED), _calendar(F.translate(clean, *_digits()), _SPACED)),
+    )
+    iso = bind(
+        F.replace(clean, F.lit("Z"), F.lit("+09:00")),
+        lambda t: F.coalesce(_calendar(t, _EXTENDED), _calendar(t, _BASIC), _iso_week(t)),
     )
     # Relative texts leave at the first test; there is no year 0.
+    found = F.when(F.substr(clean, F.lit(5), F.lit(1)) == ".", dotted).otherwise(iso)
     return F.when(clean.rlike(r"\A\p{Nd}{4}") & ~clean.startswith("0000"), found)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,6 +19,11 @@ WHITESPACE = (
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def normalize_text(text: Column) -> Column:
     """NULL becomes ''; whitespace runs become one space; ends are trimmed."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{WHITESPACE}]+", " "))

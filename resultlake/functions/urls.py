@@ -13,7 +13,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from resultlake.functions.text import strip_text
+from resultlake.functions.text import bind, strip_text
 
 # Generic URI syntax: scheme, authority, path, query, fragment.
 _URI = (
@@ -32,7 +32,7 @@ _RELATIVE_SCHEMES = (
 # addresses stay as they are, rooted paths without dot segments follow the origin.
 _REST = r"(?:\?[^#\x00-\x20]+)?(?:#[^\x00-\x20]+)?\z"
 _COMPLETE = r"\Ahttps?://[^/?#;\x00-\x20]+(?:/[^?#;\x00-\x20]*)?" + _REST
-_ROOTED = r"\A/(?!/)(?:(?!/\.)[^?#;\x00-\x20])*" + _REST
+_ROOTED = r"\A(?=/)(?!//)(?:(?!/\.)[^?#;\x00-\x20])+" + _REST
 _WEB_ORIGIN = r"\Ahttps?://[^/?#]+"
 
 
@@ -88,9 +88,9 @@ def _without_dots(path: Column) -> Column:
 
 def usable_href(href: Column) -> Column:
     """Stripped href, or NULL for blank, ``#`` and ``javascript:`` (PR7)."""
-    stripped = strip_text(href)
-    return F.when(
-        (stripped != "") & (stripped != "#") & ~stripped.startswith("javascript:"), stripped
+    return bind(
+        strip_text(href),
+        lambda h: F.when((h != "") & (h != "#") & ~h.startswith("javascript:"), h),
     )
 
 
@@ -98,19 +98,16 @@ def resolve_url(base: Column | str, href: Column) -> Column:
     """Resolve ``href`` against ``base``; an empty href is the base itself."""
     base = _col(base)
     on_web = base.rlike(_WEB_ORIGIN)
-    return (
-        F.when(href == "", base)
-        .when(on_web & href.rlike(_COMPLETE), href)
-        .when(
-            on_web & href.rlike(_ROOTED),
-            F.concat(F.regexp_extract(base, _WEB_ORIGIN, 0), href),
-        )
-        .otherwise(_resolve_any(base, href))
+    return bind(
+        href,
+        lambda h: F.when(h == "", base)
+        .when(on_web & h.rlike(_COMPLETE), h)
+        .when(on_web & h.rlike(_ROOTED), F.concat(F.regexp_extract(base, _WEB_ORIGIN, 0), h))
+        .otherwise(bind(_clean(h), lambda ref: _resolve_any(base, h, ref))),
     )
 
 
-def _resolve_any(base: Column, href: Column) -> Column:
-    ref = _clean(href)
+def _resolve_any(base: Column, href: Column, ref: Column) -> Column:
     base_scheme = F.lower(_part(base, _SCHEME))
     ref_scheme = F.lower(_part(ref, _SCHEME))
     foreign = ((ref_scheme != "") & (ref_scheme != base_scheme)) | ~base_scheme.isin(
@@ -163,10 +160,15 @@ def absolute_url(base: Column | str, href: Column) -> Column:
 
 def canonical_url(base: Column | str, href: Column) -> Column:
     """``absolute_url`` without query and fragment, scheme in lower case (URL2)."""
-    url = _clean(absolute_url(base, href))
-    scheme = F.regexp_extract(url, r"\A[A-Za-z][A-Za-z0-9+.\-]*:", 0)
-    rest = F.regexp_extract(F.substr(url, F.length(scheme) + 1), r"\A[^?#]*", 0)
-    return F.concat(F.lower(scheme), _drop_empty_params(rest))
+    bare = F.regexp_extract(_clean(absolute_url(base, href)), r"\A[^?#]*", 0)
+    scheme = r"\A[A-Za-z][A-Za-z0-9+.\-]*:"
+    return bind(
+        bare,
+        lambda url: F.concat(
+            F.lower(F.regexp_extract(url, scheme, 0)),
+            _drop_empty_params(F.regexp_replace(url, scheme, "")),
+        ),
+    )
 
 
 def is_malformed_url(href: Column) -> Column:
@@ -218,23 +220,31 @@ def _before(text: Column, mark: str) -> Column:
     return F.substring_index(text, mark, 1)
 
 
-def lb_trigger_url(page_url: Column, trigger: Column) -> Column:
-    """Page URL carrying a lazily loaded block's address in its fragment (URL6)."""
-    stripped = strip_text(trigger)
-    usable = (stripped != "") & ~stripped.startswith("javascript:")
-    target = percent_encode(resolve_url(page_url, stripped))
-    return F.when(usable, F.concat(_before(page_url, "#"), F.lit("#lb_api="), target))
-
-
 # Markers of a question-and-answer block and its opened state.
 _LB_MARK = "#lb_api="
 _QA_TAB = "ssc=tab.itb.qab"
 _QA_OPENED = "faq_opened=1"
 
 
+def lb_trigger_url(page_url: Column, trigger: Column) -> Column:
+    """Page URL carrying a lazily loaded block's address in its fragment (URL6)."""
+    return bind(
+        strip_text(trigger),
+        lambda t: F.when(
+            (t != "") & ~t.startswith("javascript:"),
+            F.concat(
+                _before(page_url, "#"), F.lit(_LB_MARK), percent_encode(resolve_url(page_url, t))
+            ),
+        ),
+    )
+
+
 def finish_more_url(url: Column) -> Column:
     """Open the question-and-answer block a lazily loaded address points to (URL7)."""
-    decoded = percent_decode(url)
+    return bind(percent_decode(url), lambda decoded: _opened(decoded, url))
+
+
+def _opened(decoded: Column, url: Column) -> Column:
     page = _before(decoded, _LB_MARK)
     api = F.substr(decoded, F.length(page) + len(_LB_MARK) + 1)
     opened = F.concat(

@@ -146,7 +146,7 @@ def read_blocks(page: PageTree) -> list[dict]:
         blocks.append(
             {
                 "tag": page.tags[block],
-                "classes": (page.attr(block, "class") or "").split(),
+                "classes": page.classes(block),
                 "slog": page.attr(block, "data-slog-container"),
                 "has_powerlink": page.first(POWER_LINK, block) is not None,
                 "has_text": bool(page.text(block)),

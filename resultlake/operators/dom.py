@@ -11,8 +11,8 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from html import parser as stdlib
 from html.entities import html5
-from html.parser import HTMLParser
 
 # Elements without content.
 VOID = frozenset(
@@ -47,6 +47,27 @@ def _compound(text: str) -> tuple:
     return tag, tuple(classes), tuple(tests)
 
 
+# Well-formed markup, read token by token; from the first token that is anything else
+# the standard library's lenient reader takes over.
+_TOKEN = re.compile(
+    r"""([^<&]+)
+    |<([a-zA-Z][a-zA-Z0-9:_-]*)
+      ((?:\s+[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>=`]+))?)*)\s*(/?)>
+    |</([a-zA-Z][a-zA-Z0-9:_-]*)\s*>
+    |&\#([0-9]+|[xX][0-9a-fA-F]+);
+    |&([a-zA-Z][a-zA-Z0-9]*)(?:;|(?=[\s<&"'(),:/=]))
+    |(<!--(?!-?>)[^-]*(?:-[^-]+)*-->|<!(?i:doctype)\s[^<>\[]*>)
+    |([<&](?=[\s\d.,]))""",
+    re.VERBOSE,
+)
+_TEXT, _START, _ATTRS, _SELF_CLOSED, _END, _CHARACTER, _ENTITY, _MARKUP, _BARE = range(1, 10)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>=`]+)))?""")
+_unescape = getattr(stdlib, "_unescape_attrvalue", None) or html.unescape
+_RAW = frozenset(stdlib.HTMLParser.CDATA_CONTENT_ELEMENTS)
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in _RAW}
+_ESCAPABLE = frozenset(getattr(stdlib.HTMLParser, "RCDATA_CONTENT_ELEMENTS", ())) | {"plaintext"}
+
+
 def _passes(value: str | None, operator: str, wanted: str) -> bool:
     if value is None:
         return False
@@ -57,41 +78,79 @@ def _passes(value: str | None, operator: str, wanted: str) -> bool:
     return wanted in value  # "*=", or presence alone, where wanted is ""
 
 
-class PageTree(HTMLParser):
+class PageTree(stdlib.HTMLParser):
     """Elements by number in document order; a subtree is a number range."""
 
     def __init__(self, page: str) -> None:
         super().__init__(convert_charrefs=False)
         self.tags: list[str] = []
-        self.attrs: list[dict[str, str]] = []
+        self.raw: list[str | None] = []  # attributes as written, until someone asks
+        self.read: dict[int, dict[str, str]] = {}
         self.parents: list[int] = []
         self.ends: list[int] = []
         self.spans: list[list[int]] = []
         self.strings: list[tuple[str | None, str]] = []
-        self.named: dict[str, list[int]] = {}
         self._open: list[int] = []
         self._apart: list[int] = []
         self._pending: list[str] = []
         self._closed_void: list[str] = []
-        self.feed(page)
+        self._found: dict[tuple, list[int]] = {}
+        self._compounds: dict[tuple, set[int]] = {}
+        rest = self._scan(page)
+        if rest < len(page):
+            self.feed(page[rest:])
         self.close()
         self._flush()
         while self._open:
             self._pop()
 
     # -- reading -----------------------------------------------------------
-    def handle_starttag(self, tag, attrs, void_closes=True):
-        self._flush()
+    def _scan(self, page: str) -> int:
+        """Read well-formed markup; returns where it ends."""
+        at, token, pending = 0, _TOKEN.match, self._pending
+        while found := token(page, at):
+            kind = found.lastindex
+            if kind == _TEXT:
+                pending.append(found[_TEXT])
+            elif kind == _SELF_CLOSED:
+                tag = found[_START].lower()
+                if found[_SELF_CLOSED]:
+                    self._start(tag, found[_ATTRS], None, void_closes=False)
+                    self.handle_endtag(tag)
+                elif tag in _RAW:
+                    end = _RAW_END[tag].search(page, found.end())
+                    if not end or page.find("<!--", found.end(), end.start()) >= 0:
+                        break
+                    self._start(tag, found[_ATTRS], None)
+                    pending.append(page[found.end():end.start()])
+                    self.handle_endtag(tag)
+                    at = end.end()
+                    continue
+                elif tag in _ESCAPABLE and not page[page.find("<", found.end()):].lower().startswith(f"</{tag}"):
+                    break
+                else:
+                    self._start(tag, found[_ATTRS], None)
+            elif kind == _END:
+                self.handle_endtag(found[_END].lower())
+            elif kind == _CHARACTER:
+                self.handle_charref(found[_CHARACTER])
+            elif kind == _ENTITY:
+                self.handle_entityref(found[_ENTITY])
+            elif kind == _MARKUP:
+                self._flush()
+            else:
+                pending.append(found[_BARE])
+            at = found.end()
+        return at
+
+    def _start(self, tag, raw, attrs, void_closes=True):
+        if self._pending:
+            self._flush()
         number = len(self.tags)
-        found = {name: value or "" for name, value in attrs}
-        self.named.setdefault(tag, []).append(number)
-        if "class" in found:
-            tokens = found["class"].split()
-            found["class"] = " ".join(tokens)
-            for token in set(tokens):
-                self.named.setdefault("." + token, []).append(number)
+        if raw is None:
+            self.read[number] = attrs
         self.tags.append(tag)
-        self.attrs.append(found)
+        self.raw.append(raw)
         self.parents.append(self._open[-1] if self._open else -1)
         self.ends.append(-1)
         self.spans.append([len(self.strings), -1])
@@ -102,8 +161,11 @@ class PageTree(HTMLParser):
             self._close(tag)
             self._closed_void.append(tag)
 
+    def handle_starttag(self, tag, attrs):
+        self._start(tag, None, {name: value or "" for name, value in attrs})
+
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs, void_closes=False)
+        self._start(tag, None, {name: value or "" for name, value in attrs}, void_closes=False)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
@@ -135,6 +197,9 @@ class PageTree(HTMLParser):
         if data.upper().startswith("CDATA["):
             self.strings.append((None, data[6:]))
 
+    def updatepos(self, i, j):
+        return j  # nobody asks for line numbers
+
     def _flush(self):
         if self._pending:
             kind = self.tags[self._apart[-1]] if self._apart else None
@@ -142,8 +207,12 @@ class PageTree(HTMLParser):
             self._pending.clear()
 
     def _close(self, tag):
-        self._flush()
-        if any(self.tags[number] == tag for number in reversed(self._open)):
+        if self._pending:
+            self._flush()
+        tags = self.tags
+        if self._open and (
+            tags[self._open[-1]] == tag or any(tags[number] == tag for number in reversed(self._open))
+        ):
             while self._pop() != tag:
                 pass
 
@@ -156,18 +225,33 @@ class PageTree(HTMLParser):
         return self.tags[number]
 
     # -- asking ------------------------------------------------------------
+    def attrs(self, number: int) -> dict[str, str]:
+        found = self.read.get(number)
+        if found is None:
+            found = self.read[number] = {}
+            for name, double, single, bare in _ATTR.findall(self.raw[number]):
+                value = double or single or bare
+                found[name.lower()] = _unescape(value) if "&" in value else value
+        return found
+
+    def attr(self, number: int | None, name: str) -> str | None:
+        return None if number is None else self.attrs(number).get(name)
+
+    def classes(self, number: int) -> list[str]:
+        return self.attrs(number).get("class", "").split()
+
     def select(self, selectors: tuple, top: int | None = None) -> list[int]:
-        """Matching elements below ``top`` (or anywhere), in document order."""
-        low, high = (0, len(self.tags)) if top is None else (top + 1, self.ends[top])
-        found = set()
-        for *above, last in selectors:
-            tag, classes, _ = last
-            key = "." + classes[0] if classes else tag
-            numbers = self.named.get(key, ()) if key else range(len(self.tags))
-            for number in numbers[bisect_left(numbers, low):bisect_left(numbers, high)]:
-                if self._fits(number, last) and self._inside(number, above):
-                    found.add(number)
-        return sorted(found)
+        """Matching elements below ``top`` (or anywhere), in document order. Ancestors
+        count up to the root, so a page's matches are found once."""
+        found = self._found.get(selectors)
+        if found is None:
+            hits = set()
+            for *above, last in selectors:
+                hits.update(self._below(self._matching(last), above))
+            found = self._found[selectors] = sorted(hits)
+        if top is None:
+            return found
+        return found[bisect_left(found, top + 1):bisect_left(found, self.ends[top])]
 
     def first(self, selectors: tuple, top: int | None = None) -> int | None:
         found = self.select(selectors, top)
@@ -189,23 +273,54 @@ class PageTree(HTMLParser):
         pieces = (text.strip() for own, text in self.strings[low:high] if own == kind)
         return " ".join(piece for piece in pieces if piece)
 
-    def attr(self, number: int | None, name: str) -> str | None:
-        return None if number is None else self.attrs[number].get(name)
-
-    def _fits(self, number: int, compound: tuple) -> bool:
-        tag, classes, tests = compound
-        attrs = self.attrs[number]
-        return (
-            (tag is None or self.tags[number] == tag)
-            and (not classes or set(classes).issubset(attrs.get("class", "").split()))
-            and all(_passes(attrs.get(name), op, value) for name, op, value in tests)
-        )
-
-    def _inside(self, number: int, above: list) -> bool:
-        for compound in reversed(above):
-            number = self.parents[number]
-            while number >= 0 and not self._fits(number, compound):
-                number = self.parents[number]
-            if number < 0:
+    def _matching(self, compound: tuple) -> set[int]:
+        """Elements that pass one compound, whatever is above them. Only attributes
+        that may hold what is wanted, as written, are taken apart."""
+        found = self._compounds.get(compound)
+        if found is None:
+            tag, classes, tests = compound
+            words = [*classes, *(word for *_, value in tests for word in value.split())]
+            if words:
+                word = words[0]
+                maybe = [
+                    number
+                    for number, raw in enumerate(self.raw)
+                    if raw is None or word in raw or "&" in raw
+                ]
+                if tag is not None:
+                    maybe = [number for number in maybe if self.tags[number] == tag]
+            else:
+                maybe = [number for number, own in enumerate(self.tags) if own == tag]
+            found = {number for number in maybe if self._fits(number, classes, tests)}
+            self._compounds[compound] = found
+        return found
+
+    def _fits(self, number: int, classes: tuple, tests: tuple) -> bool:
+        attrs = self.attrs(number)
+        if classes and not set(classes).issubset(attrs.get("class", "").split()):
+            return False
+        for name, operator, wanted in tests:
+            value = attrs.get(name)
+            if value is not None and name == "class":
+                value = " ".join(value.split())
+            if not _passes(value, operator, wanted):
                 return False
         return True
+
+    def _below(self, numbers: set[int], above: list) -> set[int]:
+        """Those of ``numbers`` that have the wanted ancestors, nearest first."""
+        wanted = [self._matching(compound) for compound in reversed(above)]
+        if not all(wanted):
+            return set()
+        parents, kept = self.parents, set()
+        for number in numbers:
+            at = number
+            for ancestors in wanted:
+                at = parents[at]
+                while at >= 0 and at not in ancestors:
+                    at = parents[at]
+                if at < 0:
+                    break
+            else:
+                kept.add(number)
+        return kept
