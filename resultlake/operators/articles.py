@@ -68,12 +68,11 @@ def article_dates(facts: DataFrame, surface: str) -> DataFrame:
     )
 
 
-def answer_cards(asked: DataFrame, dates: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def answer_cards(asked: DataFrame, dates: DataFrame) -> DataFrame:
     """Give every card waiting for its article a final state: ready with the article's
     date, broken if the frame's address was refused, or gone on a miss (JN2, JN3)."""
     waiting = asked.withColumn("url", F.col("card.url"))
-    options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    found = lookup_join(waiting, dates, ["url"], **options)
+    found = lookup_join(waiting, dates, ["url"])
     state = F.when(F.col("refused"), BROKEN).otherwise(READY)
     card = F.col("card").withField("state", state).withField("date", F.col("post_date"))
     return found.withColumn("card", card).drop("url", "post_date", "refused")

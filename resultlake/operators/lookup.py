@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from resultlake.session import stage
+
 # A key is worth a detour only if its rows would make a straggler of one task.
 HOT_ROWS = 1_000_000
 # At most this many keys take the detour, which bounds what is broadcast.
 MAX_HOT_KEYS = 1024
 
 
-def hot_keys(left: DataFrame, keys: list[str], hot_rows: int) -> list:
+def hot_keys(left: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list:
     """The most frequent keys with at least ``hot_rows`` rows; counted exactly, with
     map-side partial sums, and only if the table is large enough to have one."""
     if left.count() < hot_rows:
@@ -25,6 +27,7 @@ def lookup_join(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
+    hot: list | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to its at most one match in ``right``.
@@ -32,10 +35,12 @@ def lookup_join(
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; key columns of
     ``left`` must not be NULL. Rows of a hot key stay where they are and meet the few
     matches of the hot keys by broadcast; all others are joined as Spark sees fit.
+    ``hot`` are the hot keys if they are known already.
     """
-    hot = hot_keys(left, keys, hot_rows)
+    hot = hot_keys(left, keys, hot_rows) if hot is None else hot
     if not hot:
         return left.join(right, keys, how)
+    right = stage(right, "lookup")  # it is read twice from here on
     schema = left.select(*keys).schema
     chosen = F.broadcast(left.sparkSession.createDataFrame([tuple(r) for r in hot], schema))
     few = F.broadcast(right.join(chosen, keys, "left_semi"))

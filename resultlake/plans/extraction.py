@@ -9,19 +9,21 @@ for many times costs nothing but its result rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resultlake.operators.articles import answer_cards, article_dates, article_facts
 from resultlake.operators.cards import extract
-from resultlake.operators.lookup import lookup_join
+from resultlake.operators.lookup import hot_keys, lookup_join
 from resultlake.operators.ranking import accepted, limit_of, numbered, reached, without_broken
 from resultlake.operators.rules import FETCH
-from resultlake.schema import POSITIONS, ROWS
+from resultlake.schema import POSITIONS, ROWS, with_positions
 from resultlake.session import stage
-from resultlake.sources.captures import platform_positions, surface_pages
+from resultlake.sources.captures import platform_positions, surface_pages, wanted_keywords
 from resultlake.sources.registry import DEFAULT_MAX_ROWS, PLATFORMS, Platforms, Surface
 
 PAGE = ["platform", "keyword"]
@@ -115,39 +117,45 @@ def extract_tables(
     on_bad_card: str = "page",
     known: Platforms = PLATFORMS,
 ) -> dict[str, DataFrame]:
-    """Results for ``(kw_pos, keyword)`` as three staged tables with their positions.
+    """Results for a stored table ``(kw_pos, keyword)`` as three staged tables with
+    their positions.
 
     Repeated keywords and repeated platforms repeat their rows.
     """
     names = known.chosen(platforms)
-    keywords = stage(keywords.select(F.col("kw_pos").cast("long").alias("kw_pos"), "keyword"), "keywords")
-    facts = None if articles is None else article_facts(articles)
+    keywords = keywords.select(F.col("kw_pos").cast("long").alias("kw_pos"), "keyword")
     requests = keywords.select(
-        "*", F.explode(platform_positions(names, known)).alias("p")
+        F.explode(platform_positions(names, known)).alias("p"), "kw_pos", "keyword"
     ).select("p.*", "kw_pos", "keyword")
-    tables = {}
-    for kind, columns in ROWS.items():
-        parts = []
-        # Platforms sharing a surface definition share one pass over its pages.
-        by_definition: dict[int, list[str]] = {}
-        for name in dict.fromkeys(names):
-            surface = known.known[name].get(kind)
-            if surface is not None:
-                by_definition.setdefault(id(surface), []).append(name)
-        for sharing in by_definition.values():
-            surface = known.known[sharing[0]][kind]
-            pages = surface_pages(captures, sharing, kind, keywords)
-            found = page_rows(pages, surface, facts, max_rows, on_bad_card)
-            parts.append(stage(found, f"{kind}-rows"))
+    wanted, hot = wanted_keywords(keywords), hot_keys(requests, PAGE)
+    facts = None if articles is None else article_facts(articles)
+
+    def table_of(kind: str) -> DataFrame:
+        parts = [
+            page_rows(surface_pages(captures, sharing, kind, wanted), surface, facts, max_rows, on_bad_card)
+            for surface, sharing in _definitions(names, kind, known)
+        ]
+        columns = [*POSITIONS, *ROWS[kind].fieldNames()]
         if not parts:
-            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in columns.fields if f.name != "keyword"]
-            tables[kind] = requests.limit(0).select(*POSITIONS, "keyword", *empty)
-            continue
-        rows = reduce(DataFrame.unionByName, parts)
-        joined = lookup_join(requests, rows, PAGE)
-        flat = numbered(joined, *POSITIONS, "keyword")
-        tables[kind] = stage(flat.select(*POSITIONS, *columns.fieldNames()), kind)
-    return tables
+            return keywords.sparkSession.createDataFrame([], with_positions(kind))
+        joined = lookup_join(requests, reduce(DataFrame.unionByName, parts), PAGE, hot=hot)
+        return stage(numbered(joined, *POSITIONS, "keyword").select(*columns), kind)
+
+    # The three kinds do not wait for each other.
+    with ThreadPoolExecutor(len(ROWS)) as pool:
+        run = inheritable_thread_target(keywords.sparkSession)(table_of)
+        return dict(zip(ROWS, pool.map(run, ROWS)))
+
+
+def _definitions(names: Sequence[str], kind: str, known: Platforms) -> list[tuple[Surface, list[str]]]:
+    """Surface definitions of one kind with the platforms sharing them, so that these
+    share one pass over their pages."""
+    found: dict[int, tuple[Surface, list[str]]] = {}
+    for name in dict.fromkeys(names):
+        surface = known.known[name].get(kind)
+        if surface is not None:
+            found.setdefault(id(surface), (surface, []))[1].append(name)
+    return list(found.values())
 
 
 def public_table(table: DataFrame, kind: str) -> DataFrame:

@@ -13,8 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Pages are large values: few of them per Arrow batch keep a Python worker small.
+# Pages are large values: few of them per batch keep the scan and its Python worker
+# small, where the defaults would hold thousands of pages at a time.
 PAGES_PER_BATCH = 256
+_BATCH_SETTINGS = (
+    "spark.sql.execution.arrow.maxRecordsPerBatch",
+    "spark.sql.parquet.columnarReaderBatchSize",
+)
 
 STAGE_SETTING = "spark.checkpoint.dir"
 
@@ -24,9 +29,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings the jobs rely on; call it once per session."""
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(batch)) > PAGES_PER_BATCH:
-        spark.conf.set(batch, str(PAGES_PER_BATCH))
+    for batch in _BATCH_SETTINGS:
+        if int(spark.conf.get(batch)) > PAGES_PER_BATCH:
+            spark.conf.set(batch, str(PAGES_PER_BATCH))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark

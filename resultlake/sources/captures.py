@@ -26,22 +26,24 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return spread(spark.read.schema(ARTICLES).parquet(path), "url")
 
 
+def wanted_keywords(keywords: DataFrame) -> DataFrame | None:
+    """Distinct keywords marked for broadcast, or None if they are too many for that."""
+    wanted = keywords.select("keyword").distinct()
+    return F.broadcast(wanted) if fits_broadcast(wanted) else None
+
+
 def surface_pages(
-    captures: DataFrame, platforms: Sequence[str], surface: str, keywords: DataFrame | None = None
+    captures: DataFrame, platforms: Sequence[str], surface: str, wanted: DataFrame | None = None
 ) -> DataFrame:
     """Pages of one surface. Filters sit below the page reader: partitions by platform
-    and surface, and the keyword list as a semi-join while it is small enough to send
+    and surface, and the keywords as a semi-join while they are few enough to send
     around. Beyond that all pages are read and the later join picks; pages are never
     shuffled for it."""
-    pages = captures.where(
-        F.col("platform").isin(*dict.fromkeys(platforms)) & (F.col("surface") == surface)
-    ).select("platform", "keyword", "page_url", "html")
-    pages = spread(pages, "platform", "keyword")
-    if keywords is not None:
-        wanted = keywords.select("keyword").distinct()
-        if fits_broadcast(wanted):
-            pages = pages.join(F.broadcast(wanted), "keyword", "left_semi")
-    return pages.select("platform", "keyword", "page_url", "html")
+    chosen = F.col("platform").isin(*dict.fromkeys(platforms)) & (F.col("surface") == surface)
+    pages = spread(
+        captures.where(chosen).select("platform", "keyword", "page_url", "html"), "platform", "keyword"
+    )
+    return pages if wanted is None else pages.join(wanted, "keyword", "left_semi").select(*pages.columns)
 
 
 def platform_positions(platforms: Sequence[str] | None, known: Platforms = PLATFORMS):
