@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every code point Python's str.split()/str.strip() treats as
-# whitespace, as a Java character class body (Java's own \s is ASCII only).
-WHITESPACE = (
-    r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Every code point that Python's str.split() and str.strip() treat as whitespace, for a
+# Java regex (whose own \s is ASCII only). Written as the complement of all others,
+# common characters first: the engine then decides most characters at the first range.
+_SPACE = (
+    r"[^\x21-\x7e\x{3001}-\x{10ffff}\xa1-\x{167f}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f"
+    r"\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}]"
 )
 
 # The line breaks of Python's str.splitlines().
@@ -26,12 +27,14 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """NULL becomes ''; whitespace runs become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{WHITESPACE}]+", " "))
+    # A single blank needs no replacing; most texts then pass through as they are.
+    runs = f" {_SPACE}+|(?! ){_SPACE}+"
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), runs, " "))
 
 
 def strip_text(text: Column) -> Column:
     """Trim Unicode whitespace at both ends; NULL stays NULL."""
-    return F.regexp_replace(text, rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.regexp_replace(text, rf"\A{_SPACE}+|{_SPACE}+\z", "")
 
 
 def nullif_empty(text: Column) -> Column:

@@ -179,7 +179,7 @@ def is_malformed_url(href: Column) -> Column:
     bad = (authority.rlike(r"[\[\]]") & ~authority.rlike(bracketed)) | authority.rlike(
         f"[{_authority_breakers()}]"
     )
-    return F.when(href.rlike(r"[\[\]]|[^\x00-\x7f]"), F.coalesce(bad, F.lit(False))).otherwise(
+    return F.when(href.rlike(r"[^\x00-\x5a\x5c\x5e-\x7f]"), F.coalesce(bad, F.lit(False))).otherwise(
         F.lit(False)
     )
 
