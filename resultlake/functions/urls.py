@@ -179,9 +179,8 @@ def is_malformed_url(href: Column) -> Column:
     bad = (authority.rlike(r"[\[\]]") & ~authority.rlike(bracketed)) | authority.rlike(
         f"[{_authority_breakers()}]"
     )
-    return F.when(href.rlike(r"[^\x00-\x5a\x5c\x5e-\x7f]"), F.coalesce(bad, F.lit(False))).otherwise(
-        F.lit(False)
-    )
+    harmless = href.rlike(r"\A[\x00-\x5a\x5c\x5e-\x7f]*\z")  # ASCII without brackets
+    return ~F.coalesce(harmless, F.lit(True)) & F.coalesce(bad, F.lit(False))
 
 
 def is_unfetchable_url(url: Column) -> Column:

@@ -36,7 +36,8 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 @query
 def keyword_scan(spark, sf_dir):
     """SC1 PR8 TX2: every document as a keyword file."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", keyword_lines(F.col("text")).alias("lines"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    lines = documents.select("doc_id", keyword_lines(F.col("text")).alias("lines"))
     return exploded(lines, "doc_id", array="lines", name="keyword").select(
         "doc_id", (F.col("position") + 1).cast("bigint").alias("kw_pos"), "keyword"
     )
@@ -78,7 +79,9 @@ def missing_pages(spark, sf_dir):
 @query
 def text_normalize(spark, sf_dir):
     """TX1 over all documents and conversations."""
-    documents = table(spark, sf_dir, "documents").selectExpr("'document' as source", "doc_id as id", "0L as part", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").selectExpr(
+        "'document' as source", "doc_id as id", "0L as part", "text"
+    )
     turns = table(spark, sf_dir, "conversations").selectExpr("'turn' as source", "conv_id as id", "turn as part", "text")
     return documents.unionByName(turns).select("source", "id", "part", R.normalize_text(F.col("text")).alias("text"))
 
@@ -174,7 +177,8 @@ def post_date_normalize(spark, sf_dir):
         F.concat(F.date_format(day, "d"), F.lit("일 전")),
     ]
     text = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 10 + 1).cast("int"))
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    return orders.select(
         "o_orderkey",
         R.parse_post_date(text).alias("post_date"),
         R.post_date_text(R.parse_post_date(text)).alias("post_date_text"),
