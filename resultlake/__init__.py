@@ -4,7 +4,7 @@ from resultlake.errors import CollectionError, ExportError, ResultLakeError
 from resultlake.plans.extraction import extract_tables, public_table, surface_table, union_tables
 from resultlake.plans.job import Run, run_job
 from resultlake.plans.summary import run_summary, surface_counts
-from resultlake.session import configure
+from resultlake.session import clear_stage, configure
 from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
 from resultlake.sources.captures import missing_captures, read_articles, read_captures, request_list
 from resultlake.sources.keywords import keyword_lines, read_keywords
@@ -19,6 +19,7 @@ __all__ = [
     "ResultLakeError",
     "Run",
     "Surface",
+    "clear_stage",
     "configure",
     "export",
     "extract_tables",

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from resultlake.sinks.files import remove
+
 # Pages are large values: few of them per batch keep the scan and its Python worker
 # small, where the defaults would hold thousands of pages at a time.
 PAGES_PER_BATCH = 256
@@ -39,18 +42,31 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def stage_root(spark: SparkSession) -> str:
     """Folder shared by all executors, as the cluster names it."""
-    root = spark.conf.get(STAGE_SETTING, None)
-    if root is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"set {STAGE_SETTING} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="resultlake-")
-        spark.conf.set(STAGE_SETTING, root)
-    return root.rstrip("/")
+    named = spark.conf.get(STAGE_SETTING, None)
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError(f"set {STAGE_SETTING} to a folder all executors can reach")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """Stand-in for the shared folder where driver and executors are one process."""
+    return tempfile.mkdtemp(prefix="resultlake-")
+
+
+def _stage_folder(spark: SparkSession) -> str:
+    return f"{stage_root(spark)}/resultlake/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{stage_root(spark)}/resultlake/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_stage(spark: SparkSession) -> None:
+    """Drop everything this application staged; tables that read it end with it."""
+    remove(spark, _stage_folder(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -178,3 +178,58 @@ def test_a_batch_run_again_replaces_its_rows(spark, tmp_path, monkeypatch):
     assert len(read_increments(spark, out, "smartblock").collect()) == 2
     assert len(read_increments(spark, out, "cafe").collect()) == 2
     assert read_increments(spark, out, "cafe").first().date == datetime.date(2025, 1, 2)
+
+
+# -- command line and staging ----------------------------------------------------
+def test_command_line(spark, files, capsys, monkeypatch):
+    import json
+
+    from resultlake import __main__ as cli
+
+    cleared = []
+    monkeypatch.setattr(cli, "clear_stage", cleared.append)  # other tests still read theirs
+    cli.main(
+        ["--keywords-file", "keywords.txt", "--base-dir", str(files), "--captures", str(files / "captures"),
+         "--articles", str(files / "articles"), "--output-dir", str(files / "cli"), "--max-rows", "1"]
+    )
+    summary = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert summary["blog_count"] == 2 and summary["output_files"]["cafe"] == str(files / "cli" / "cafe.csv")
+    assert cleared
+
+
+def test_clear_stage(spark, tmp_path, monkeypatch):
+    import os
+
+    from resultlake import session
+
+    monkeypatch.setattr(session, "stage_root", lambda spark: str(tmp_path))
+    staged = session.stage(spark.range(3), "numbers")
+    assert staged.count() == 3 and len(os.listdir(tmp_path / "resultlake")) == 1
+    session.clear_stage(spark)
+    assert os.listdir(tmp_path / "resultlake") == []
+
+
+def test_stage_folder(spark):
+    from resultlake import session
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    assert session.stage_root(Session(spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(ValueError):
+        session.stage_root(Session(spark_master="yarn"))
+    own = session.stage_root(Session(spark_master="local[2]"))
+    assert own == session.stage_root(Session(spark_master="local[2]"))
+    assert session.stage_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_pages_are_read_once_and_never_shuffled(spark, files):
+    captures = rl.read_captures(spark, str(files / "captures"))
+    from resultlake.sources.captures import surface_pages
+
+    pages = surface_pages(captures.coalesce(1), ["naver"], "smartblock")
+    table = extraction.page_rows(captures.where("surface = 'smartblock'").drop("surface"), rl.SURFACES["smartblock"])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    assert pages.columns == ["platform", "keyword", "page_url", "html"]
