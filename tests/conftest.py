@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("resultlake-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("stage")))
