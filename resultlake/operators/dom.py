@@ -84,7 +84,8 @@ class PageTree(stdlib.HTMLParser):
     def __init__(self, page: str) -> None:
         super().__init__(convert_charrefs=False)
         self.tags: list[str] = []
-        self.raw: list[str | None] = []  # attributes as written, until someone asks
+        self.raw: list[str] = []  # attributes as written, taken apart when asked for
+        self.hints: list[str] = []  # text that holds every attribute value
         self.read: dict[int, dict[str, str]] = {}
         self.parents: list[int] = []
         self.ends: list[int] = []
@@ -108,10 +109,19 @@ class PageTree(stdlib.HTMLParser):
     def _scan(self, page: str) -> int:
         """Read well-formed markup; returns where it ends."""
         at, token, pending = 0, _TOKEN.match, self._pending
+        tags, opened = self.tags, self._open
         while found := token(page, at):
             kind = found.lastindex
             if kind == _TEXT:
                 pending.append(found[_TEXT])
+            elif kind == _END:
+                tag = found[_END].lower()
+                if opened and tags[opened[-1]] == tag and tag not in VOID:
+                    if pending:
+                        self._flush()
+                    self._pop()
+                else:
+                    self.handle_endtag(tag)
             elif kind == _SELF_CLOSED:
                 tag = found[_START].lower()
                 if found[_SELF_CLOSED]:
@@ -130,8 +140,6 @@ class PageTree(stdlib.HTMLParser):
                     break
                 else:
                     self._start(tag, found[_ATTRS], None)
-            elif kind == _END:
-                self.handle_endtag(found[_END].lower())
             elif kind == _CHARACTER:
                 self.handle_charref(found[_CHARACTER])
             elif kind == _ENTITY:
@@ -147,8 +155,11 @@ class PageTree(stdlib.HTMLParser):
         if self._pending:
             self._flush()
         number = len(self.tags)
-        if raw is None:
+        if attrs is not None:
             self.read[number] = attrs
+            self.hints.append(" ".join(attrs.values()))
+        else:
+            self.hints.append(raw if "&" not in raw else raw + html.unescape(raw))
         self.tags.append(tag)
         self.raw.append(raw)
         self.parents.append(self._open[-1] if self._open else -1)
@@ -162,10 +173,10 @@ class PageTree(stdlib.HTMLParser):
             self._closed_void.append(tag)
 
     def handle_starttag(self, tag, attrs):
-        self._start(tag, None, {name: value or "" for name, value in attrs})
+        self._start(tag, "", {name: value or "" for name, value in attrs})
 
     def handle_startendtag(self, tag, attrs):
-        self._start(tag, None, {name: value or "" for name, value in attrs}, void_closes=False)
+        self._start(tag, "", {name: value or "" for name, value in attrs}, void_closes=False)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
@@ -270,8 +281,8 @@ class PageTree(stdlib.HTMLParser):
             return None
         kind = self.tags[number] if self.tags[number] in APART else None
         low, high = self.spans[number]
-        pieces = (text.strip() for own, text in self.strings[low:high] if own == kind)
-        return " ".join(piece for piece in pieces if piece)
+        pieces = [text.strip() for own, text in self.strings[low:high] if own == kind]
+        return pieces[0] if len(pieces) == 1 else " ".join(filter(None, pieces))
 
     def _matching(self, compound: tuple) -> set[int]:
         """Elements that pass one compound, whatever is above them. Only attributes
@@ -280,17 +291,11 @@ class PageTree(stdlib.HTMLParser):
         if found is None:
             tag, classes, tests = compound
             words = [*classes, *(word for *_, value in tests for word in value.split())]
+            maybe = range(len(self.tags))
             if words:
-                word = words[0]
-                maybe = [
-                    number
-                    for number, raw in enumerate(self.raw)
-                    if raw is None or word in raw or "&" in raw
-                ]
-                if tag is not None:
-                    maybe = [number for number in maybe if self.tags[number] == tag]
-            else:
-                maybe = [number for number, own in enumerate(self.tags) if own == tag]
+                maybe = [number for number, hint in enumerate(self.hints) if words[0] in hint]
+            if tag is not None:
+                maybe = [number for number in maybe if self.tags[number] == tag]
             found = {number for number in maybe if self._fits(number, classes, tests)}
             self._compounds[compound] = found
         return found
