@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 
 from resultlake.plans.job import run_job
 from resultlake.session import clear_stage
-from resultlake.sources.registry import DEFAULT_MAX_ROWS
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -20,7 +19,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--platforms", nargs="*", default=[], help="platforms to read; all if none is named")
     parser.add_argument("--output-dir", help="folder of the three CSV files")
     parser.add_argument("--base-dir", help="folder a relative keyword file belongs to")
-    parser.add_argument("--max-rows", type=int, default=DEFAULT_MAX_ROWS, help="rows per keyword and surface")
+    parser.add_argument("--max-rows", type=int, help="rows per keyword and surface")
     parser.add_argument("--on-bad-card", choices=["page", "card"], default="page")
     return parser.parse_args(argv)
 

@@ -1,7 +1,7 @@
 """Column -> Column helpers; everything here stays inside the JVM."""
 
 from resultlake.functions.dates import parse_clean_date, parse_post_date, post_date_text
-from resultlake.functions.text import contains_any, normalize_text, nullif_empty, strip_text
+from resultlake.functions.text import normalize_text, nullif_empty, strip_text
 from resultlake.functions.urls import (
     absolute_url,
     canonical_url,
@@ -19,7 +19,6 @@ from resultlake.functions.urls import (
 __all__ = [
     "absolute_url",
     "canonical_url",
-    "contains_any",
     "finish_more_url",
     "form_encode",
     "is_malformed_url",

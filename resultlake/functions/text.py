@@ -1,9 +1,8 @@
-"""Unicode text clean-up (TX1, TX2, TX3)."""
+"""Unicode text clean-up (TX1, TX2); prefix and substring tests (TX3) are Spark's own."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,7 +38,3 @@ def strip_text(text: Column) -> Column:
 
 def nullif_empty(text: Column) -> Column:
     return F.when(text != "", text)
-
-
-def contains_any(text: Column, needles: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, (text.contains(n) for n in needles), F.lit(False))

@@ -24,7 +24,7 @@ from resultlake.operators.rules import FETCH
 from resultlake.schema import POSITIONS, ROWS, with_positions
 from resultlake.session import stage
 from resultlake.sources.captures import platform_positions, surface_pages, wanted_keywords
-from resultlake.sources.registry import DEFAULT_MAX_ROWS, PLATFORMS, Platforms, Surface
+from resultlake.sources.registry import PLATFORMS, Platforms, Surface
 
 PAGE = ["platform", "keyword"]
 
@@ -40,11 +40,12 @@ def page_rows(
     pages: DataFrame,
     surface: Surface,
     facts: DataFrame | None = None,
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
     on_bad_card: str = "page",
 ) -> DataFrame:
     """Pages ``(platform, keyword, page_url, html)`` of one surface to
-    ``(platform, keyword, rows)``, the rows in order and at most ``max_rows``.
+    ``(platform, keyword, rows)``, the rows in order and at most ``max_rows`` (the
+    surface's own number if not given, and never less than one).
 
     ``on_bad_card`` says what a card that cannot be read takes with it once reached:
     the whole ``page`` or the ``card`` alone.
@@ -52,7 +53,7 @@ def page_rows(
     if on_bad_card not in ("page", "card"):
         raise ValueError("on_bad_card is 'page' or 'card'")
     isolate = without_broken if on_bad_card == "card" else (lambda cards: cards)
-    limit = limit_of(max_rows)
+    limit = limit_of(surface.max_rows if max_rows is None else max_rows)
     read = extract(pages, surface.read, surface.card)
     raw, page_url = F.col("cards"), F.col("page_url")
 
@@ -97,7 +98,7 @@ def surface_table(
     pages: DataFrame,
     surface: Surface,
     articles: DataFrame | None = None,
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
     on_bad_card: str = "page",
 ) -> DataFrame:
     """Result table of one surface for pages taken as they come, without a keyword
@@ -113,7 +114,7 @@ def extract_tables(
     captures: DataFrame,
     articles: DataFrame | None = None,
     platforms: Sequence[str] | None = None,
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
     on_bad_card: str = "page",
     known: Platforms = PLATFORMS,
 ) -> dict[str, DataFrame]:

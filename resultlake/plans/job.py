@@ -14,7 +14,7 @@ from resultlake.session import configure, stage
 from resultlake.sinks.csv import export
 from resultlake.sources.captures import read_articles, read_captures
 from resultlake.sources.keywords import read_keywords
-from resultlake.sources.registry import DEFAULT_MAX_ROWS, PLATFORMS, Platforms
+from resultlake.sources.registry import PLATFORMS, Platforms
 
 OUTPUT_SETTING = "spark.resultlake.output.dir"
 
@@ -43,7 +43,7 @@ def run_job(
     articles_path: str | None = None,
     platforms: Sequence[str] | None = None,
     output_dir: str | None = None,
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
     on_bad_card: str = "page",
     base_dir: str | None = None,
     known: Platforms = PLATFORMS,

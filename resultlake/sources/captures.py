@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from resultlake.operators.lookup import lookup_join
 from resultlake.schema import ARTICLES, CAPTURES
 from resultlake.session import fits_broadcast, spread
-from resultlake.sources.registry import DEFAULT_SORT_ORDER, PLATFORMS, Platforms
+from resultlake.sources.registry import PLATFORMS, Platforms
 
 PAGE_KEY = ["platform", "surface", "keyword"]
 
@@ -59,7 +59,7 @@ def platform_positions(platforms: Sequence[str] | None, known: Platforms = PLATF
 def request_list(
     keywords: DataFrame,
     platforms: Sequence[str] | None = None,
-    sort_order: str = DEFAULT_SORT_ORDER,
+    sort_order: str | None = None,
     known: Platforms = PLATFORMS,
 ) -> DataFrame:
     """Every keyword on every surface of every chosen platform, with its search URL."""
@@ -69,7 +69,7 @@ def request_list(
                 F.lit(i).alias("platform_pos"),
                 F.lit(name).alias("platform"),
                 F.lit(surface.name).alias("surface"),
-                F.lit(sort_order if surface.sorted_search else None).cast("string").alias("sort_order"),
+                F.lit(surface.order_of(sort_order)).cast("string").alias("sort_order"),
                 surface.search_url(F.col("keyword"), sort_order).alias("search_url"),
             )
             for i, name in enumerate(known.chosen(platforms), start=1)

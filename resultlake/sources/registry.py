@@ -23,6 +23,8 @@ class Surface:
     ``read`` and ``card`` describe the raw cards of a page, ``rule`` turns the card
     array into stated cards, ``columns`` names their fields in the result table.
     ``parameters`` are the search request's, with ``query`` and ``sort`` filled in.
+    ``max_rows`` and ``sort_order`` hold unless a run names its own; a variant is
+    ``dataclasses.replace(BLOG, max_rows=5)``.
     """
 
     name: str
@@ -33,14 +35,19 @@ class Surface:
     search_page: str
     parameters: Sequence[tuple[str, str]]
     has_articles: bool = False
-    sorted_search: bool = True
+    sort_order: str | None = DEFAULT_SORT_ORDER
+    max_rows: int = DEFAULT_MAX_ROWS
 
-    def search_url(self, keyword: Column, sort_order: str = DEFAULT_SORT_ORDER) -> Column:
+    def order_of(self, sort_order: str | None = None) -> str | None:
+        """Sort order of a request; None where the surface takes none."""
+        return self.sort_order and (sort_order or self.sort_order)
+
+    def search_url(self, keyword: Column, sort_order: str | None = None) -> Column:
         pieces, mark = [F.lit(self.search_page)], "?"
         for name, value in self.parameters:
             pieces += [
                 F.lit(f"{mark}{name}="),
-                form_encode(keyword) if value == "{query}" else F.lit(value.format(sort=sort_order)),
+                form_encode(keyword) if value == "{query}" else F.lit(value.format(sort=self.order_of(sort_order))),
             ]
             mark = "&"
         return F.concat(*pieces)
@@ -55,7 +62,7 @@ SMARTBLOCK = Surface(
     {"title": "title", "url": "url"},
     rules.SEARCH_PAGE,
     [("where", "nexearch"), ("query", "{query}")],
-    sorted_search=False,
+    sort_order=None,
 )
 CAFE = Surface(
     "cafe",

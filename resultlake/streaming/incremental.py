@@ -11,7 +11,7 @@ from resultlake.plans.extraction import page_rows
 from resultlake.schema import CAPTURES, ROWS
 from resultlake.session import configure
 from resultlake.sources.captures import read_articles, surface_pages
-from resultlake.sources.registry import DEFAULT_MAX_ROWS, PLATFORMS, Platforms
+from resultlake.sources.registry import PLATFORMS, Platforms
 from resultlake.sinks.files import exists
 
 
@@ -21,7 +21,7 @@ def run_increment(
     output: str,
     progress: str,
     articles_path: str | None = None,
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int | None = None,
     files_per_batch: int = 10_000,
     known: Platforms = PLATFORMS,
 ) -> None:

@@ -80,6 +80,17 @@ def test_requests(spark):
         assert by[1, "blog", i] == by[3, "blog", i] == root + up.urlencode({"ssc": "tab.blog.all", "query": word, "st": "date"})
 
 
+def test_surfaces_bring_their_own_numbers(spark):
+    from dataclasses import replace
+
+    known = Platforms()
+    known.register("x", {"blog": replace(SURFACES["blog"], sort_order="date"), "smartblock": SURFACES["smartblock"]})
+    keywords = spark.createDataFrame([(1, "a")], "kw_pos int, keyword string")
+    found = {r.surface: r for r in request_list(keywords, known=known).collect()}
+    assert found["blog"].search_url.endswith("&query=a&st=date") and found["blog"].sort_order == "date"
+    assert found["smartblock"].sort_order is None and "st=" not in found["smartblock"].search_url
+
+
 def test_missing_captures(spark):
     keywords = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "kw_pos int, keyword string")
     have = spark.createDataFrame(

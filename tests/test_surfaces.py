@@ -55,6 +55,14 @@ def test_blog_clean_card(spark):
     assert blog(spark, blog_card()) == [GOOD]
 
 
+def test_blog_limits(spark):
+    from dataclasses import replace
+
+    pages = pages_of(spark, blog_page(*[blog_card()] * 12))
+    for surface, max_rows, count in [(BLOG, None, 10), (BLOG, 3, 3), (BLOG, -1, 1), (replace(BLOG, max_rows=2), None, 2)]:
+        assert surface_table(pages, surface, max_rows=max_rows).count() == count
+
+
 def test_blog_cards_outside_the_section(spark):
     card = blog_card()
     html = card + "<div class='_fe_view_power_content'>" + card + "</div>" + "<section class='sc_new sp_nblog'>" + card
