@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +42,14 @@ def accepted(pages: DataFrame, max_rows: int, cards: str = "cards") -> DataFrame
     return within.withColumn(cards, F.when(fails, F.slice(cards, 1, 0)).otherwise(F.col(cards)))
 
 
-def without_broken(cards: Column) -> Column:
-    """Isolate failures per card instead of per page."""
-    return F.filter(cards, lambda c: c["state"] != BROKEN)
+def isolation(on_bad_card: str) -> Callable[[Column], Column]:
+    """What to do to a card array so that a broken card takes its ``page`` with it, or
+    the ``card`` alone."""
+    if on_bad_card == "page":
+        return lambda cards: cards
+    if on_bad_card == "card":
+        return lambda cards: F.filter(cards, lambda c: c["state"] != BROKEN)
+    raise ValueError("on_bad_card is 'page' or 'card'")
 
 
 def numbered(pages: DataFrame, *keys: str, rows: str = "rows") -> DataFrame:

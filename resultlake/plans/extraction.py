@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from resultlake.operators.articles import answer_cards, article_dates, article_facts
 from resultlake.operators.cards import extract
 from resultlake.operators.lookup import hot_keys, lookup_join
-from resultlake.operators.ranking import accepted, limit_of, numbered, reached, without_broken
+from resultlake.operators.ranking import accepted, exploded, isolation, limit_of, numbered, reached
 from resultlake.operators.rules import FETCH
 from resultlake.schema import POSITIONS, ROWS, with_positions
 from resultlake.session import stage
@@ -50,9 +50,7 @@ def page_rows(
     ``on_bad_card`` says what a card that cannot be read takes with it once reached:
     the whole ``page`` or the ``card`` alone.
     """
-    if on_bad_card not in ("page", "card"):
-        raise ValueError("on_bad_card is 'page' or 'card'")
-    isolate = without_broken if on_bad_card == "card" else (lambda cards: cards)
+    isolate = isolation(on_bad_card)
     limit = limit_of(surface.max_rows if max_rows is None else max_rows)
     read = extract(pages, surface.read, surface.card)
     raw, page_url = F.col("cards"), F.col("page_url")
@@ -83,7 +81,7 @@ def _answered(staged: DataFrame, surface: Surface, facts: DataFrame, isolate) ->
     """Pages with undated cards, put together again once their articles were asked.
     Only these pages are shuffled, and a group is one page."""
     key = ["page_id", *PAGE]
-    cards = staged.where("waits").select(*key, F.posexplode("cards").alias("position", "card"))
+    cards = exploded(staged.where("waits"), *key, array="cards", name="card")
     asked = cards.where(F.col("card.state") == FETCH)
     known = cards.where(F.col("card.state") != FETCH)
     answered = answer_cards(asked, article_dates(facts, surface.name))
@@ -124,6 +122,7 @@ def extract_tables(
     Repeated keywords and repeated platforms repeat their rows.
     """
     names = known.chosen(platforms)
+    isolation(on_bad_card)  # refuse a bad choice before any work starts
     keywords = keywords.select(F.col("kw_pos").cast("long").alias("kw_pos"), "keyword")
     requests = keywords.select(
         F.explode(platform_positions(names, known)).alias("p"), "kw_pos", "keyword"

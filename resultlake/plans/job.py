@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from resultlake.errors import CollectionError, ExportError
+from resultlake.operators.ranking import isolation
 from resultlake.plans.extraction import extract_tables
 from resultlake.plans.summary import run_summary
 from resultlake.session import configure, stage
@@ -51,6 +52,7 @@ def run_job(
     """Extract, export and sum up. Bad arguments fail before any work starts."""
     configure(spark)
     known.chosen(platforms)
+    isolation(on_bad_card)
     folder = output_folder(spark, output_dir)
     keywords = stage(read_keywords(spark, keywords_path, base_dir), "keywords")
     try:

@@ -86,8 +86,10 @@ def test_run_job_refuses_bad_arguments(spark, files):
         rl.run_job(spark, str(files / "keywords.txt"), platforms=["nowhere"], **where)
     with pytest.raises(FileNotFoundError):
         rl.run_job(spark, str(files / "none.txt"), **where)
-    with pytest.raises(rl.CollectionError):
+    with pytest.raises(ValueError, match="on_bad_card"):
         rl.run_job(spark, str(files / "keywords.txt"), on_bad_card="never", **where)
+    with pytest.raises(rl.CollectionError):
+        rl.run_job(spark, str(files / "keywords.txt"), str(files / "none"), output_dir=str(files / "o"))
     assert not (files / "o").exists()
 
 
