@@ -33,7 +33,11 @@ def normalize_text(text: Column) -> Column:
 
 def strip_text(text: Column) -> Column:
     """Trim Unicode whitespace at both ends; NULL stays NULL."""
-    return F.regexp_replace(text, rf"\A{_SPACE}+|{_SPACE}+\z", "")
+    # Plain ASCII with nothing to trim, such as most links, is told by one look.
+    trimmed = r"\A[\x21-\x7e](?:[\x20-\x7e]*[\x21-\x7e])?\z"
+    return F.when(text.rlike(trimmed), text).otherwise(
+        F.regexp_replace(text, rf"\A{_SPACE}+|{_SPACE}+\z", "")
+    )
 
 
 def nullif_empty(text: Column) -> Column:

@@ -100,7 +100,8 @@ def resolve_url(base: Column | str, href: Column) -> Column:
     on_web = base.rlike(_WEB_ORIGIN)
     return bind(
         href,
-        lambda h: F.when(h == "", base)
+        lambda h: F.when(h.isNull(), h)
+        .when(h == "", base)
         .when(on_web & h.rlike(_COMPLETE), h)
         .when(on_web & h.rlike(_ROOTED), F.concat(F.regexp_extract(base, _WEB_ORIGIN, 0), h))
         .otherwise(bind(_clean(h), lambda ref: _resolve_any(base, h, ref))),
