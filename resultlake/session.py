@@ -7,9 +7,7 @@ without running the page extraction again.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,19 +39,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder shared by all executors, as the cluster names it."""
-    named = spark.conf.get(STAGE_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {STAGE_SETTING} to a folder all executors can reach")
-    return _own_folder()
-
-
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    """Stand-in for the shared folder where driver and executors are one process."""
-    return tempfile.mkdtemp(prefix="resultlake-")
+    """Folder shared by all executors: the one the cluster names, else the warehouse,
+    which a session keeps its tables in anyway."""
+    named = spark.conf.get(STAGE_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def _stage_folder(spark: SparkSession) -> str:
