@@ -5,8 +5,8 @@ that is certain, the fraction is drawn. Draws are balanced by the cube method: i
 flight, inclusion probabilities move along the null space of two constraints (number
 of documents, number of words), so both totals stay as they are until all but two
 documents of a block are decided. What stays undecided flies again in blocks of such
-leftovers until one block a source remains, and only its last two documents are landed
-by rounding. Blocks are hashed parts of a source of bounded size, so a source that
+leftovers until one block a source remains, of which a dozen documents are left to land:
+the rounding of them that keeps both totals best. Blocks are hashed parts of a source of bounded size, so a source that
 holds a third of all rows is just more blocks.
 
 Null texts have size 0; a null source is a source of its own, the last one. Repeated
@@ -16,7 +16,6 @@ rows alone, not on how they are stored. An empty table gives an empty one.
 
 from __future__ import annotations
 
-import math
 import zlib
 from functools import reduce
 
@@ -25,12 +24,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import WORD, numbered_rows
+from resultlake.llm.common import WORD
 from resultlake.session import fits_broadcast, stage
 
 WEIGHTS = (3, 1, 2)  # of the sources in order, repeating
 SHARE, MOST = 1.5, 2.0
 BLOCK = 2048
+# Documents of a source that are rounded together at the end.
+LANDING = 12
 
 
 def word_count(text: Column) -> Column:
@@ -83,15 +84,24 @@ def targets(
     return sources.select("key", "n", "source_size", target.alias("target"))
 
 
+def _landed(p: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The rounding that keeps the words, then the documents, closest to expected."""
+    options = (np.arange(1 << len(p))[:, None] >> np.arange(len(p)) & 1).astype(float)
+    words, documents = np.abs(options @ size - p @ size), np.abs(options.sum(1) - p.sum())
+    return options[np.argmin(words + 0.05 * size.mean() * documents)]
+
+
 def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
-    """Decide all but two of the probabilities (all, if ``land``), in the order given,
-    while their sum and their sum weighted by size stay as they are."""
+    """Decide all but two of the probabilities in the order given, while their sum and
+    their sum weighted by size stay as they are. To ``land``, a few documents of all
+    sizes are left out of the flight and rounded together with what it leaves."""
     p, eps = p.astype(float).copy(), 1e-9
+    p[p <= eps], p[p >= 1 - eps] = 0.0, 1.0
+    open_ones = np.flatnonzero((p > 0) & (p < 1))
+    by_size = open_ones[np.argsort(size[open_ones], kind="stable")]
+    kept = by_size[np.linspace(0, len(by_size) - 1, min(LANDING, len(by_size))).astype(int)] if land else by_size[:0]
     live: list[int] = []
-    for i in range(len(p)):
-        if not eps < p[i] < 1 - eps:
-            p[i] = round(p[i])
-            continue
+    for i in np.setdiff1d(open_ones, kept, assume_unique=True).tolist():
         live.append(i)
         if len(live) < 3:
             continue
@@ -109,10 +119,9 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool
         for k, j in enumerate(live):
             p[j] = round(now[k]) if not eps < now[k] < 1 - eps else now[k]
         live = [j for j in live if eps < p[j] < 1 - eps]
-    if land and live:
-        kept = p[live] @ size[live], p[live].sum()
-        options = [np.array([x >> k & 1 for k in range(len(live))], float) for x in range(1 << len(live))]
-        p[live] = min(options, key=lambda o: (abs(o @ size[live] - kept[0]), abs(o.sum() - kept[1])))
+    if land and (live or len(kept)):
+        last = np.array(sorted({*live, *kept.tolist()}))
+        p[last] = _landed(p[last], size[last])
     return p
 
 
