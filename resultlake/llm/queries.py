@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.llm import language, mixture, packing, quality, token_counts
+from resultlake.llm import language, mixture, packing, quality, set_join, token_counts
 from resultlake.llm.common import held_out, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_ngram_jaccard_join(spark, sf_dir):
+    return set_join.groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
