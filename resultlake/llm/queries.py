@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.llm import language, mixture, packing, quality, set_join, token_counts
+from resultlake.llm import (
+    language,
+    mixture,
+    near_vectors,
+    packing,
+    quality,
+    set_join,
+    token_counts,
+    top_products,
+    warc,
+)
 from resultlake.llm.common import held_out, table
+from resultlake.session import stage_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -32,6 +43,16 @@ def op3_source_mixture(spark, sf_dir):
     return mixture.mix(sized).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query
+def op4_embedding_near_dedup(spark, sf_dir):
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_exact_top_k(spark, sf_dir):
+    return top_products.top_products(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -42,6 +63,14 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return set_join.groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_warc_archive(spark, sf_dir):
+    index = warc.write_archives(table(spark, sf_dir, "pages"), stage_path(spark, "warc"))
+    return warc.read_records(index, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
