@@ -12,6 +12,7 @@ from resultlake.llm import (
     mixture,
     near_vectors,
     packing,
+    pii,
     quality,
     set_join,
     token_counts,
@@ -30,6 +31,17 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_pii_sanitisation(spark, sf_dir):
+    found = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(F.col("pii.base"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.spans_text(F.col("pii.base")), 256).alias("base_sha256"),
+        pii.spans_text(F.col("pii.spans")).alias("spans"),
+    )
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     histogram = token_counts.length_histogram(table(spark, sf_dir, "documents").select("text"))
