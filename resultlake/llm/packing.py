@@ -40,8 +40,9 @@ def _pieces(batches, vocabulary: str, length: int):
     step = 4 * length
     for batch in batches:
         out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        for doc_id, text in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-            ids = encode.ids(text) + end
+        encoded = encode.ids(batch.column(1).to_pylist())
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
+            ids += end
             for piece, at in enumerate(range(0, len(ids), step)):
                 part = ids[at : at + step]
                 for name, value in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):

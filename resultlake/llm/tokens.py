@@ -2,7 +2,8 @@
 
 The file lower-cases, drops white space and never lets a token cross it, so a text's
 ids are those of its space-separated chunks in order, and a chunk met before is not
-encoded again.
+encoded again. Most chunks are a word, maybe with marks at its end, which the file
+keeps apart too; new words are encoded many at a time.
 """
 
 from __future__ import annotations
@@ -12,31 +13,83 @@ from functools import lru_cache
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-# Chunks a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 200_000
+# Chunks and words a worker remembers before it starts anew; bounds its memory.
+CHUNKS, WORDS = 200_000, 1_000_000
+# Texts whose new chunks are looked up together.
+TOGETHER = 64
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # no apostrophe, which may begin a token with letters
+WORD_END = "</w>"
 
 
 class ChunkEncoder:
-    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
+    def __init__(self, vocabulary: str):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {"": b""}
-
-    def ids(self, text: str | None) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
-        chunks = (text or "").replace("\n", " ").split(" ")
-        if len(self.known) > self.remembered:
-            self.known = {"": b""}
-        known = self.known
-        new = list({c for c in chunks if c not in known})
-        if new:
-            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, found, strict=True))
-        return b"".join([known[c] for c in chunks])
+        known = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, bool)
+        self.ends[[i for token, i in known.items() if token.endswith(WORD_END)]] = True
+        self.chunks: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+
+    def one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Every text's ids as little-endian unsigned 32-bit numbers."""
+        out = []
+        for at in range(0, len(texts), TOGETHER):
+            split = [(t or "").replace("\n", " ").split(" ") for t in texts[at : at + TOGETHER]]
+            if len(self.chunks) > CHUNKS:
+                self.chunks = {"": b""}
+            new = set().union(*split).difference(self.chunks)
+            if new:
+                self._learn(new)
+            known = self.chunks.__getitem__
+            out += [b"".join(map(known, chunks)) for chunks in split]
+        return out
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.words) > WORDS:
+            self.words = {"": b""}
+        parts, words = {}, set()
+        for chunk in new:
+            low = chunk.lower()
+            word = low.rstrip(MARKS)
+            # Latin letters and nothing else: lower-casing is the file's own there.
+            if (not word or word.isalpha()) and _latin(chunk):
+                parts[chunk] = word, low[len(word) :]
+                words.add(word)
+            else:
+                self.chunks[chunk] = self.one(chunk)
+        self._learn_words(sorted(words.difference(self.words)))
+        for chunk, (word, marks) in parts.items():
+            if marks not in self.words:
+                self.words[marks] = self.one(marks)
+            self.chunks[chunk] = self.words[word] + self.words[marks]
+
+    def _learn_words(self, words: list[str]) -> None:
+        if not words:
+            return
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            self.words.update((w, self.one(w)) for w in words)
+            return
+        raw = ids.tobytes()
+        starts = np.concatenate([[0], ends[:-1]])
+        spans = zip(words, (4 * starts).tolist(), (4 * ends).tolist(), strict=True)
+        self.words.update((w, raw[a:b]) for w, a, b in spans)
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=2)
