@@ -106,3 +106,92 @@ def op10_quality_classifier(spark, sf_dir):
         F.col("quality_score.score").alias("score"),
         F.col("quality_score.predicted").alias("predicted"),
     )
+
+
+# -- counterparts in DuckDB, where SQL can say it ----------------------------
+_REACHED = """
+reach AS (
+  SELECT id, id AS other FROM nodes
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN both_ways l ON r.other = l.a
+),
+parts AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+"""
+
+_VALID = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+LLM_ORACLES["op4_embedding_near_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE {_VALID} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT p.id AS a, q.id AS b FROM v p JOIN v q ON p.id < q.id
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.95
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+{_REACHED},
+degrees AS (SELECT a AS id, count(*) AS n FROM both_ways GROUP BY a)
+SELECT p.id AS vec_id, coalesce(d.n, 0) AS n_links, p.component_id, p.id = p.component_id AS kept
+FROM parts p LEFT JOIN degrees d ON d.id = p.id
+"""
+
+LLM_ORACLES["op5_exact_top_k"] = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE {_VALID}
+),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+LLM_ORACLES["op7_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+  END) AS sh FROM w
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS o
+  FROM s p JOIN s q ON p.sh = q.sh AND p.doc_id < q.doc_id GROUP BY p.doc_id, q.doc_id
+),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b
+  WHERE 100 * c.o >= 90 * (x.n + y.n - c.o)
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+nodes AS (SELECT doc_id AS id FROM documents),
+{_REACHED}
+SELECT p.id AS doc_id, coalesce(n.n, 0) AS n_shingles, p.component_id
+FROM parts p LEFT JOIN n ON n.doc_id = p.id
+"""
+
+LLM_ORACLES["op8_warc_archive"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM p JOIN f USING (payload_digest)
+"""
