@@ -1,9 +1,16 @@
 """Captured search-result pages to clean, ranked tables, on Spark."""
 
 from resultlake.errors import CollectionError, ExportError, ResultLakeError
-from resultlake.plans.extraction import extract_tables, public_table, surface_table, union_tables
+from resultlake.plans.extraction import (
+    collect,
+    extract_tables,
+    public_table,
+    rejected_pages,
+    surface_table,
+    union_tables,
+)
 from resultlake.plans.job import Run, run_job
-from resultlake.plans.summary import run_summary, surface_counts
+from resultlake.plans.summary import platform_counts, run_summary, surface_counts
 from resultlake.session import clear_stage, configure
 from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
 from resultlake.sources.captures import missing_captures, read_articles, read_captures, request_list
@@ -20,6 +27,7 @@ __all__ = [
     "Run",
     "Surface",
     "clear_stage",
+    "collect",
     "configure",
     "export",
     "extract_tables",
@@ -27,11 +35,13 @@ __all__ = [
     "keyword_lines",
     "load_tables",
     "missing_captures",
+    "platform_counts",
     "public_table",
     "read_articles",
     "read_captures",
     "read_csv",
     "read_keywords",
+    "rejected_pages",
     "request_list",
     "run_job",
     "run_summary",

@@ -14,7 +14,7 @@ from resultlake.functions import (
     strip_text,
 )
 from resultlake.operators.cards import ARTICLE, extract, read_article
-from resultlake.operators.lookup import lookup_join
+from resultlake.operators.lookup import likely, lookup_join
 from resultlake.operators.rules import BROKEN, READY
 from resultlake.session import stage
 
@@ -22,10 +22,9 @@ from resultlake.session import stage
 BLOG_HOST = "https://blog.naver.com"
 
 
-def article_facts(articles: DataFrame) -> DataFrame:
-    """One pass over the article pages ``(url, html)``: the frame each page shows and
-    the post date it names, per surface, one row per url. HTML is not shuffled; what
-    is left of a page is a few strings, and it is staged for both hops."""
+def _facts(articles: DataFrame) -> DataFrame:
+    """What each article page ``(url, html)`` says, per surface, a row per page: the
+    frame it shows and the post date it names. HTML is not shuffled."""
     found = extract(articles.select("url", "html"), read_article, ARTICLE, "found").select(
         "url", F.col("found")[0].alias("a")
     )
@@ -42,27 +41,40 @@ def article_facts(articles: DataFrame) -> DataFrame:
         parse_post_date(F.col("a.cafe_date")).alias("cafe_date"),
     )
     refused = F.col("malformed") | F.coalesce(is_unfetchable_url(F.col("blog_frame")), F.lit(False))
-    facts = ["blog_frame", refused.alias("blog_refused"), "blog_date", "cafe_frame", "cafe_date"]
-    once = read.groupBy("url").agg(F.min(F.struct(*facts)).alias("facts"))
-    return stage(once.select("url", "facts.*"), "articles")
+    return read.withColumn("blog_refused", refused)
 
 
-def article_dates(facts: DataFrame, surface: str) -> DataFrame:
-    """``(url, post_date, refused)`` for every article that names a date through its
-    frame, or whose frame address an HTTP client refuses (blog only)."""
+def article_dates(articles: DataFrame, surface: str, urls: DataFrame) -> DataFrame:
+    """``(url, post_date, refused)`` for those of ``urls (url)`` whose article names a
+    date through its frame, or whose frame address an HTTP client refuses (blog only).
+
+    Only articles that are asked for are read: a key filter of the urls, then one of
+    the frames they show, sits below the page reader. Of several pages of a url, a
+    failed one hides nothing: the smallest usable frame and date count.
+    """
     frame, date = f"{surface}_frame", f"{surface}_date"
-    inner = facts.where(F.col(date).isNotNull()).select(
-        F.col("url").alias("frame"), F.col(date).alias("post_date")
-    )
-    outer = facts.where(F.col(frame).isNotNull())
     refused = F.col("blog_refused") if surface == "blog" else F.lit(False)
-    named = lookup_join(
-        outer.where(~refused).select("url", F.col(frame).alias("frame")), inner, ["frame"]
-    ).select("url", "post_date", F.lit(False).alias("refused"))
+    shown = F.when(F.col(frame).isNotNull(), F.struct(refused.alias("refused"), F.col(frame).alias("frame")))
+    outer = stage(
+        _facts(likely(articles, urls, "url"))
+        .groupBy("url")
+        .agg(F.min(shown).alias("shown"))
+        .where("shown is not null")
+        .select("url", "shown.*"),
+        "frames",
+    )
+    asked = outer.where("not refused")
+    inner = (
+        _facts(likely(articles, asked.select(F.col("frame").alias("url")), "url"))
+        .groupBy(F.col("url").alias("frame"))
+        .agg(F.min(date).alias("post_date"))
+        .where("post_date is not null")
+    )
+    named = lookup_join(asked, inner, ["frame"]).select("url", "post_date", F.lit(False).alias("refused"))
     if surface != "blog":
         return named
     return named.unionByName(
-        outer.where(refused).select(
+        outer.where("refused").select(
             "url", F.lit(None).cast("date").alias("post_date"), F.lit(True).alias("refused")
         )
     )

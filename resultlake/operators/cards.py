@@ -182,30 +182,38 @@ def read_article(page: PageTree) -> list[dict]:
 Reader = Callable[[PageTree], list[dict]]
 
 
-def extract(pages: DataFrame, read: Reader, card: T.StructType, column: str = "cards") -> DataFrame:
+def extract(
+    pages: DataFrame, read: Reader, card: T.StructType, column: str = "cards", error: str | None = None
+) -> DataFrame:
     """Replace ``html`` by an array of raw structs; all other columns stay.
 
     A page that cannot be read at all has a NULL array and yields no rows, without
-    touching any other page.
+    touching any other page; a column named ``error``, if asked for, says why.
     """
     array = T.ArrayType(card)
     rest = [field for field in pages.schema.fields if field.name != "html"]
     arrow = to_arrow_type(array)
-    names = [field.name for field in rest] + [column]
+    names = [field.name for field in rest] + [column] + ([error] if error else [])
 
-    def cards_of(page: str | None) -> list[dict] | None:
+    def cards_of(page: str | None) -> tuple[list[dict] | None, str | None]:
+        if page is None:
+            return None, "no page"
         try:
-            return read(PageTree(page)) if page is not None else None
-        except Exception:
-            return None
+            return read(PageTree(page)), None
+        except Exception as problem:  # any page may hold what no reader expects
+            return None, f"{type(problem).__name__}: {problem}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [cards_of(page.as_py()) for page in batch.column("html")]
-            kept = [batch.column(field.name) for field in rest]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, type=arrow)], names=names)
-
-    schema = T.StructType([*rest, T.StructField(column, array)])
+            made = [batch.column(field.name) for field in rest]
+            made.append(pa.array([cards for cards, _ in found], type=arrow))
+            if error:
+                made.append(pa.array([problem for _, problem in found], type=pa.string()))
+            yield pa.RecordBatch.from_arrays(made, names=names)
+
+    said = [T.StructField(error, T.StringType())] if error else []
+    schema = T.StructType([*rest, T.StructField(column, array), *said])
     return pages.mapInArrow(run, schema)
 
 

@@ -47,24 +47,26 @@ def _compound(text: str) -> tuple:
     return tag, tuple(classes), tuple(tests)
 
 
-# Well-formed markup, read token by token; from the first token that is anything else
+# Well-formed markup, read token by token, separated by HTML's own five blanks; from the first token that is anything else
 # the standard library's lenient reader takes over.
 _TOKEN = re.compile(
     r"""([^<&]+)
     |<([a-zA-Z][a-zA-Z0-9:_-]*)
-      ((?:\s+[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'<>=`]+))?)*)\s*(/?)>
-    |</([a-zA-Z][a-zA-Z0-9:_-]*)\s*>
+      ((?:[ \t\n\r\f]+[^\s"'<>/=]+(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"[^"]*"|'[^']*'|[^\s"'<>=`]+))?)*)[ \t\n\r\f]*(/?)>
+    |</([a-zA-Z][a-zA-Z0-9:_-]*)[ \t\n\r\f]*>
     |&\#([0-9]+|[xX][0-9a-fA-F]+);
-    |&([a-zA-Z][a-zA-Z0-9]*)(?:;|(?=[\s<&"'(),:/=]))
-    |(<!--(?!-?>)[^-]*(?:-[^-]+)*-->|<!(?i:doctype)\s[^<>\[]*>)
-    |([<&](?=[\s\d.,]))""",
+    |&([a-zA-Z][a-zA-Z0-9]*)(?:;|(?=[ \t\n\r\f<&"'(),:/=]))
+    |(<!--(?!-?>)[^-]*(?:-[^-]+)*-->|<!(?i:doctype)[ \t\n\r\f][^<>\[]*>)
+    |([<&](?=[ \t\n\r\f0-9.,]))""",
     re.VERBOSE,
 )
 _TEXT, _START, _ATTRS, _SELF_CLOSED, _END, _CHARACTER, _ENTITY, _MARKUP, _BARE = range(1, 10)
-_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>=`]+)))?""")
+_ATTR = re.compile(
+    r"""([^\s"'<>/=]+)(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"([^"]*)"|'([^']*)'|([^\s"'<>=`]+)))?"""
+)
 _unescape = getattr(stdlib, "_unescape_attrvalue", None) or html.unescape
 _RAW = frozenset(stdlib.HTMLParser.CDATA_CONTENT_ELEMENTS)
-_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in _RAW}
+_RAW_END = {tag: re.compile(rf"</{tag}[ \t\n\r\f]*>", re.IGNORECASE) for tag in _RAW}
 _ESCAPABLE = frozenset(getattr(stdlib.HTMLParser, "RCDATA_CONTENT_ELEMENTS", ())) | {"plaintext"}
 
 

@@ -1,49 +1,42 @@
-"""Equi-joins against a table that is unique on the key (JN1-JN3), safe for hot keys."""
+"""Equi-joins against tables that are unique on the key (JN1-JN3), and pruning by key
+below the page reader."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resultlake.session import stage
-
-# A key is worth a detour only if its rows would make a straggler of one task.
-HOT_ROWS = 1_000_000
-# At most this many keys take the detour, which bounds what is broadcast.
-MAX_HOT_KEYS = 1024
-
-
-def hot_keys(left: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list:
-    """The most frequent keys with at least ``hot_rows`` rows; counted exactly, with
-    map-side partial sums, and only if the table is large enough to have one."""
-    if left.count() < hot_rows:
-        return []
-    counts = left.groupBy(*keys).count().where(F.col("count") >= hot_rows)
-    return counts.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).drop("count").collect()
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    hot: list | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join ``left`` to its at most one match in ``right``.
-
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; key columns of
-    ``left`` must not be NULL. Rows of a hot key stay where they are and meet the few
-    matches of the hot keys by broadcast; all others are joined as Spark sees fit.
-    ``hot`` are the hot keys if they are known already.
+# Words of 64 bits in a key filter; what it sends to every executor has at most as many
+# rows, whatever the number of keys.
+FILTER_WORDS = 1 << 18
+
+
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``left`` to its at most one match in ``right``; ``how`` is ``inner``,
+    ``left``, ``left_semi`` or ``left_anti``. AQE splits the partitions of hot keys and
+    broadcasts a side that turns out to be small."""
+    return left.join(right, keys, how)
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str, words: int = FILTER_WORDS) -> DataFrame:
+    """``rows`` whose ``key`` may be among ``keys (key)``: none of them is lost, and few
+    others stay while the keys are fewer than the filter's ``64 * words`` bits.
+
+    The filter is a bitmap of hashed keys, one row per used word, so it is broadcast
+    under a bound and ``rows`` are never shuffled. An exact join follows where the
+    others matter.
     """
-    hot = hot_keys(left, keys, hot_rows) if hot is None else hot
-    if not hot:
-        return left.join(right, keys, how)
-    right = stage(right, "lookup")  # it is read twice from here on
-    schema = left.select(*keys).schema
-    chosen = F.broadcast(left.sparkSession.createDataFrame([tuple(r) for r in hot], schema))
-    few = F.broadcast(right.join(chosen, keys, "left_semi"))
-    warm = left.join(chosen, keys, "left_semi").join(few, keys, how)
-    cold = left.join(chosen, keys, "left_anti").join(right, keys, how)
-    return cold.unionByName(warm)
+
+    def word(column):
+        return F.pmod(F.xxhash64(column), F.lit(64 * words))
+
+    bits = keys.select(F.col(key).alias("_key")).where("_key is not null").select(
+        F.floor(word("_key") / 64).cast("long").alias("_word"),
+        F.expr(f"shiftleft(1L, cast(pmod(xxhash64(_key), {64 * words}) % 64 as int))").alias("_bit"),
+    )
+    bitmap = F.broadcast(bits.groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    hit = F.expr(f"shiftrightunsigned(_bits, cast(pmod(xxhash64(`{key}`), {64 * words}) % 64 as int)) & 1") == 1
+    marked = rows.where(F.col(key).isNotNull()).join(
+        bitmap, F.floor(word(key) / 64).cast("long") == F.col("_word")
+    )
+    return marked.where(hit).select(*(F.col(f"`{c}`") for c in rows.columns))

@@ -69,6 +69,16 @@ def _is_subject(link: Column, name: Column, author: Column) -> Column:
     )
 
 
+def _may_be_subject(link: Column) -> Column:
+    """Cheap tests on an anchor as written, before its text is cleaned and its address
+    resolved: what fails them is neither a subject nor malformed."""
+    href = link["href"]
+    harmless = href.rlike(r"\A[\x00-\x5a\x5c\x5e-\x7f]*\z")  # ASCII without brackets
+    unusable = href.isin("#", "") | href.startswith("javascript:")
+    elsewhere = href.startswith(CLIP_PREFIX) | href.startswith("https://" + HELP_HOST)
+    return ~harmless | ~(unusable | elsewhere | (F.trim(link["text"]) == ""))
+
+
 def blog_cards(cards: Column, page_url: Column) -> Column:
     """Raw blog cards to stated cards (PX4, PX10, PR3, PR5)."""
     shown = F.filter(cards, lambda c: ~c["is_ad"] & c["has_profile"])
@@ -80,7 +90,7 @@ def blog_cards(cards: Column, page_url: Column) -> Column:
             absolute_url(PORTAL, c["name"]["href"]).alias("author"),
             F.when(c["date_text"].isNotNull(), normalize_text(c["date_text"])).alias("date_text"),
             F.transform(
-                c["anchors"],
+                F.filter(c["anchors"], _may_be_subject),
                 lambda a: F.struct(
                     normalize_text(a["text"]).alias("text"),
                     absolute_url(PORTAL, a["href"]).alias("url"),

@@ -16,14 +16,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resultlake.operators.articles import answer_cards, article_dates, article_facts
+from resultlake.operators.articles import answer_cards, article_dates
 from resultlake.operators.cards import extract
-from resultlake.operators.lookup import hot_keys, lookup_join
+from resultlake.operators.lookup import lookup_join
 from resultlake.operators.ranking import accepted, exploded, isolation, limit_of, numbered, reached
-from resultlake.operators.rules import FETCH
+from resultlake.operators.rules import BROKEN, FETCH, READY
 from resultlake.schema import POSITIONS, ROWS, with_positions
 from resultlake.session import stage
-from resultlake.sources.captures import platform_positions, surface_pages, wanted_keywords
+from resultlake.sources.captures import platform_positions, surface_pages
 from resultlake.sources.registry import PLATFORMS, Platforms, Surface
 
 PAGE = ["platform", "keyword"]
@@ -36,60 +36,101 @@ def _result_rows(cards, surface: Surface):
     )
 
 
-def page_rows(
+def _limit(surface: Surface, max_rows: int | None) -> int:
+    return limit_of(surface.max_rows if max_rows is None else max_rows)
+
+
+def stated_pages(
     pages: DataFrame,
     surface: Surface,
-    facts: DataFrame | None = None,
+    articles: DataFrame | None = None,
     max_rows: int | None = None,
     on_bad_card: str = "page",
 ) -> DataFrame:
-    """Pages ``(platform, keyword, page_url, html)`` of one surface to
-    ``(platform, keyword, rows)``, the rows in order and at most ``max_rows`` (the
-    surface's own number if not given, and never less than one).
-
-    ``on_bad_card`` says what a card that cannot be read takes with it once reached:
-    the whole ``page`` or the ``card`` alone.
+    """Pages ``(platform, keyword, page_url, html)`` of one surface to ``(platform,
+    keyword, page_url, error, cards)``: their cards with final states, or what kept a
+    page from being read. Without articles to ask nothing runs before an action does.
     """
     isolate = isolation(on_bad_card)
-    limit = limit_of(surface.max_rows if max_rows is None else max_rows)
-    read = extract(pages, surface.read, surface.card)
+    limit = _limit(surface, max_rows)
+    read = extract(pages, surface.read, surface.card, error="error")
     raw, page_url = F.col("cards"), F.col("page_url")
+    whole = [*PAGE, "page_url", "error"]
 
     if not surface.has_articles:
-        stated = read.select(*PAGE, surface.rule(raw, page_url, limit).alias("cards"))
-        done = accepted(stated.withColumn("cards", isolate(raw)), limit)
-        return done.select(*PAGE, _result_rows(F.col("cards"), surface).alias("rows"))
-
-    stated = read.select(*PAGE, surface.rule(raw, page_url).alias("cards"))
+        stated = read.select(*whole, surface.rule(raw, page_url, limit).alias("cards"))
+        return stated.withColumn("cards", isolate(raw))
+
+    stated = read.select(*whole, surface.rule(raw, page_url).alias("cards"))
+    near = stated.withColumn("cards", isolate(raw)).withColumn("cards", reached(raw, limit))
+    if articles is None:  # every lookup is a miss
+        return near
+    waits = F.coalesce(F.exists("cards", lambda c: c["state"] == FETCH), F.lit(False))
     staged = stage(
-        stated.withColumn("cards", isolate(raw)).withColumn("cards", reached(raw, limit)).select(
-            F.monotonically_increasing_id().alias("page_id"),
-            *PAGE,
-            "cards",
-            F.exists("cards", lambda c: c["state"] == FETCH).alias("waits"),
-        ),
+        near.withColumn("page_id", F.monotonically_increasing_id()).withColumn("waits", waits),
         f"{surface.name}-pages",
     )
-    final = staged.select(*PAGE, "cards")  # without articles every lookup is a miss
-    if facts is not None:
-        settled = staged.where(~F.col("waits")).select(*PAGE, "cards")
-        final = settled.unionByName(_answered(staged, surface, facts, isolate))
-    return accepted(final, limit).select(*PAGE, _result_rows(F.col("cards"), surface).alias("rows"))
+    settled = staged.where(~F.col("waits")).select(*whole, "cards")
+    return settled.unionByName(_answered(staged, surface, articles, isolate))
 
 
-def _answered(staged: DataFrame, surface: Surface, facts: DataFrame, isolate) -> DataFrame:
+def _answered(staged: DataFrame, surface: Surface, articles: DataFrame, isolate) -> DataFrame:
     """Pages with undated cards, put together again once their articles were asked.
     Only these pages are shuffled, and a group is one page."""
-    key = ["page_id", *PAGE]
+    key = ["page_id", *PAGE, "page_url"]
     cards = exploded(staged.where("waits"), *key, array="cards", name="card")
     asked = cards.where(F.col("card.state") == FETCH)
     known = cards.where(F.col("card.state") != FETCH)
-    answered = answer_cards(asked, article_dates(facts, surface.name))
+    urls = asked.select(F.col("card.url").alias("url")).distinct()
+    answered = answer_cards(asked, article_dates(articles, surface.name, urls))
     together = known.unionByName(answered).groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("position", "card"))).alias("placed")
     )
     cards = F.transform("placed", lambda p: p["card"])
-    return together.select(*PAGE, isolate(cards).alias("cards"))
+    error = F.lit(None).cast("string").alias("error")
+    return together.select(*PAGE, "page_url", error, isolate(cards).alias("cards"))
+
+
+def _rows_of(stated: DataFrame, surface: Surface, limit: int) -> DataFrame:
+    return accepted(stated, limit).select(*PAGE, _result_rows(F.col("cards"), surface).alias("rows"))
+
+
+def page_rows(
+    pages: DataFrame,
+    surface: Surface,
+    articles: DataFrame | None = None,
+    max_rows: int | None = None,
+    on_bad_card: str = "page",
+) -> DataFrame:
+    """Pages of one surface to ``(platform, keyword, rows)``, the rows in order and at
+    most ``max_rows`` (the surface's own number if not given, and never less than one).
+
+    ``on_bad_card`` says what a card that cannot be read takes with it once reached:
+    the whole ``page`` or the ``card`` alone.
+    """
+    stated = stated_pages(pages, surface, articles, max_rows, on_bad_card)
+    return _rows_of(stated, surface, _limit(surface, max_rows))
+
+
+def _rejected(stated: DataFrame, surface: Surface, limit: int) -> DataFrame:
+    """Pages of ``stated`` that gave no rows since they, or a card reached, cannot be
+    read: ``(platform, surface, keyword, page_url, reason)``."""
+    decided = F.filter("cards", lambda c: c["state"].isin(READY, BROKEN))
+    within = stated.withColumn("cards", decided).withColumn("cards", reached(F.col("cards"), limit))
+    broken = F.exists("cards", lambda c: c["state"] == BROKEN)
+    rows = (F.size("cards") - 1).cast("string")
+    reason = F.coalesce("error", F.when(broken, F.concat(F.lit("broken card after rows: "), rows)))
+    return within.select(
+        "platform", F.lit(surface.name).alias("surface"), "keyword", "page_url", reason.alias("reason")
+    ).where("reason is not null")
+
+
+def rejected_pages(
+    pages: DataFrame, surface: Surface, articles: DataFrame | None = None, max_rows: int | None = None
+) -> DataFrame:
+    """Pages of one surface that failed as a whole, with the reason (PR9)."""
+    stated = stated_pages(pages, surface, articles, max_rows)
+    return _rejected(stated, surface, _limit(surface, max_rows))
 
 
 def surface_table(
@@ -101,12 +142,17 @@ def surface_table(
 ) -> DataFrame:
     """Result table of one surface for pages taken as they come, without a keyword
     list: ``(keyword, order, ...)``."""
-    needs = surface.has_articles and articles is not None
-    facts = article_facts(articles) if needs else None
-    rows = page_rows(pages, surface, facts, max_rows, on_bad_card)
+    rows = page_rows(pages, surface, articles, max_rows, on_bad_card)
     return numbered(rows, "keyword").select(*ROWS[surface.name].fieldNames())
 
 
+def one_capture(rows: DataFrame) -> DataFrame:
+    """One row per platform and keyword: of several captures of a page the one with
+    the most rows, so a failed capture hides none."""
+    best = F.max(F.struct(F.coalesce(F.size("rows"), F.lit(-1)).alias("n"), "rows"))
+    return rows.groupBy(*PAGE).agg(best.alias("best")).select(*PAGE, "best.rows")
+
+
 def extract_tables(
     keywords: DataFrame,
     captures: DataFrame,
@@ -121,33 +167,52 @@ def extract_tables(
 
     Repeated keywords and repeated platforms repeat their rows.
     """
+    return collect(keywords, captures, articles, platforms, max_rows, on_bad_card, known)[0]
+
+
+def collect(
+    keywords: DataFrame,
+    captures: DataFrame,
+    articles: DataFrame | None = None,
+    platforms: Sequence[str] | None = None,
+    max_rows: int | None = None,
+    on_bad_card: str = "page",
+    known: Platforms = PLATFORMS,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The three tables, and the pages that failed; each page is read once for both."""
     names = known.chosen(platforms)
     isolation(on_bad_card)  # refuse a bad choice before any work starts
     keywords = keywords.select(F.col("kw_pos").cast("long").alias("kw_pos"), "keyword")
     requests = keywords.select(
         F.explode(platform_positions(names, known)).alias("p"), "kw_pos", "keyword"
     ).select("p.*", "kw_pos", "keyword")
-    wanted, hot = wanted_keywords(keywords), hot_keys(requests, PAGE)
-    facts = None if articles is None else article_facts(articles)
-
-    def table_of(kind: str) -> DataFrame:
-        parts = [
-            page_rows(surface_pages(captures, sharing, kind, wanted), surface, facts, max_rows, on_bad_card)
-            for surface, sharing in _definitions(names, kind, known)
-        ]
+    wanted = keywords.select("keyword")
+
+    def table_of(kind: str) -> tuple[DataFrame, list[DataFrame]]:
+        parts, failed = [], []
+        for surface, sharing in definitions(names, kind, known):
+            limit = _limit(surface, max_rows)
+            pages = surface_pages(captures, sharing, kind, wanted)
+            stated = stage(stated_pages(pages, surface, articles, max_rows, on_bad_card), f"{kind}-stated")
+            parts.append(_rows_of(stated, surface, limit))
+            # The key filter may let a few pages through that nobody asked for.
+            failed.append(lookup_join(_rejected(stated, surface, limit), wanted.distinct(), ["keyword"], "left_semi"))
         columns = [*POSITIONS, *ROWS[kind].fieldNames()]
         if not parts:
-            return keywords.sparkSession.createDataFrame([], with_positions(kind))
-        joined = lookup_join(requests, reduce(DataFrame.unionByName, parts), PAGE, hot=hot)
-        return stage(numbered(joined, *POSITIONS, "keyword").select(*columns), kind)
+            return keywords.sparkSession.createDataFrame([], with_positions(kind)), failed
+        pages = one_capture(reduce(DataFrame.unionByName, parts))
+        joined = lookup_join(requests, pages, PAGE)
+        return stage(numbered(joined, *POSITIONS, "keyword").select(*columns), kind), failed
 
     # The three kinds do not wait for each other.
     with ThreadPoolExecutor(len(ROWS)) as pool:
         run = inheritable_thread_target(keywords.sparkSession)(table_of)
-        return dict(zip(ROWS, pool.map(run, ROWS)))
+        found = dict(zip(ROWS, pool.map(run, ROWS)))
+    failed = [f for _, parts in found.values() for f in parts]
+    return {kind: table for kind, (table, _) in found.items()}, reduce(DataFrame.unionByName, failed)
 
 
-def _definitions(names: Sequence[str], kind: str, known: Platforms) -> list[tuple[Surface, list[str]]]:
+def definitions(names: Sequence[str], kind: str, known: Platforms) -> list[tuple[Surface, list[str]]]:
     """Surface definitions of one kind with the platforms sharing them, so that these
     share one pass over their pages."""
     found: dict[int, tuple[Surface, list[str]]] = {}
@@ -158,10 +223,18 @@ def _definitions(names: Sequence[str], kind: str, known: Platforms) -> list[tupl
     return list(found.values())
 
 
+def final_order(table: DataFrame) -> list[str]:
+    """The columns a result table is sorted by; without them it has no final order."""
+    order = [*POSITIONS, "order"]
+    missing = [c for c in order if c not in table.columns]
+    if missing:
+        raise ValueError(f"a result table without {missing} has no final order")
+    return order
+
+
 def public_table(table: DataFrame, kind: str) -> DataFrame:
     """A result table in final order, without its positions."""
-    positions = [c for c in [*POSITIONS, "order"] if c in table.columns]
-    return table.orderBy(*positions).select(*ROWS[kind].fieldNames())
+    return table.orderBy(*final_order(table)).select(*ROWS[kind].fieldNames())
 
 
 def union_tables(*bundles: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from resultlake.errors import CollectionError, ExportError
 from resultlake.operators.ranking import isolation
-from resultlake.plans.extraction import extract_tables
+from resultlake.plans.extraction import collect
 from resultlake.plans.summary import run_summary
 from resultlake.session import configure, stage
 from resultlake.sinks.csv import export
-from resultlake.sources.captures import read_articles, read_captures
+from resultlake.sources.captures import missing_captures, read_articles, read_captures, request_list
 from resultlake.sources.keywords import read_keywords
 from resultlake.sources.registry import PLATFORMS, Platforms
 
@@ -22,11 +22,15 @@ OUTPUT_SETTING = "spark.resultlake.output.dir"
 
 @dataclass(frozen=True)
 class Run:
-    """What a run left behind."""
+    """What a run left behind. ``rejected`` are pages that failed as a whole,
+    ``requests`` all searches of the run and ``missing`` those no page answers."""
 
     tables: dict[str, DataFrame]
     output_files: dict[str, str]
     summary: DataFrame
+    rejected: DataFrame
+    requests: DataFrame
+    missing: DataFrame
 
 
 def output_folder(spark: SparkSession, output_dir: str | None) -> str:
@@ -48,6 +52,8 @@ def run_job(
     on_bad_card: str = "page",
     base_dir: str | None = None,
     known: Platforms = PLATFORMS,
+    single_file: bool = False,
+    sort_order: str | None = None,
 ) -> Run:
     """Extract, export and sum up. Bad arguments fail before any work starts."""
     configure(spark)
@@ -56,9 +62,10 @@ def run_job(
     folder = output_folder(spark, output_dir)
     keywords = stage(read_keywords(spark, keywords_path, base_dir), "keywords")
     try:
-        tables = extract_tables(
+        captures = read_captures(spark, captures_path)
+        tables, rejected = collect(
             keywords,
-            read_captures(spark, captures_path),
+            captures,
             read_articles(spark, articles_path) if articles_path else None,
             platforms,
             max_rows,
@@ -67,5 +74,7 @@ def run_job(
         )
     except Exception as error:
         raise CollectionError("result pages could not be extracted") from error
-    files = export(tables, folder)
-    return Run(tables, files, run_summary(keywords, tables, folder, files))
+    files = export(tables, folder, single_file)
+    requests = request_list(keywords, platforms, sort_order, known)
+    summary = run_summary(keywords, tables, folder, files)
+    return Run(tables, files, summary, rejected, requests, missing_captures(requests, captures))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,6 +23,25 @@ def surface_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def platform_counts(tables: dict[str, DataFrame], platforms: Sequence[str]) -> DataFrame:
+    """``(platform_pos, platform, surface, row_count)`` of every chosen platform, in
+    order, repeats counted each and zero counts included."""
+    spark = next(iter(tables.values())).sparkSession
+    every = spark.createDataFrame(
+        [(at, name, kind) for at, name in enumerate(platforms, start=1) for kind in tables],
+        "platform_pos int, platform string, surface string",
+    )
+    counts = reduce(
+        DataFrame.unionByName,
+        (
+            table.groupBy("platform_pos").agg(F.count("*").alias("row_count")).withColumn("surface", F.lit(kind))
+            for kind, table in tables.items()
+        ),
+    )
+    known = every.join(counts, ["platform_pos", "surface"], "left")
+    return known.select("platform_pos", "platform", "surface", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+
+
 def run_summary(
     keywords: DataFrame,
     tables: dict[str, DataFrame],

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resultlake import functions as R
+from resultlake.operators import cards
 from resultlake.operators.cards import ANCHOR, extract, read_anchors
 from resultlake.operators.ranking import exploded, numbered
-from resultlake.plans.extraction import extract_tables, public_table, surface_table, union_tables
-from resultlake.plans.summary import run_summary, surface_counts
+from resultlake.operators.rules import cafe_cards
+from resultlake.plans.extraction import extract_tables, public_table, rejected_pages, surface_table, union_tables
+from resultlake.plans.job import run_job
+from resultlake.plans.summary import platform_counts, run_summary, surface_counts
 from resultlake.queries import generated as made
 from resultlake.queries.generated import table
-from resultlake.session import configure, spread, stage, stage_path
+from resultlake.schema import ROWS
+from resultlake.session import configure, stage, stage_path
 from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
 from resultlake.sources.captures import missing_captures, request_list
 from resultlake.sources.keywords import keyword_lines, read_keywords
@@ -36,7 +41,7 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 @query
 def keyword_scan(spark, sf_dir):
     """SC1 PR8 TX2: every document as a keyword file."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = documents.select("doc_id", keyword_lines(F.col("text")).alias("lines"))
     return exploded(lines, "doc_id", array="lines", name="keyword").select(
         "doc_id", (F.col("position") + 1).cast("bigint").alias("kw_pos"), "keyword"
@@ -79,7 +84,7 @@ def missing_pages(spark, sf_dir):
 @query
 def text_normalize(spark, sf_dir):
     """TX1 over all documents and conversations."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").selectExpr(
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text").selectExpr(
         "'document' as source", "doc_id as id", "0L as part", "text"
     )
     turns = table(spark, sf_dir, "conversations").selectExpr("'turn' as source", "conv_id as id", "turn as part", "text")
@@ -89,7 +94,7 @@ def text_normalize(spark, sf_dir):
 @query
 def page_anchors_topk(spark, sf_dir):
     """PX PR7 URL4 WN1 LM1: the first three usable links of every page."""
-    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    pages = table(spark, sf_dir, "pages")
     read = extract(pages, read_anchors, ANCHOR, "anchors")
     links = F.transform(
         "anchors",
@@ -104,7 +109,7 @@ def page_anchors_topk(spark, sf_dir):
 @query
 def page_links(spark, sf_dir):
     """PX URL1 URL2: every link of every page, absolute and canonical."""
-    read = extract(spread(table(spark, sf_dir, "pages"), "page_id"), read_anchors, ANCHOR, "anchors")
+    read = extract(table(spark, sf_dir, "pages"), read_anchors, ANCHOR, "anchors")
     flat = exploded(read, "page_id", "url", array="anchors", name="a")
     return flat.select(
         "page_id",
@@ -177,7 +182,7 @@ def post_date_normalize(spark, sf_dir):
         F.concat(F.date_format(day, "d"), F.lit("일 전")),
     ]
     text = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 10 + 1).cast("int"))
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return orders.select(
         "o_orderkey",
         R.parse_post_date(text).alias("post_date"),
@@ -244,8 +249,10 @@ def _supplier_run(spark, sf_dir, platforms=None):
 
 
 def _customer_run(spark, sf_dir):
-    """Blog and community pages of all customers' and parts' keywords, with articles."""
+    """Blog and community pages of all customers' and parts' keywords, with articles;
+    some keywords have no page, and some pages were asked for by no keyword."""
     captures = made.captured(spark, sf_dir)
+    captures = captures.unionByName(captures.where("surface = 'smartblock'").withColumn("keyword", F.concat(F.lit("unasked "), "keyword")))
     articles = made.blog_articles(spark, sf_dir).unionByName(made.cafe_articles(spark, sf_dir))
     keywords = (
         made.blog_keys(spark, sf_dir).selectExpr("k as kw_pos", "keyword")
@@ -314,6 +321,31 @@ def export_roundtrip(spark, sf_dir):
     return _as_one({kind: read_csv(spark, kind, path) for kind, path in files.items()})
 
 
+def _written_rows(spark, path, columns):
+    """Rows of a file as text, numbered as they stand in it."""
+    raw = spark.read.options(multiLine=True, quote='"', escape='"', header=True).csv(path)
+    named = raw.toDF(*(c.removeprefix("\ufeff") for c in raw.columns)).coalesce(1)
+    return named.select((F.monotonically_increasing_id() + 1).alias("line"), *columns)
+
+
+@query
+def export_order(spark, sf_dir):
+    """SR1 SK7: tables handed over as JSON rows, exported; lines as they stand."""
+    _, tables = _customer_run(spark, sf_dir)
+    handed = {kind: from_json_rows(stage(to_json_rows(t, kind), "json"), kind) for kind, t in tables.items()}
+    files = export({k: t.repartition(5) for k, t in handed.items()}, stage_path(spark, "export"), single_file=True)
+    parts = [_written_rows(spark, files[kind], ["keyword", "order", "url"]).withColumn("surface", F.lit(kind)) for kind in files]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def export_text(spark, sf_dir):
+    """SK2-SK4: header names and dates as the community file writes them."""
+    _, tables = _customer_run(spark, sf_dir)
+    files = export({"cafe": tables["cafe"]}, stage_path(spark, "export"), single_file=True)
+    return _written_rows(spark, files["cafe"], ["keyword", "date", "café", "subject", "url"])
+
+
 @query
 def handover_roundtrip(spark, sf_dir):
     """SK7: staged tables and their JSON form, a kind that was not handed over is empty."""
@@ -326,14 +358,76 @@ def handover_roundtrip(spark, sf_dir):
     return _as_one({kind: from_json_rows(rows, kind) for kind in tables})
 
 
+@query
+def rejected_blog_pages(spark, sf_dir):
+    """PR9: the pages a reached broken card empties, and one that holds no page."""
+    pages = made.blog_pages(spark, sf_dir, broken=True)
+    pages = pages.withColumn("html", F.when(~F.col("keyword").endswith("7"), F.col("html")))
+    found = rejected_pages(pages, BLOG, made.blog_articles(spark, sf_dir), max_rows=4)
+    return found.select("platform", "surface", "keyword", "reason")
+
+
+@query
+def repeated_captures(spark, sf_dir):
+    """JN1: of several captures of a page the one that can be read counts."""
+    pages = made.smartblock_pages(spark, sf_dir).withColumn("surface", F.lit("smartblock"))
+    failed = pages.withColumn("html", F.lit("<html><body>error</body></html>"))
+    captures = pages.unionByName(failed).unionByName(pages.withColumn("html", F.lit(None).cast("string")))
+    keywords = made.block_keys(spark, sf_dir).selectExpr("k as kw_pos", "keyword")
+    return extract_tables(keywords, captures)["smartblock"].select(*ROWS["smartblock"].fieldNames())
+
+
+@query
+def own_platform(spark, sf_dir):
+    """SC10: a platform registered beside the known one, with a surface of its own."""
+    known = Platforms()
+    known.register("naver", SURFACES)
+    known.register("forum", {"blog": replace(BLOG, read=cards.read_cafe_cards, card=cards.CAFE_CARD, rule=cafe_cards, max_rows=3)})
+    pages = made.cafe_pages(spark, sf_dir).withColumn("surface", F.lit("blog")).withColumn("platform", F.lit("forum"))
+    keywords = made.cafe_keys(spark, sf_dir).selectExpr("k as kw_pos", "keyword")
+    return extract_tables(keywords, pages, platforms=["forum"], known=known)["blog"].select(*ROWS["blog"].fieldNames())
+
+
+@query
+def platform_row_counts(spark, sf_dir):
+    """AG1 per platform, one of them without captures."""
+    known = Platforms()
+    known.register("naver", SURFACES)
+    known.register("silent", SURFACES)
+    pages = made.smartblock_pages(spark, sf_dir).withColumn("surface", F.lit("smartblock"))
+    keywords = made.block_keys(spark, sf_dir).selectExpr("k as kw_pos", "keyword")
+    tables = extract_tables(keywords, pages, platforms=["silent", "naver", "naver"], known=known)
+    return platform_counts(tables, ["silent", "naver", "naver"])
+
+
+@query
+def job_run(spark, sf_dir):
+    """SC2 SC11 AG3 ST4 SR2: a whole job from files, its keyword file by a relative
+    path; the summary with its file map, what is missing and what was rejected."""
+    base = stage_path(spark, "job")
+    lines = made.block_keys(spark, sf_dir).orderBy("k").select(F.concat(F.lit(" "), "keyword"))
+    lines.unionByName(spark.createDataFrame([("asked but not captured",)], lines.schema)).write.text(f"{base}/keywords")
+    pages = made.smartblock_pages(spark, sf_dir).withColumn("surface", F.lit("smartblock"))
+    pages.write.partitionBy("platform", "surface").parquet(f"{base}/captures")
+    run = run_job(spark, "keywords", f"{base}/captures", base_dir=base, output_dir=f"{base}/out", sort_order="date")
+    counts = run.missing.agg(F.count("*").alias("missing_count"))
+    failed = run.rejected.agg(F.count("*").alias("rejected_count"))
+    files = F.transform_values("output_files", lambda _, path: F.element_at(F.split(path, "/"), -1))
+    one = run.summary.withColumn("files", F.array_join(F.array_sort(F.map_values(files)), ","))
+    one = one.withColumn("output_dir", F.element_at(F.split("output_dir", "/"), -1)).drop("output_files")
+    return one.join(counts).join(failed)  # one row each
+
+
 @query
 def incremental_run(spark, sf_dir):
-    """RS1: captures landing in two batches, each run taking up what is new."""
+    """RS1: captures of all surfaces landing in two batches, each run taking up what is
+    new and asking articles for what it needs."""
     base = stage_path(spark, "increments")
-    pages = made.smartblock_pages(spark, sf_dir).withColumn("surface", F.lit("smartblock"))
-    halves = stage(pages.withColumn("late", F.xxhash64("keyword") % 2 == 0), "landing")
+    halves = stage(made.captured(spark, sf_dir).withColumn("late", F.xxhash64("keyword") % 2 == 0), "landing")
+    articles = made.blog_articles(spark, sf_dir).unionByName(made.cafe_articles(spark, sf_dir))
+    articles.write.parquet(f"{base}/articles")
     for late in (False, True):
         landed = halves.where(F.col("late") == late).drop("late")
         landed.select("platform", "surface", "keyword", "page_url", "html").write.mode("append").parquet(f"{base}/landing")
-        run_increment(spark, f"{base}/landing", f"{base}/out", f"{base}/progress")
-    return read_increments(spark, f"{base}/out", "smartblock")
+        run_increment(spark, f"{base}/landing", f"{base}/out", f"{base}/progress", f"{base}/articles")
+    return _as_one({kind: read_increments(spark, f"{base}/out", kind) for kind in ("smartblock", "cafe", "blog")})

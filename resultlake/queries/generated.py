@@ -13,13 +13,17 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.session import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _keys(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table's key rows, dealt over the cores before pages are made of them."""
+    cores = spark.sparkContext.defaultParallelism
+    return table(spark, sf_dir, name).select(*columns).repartition(cores, columns[0])
+
+
 # Rules shared with the oracles, in terms of card_id.
 POSTED = "date_add(date '2019-01-01', cast((card_id * 37) % 2500 as int))"
 FOUND = "date_add(date '2019-01-01', cast((card_id * 37) % 2500 + 1 as int))"
@@ -53,6 +57,9 @@ _SHOWN = f"""case card_id % 9
     when 7 then concat('  ', date_format({POSTED}, 'yyyy. M. d'), ' 23:59 ')
     else concat(card_id % 6 + 1, '일 전') end"""
 
+# An article no card links to: it must not be read.
+UNLINKED = "<html><body><iframe id=\"mainFrame\" src=\"/x\"></iframe>" + "<p>text</p>" * 40 + "</body></html>"
+
 _AD_BADGE = (
     '<a class="fender-ui_1a x" href="https://ader.naver.com/1">'
     '<svg class="fender-ui_c3b5e09c y fender-ui_08aaffd5"></svg></a>'
@@ -78,7 +85,7 @@ def _cards(keys: DataFrame, size: str) -> DataFrame:
 
 
 def blog_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), "c_custkey")
+    rows = _keys(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
     return rows.selectExpr(
         "c_custkey as k", "concat(c_mktsegment, ' ', c_name) as keyword", "c_name as name", "c_mktsegment as seg"
     )
@@ -131,16 +138,20 @@ def blog_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('<html><body>', case when {HAS_FRAME} then concat('<iframe id=\"mainFrame\" src=\"/PostView.naver?b=u', k, "
         "'&amp;no=', card_id, '\"></iframe>') else '<p>' end, '</body></html>') as html",
     )
+    failed = outer.selectExpr("url", "cast(null as string) as html")  # captured again, in vain
+    unlinked = _cards(blog_keys(spark, sf_dir), BLOG_SIZE).selectExpr(
+        "concat('https://elsewhere.example/', card_id) as url", f"'{UNLINKED}' as html"
+    )
     inner = cards.where(HAS_FRAMED_PAGE).selectExpr(
         "concat('https://blog.naver.com/PostView.naver?b=u', k, '&no=', card_id) as url",
         "concat('<div class=\"se-component-content\"><span class=\"blog_date\">today</span>"
         f"<span class=\"se_publishDate pcol2\">', date_format({FOUND}, 'yyyy. M. d.'), ' 10:20</span></div>') as html",
     )
-    return outer.unionByName(inner)
+    return outer.unionByName(failed).unionByName(inner).unionByName(unlinked)
 
 
 def cafe_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
+    rows = _keys(spark, sf_dir, "part", "p_partkey", "p_name")
     return rows.selectExpr("p_partkey as k", "concat(p_name, ' ', p_partkey) as keyword", "p_name as name")
 
 
@@ -175,11 +186,12 @@ def cafe_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('<div class=\"article_header\">', case when {CAFE_JUNK_FIRST} then '<span class=\"date\">now</span>' else '' end, "
         f"'<span class=\"date\">', date_format({FOUND}, 'yyyy.MM.dd.'), ' 10:20</span></div>') as html",
     )
-    return outer.unionByName(inner)
+    again = inner.selectExpr("url", "'<html><body>gone</body></html>' as html")  # an error page
+    return outer.unionByName(inner).unionByName(again)
 
 
 def block_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey")
+    rows = _keys(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     return rows.selectExpr("s_suppkey as k", "s_name as keyword", "s_name as name")
 
 

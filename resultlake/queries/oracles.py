@@ -224,5 +224,44 @@ ORACLES: dict[str, str] = {
                {COUNTS['blog']} as blog_count, 'out' as output_dir""",
     "export_roundtrip": ALL_ROWS,
     "handover_roundtrip": _as_one(blog=blog(False)),
-    "incremental_run": f"select *, 'naver' as platform from ({SMARTBLOCK})",
+    "export_order": f"""
+        select 'smartblock' as surface, row_number() over (order by k, cast("order" as int)) as line, keyword, cast("order" as varchar) as "order", url
+        from ({SMARTBLOCK}) join (select s_suppkey as k, s_name as keyword from supplier) using (keyword)
+        union all
+        select 'cafe', row_number() over (order by k, "order"), keyword, cast("order" as varchar), url
+        from ({cafe(True)}) join (select p_partkey as k, concat(p_name, ' ', p_partkey) as keyword from part) using (keyword)
+        union all
+        select 'blog', row_number() over (order by k, "order"), keyword, cast("order" as varchar), url
+        from ({blog(True)}) join (select c_custkey as k, concat(c_mktsegment, ' ', c_name) as keyword from customer) using (keyword)""",
+    "export_text": f"""
+        select row_number() over (order by k, "order") as line, keyword, strftime(date, '%Y.%m.%d.') as date,
+               cafe_name as "café", subject, url
+        from ({cafe(True)}) join (select p_partkey as k, concat(p_name, ' ', p_partkey) as keyword from part) using (keyword)""",
+    "rejected_blog_pages": f"""
+        with cards as (
+          select *, {_dated(True)} as day, {made.IS_BROKEN} as broken
+          from ({_cards(BLOG_SOURCE, made.BLOG_SIZE)})
+          where not ({made.IS_AD}) and not ({made.BLOG_NO_PROFILE}) and not ({made.BLOG_NO_NAME})),
+        placed as (
+          select *, coalesce(sum(case when not broken and day is not null then 1 else 0 end)
+                      over (partition by k order by i rows between unbounded preceding and 1 preceding), 0) as before
+          from cards),
+        failed as (select k, min(before) as rows from placed where broken and before < 4 group by k)
+        select 'naver' as platform, 'blog' as surface, keyword,
+               case when keyword like '%7' then 'no page' else concat('broken card after rows: ', rows) end as reason
+        from ({BLOG_SOURCE}) left join failed using (k)
+        where keyword like '%7' or rows is not null""",
+    "repeated_captures": SMARTBLOCK,
+    "own_platform": f"""
+        select keyword, "order", date, cafe_name as blog_name, subject, url from ({cafe(False)}) where "order" <= 3""",
+    "platform_row_counts": f"""
+        select p::int as platform_pos, case p when 1 then 'silent' else 'naver' end as platform, surface,
+               case when p > 1 and surface = 'smartblock' then {COUNTS['smartblock']} else 0 end as row_count
+        from (select unnest([1, 2, 3]) as p) cross join (select unnest(['smartblock', 'cafe', 'blog']) as surface)""",
+    "job_run": f"""
+        select (select count(*) from supplier) + 1 as keyword_count, {COUNTS['smartblock']} as smartblock_count,
+               0::bigint as cafe_count, 0::bigint as blog_count, 'out' as output_dir,
+               'blog.csv,cafe.csv,smartblock.csv' as files,
+               2 * (select count(*) from supplier) + 3 as missing_count, 0::bigint as rejected_count""",
+    "incremental_run": ALL_ROWS,
 }

@@ -14,14 +14,6 @@ from pyspark.sql import functions as F
 
 from resultlake.sinks.files import remove
 
-# Pages are large values: few of them per batch keep the scan and its Python worker
-# small, where the defaults would hold thousands of pages at a time.
-PAGES_PER_BATCH = 256
-_BATCH_SETTINGS = (
-    "spark.sql.execution.arrow.maxRecordsPerBatch",
-    "spark.sql.parquet.columnarReaderBatchSize",
-)
-
 STAGE_SETTING = "spark.checkpoint.dir"
 
 # Ceiling for anything broadcast on purpose, measured before it is broadcast.
@@ -29,10 +21,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings the jobs rely on; call it once per session."""
-    for batch in _BATCH_SETTINGS:
-        if int(spark.conf.get(batch)) > PAGES_PER_BATCH:
-            spark.conf.set(batch, str(PAGES_PER_BATCH))
+    """Runtime settings the jobs rely on; call it once per session. Batches of pages are
+    bounded in bytes by Spark's own ``spark.sql.execution.arrow.maxBytesPerBatch``."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
@@ -65,13 +55,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a small input (fewer splits than cores) work for every core; a table
-    with enough splits is left alone, so large pages are never shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure a table of strings and numbers; True if it is small enough to send
     to every executor."""

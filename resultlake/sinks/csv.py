@@ -10,14 +10,11 @@ from pyspark.sql import types as T
 
 from resultlake.errors import ExportError
 from resultlake.functions import post_date_text
-from resultlake.schema import POSITIONS, ROWS, empty_table, with_positions
+from resultlake.plans.extraction import final_order
+from resultlake.schema import ROWS, with_positions
 from resultlake.session import stage_path
 from resultlake.sinks.files import ensure_folder, exists, qualified, remove, replace_with_only_part
 
-# One file per kind is the contract for results of ordinary size; beyond this a kind
-# becomes a folder of ordered part files, so that no task writes everything.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 # Header names and date renderings that differ from the tables'.
 _RENDERED = {
     "smartblock": {},
@@ -51,24 +48,12 @@ def csv_columns(kind: str) -> list:
     return columns
 
 
-def _positions(table: DataFrame) -> list[str]:
-    return [c for c in [*POSITIONS, "order"] if c in table.columns]
-
-
-def rendered_bytes(table: DataFrame) -> int:
-    """Upper bound of a table's size as CSV text, from a scan of it."""
-    width = sum(
-        (2 * F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 3 for c in table.columns),
-        F.lit(0),
-    )
-    return table.agg(F.sum(width)).first()[0] or 0
-
-
-def write_csv(table: DataFrame, kind: str, path: str, single_file_bytes: int = SINGLE_FILE_BYTES) -> str:
-    """Write one kind to ``path`` in final order, replacing what is there."""
+def write_csv(table: DataFrame, kind: str, path: str, single_file: bool = False) -> str:
+    """Write one kind to ``path`` in final order, replacing what is there: a folder of
+    ordered part files, each with its header, or one file, which one task writes."""
     spark = table.sparkSession
-    order = _positions(table)
-    if rendered_bytes(table) <= single_file_bytes:
+    order = final_order(table)
+    if single_file:
         folder = f"{path}.parts"
         one = table.repartition(1).sortWithinPartitions(*order).select(*csv_columns(kind))
         one.write.mode("overwrite").options(**_CSV).csv(folder)
@@ -79,20 +64,20 @@ def write_csv(table: DataFrame, kind: str, path: str, single_file_bytes: int = S
     return qualified(spark, path)
 
 
-def export(
-    tables: dict[str, DataFrame], output_dir: str, single_file_bytes: int = SINGLE_FILE_BYTES
-) -> dict[str, str]:
+def export(tables: dict[str, DataFrame], output_dir: str, single_file: bool = False) -> dict[str, str]:
     """Write the three result tables as ``<output_dir>/<kind>.csv``; a kind that is
     not given is written with its header only. Returns the path of each kind."""
     spark = next((t.sparkSession for t in tables.values()), None) or SparkSession.active()
+    for table in tables.values():
+        final_order(table)
     try:
         ensure_folder(spark, output_dir)
         return {
             kind: write_csv(
-                tables[kind] if kind in tables else empty_table(spark, kind),
+                tables[kind] if kind in tables else spark.createDataFrame([], with_positions(kind)),
                 kind,
                 f"{output_dir.rstrip('/')}/{kind}.csv",
-                single_file_bytes,
+                single_file,
             )
             for kind in ROWS
         }
@@ -144,15 +129,16 @@ def load_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def to_json_rows(table: DataFrame, kind: str) -> DataFrame:
-    """One JSON object per row, with its kind."""
-    fields = [F.col(f"`{name}`") for name in ROWS[kind].fieldNames()]
-    return table.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*fields)).alias("row"))
+    """One JSON object per row, with its kind; positions go along if there are any."""
+    names = [n for n in with_positions(kind).fieldNames() if n in table.columns]
+    return table.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*(F.col(f"`{n}`") for n in names))).alias("row"))
 
 
 def from_json_rows(rows: DataFrame, kind: str) -> DataFrame:
-    """The rows of one kind from their JSON form; none if the kind is missing."""
+    """The rows of one kind from their JSON form, with the positions that give them
+    their order; none if the kind is missing."""
     return (
         rows.where(F.col("kind") == kind)
-        .select(F.from_json("row", ROWS[kind]).alias("r"))
+        .select(F.from_json("row", with_positions(kind)).alias("r"))
         .select("r.*")
     )

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.operators.lookup import lookup_join
+from resultlake.operators.lookup import likely, lookup_join
 from resultlake.schema import ARTICLES, CAPTURES
-from resultlake.session import fits_broadcast, spread
 from resultlake.sources.registry import PLATFORMS, Platforms
 
 PAGE_KEY = ["platform", "surface", "keyword"]
@@ -22,28 +21,20 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """Article pages, outer and framed ones alike, one row per url."""
-    return spread(spark.read.schema(ARTICLES).parquet(path), "url")
-
-
-def wanted_keywords(keywords: DataFrame) -> DataFrame | None:
-    """Distinct keywords marked for broadcast, or None if they are too many for that."""
-    wanted = keywords.select("keyword").distinct()
-    return F.broadcast(wanted) if fits_broadcast(wanted) else None
+    """Article pages, outer and framed ones alike. A url may have several rows; what
+    any of them can tell counts."""
+    return spark.read.schema(ARTICLES).parquet(path)
 
 
 def surface_pages(
     captures: DataFrame, platforms: Sequence[str], surface: str, wanted: DataFrame | None = None
 ) -> DataFrame:
     """Pages of one surface. Filters sit below the page reader: partitions by platform
-    and surface, and the keywords as a semi-join while they are few enough to send
-    around. Beyond that all pages are read and the later join picks; pages are never
-    shuffled for it."""
+    and surface, and a key filter of the ``wanted (keyword)`` of any number. Pages are
+    never shuffled; the later join is exact."""
     chosen = F.col("platform").isin(*dict.fromkeys(platforms)) & (F.col("surface") == surface)
-    pages = spread(
-        captures.where(chosen).select("platform", "keyword", "page_url", "html"), "platform", "keyword"
-    )
-    return pages if wanted is None else pages.join(wanted, "keyword", "left_semi").select(*pages.columns)
+    pages = captures.where(chosen).select("platform", "keyword", "page_url", "html")
+    return pages if wanted is None else likely(pages, wanted, "keyword")
 
 
 def platform_positions(platforms: Sequence[str] | None, known: Platforms = PLATFORMS):

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.operators.articles import article_facts
 from resultlake.operators.ranking import numbered
-from resultlake.plans.extraction import page_rows
+from resultlake.plans.extraction import definitions, page_rows
 from resultlake.schema import CAPTURES, ROWS
-from resultlake.session import configure
-from resultlake.sources.captures import read_articles, surface_pages
+from resultlake.session import configure, stage_path
+from resultlake.sources.captures import read_articles
 from resultlake.sources.registry import PLATFORMS, Platforms
-from resultlake.sinks.files import exists
+from resultlake.sinks.files import exists, remove
 
 
 def run_increment(
@@ -24,11 +23,14 @@ def run_increment(
     max_rows: int | None = None,
     files_per_batch: int = 10_000,
     known: Platforms = PLATFORMS,
+    on_bad_card: str = "page",
 ) -> None:
     """Take up all capture files not seen before and add their rows to ``output``.
 
-    A batch owns the folder of its number and replaces it when it is run again after a
-    failure, so every page's rows are there once.
+    A batch is split by surface once, so each surface reads its own pages only, for
+    all platforms that share it. A batch owns the folder of its stream and number and
+    replaces it when it is run again after a failure, so every page's rows are there
+    once; a stream begun anew, its progress lost, writes beside what is there.
     """
     configure(spark)
     stream = (
@@ -36,15 +38,21 @@ def run_increment(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
     )
-    facts = article_facts(read_articles(spark, articles_path)) if articles_path else None
+    articles = read_articles(spark, articles_path) if articles_path else None
 
     def take_up(batch: DataFrame, number: int) -> None:
-        for platform, surfaces in known.known.items():
-            for kind, surface in surfaces.items():
-                pages = surface_pages(batch, [platform], kind)
-                rows = numbered(page_rows(pages, surface, facts, max_rows), "platform", "keyword")
-                target = f"{output}/{kind}/platform={platform}/batch={number}"
-                rows.select(*ROWS[kind].fieldNames()).write.mode("overwrite").parquet(target)
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        split = stage_path(spark, "landed")
+        batch.write.partitionBy("surface").parquet(split)
+        landed = spark.read.schema(CAPTURES).parquet(split)
+        for kind in ROWS:
+            for place, (surface, sharing) in enumerate(definitions(list(known.known), kind, known)):
+                chosen = (F.col("surface") == kind) & F.col("platform").isin(*sharing)
+                pages = landed.where(chosen).select("platform", "keyword", "page_url", "html")
+                rows = numbered(page_rows(pages, surface, articles, max_rows, on_bad_card), "platform", "keyword")
+                target = f"{output}/{kind}/batch={stream_id}-{number}-{place}"
+                rows.select("platform", *ROWS[kind].fieldNames()).write.mode("overwrite").parquet(target)
+        remove(spark, split)
 
     query = (
         stream.writeStream.foreachBatch(take_up)

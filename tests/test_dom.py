@@ -36,6 +36,10 @@ PIECES = [
     "<title>T &lt; U</title>", "<textarea><b>x</textarea>", "<x-y z.w=1 @c='d'>", "</x-y>", "&#", "&#x;", "\n\t", "<script/>",
     "<script>a<!--<script>--></script>", "<p class=\"a&#98;c\">", "<iframe src=a></iframe>", "<>", "<a b=c/>", "<a\nb = 'c'\n>",
 ]
+# White space of other kinds separates nothing in a tag.
+PIECES += [f"<li{c}class=bx>" for c in "\u00a0\u000b\u001c\u0085\u2028\u3000"]
+PIECES += [f"<p a={c}b>" for c in "\u00a0\u000b\u0085\u3000"] + [f"</p{c}>" for c in "\u00a0\u000b\u2028"]
+PIECES += [f"<{c}b>" for c in "\u00a0\u0661"] + [f"&amp{c}" for c in "\u00a0\u0085"] + ["<li\fclass=bx\f>"]
 
 
 def test_scan_agrees_with_lenient_reader():

@@ -43,7 +43,7 @@ def expected_csv(kind, table):
 
 
 def test_files_are_what_pythons_writer_writes(spark, tables, tmp_path):
-    files = rl.export(tables, str(tmp_path / "new" / "out"))
+    files = rl.export(tables, str(tmp_path / "new" / "out"), single_file=True)
     assert files == {kind: str(tmp_path / "new" / "out" / f"{kind}.csv") for kind in ROWS}
     for kind, path in files.items():
         with open(path, "rb") as file:
@@ -53,7 +53,7 @@ def test_files_are_what_pythons_writer_writes(spark, tables, tmp_path):
 def test_export_replaces_and_writes_headers_for_missing_kinds(spark, tables, tmp_path):
     out = str(tmp_path)
     rl.export(tables, out)
-    files = rl.export({"cafe": tables["cafe"].limit(0)}, out)
+    files = rl.export({"cafe": tables["cafe"].limit(0)}, out, single_file=True)
     assert {kind: open(path, "rb").read().decode("utf-8-sig") for kind, path in files.items()} == {
         "smartblock": "keyword,order,title,url\n",
         "cafe": "keyword,order,date,café,subject,url\n",
@@ -62,16 +62,16 @@ def test_export_replaces_and_writes_headers_for_missing_kinds(spark, tables, tmp
     assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == ["blog.csv", "cafe.csv", "smartblock.csv"]
 
 
-def test_large_tables_become_ordered_part_files(spark, tables, tmp_path):
-    small = rl.export(tables, str(tmp_path / "one"))
-    large = rl.export(tables, str(tmp_path / "many"), single_file_bytes=10)
+def test_parts_in_order_hold_what_one_file_does(spark, tables, tmp_path):
+    small = rl.export(tables, str(tmp_path / "one"), single_file=True)
+    large = rl.export(tables, str(tmp_path / "many"))
     for kind in ROWS:
         parts = sorted(n for n in os.listdir(large[kind]) if n.startswith("part-"))
         texts = [open(os.path.join(large[kind], n), "rb").read().decode("utf-8-sig") for n in parts]
         header = texts[0].split("\n", 1)[0] + "\n"
         joined = header + "".join(t.removeprefix(header) for t in texts)
         assert joined == open(small[kind], "rb").read().decode("utf-8-sig")
-    again = rl.export(tables, str(tmp_path / "many"))
+    again = rl.export(tables, str(tmp_path / "many"), single_file=True)
     assert os.path.isfile(again["blog"])
 
 
@@ -101,7 +101,9 @@ def test_handover(spark, tables, tmp_path):
 def test_json_form(spark, tables):
     rows = rl.to_json_rows(tables["blog"], "blog").unionByName(rl.to_json_rows(tables["smartblock"], "smartblock"))
     for kind in ("blog", "smartblock"):
-        assert plain(rl.from_json_rows(rows, kind), kind) == plain(tables[kind], kind)
+        back = rl.from_json_rows(rows, kind)
+        assert plain(back, kind) == plain(tables[kind], kind)
+        assert rl.public_table(back, kind).collect() == rl.public_table(tables[kind], kind).collect()
     assert rl.from_json_rows(rows, "cafe").isEmpty()
 
 
@@ -112,6 +114,20 @@ def test_public_table_is_ordered(spark, tables):
     assert [r.url for r in found] == [r.url for r in want]
 
 
+def test_no_positions_no_final_order(spark, tables, tmp_path):
+    bare = tables["blog"].drop("kw_pos")
+    for sort in (lambda: rl.public_table(bare, "blog"), lambda: rl.export({"blog": bare}, str(tmp_path / "none"))):
+        with pytest.raises(ValueError, match="kw_pos"):
+            sort()
+    assert not (tmp_path / "none").exists()
+
+
+def test_platform_counts(spark, tables):
+    found = rl.platform_counts({k: tables[k] for k in ("cafe", "blog")}, ["a", "b", "a"]).collect()
+    n = {1: (len(WILD) + 1) // 2, 2: len(WILD) // 2, 3: 0}
+    assert sorted(map(tuple, found)) == sorted((p, "aba"[p - 1], s, n[p]) for p in n for s in ("cafe", "blog"))
+
+
 def test_union_keeps_everything(spark, tables):
     both = rl.union_tables(tables, {"blog": tables["blog"]}, {})
     assert both["blog"].count() == 2 * len(WILD) and both["cafe"].count() == len(WILD)

@@ -53,7 +53,7 @@ def lines(path):
 def test_run_job(spark, files):
     run = rl.run_job(
         spark, "keywords.txt", str(files / "captures"), str(files / "articles"),
-        output_dir=str(files / "out"), base_dir=str(files),
+        output_dir=str(files / "out"), base_dir=str(files), single_file=True,
     )
     assert lines(run.output_files["smartblock"])[1:] == ["가,1,One,https://search.naver.com/more"] * 2
     assert lines(run.output_files["cafe"])[1:] == [
@@ -74,7 +74,7 @@ def test_run_job_without_articles_and_with_default_folder(spark, files):
         rl.run_job(spark, str(files / "keywords.txt"), str(files / "captures"))
     spark.conf.set("spark.resultlake.output.dir", str(files / "default"))
     try:
-        run = rl.run_job(spark, str(files / "keywords.txt"), str(files / "captures"))
+        run = rl.run_job(spark, str(files / "keywords.txt"), str(files / "captures"), single_file=True)
     finally:
         spark.conf.unset("spark.resultlake.output.dir")
     assert len(lines(str(files / "default" / "blog.csv"))) == 3 == run.summary.first().blog_count + 1
@@ -116,19 +116,54 @@ def test_platforms_repeat_and_keep_their_order(spark):
     assert only["cafe"].isEmpty() and only["cafe"].columns == tables["cafe"].columns
 
 
-def test_hot_keywords_and_unbroadcast_lists_give_the_same_rows(spark, monkeypatch):
+def test_a_key_filter_of_one_word_gives_the_same_rows(spark, monkeypatch):
     keywords = spark.range(60).select(
         F.col("id").alias("kw_pos"), F.element_at(F.lit(["가", "나", "다"]), (F.col("id") % 3 + 1).cast("int")).alias("keyword")
     )
     captures, articles = captures_of(spark, *PAGES), spark.createDataFrame(ARTICLE_ROWS, ARTICLES)
     usual = rl.extract_tables(keywords, captures, articles)
-    monkeypatch.setattr(extraction, "hot_keys", lambda left, keys: lookup.hot_keys(left, keys, 10))
-    monkeypatch.setattr(extraction, "wanted_keywords", lambda keywords: None)
+    monkeypatch.setattr(lookup.likely, "__defaults__", (1,))
     other = rl.extract_tables(keywords, captures, articles)
     for kind in usual:
         assert table_rows(usual[kind]) == table_rows(other[kind]) != []
 
 
+def test_rejected_and_missing(spark, files):
+    run = rl.run_job(
+        spark, str(files / "keywords.txt"), str(files / "captures"), str(files / "articles"), output_dir=str(files / "o"), sort_order="date"
+    )
+    assert [(r.surface, r.keyword, r.reason) for r in run.rejected.collect()] == [("blog", "나", "broken card after rows: 0")]
+    assert sorted({(r.keyword, r.surface) for r in run.missing.collect()}) == [
+        ("나", "cafe"), ("나", "smartblock"), ("라", "blog"), ("라", "cafe"), ("라", "smartblock")
+    ]
+    assert all(r.search_url.endswith("st=date") for r in run.requests.where("surface = 'blog'").collect())
+
+
+def test_repeated_captures_and_articles(spark):
+    """A failed capture hides no good one, whichever comes first."""
+    keywords = spark.createDataFrame([(1, "가")], "kw_pos int, keyword string")
+    undated = blog_page(blog_card(date="어제", post="<a href='/a'>a</a>"))
+    for pages in ([undated, None, "<p>"], [None, "<p>", undated]):
+        for rows in (ARTICLE_ROWS, ARTICLE_ROWS[::-1]):
+            broken = [(rows[0][0], None), (rows[0][0], "<p>"), *rows, ("https://blog.naver.com/i", None), ("https://blog.naver.com/i", "<p>")]
+            captures = captures_of(spark, *(("naver", "blog", "가", p) for p in pages))
+            found = rl.extract_tables(keywords, captures, spark.createDataFrame(broken, ARTICLES))["blog"].collect()
+            assert [(r.order, r.date) for r in found] == [(1, datetime.date(2020, 1, 1))]
+
+
+def test_only_asked_articles_are_read(spark):
+    """The key filter sits below the reader of article pages."""
+    from resultlake.operators import articles as A
+
+    table = spark.createDataFrame(ARTICLE_ROWS, ARTICLES)
+    asked = spark.createDataFrame([("https://search.naver.com/a",)], "url string")
+    plan = A._facts(lookup.likely(table, asked, "url"))._jdf.queryExecution().executedPlan().toString()
+    reader, rest = plan.split("MapInArrow", 1)
+    assert "BroadcastHashJoin" in rest and "BroadcastHashJoin" not in reader and "SortMergeJoin" not in plan
+    kept = lookup.likely(spark.range(5000).selectExpr("cast(id as string) url", "id"), spark.range(7).selectExpr("cast(id as string) url"), "url")
+    assert {r.id for r in kept.collect()} >= set(range(7)) and kept.count() < 20
+
+
 def test_a_platform_of_ones_own(spark):
     """A new kind of page is a reader of raw cards, a rule, and a registration."""
     from dataclasses import replace
@@ -219,10 +254,7 @@ def test_stage_folder(spark):
             self.conf = {k.replace("_", "."): v for k, v in settings.items()}
 
     assert session.stage_root(Session(spark_checkpoint_dir="hdfs://x/y/")) == "hdfs://x/y"
-    with pytest.raises(ValueError):
-        session.stage_root(Session(spark_master="yarn"))
-    own = session.stage_root(Session(spark_master="local[2]"))
-    assert own == session.stage_root(Session(spark_master="local[2]"))
+    assert session.stage_root(Session(spark_sql_warehouse_dir="s3://w/h")) == "s3://w/h"
     assert session.stage_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
@@ -234,4 +266,8 @@ def test_pages_are_read_once_and_never_shuffled(spark, files):
     table = extraction.page_rows(captures.where("surface = 'smartblock'").drop("surface"), rl.SURFACES["smartblock"])
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    blog = captures.where("surface = 'blog'").drop("surface")
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    extraction.surface_table(blog, BLOG)
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before  # nothing runs before an action
     assert pages.columns == ["platform", "keyword", "page_url", "html"]

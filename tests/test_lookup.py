@@ -1,11 +1,11 @@
-"""Lookup joins with hot keys."""
+"""Lookup joins and key filters."""
 
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from resultlake.operators.lookup import hot_keys, lookup_join
+from resultlake.operators.lookup import likely, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -18,22 +18,22 @@ def sides(spark):
     return left, right.unionByName(spark.createDataFrame([("hot", -1)], "k string, v long"))
 
 
-def test_hot_keys(sides):
-    assert {r.k for r in hot_keys(sides[0], ["k"], 900)} == {"hot", "warm"}
-    assert hot_keys(sides[0], ["k"], 5000) == []
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_same_rows_with_and_without_detour(sides, how):
+def test_lookup(sides, how):
     left, right = sides
-    plain = left.join(right, "k", how)
-    detour = lookup_join(left, right, ["k"], how, hot_rows=900)
-    assert detour.columns == plain.columns
-    assert Counter(detour.collect()) == Counter(plain.collect())
-    assert "Union" in detour._jdf.queryExecution().optimizedPlan().toString()
+    found = lookup_join(left, right, ["k"], how)
+    assert Counter(found.collect()) == Counter(left.join(right, "k", how).collect())
 
 
-def test_no_hot_key_is_a_plain_join(sides):
+@pytest.mark.parametrize("words", [1, 16, 1 << 18])
+def test_key_filter_loses_nothing(spark, sides, words):
     left, right = sides
-    joined = lookup_join(left, right, ["k"])
-    assert "Union" not in joined.select("k")._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    kept = likely(left, right, "k", words)
+    wanted = {r.k for r in right.collect()}
+    rows = kept.collect()
+    assert kept.columns == left.columns
+    assert Counter(r for r in rows if r.k in wanted) == Counter(r for r in left.collect() if r.k in wanted)
+    if words == 1 << 18:
+        assert all(r.k in wanted for r in rows)
+    assert likely(left, right.limit(0), "k", words).isEmpty()
+    assert likely(left, spark.createDataFrame([(None,)], "k string"), "k", words).isEmpty()
