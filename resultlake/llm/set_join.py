@@ -120,7 +120,8 @@ def keys_of(codes: np.ndarray, bands: Bands) -> np.ndarray:
 # -- copies -----------------------------------------------------------------
 def _digests(batches):
     for batch in batches:
-        digests = [blake2b(b" ".join(words_of(t)), digest_size=16).digest() for t in batch.column(1).to_pylist()]
+        words = map(words_of, batch.column(1).to_pylist())
+        digests = [blake2b(b" ".join(w), digest_size=16).digest() if w else None for w in words]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["doc_id", "digest"])
 
 
@@ -200,8 +201,10 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     text_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stage(docs.mapInArrow(_digests, "doc_id long, digest binary"), "digests")
-    least = rows.groupBy("digest").agg(F.min("doc_id").alias("vertex"))
-    rows = stage(rows.join(least, "digest").select("doc_id", "vertex"), "copies")
+    full = rows.where("digest is not null")
+    least = full.groupBy("digest").agg(F.min("doc_id").alias("vertex"))
+    empty = rows.where("digest is null").select("doc_id", F.col("doc_id").alias("vertex"))
+    rows = stage(full.join(least, "digest").select("doc_id", "vertex").unionByName(empty), "copies")
 
     # One text per class goes on: its smallest document.
     chosen = F.col("doc_id") == F.col("vertex")

@@ -106,7 +106,7 @@ def _write(batches, folder: str, compress: bool, roll: int):
             for r in batch.to_pylist():
                 if out is None:
                     name, at = f"{uuid.uuid4().hex}.warc{'.gz' if compress else ''}", 0
-                    out = system.open_output_stream(f"{root}/{name}")
+                    out = system.open_output_stream(f"{root}/{name}", compression=None)
                 revisit = r["revisit"]
                 raw = record(r["page_id"], r["url"], r["payload"], r["digest"], r["payload_bytes"], r["refers_to"], revisit)
                 raw = gzip.compress(raw, 6, mtime=0) if compress else raw

@@ -153,7 +153,7 @@ def test_mixture(spark):
     for i in range(6000):
         source = "hot" if i % 3 == 0 else rng.choice(["a", "b", "é", "Z", None, "tiny"] if i < 50 else ["a", "b", "é", "Z", None])
         rows.append((i, source, rng.choice([0, 3, 40, 400, 5000])))
-    rows += [(9, "hot", 40)] * 300
+    rows += [(9, "hot", 40)] * 200
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
     first = mixture.mix(df, block=256).collect()
     sizes = defaultdict(int)
@@ -174,6 +174,14 @@ def test_mixture(spark):
     assert Counter((r.doc_id, r.taken) for r in first) == Counter((r.doc_id, r.taken) for r in again)
 
 
+def test_mixture_of_one_row_repeated(spark):
+    """More repeats of a row than a block holds are dealt over blocks."""
+    df = spark.createDataFrame([(1, "s", 7)] * 900 + [(2, "t", 5)] * 30, "doc_id long, source string, size long")
+    rows = mixture.mix(df, block=64).collect()
+    assert sorted(rows) == sorted(mixture.mix(df, block=64).collect()) and len(rows) == 930
+    assert sum(r.taken for r in rows if r.doc_id == 1) == pytest.approx(1.5 * (6300 + 150) - 300, abs=8)
+
+
 def test_word_count(spark):
     texts = ["", None, "a", " a\tb\x0bc\x0cd\re\nf ", "a\x1cb c", "a b", "é ü"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
