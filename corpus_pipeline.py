@@ -9,22 +9,22 @@ from resultlake.llm import language, mixture, packing, pii, set_join
 from resultlake.llm.common import col, fresh, numbered_rows
 from resultlake.session import stage
 
-# A text whose best language has a smaller share of the evidence has none.
-LEAST_SCORE = 0.3
+# Near copies of the pipeline: word shingles and percent of their union in common.
+WORDS, PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; texts without a letter and those that fit several
-    languages alike go."""
+    """Documents with a language; texts without a letter, or without any gram of a
+    learned language, go."""
     name = fresh(docs, "language")
     found = language.identify(docs, name=name)
-    kept = found.where(language.accepted(F.col(name), LEAST_SCORE))
+    kept = found.where(language.accepted(F.col(name)))
     return kept.select(*(col(c) for c in docs.columns))
 
 
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id's, of each group of near copies."""
-    return set_join.survivors(docs)
+    return set_join.survivors(docs, WORDS, PERCENT)
 
 
 def sanitise_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -185,6 +185,7 @@ def identify(docs: DataFrame, filters: LanguageFilters | None = None, name: str
     return docs.select(*(col(c) for c in docs.columns), found.alias(fresh(docs, name)))
 
 
-def accepted(prediction: Column, least_score: float) -> Column:
-    """Texts with a language that stands out enough."""
-    return (prediction["lang_pred"] != UNKNOWN) & (prediction["score"] >= least_score)
+def accepted(prediction: Column, least_score: float = 0.0) -> Column:
+    """Texts with a language whose score is above ``least_score``; by default all that
+    hold any gram of some language."""
+    return (prediction["lang_pred"] != UNKNOWN) & (prediction["score"] > least_score)

@@ -9,7 +9,8 @@ are traversed for all vectors; the others are probed, largest bound first, only
 vectors that can still reach the k-th score. A task takes a block of queries through a
 run of shards, so the k-th score carries over; the runs' results are merged by rank.
 
-Components are floor(64 x), x as double (clipped to 62 bits). Vectors that are null or
+Components are floor(64 x), x as double, and scores are exact integers; both end at 62
+bits. Vectors that are null or
 hold null or non-finite components, and rows without an id, take no part. Missing
 components of shorter vectors count as 0. A repeated row is a candidate of its own, and
 of the others with its id. Ties go to the smaller id. Empty tables give no rows.
@@ -34,6 +35,8 @@ TOP, EVERY, SCALE = 20, 20, 64
 SHARD, QUERIES, RUN = 8192, 2048, 8
 # A posting list as a matrix row from this share of the shard; terms probed at a time.
 DENSE, PROBED = 0.25, 4
+# Where scores end.
+MOST = 1 << 62
 _PACKED = "uids binary, ids binary, terms int, matrix binary"
 
 
@@ -52,7 +55,7 @@ def _packed(batches):
 
     for batch in batches:
         ids = batch.column(0).to_numpy()
-        limit = float(1 << 62)
+        limit = float(MOST)
         values = np.clip(np.floor(SCALE * _padded(batch.column(1))), -limit, limit).astype(np.int64)
         for at in range(0, len(ids), SHARD):
             held.append((ids[at : at + SHARD], values[at : at + SHARD]))
@@ -68,11 +71,9 @@ def _queries(batches, every: int):
     for batch in batches:
         for r in batch.to_pylist():
             uids, ids, values = _unpacked(r["uids"], r["ids"], r["matrix"])
-            for i in np.flatnonzero(ids % every == 0).tolist():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(uids[i])]), pa.array([int(ids[i])]), pa.array([values[i].tobytes()])],
-                    names=["quid", "query_id", "terms"],
-                )
+            at = np.flatnonzero(ids % every == 0)
+            terms = pa.array([values[i].tobytes() for i in at.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(uids[at]), pa.array(ids[at]), terms], names=["quid", "query_id", "terms"])
 
 
 def _unpacked(uids: bytes, ids: bytes, matrix: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,17 +120,19 @@ class Shard:
                 rest = sums[max(0, at - PROBED) - 1] if at > PROBED else 0
                 live = live[score[live] + rest >= least]
         live = live[self.uids[live] != quid]
+        score = np.clip(score[live], -MOST, MOST)
         if len(live) > k:
-            best = np.lexsort((self.uids[live], self.ids[live], -score[live]))[:k]
-            live = live[best]
-        new = zip((-score[live]).tolist(), self.ids[live].tolist(), self.uids[live].tolist(), strict=True)
+            best = np.lexsort((self.uids[live], self.ids[live], -score))[:k]
+            live, score = live[best], score[best]
+        new = zip((-score).tolist(), self.ids[live].tolist(), self.uids[live].tolist(), strict=True)
         return sorted([*top, *((int(s), i, u) for s, i, u in new)])[:k]
 
     def _traversed(self, w: np.ndarray, terms: np.ndarray) -> np.ndarray:
         terms = terms[w[terms] != 0]
         rows = self.row[terms]
-        score = w[terms[rows >= 0]] @ self.rows[rows[rows >= 0]]
-        for t in terms[rows < 0].tolist():
+        full = rows >= 0
+        score = w[terms[full]] @ self.rows[rows[full]] if full.any() else np.zeros(len(self.ids), w.dtype)
+        for t in terms[~full].tolist():
             held, values = self.lists[t]
             score[held] += w[t] * values
         return score
@@ -148,9 +151,10 @@ class Shard:
 
 
 def _exact_kind(queries: np.ndarray, values: np.ndarray):
-    """Doubles as long as they hold every sum exactly, else 64-bit integers."""
-    largest = float(np.abs(queries).max(initial=0)) * float(np.abs(values).max(initial=0))
-    return np.float64 if largest * max(1, queries.shape[1]) < 2**53 else np.int64
+    """Doubles as long as they hold every sum exactly, else 64-bit integers, else
+    integers of any size."""
+    largest = float(np.abs(queries).max(initial=0)) * float(np.abs(values).max(initial=0)) * max(1, queries.shape[1])
+    return np.float64 if largest < 2**53 else np.int64 if largest < 2**62 else object
 
 
 _FOUND = "quid long, query_id long, vec_id long, uid long, score long"
