@@ -19,7 +19,9 @@ So no link is lost, and no key is shared by sets for being empty alone.
 Copies (equal word sequences) are one vertex. Sets with a key in common are compared
 with the smallest of them first, exactly, on their shingles; only where that leaves the
 holders of a key in several components are the members of different components
-compared with each other. So a group of near copies costs a comparison per member.
+compared with each other, and of these only pairs whose parity sketches allow it: one
+differing shingle changes one bit of a sketch, so sketches never differ in more bits
+than the sets in shingles. So a group of near copies costs a comparison per member.
 
 A document without words is linked with nothing and has size 0. Rows that share a
 doc_id are one document; a row without one gets its size and no component. Extra
@@ -28,7 +30,7 @@ columns are ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -42,6 +44,8 @@ from resultlake.llm.components import components
 from resultlake.session import fits_broadcast, stage
 
 WORDS, PERCENT = 3, 90
+# 64-bit words of a parity sketch.
+SKETCH = 32
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -129,8 +133,14 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+def sketch(codes: np.ndarray) -> np.ndarray:
+    """Parity of the number of codes in each of ``64 * SKETCH`` hashed classes."""
+    odd = np.bincount((codes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 # -- candidates -------------------------------------------------------------
-_KEYED = "part long, key long, vertex long, rep long, n long"
+_KEYED = "part long, key long, vertex long, rep long, n long, sketch array<long>"
 
 
 def _keyed(batches, words: int, percent: int):
@@ -139,11 +149,12 @@ def _keyed(batches, words: int, percent: int):
     dealt out one by one, already compared with it, so no key makes a hot partition."""
     bands = Bands(percent)
     for batch in batches:
-        ids, keys, sizes = [], [], []
+        keys, sizes, sketches = [], [], []
         doc_ids = batch.column(0).to_pylist()
         for text in batch.column(1).to_pylist():
             codes = shingle_codes(words_of(text), words)
             sizes.append(len(codes))
+            sketches.append(sketch(codes))
             keys.append(keys_of(codes, bands) if len(codes) else codes)
         ids = np.array(doc_ids, np.int64)
         vertex = np.repeat(ids, [len(k) for k in keys])
@@ -164,8 +175,9 @@ def _keyed(batches, words: int, percent: int):
                 pa.array(np.concatenate([vertex, ids])),
                 pa.array(np.concatenate([rep, ids]), mask=np.concatenate([same, ~later])),
                 pa.array(np.concatenate([vertex, np.array(sizes, np.int64)]), mask=np.concatenate([~same | same, later])),
+                pa.array([None] * len(key) + sketches, pa.list_(pa.int64())),
             ],
-            names=["part", "key", "vertex", "rep", "n"],
+            names=["part", "key", "vertex", "rep", "n", "sketch"],
         )
 
 
@@ -202,7 +214,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stage(docs.mapInArrow(_digests, "doc_id long, digest binary"), "digests")
     full = rows.where("digest is not null")
-    least = full.groupBy("digest").agg(F.min("doc_id").alias("vertex"))
+    least = stage(full.groupBy("digest").agg(F.min("doc_id").alias("vertex")), "classes")
     empty = rows.where("digest is null").select("doc_id", F.col("doc_id").alias("vertex"))
     rows = stage(full.join(least, "digest").select("doc_id", "vertex").unionByName(empty), "copies")
 
@@ -217,7 +229,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     found = stage(
         keyed.withColumn("first", F.first("vertex").over(running))
         .select(
-            F.coalesce("key", "part").alias("key"), "vertex", F.coalesce("rep", "first").alias("rep"), "n"
+            F.coalesce("key", "part").alias("key"), "vertex", F.coalesce("rep", "first").alias("rep"), "n", "sketch"
         )
         .where("n is not null or vertex <> rep"),
         "candidates",
@@ -240,10 +252,15 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     apart = placed.groupBy("key").agg(
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
     ).where("n > 2 and low <> high").select("key")
-    rest = stage(placed.join(apart, "key"), "apart")
-    one = rest.select("key", F.col("vertex").alias("a"), F.col("label").alias("la"))
-    other = rest.select("key", F.col("vertex").alias("b"), F.col("label").alias("lb"))
-    more = one.join(other, "key").where("a < b and la <> lb").select("a", "b").distinct()
+    about = found.where("n is not null").groupBy("vertex").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    rest = stage(placed.join(stage(apart, "apart-keys"), "key").join(about, "vertex"), "apart")
+    one = rest.select("key", F.col("vertex").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    other = rest.select("key", F.col("vertex").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    bits = reduce(lambda x, y: x + y, (F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)))
+    sizes_fit = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    sketches_fit = bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    near = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & sizes_fit & sketches_fit
+    more = one.join(other, "key").where(near).select("a", "b").distinct()
     more = stage(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         labels = components(links.unionByName(_links(more, named, words, percent)))
