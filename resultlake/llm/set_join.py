@@ -30,7 +30,7 @@ columns are ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import partial
 from hashlib import blake2b
 
 import numpy as np
@@ -46,6 +46,8 @@ from resultlake.session import fits_broadcast, stage
 WORDS, PERCENT = 3, 90
 # 64-bit words of a parity sketch.
 SKETCH = 32
+# Holders of a key that are compared with each other in one go.
+HOLDERS = 1024
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -197,6 +199,43 @@ def _compared(batches, words: int, percent: int):
         )
 
 
+def _plausible(batches, percent: int):
+    """Pairs of a key's holders, block by block, that are in different components and
+    whose sizes and sketches leave a link possible. Rows come sorted by block pair."""
+    held, now = [], None
+
+    def pairs():
+        block, vertex, label, n = (np.array(c, np.int64) for c in list(zip(*held, strict=True))[1:5])
+        parity = np.array([h[5] for h in held], np.int64).view(np.uint64)
+        one, other = [], []
+        for i in range(len(held) - 1):
+            rest = slice(i + 1, None)
+            fits = (label[rest] != label[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            if now[1] != now[2]:
+                fits &= block[rest] != block[i]
+            at = np.flatnonzero(fits) + i + 1
+            if len(at):
+                apart = np.bitwise_count(parity[at] ^ parity[i]).sum(1, dtype=np.int64)
+                at = at[apart * (100 + percent) <= (n[at] + n[i]) * (100 - percent)]
+                one += [int(vertex[i])] * len(at)
+                other += vertex[at].tolist()
+        return one, other
+
+    for batch in batches:
+        out: tuple[list, list] = ([], [])
+        for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
+            if row[:3] != now:
+                if len(held) > 1:
+                    for found, new in zip(out, pairs(), strict=True):
+                        found += new
+                held, now = [], row[:3]
+            held.append(row[2:])
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
+    if len(held) > 1:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs()], names=["a", "b"])
+
+
 def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar enough, staged."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -251,16 +290,21 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     )
     apart = placed.groupBy("key").agg(
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
-    ).where("n > 2 and low <> high").select("key")
+    ).where("n > 2 and low <> high")
     about = found.where("n is not null").groupBy("vertex").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
-    rest = stage(placed.join(stage(apart, "apart-keys"), "key").join(about, "vertex"), "apart")
-    one = rest.select("key", F.col("vertex").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    other = rest.select("key", F.col("vertex").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    bits = reduce(lambda x, y: x + y, (F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)))
-    sizes_fit = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    sketches_fit = bits * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-    near = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & sizes_fit & sketches_fit
-    more = one.join(other, "key").where(near).select("a", "b").distinct()
+    apart = stage(apart.select("key", F.ceil(F.col("n") / HOLDERS).cast("long").alias("blocks")), "apart")
+    rest = placed.join(apart, "key").join(about, "vertex")
+    block = F.pmod(F.xxhash64("vertex"), "blocks")
+    dealt = rest.withColumn("block", block).withColumn(
+        "beside", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    )
+    dealt = dealt.select(
+        "key", F.least("block", "beside").alias("low"), F.greatest("block", "beside").alias("high"),
+        "block", "vertex", "label", "n", "sketch",
+    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    together = dealt.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "vertex")
+    more = together.mapInArrow(partial(_plausible, percent=percent), "a long, b long").distinct()
     more = stage(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         labels = components(links.unionByName(_links(more, named, words, percent)))
