@@ -5,7 +5,8 @@ and telephone numbers. A term reveals an entity as far as knowing the term tells
 the entity is near: the pointwise mutual information of the two as a share of the
 entity's own information, ``log(P(e|t) / P(e)) / log(1 / P(e))``, estimated from the
 corpus. Joint counts are distinct contexts of an entity that hold the term, so copies
-of a text count once; the term's own count is over all documents. Terms above the first
+of a text count once; the term's own count is that of the documents with it, or of the
+contexts, if those are more. Terms above the first
 threshold are generalised wherever they occur, above the second removed; base entities
 always become their kind.
 
@@ -143,12 +144,23 @@ def disclosing_terms(
     """``term, removed`` of ``docs (text)``, staged: what reveals some entity too well."""
     contexts = stage(_contexts(docs), "contexts")
     entities = contexts.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    together = contexts.select("entity", F.explode("terms").alias("term"))
+    near = together.groupBy("term").agg(F.count("*").alias("n_near"))
+    prior = F.least(F.lit(1.0), F.col("n_entity") / F.lit(float(max(1, docs.count()))))
+
+    def told(count: Column) -> Column:
+        given = F.least(F.lit(1.0), F.col("n_both") / count)
+        return F.when(prior < 1, F.log(given / prior) / F.log(1 / prior)).otherwise(F.lit(0.0))
+
+    # A term counts at least as often as contexts hold it, so what is common around
+    # entities is settled here and never looked for in the corpus.
     pairs = (
-        contexts.select("entity", F.explode("terms").alias("term"))
-        .groupBy("entity", "term")
+        together.groupBy("entity", "term")
         .agg(F.count("*").alias("n_both"))
         .where(F.col("n_both") >= support)
         .join(entities, "entity")
+        .join(near, "term")
+        .where(told(F.col("n_near")) >= generalise)
     )
     pairs = stage(pairs, "entity-terms")
     empty = pairs.select("term", F.lit(False).alias("removed")).limit(0)
@@ -157,11 +169,8 @@ def disclosing_terms(
     asked = stage(pairs.select("term").distinct(), "terms")
     held = docs.select(F.explode(_words(F.col("text"))).alias("term")).join(_small(asked), "term")
     counts = held.groupBy("term").agg(F.count("*").alias("n_term"))
-    total = docs.count()
-    prior = F.least(F.lit(1.0), F.col("n_entity") / F.lit(float(total)))
-    given = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    told = F.when(prior < 1, F.log(given / prior) / F.log(1 / prior)).otherwise(F.lit(0.0))
-    scored = pairs.join(counts, "term").groupBy("term").agg(F.max(told).alias("told"))
+    share = told(F.greatest("n_term", "n_near"))
+    scored = pairs.join(counts, "term").groupBy("term").agg(F.max(share).alias("told"))
     chosen = scored.where(F.col("told") >= generalise).select("term", (F.col("told") >= remove).alias("removed"))
     return stage(chosen, "disclosing")
 
