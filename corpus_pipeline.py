@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resultlake.llm import language, mixture, packing, pii, set_join
-from resultlake.llm.common import col, fresh, numbered_rows
+from resultlake.llm.common import col, fresh, numbered_rows, ship
 from resultlake.session import stage
 
-# Near copies of the pipeline: word shingles and percent of their union in common.
-WORDS, PERCENT = 5, 80
+def shipped(function):
+    """A stage whose executors get the package first."""
+
+    @wraps(function)
+    def stage_of(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, docs, sf_dir)
+
+    return stage_of
 
 
+@shipped
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; texts without a letter, or without any gram of a
     learned language, go."""
@@ -22,11 +32,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*(col(c) for c in docs.columns))
 
 
+@shipped
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id's, of each group of near copies."""
-    return set_join.survivors(docs, WORDS, PERCENT)
+    """One document, the smallest id's, of each group of near copies: three-word
+    shingles, of which 90 percent are common, as the operator's own query has them."""
+    return set_join.survivors(docs)
 
 
+@shipped
 def sanitise_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data and what reveals it taken out."""
     name = fresh(docs, "pii")
@@ -35,6 +48,7 @@ def sanitise_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return found.select(*(changed[c].alias(c) if c in changed else col(c) for c in docs.columns))
 
 
+@shipped
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     uid = fresh(docs, "uid")
@@ -47,6 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.select(*(col(c) for c in docs.columns))
 
 
+@shipped
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in the sequences."""
     return packing.pack_documents(docs)

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.session import stage
+import resultlake
+from resultlake.session import fits_broadcast, stage
 
 # Word of the corpus contracts: a run of anything but U+0020 and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,5 +57,22 @@ def numbered_rows(df: DataFrame, name: str, stage_name: str) -> DataFrame:
     return stage(df.withColumn(name, F.monotonically_increasing_id()), stage_name)
 
 
-def plain_path(path: str) -> str:
-    return path.replace("//", "/") if path.startswith("/") else path
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its measured size allows; else Spark joins it as
+    it sees fit. Stage what is costly to make: it is read for its size first."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that it need not be
+    installed there."""
+    context = spark.sparkContext
+    package = Path(resultlake.__file__).parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    _SHIPPED.add(context.applicationId)
+    base = os.path.join(tempfile.mkdtemp(prefix="resultlake-"), "resultlake")
+    context.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))

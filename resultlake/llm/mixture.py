@@ -24,8 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import WORD
-from resultlake.session import fits_broadcast, stage
+from resultlake.llm.common import WORD, small
+from resultlake.session import stage
 
 WEIGHTS = (3, 1, 2)  # of the sources in order, repeating
 SHARE, MOST = 1.5, 2.0
@@ -144,9 +144,9 @@ def _decided(rows: DataFrame, block: int) -> DataFrame:
         "key", F.col("doc_id").alias("many_id"), F.col("size").alias("many_size"), F.lit(True).alias("many")
     )
     open_rows = (
-        rows.join(_small(counts), "key")
+        rows.join(small(counts), "key")
         .join(
-            _small(stage(many, "repeated")).withColumnRenamed("key", "many_key"),
+            small(stage(many, "repeated")).withColumnRenamed("key", "many_key"),
             (F.col("key") == F.col("many_key"))
             & F.col("doc_id").eqNullSafe(F.col("many_id"))
             & (F.col("size") == F.col("many_size")),
@@ -170,11 +170,6 @@ def _decided(rows: DataFrame, block: int) -> DataFrame:
         )
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if its measured size allows; else Spark joins it as it sees fit."""
-    return F.broadcast(df) if fits_broadcast(df) else df
-
-
 def mix(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``docs (doc_id, source, size)``, and a ``uid`` if rows are to be recognised, to
     ``uid, doc_id, size, source_size, target, copies, taken``; ``most`` bounds the
@@ -186,7 +181,7 @@ def mix(docs: DataFrame, block: int = BLOCK, weights=WEIGHTS, share: float = SHA
     )
     goals = stage(targets(rows, weights, share, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    with_rate = stage(rows.join(_small(goals), "key").withColumn("rate", rate), "rated")
+    with_rate = stage(rows.join(small(goals), "key").withColumn("rate", rate), "rated")
     fraction = F.col("rate") - F.floor("rate")
     drawn = with_rate.where((fraction > 1e-9) & (fraction < 1 - 1e-9))
     extra = _decided(drawn.select("key", "uid", "doc_id", "size", fraction.alias("p")), block)

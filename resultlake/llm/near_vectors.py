@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from resultlake.llm.common import small
 from resultlake.llm.components import components
 from resultlake.llm.vectors import as_doubles, valid
-from resultlake.session import fits_broadcast, stage
+from resultlake.session import stage
 
 THRESHOLD = 0.95
 #: Numbers of the sample the rotation is learned on, at most, and its rows.
@@ -184,9 +185,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     )
     known = stage(known.select("digest", "least", "label", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
     named = known.groupBy("label").agg(F.min("least").alias("component_id"))
-    final = known.join(named, "label").select("digest", "n_links", "component_id")
-    final = F.broadcast(final) if fits_broadcast(stage(final, "final")) else final
-    linked = prepared.select("vec_id", "digest").join(final, "digest").select(
+    final = stage(known.join(named, "label").select("digest", "n_links", "component_id"), "final")
+    linked = prepared.select("vec_id", "digest").join(small(final), "digest").select(
         "vec_id",
         F.col("n_links").cast("long").alias("n_links"),
         "component_id",

@@ -24,8 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import col, fresh
-from resultlake.session import fits_broadcast, stage
+from resultlake.llm.common import col, fresh, small
+from resultlake.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -112,10 +112,6 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*parts))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df) else df
-
-
 def _contexts(docs: DataFrame) -> DataFrame:
     """``entity, context, terms`` of every base entity: the words around it, as a set,
     and the context's own hash; equal contexts of an entity once."""
@@ -167,7 +163,7 @@ def disclosing_terms(
     if pairs.isEmpty():
         return empty
     asked = stage(pairs.select("term").distinct(), "terms")
-    held = docs.select(F.explode(_words(F.col("text"))).alias("term")).join(_small(asked), "term")
+    held = docs.select(F.explode(_words(F.col("text"))).alias("term")).join(small(asked), "term")
     counts = held.groupBy("term").agg(F.count("*").alias("n_term"))
     share = told(F.greatest("n_term", "n_near"))
     scored = pairs.join(counts, "term").groupBy("term").agg(F.max(share).alias("told"))
@@ -219,11 +215,11 @@ def sanitise(docs: DataFrame, terms: DataFrame | None = None, name: str = "pii")
     else:
         words = plain.select("doc_id", F.xxhash64("text").alias("hit_key"), F.explode(_words(F.col("text"))).alias("term"))
         hits = (
-            words.join(_small(terms), "term")
+            words.join(small(terms), "term")
             .groupBy(F.col("doc_id").alias("hit_id"), "hit_key")
             .agg(F.collect_set(F.struct("term", "removed")).alias(name))  # a document's own words
         )
-        hits = _small(stage(hits, "term-hits"))
+        hits = small(stage(hits, "term-hits"))
         same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (col(key) == F.col("hit_key"))
         found = marked.join(hits, same, "left")
     own = F.coalesce(F.col(name), F.array().cast("array<struct<term: string, removed: boolean>>"))

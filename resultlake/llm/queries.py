@@ -19,7 +19,7 @@ from resultlake.llm import (
     top_products,
     warc,
 )
-from resultlake.llm.common import held_out, table
+from resultlake.llm.common import held_out, ship, table
 from resultlake.session import stage_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,8 +27,12 @@ LLM_ORACLES: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
-    LLM_QUERIES[run.__name__] = run
-    return run
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    LLM_QUERIES[run.__name__] = shipped
+    return shipped
 
 
 @query

@@ -39,15 +39,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import text_batches
+from resultlake.llm.common import small, text_batches
 from resultlake.llm.components import components
-from resultlake.session import fits_broadcast, stage
+from resultlake.session import stage
 
 WORDS, PERCENT = 3, 90
 # 64-bit words of a parity sketch.
 SKETCH = 32
 # Holders of a key that are compared with each other in one go.
 HOLDERS = 1024
+# Documents whose keys a task holds at a time.
+TOGETHER = 512
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -131,10 +133,6 @@ def _digests(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["doc_id", "digest"])
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df) else df
-
-
 def sketch(codes: np.ndarray) -> np.ndarray:
     """Parity of the number of codes in each of ``64 * SKETCH`` hashed classes."""
     odd = np.bincount((codes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
@@ -147,10 +145,10 @@ _KEYED = "part long, key long, vertex long, rep long, n long, sketch array<long>
 
 def _keyed(batches, words: int, percent: int):
     """Per document a row with its size, and a row per key. Where several documents of
-    a batch share a key, the smallest stands for them in the shuffle; the others are
+    a slice share a key, the smallest stands for them in the shuffle; the others are
     dealt out one by one, already compared with it, so no key makes a hot partition."""
     bands = Bands(percent)
-    for batch in batches:
+    for batch in (b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)):
         keys, sizes, sketches = [], [], []
         doc_ids = batch.column(0).to_pylist()
         for text in batch.column(1).to_pylist():
@@ -239,7 +237,7 @@ def _plausible(batches, percent: int):
 def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar enough, staged."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stage(docs.join(_small(stage(ids, "candidate-ids")), "doc_id", "left_semi"), "candidate-texts")
+    texts = stage(docs.join(small(stage(ids, "candidate-ids")), "doc_id", "left_semi"), "candidate-texts")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
     other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
     joined = pairs.join(other, "b").join(one, "a").select("a", "b", "one", "other")
@@ -262,7 +260,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     others = rows.where(~chosen).join(rows.where(chosen).select("doc_id").distinct(), "doc_id", "left_anti")
     skipped = stage(others.select("doc_id").distinct(), "skipped")
     named = docs.where("doc_id is not null")
-    first = named.join(_small(skipped), "doc_id", "left_anti")
+    first = named.join(small(skipped), "doc_id", "left_anti")
     keyed = first.mapInArrow(partial(_keyed, words=words, percent=percent), _KEYED)
     running = Window.partitionBy("part").orderBy("vertex").rowsBetween(Window.unboundedPreceding, 0)
     found = stage(
@@ -321,8 +319,8 @@ def survivors(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
     found = stage(groups(docs, words, percent), "groups")
     gone = stage(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     twice = stage(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "twice")
-    kept = docs.join(_small(gone), docs["doc_id"] == gone["doc_id"], "left_anti")
+    kept = docs.join(small(gone), docs["doc_id"] == gone["doc_id"], "left_anti")
     if twice.isEmpty():
         return kept
-    once = kept.join(_small(twice), kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(_small(twice), kept["doc_id"] == twice["doc_id"], "left_anti").unionByName(once)
+    once = kept.join(small(twice), kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(small(twice), kept["doc_id"] == twice["doc_id"], "left_anti").unionByName(once)

@@ -13,8 +13,10 @@ from functools import lru_cache
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
-# Chunks and words a worker remembers before it starts anew; bounds its memory.
-CHUNKS, WORDS = 200_000, 1_000_000
+# Chunks a worker remembers before it starts anew, and words of each of the two
+# generations it keeps: what the older one still gives moves to the newer, the rest is
+# forgotten. Both bound its memory.
+CHUNKS, WORDS = 150_000, 300_000
 # Texts whose new chunks are looked up together.
 TOGETHER = 64
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # no apostrophe, which may begin a token with letters
@@ -33,6 +35,7 @@ class ChunkEncoder:
         self.ends[[i for token, i in known.items() if token.endswith(WORD_END)]] = True
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -53,7 +56,7 @@ class ChunkEncoder:
 
     def _learn(self, new: set[str]) -> None:
         if len(self.words) > WORDS:
-            self.words = {"": b""}
+            self.words, self.older = {"": b""}, self.words
         parts, words = {}, set()
         for chunk in new:
             low = chunk.lower()
@@ -64,7 +67,9 @@ class ChunkEncoder:
                 words.add(word)
             else:
                 self.chunks[chunk] = self.one(chunk)
-        self._learn_words(sorted(words.difference(self.words)))
+        missing = words.difference(self.words)
+        self.words.update((w, self.older[w]) for w in missing.intersection(self.older))
+        self._learn_words(sorted(missing.difference(self.older)))
         for chunk, (word, marks) in parts.items():
             if marks not in self.words:
                 self.words[marks] = self.one(marks)

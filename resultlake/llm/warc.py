@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import text_batches
-from resultlake.session import fits_broadcast, stage
+from resultlake.llm.common import small, text_batches
+from resultlake.session import stage
 
 LEAST_BYTES = 100
 # A task's file is closed at this size and another begun.
@@ -158,9 +158,8 @@ def write_archives(
         .distinct(),
         "revisits",
     )
-    again = F.broadcast(again) if fits_broadcast(again) else again
     same = F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("digest") == F.col("again_digest"))
-    typed = full.join(again, same, "left").select(
+    typed = full.join(small(again), same, "left").select(
         "page_id",
         "url",
         F.when(F.col("first").isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"),
