@@ -51,13 +51,13 @@ def sanitise_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @shipped
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    uid = fresh(docs, "uid")
+    uid, taken_uid, taken_copy = (fresh(docs, n) for n in ("uid", "taken_uid", "taken_copy"))
     rows = numbered_rows(docs, uid, "mixture-input")
     size = mixture.word_count(F.col("text")).alias("size")
-    mixed = mixture.mix(rows.select(col(uid).alias("uid"), "doc_id", "source", size))
-    copies = mixed.where("copies > 0").select(F.col("uid").alias("taken_uid"), "copies")
-    copies = copies.select("taken_uid", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("taken_copy"))
-    taken = rows.join(copies, col(uid) == F.col("taken_uid"))
+    mixed = mixture.mix(rows.select(F.col(uid).alias("uid"), "doc_id", "source", size))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias(taken_copy)
+    copies = mixed.where("copies > 0").select(F.col("uid").alias(taken_uid), each)
+    taken = rows.join(copies, F.col(uid) == F.col(taken_uid))
     return taken.select(*(col(c) for c in docs.columns))
 
 

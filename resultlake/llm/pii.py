@@ -208,34 +208,41 @@ def sanitise(docs: DataFrame, terms: DataFrame | None = None, name: str = "pii")
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select("doc_id", body.alias("text"))
     terms = disclosing_terms(plain) if terms is None else terms
-    key, hits = fresh(docs, "text_key"), None
+    key, hit_id, hit_key, hit, found_base, found_terms, found_removed, found_spans = (
+        fresh(docs, f"pii_{n}") for n in ("text", "hit_id", "hit_key", "hit", "base", "terms", "removed", "spans")
+    )
+    hit_type = "array<struct<term: string, removed: boolean>>"
     marked = docs.withColumn(key, F.xxhash64(body))
     if terms.isEmpty():
-        found = marked.withColumn(name, F.lit(None).cast("array<struct<term: string, removed: boolean>>"))
+        found = marked.withColumn(hit, F.lit(None).cast(hit_type))
     else:
-        words = plain.select("doc_id", F.xxhash64("text").alias("hit_key"), F.explode(_words(F.col("text"))).alias("term"))
+        words = plain.select("doc_id", F.xxhash64("text").alias(hit_key), F.explode(_words(F.col("text"))).alias("term"))
         hits = (
             words.join(small(terms), "term")
-            .groupBy(F.col("doc_id").alias("hit_id"), "hit_key")
-            .agg(F.collect_set(F.struct("term", "removed")).alias(name))  # a document's own words
+            .groupBy(F.col("doc_id").alias(hit_id), hit_key)
+            .agg(F.collect_set(F.struct("term", "removed")).alias(hit))  # a document's own words
         )
-        hits = small(stage(hits, "term-hits"))
-        same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (col(key) == F.col("hit_key"))
-        found = marked.join(hits, same, "left")
-    own = F.coalesce(F.col(name), F.array().cast("array<struct<term: string, removed: boolean>>"))
-    base, terms_here = base_spans(body), F.transform(own, lambda t: t["term"])
+        same = F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.col(key) == F.col(hit_key))
+        found = marked.join(small(stage(hits, "term-hits")), same, "left")
+    own = F.coalesce(F.col(hit), F.array().cast(hit_type))
     removed = F.transform(F.filter(own, lambda t: t["removed"]), lambda t: t["term"])
     columns = [col(c) for c in docs.columns]
-    staged = found.select(*columns, body.alias(key), base.alias("pii_base"), F.array_sort(terms_here).alias("pii_terms"), removed.alias("pii_removed"))
+    staged = found.select(
+        *columns,
+        body.alias(key),
+        base_spans(body).alias(found_base),
+        F.array_sort(F.transform(own, lambda t: t["term"])).alias(found_terms),
+        removed.alias(found_removed),
+    )
     apart = F.filter(
-        _term_spans(col(key), F.col("pii_terms")),
-        lambda t: ~F.exists("pii_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+        _term_spans(F.col(key), F.col(found_terms)),
+        lambda t: ~F.exists(found_base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
     )
-    spanned = staged.withColumn("pii_spans", F.array_sort(F.concat("pii_base", apart)))
-    text = _sanitised(col(key), F.col("pii_spans"), F.col("pii_removed"))
+    spanned = staged.withColumn(found_spans, F.array_sort(F.concat(found_base, apart)))
+    text = _sanitised(F.col(key), F.col(found_spans), F.col(found_removed))
     return spanned.select(
         *columns,
-        F.struct(F.col("pii_base").alias("base"), F.col("pii_spans").alias("spans"), text.alias("text")).alias(name),
+        F.struct(F.col(found_base).alias("base"), F.col(found_spans).alias("spans"), text.alias("text")).alias(name),
     )
 
 

@@ -170,8 +170,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     )
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    found = texts.join(F.broadcast(sample), "doc_id").select("quality", "text")
-    rows = found.mapInArrow(_vectors, "quality int, index array<int>, value array<float>").toArrow()
+    # A row per document, however often it is repeated.
+    found = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = found.select("quality", "text").mapInArrow(_vectors, "quality int, index array<int>, value array<float>").toArrow()
     parts = zip(rows["quality"].to_pylist(), rows["index"], rows["value"], strict=True)
     kept = [(q, np.asarray(i.values, np.int32), np.asarray(x.values, np.float32)) for q, i, x in parts]
     # The order in which tasks end must not matter.

@@ -37,7 +37,7 @@ SHARD, QUERIES, RUN = 8192, 2048, 8
 DENSE, PROBED = 0.25, 4
 # Where scores end.
 MOST = 1 << 62
-_PACKED = "uids binary, ids binary, terms int, matrix binary"
+_PACKED = "shard long, uids binary, ids binary, terms int, matrix binary"
 
 
 def _packed(batches):
@@ -49,8 +49,8 @@ def _packed(batches):
         values = np.concatenate([np.pad(h[1], ((0, 0), (0, width - h[1].shape[1]))) for h in held])
         uids = np.arange(seen, seen + len(ids), dtype=np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array([uids.tobytes()]), pa.array([ids.tobytes()]), pa.array([width], pa.int32()), pa.array([values.tobytes()])],
-            names=["uids", "ids", "terms", "matrix"],
+            [pa.array([seen]), pa.array([uids.tobytes()]), pa.array([ids.tobytes()]), pa.array([width], pa.int32()), pa.array([values.tobytes()])],
+            names=["shard", "uids", "ids", "terms", "matrix"],
         )
 
     for batch in batches:
@@ -204,16 +204,16 @@ def top_products(vectors: DataFrame, k: int = TOP, every: int = EVERY) -> DataFr
     # Few blocks still give every core a run.
     cores = spark.sparkContext.defaultParallelism
     runs = max(runs, min(n_shards, -(-cores // blocks)))
-    number = F.row_number().over(Window.orderBy(F.xxhash64("uids")))  # a row per shard
-    run_of = shards.select("uids", number.alias("n")).select("uids", (F.col("n") % runs).alias("run"))
-    dealt = shards.join(run_of, "uids")
+    number = F.row_number().over(Window.orderBy("shard"))  # a number per shard
+    run_of = shards.select("shard").withColumn("run", number % runs)
+    dealt = shards.join(run_of, "shard")
     packed = (
         queries.groupBy(F.pmod(F.xxhash64("quid"), F.lit(blocks)).alias("block"))
         .agg(F.sort_array(F.collect_list(F.struct("quid", "query_id", "terms"))).alias("queries"))  # a block's
         .select("block", "queries", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
     )
     parts = min(blocks * runs, 20_000)
-    together = packed.join(dealt, "run").repartition(parts, "block", "run").sortWithinPartitions("block", "run", "uids")
+    together = packed.join(dealt, "run").repartition(parts, "block", "run").sortWithinPartitions("block", "run", "shard")
     found = together.mapInArrow(partial(_searched, k=k), _FOUND)
     order = Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id", "uid")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

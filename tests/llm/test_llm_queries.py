@@ -15,7 +15,7 @@ def test_query_matches_oracle(spark, sf_dir, name):
     assert compare(found, connect(sf_dir), LLM_ORACLES[name]) == ""
 
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, uid long, size long, key string, language string, pii string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, uid long, size long, key string, language string, pii string, pii_base int, hit_id int, taken_uid int"
 LABELS = "doc_id long, quality int, toxic int"
 VECTORS = "vec_id long, embedding array<float>, label int, uid long, digest string"
 PAGES = "page_id long, url string, html string, digest string, payload string"
@@ -29,9 +29,9 @@ def odd_documents():
     texts += [" ".join(rng.choice(words) for _ in range(rng.randint(1, 60))) for _ in range(30)]
     rows = []
     for i, t in enumerate(texts):
-        rows.append((i, t, rng.choice(["en", "fr", None]), rng.choice(["s1", "s2", None, "\U0001f600"]), None, 7, None, "k", "x", "y"))
+        rows.append((i, t, rng.choice(["en", "fr", None]), rng.choice(["s1", "s2", None, "\U0001f600"]), None, 7, None, "k", "x", "y", 1, 2, 3))
     rows += [rows[3], rows[20], rows[20]]  # repeated rows
-    rows += [(None, "no id here at all", "en", "s1", 1, 1, 1, None, None, None), (None, None, None, None, None, None, None, None, None, None)]
+    rows += [(None, "no id here at all", "en", "s1", 1, 1, 1, None, None, None, 1, 2, 3), (None,) * 13]
     return rows
 
 
