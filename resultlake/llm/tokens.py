@@ -68,7 +68,7 @@ class ChunkEncoder:
             else:
                 self.chunks[chunk] = self.one(chunk)
         missing = words.difference(self.words)
-        self.words.update((w, self.older[w]) for w in missing.intersection(self.older))
+        self.words.update([(w, self.older[w]) for w in missing if w in self.older])
         self._learn_words(sorted(missing.difference(self.older)))
         for chunk, (word, marks) in parts.items():
             if marks not in self.words:
