@@ -5,8 +5,7 @@ and telephone numbers. A term reveals an entity as far as knowing the term tells
 the entity is near: the pointwise mutual information of the two as a share of the
 entity's own information, ``log(P(e|t) / P(e)) / log(1 / P(e))``, estimated from the
 corpus. Joint counts are distinct contexts of an entity that hold the term, so copies
-of a text count once; the term's own count is that of the documents with it, or of the
-contexts, if those are more. Terms above the first
+of a text count once; the term's own count is over all documents. Terms above the first
 threshold are generalised wherever they occur, above the second removed; base entities
 always become their kind.
 
@@ -113,9 +112,9 @@ def base_spans(text: Column) -> Column:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """``entity, context, terms`` of every base entity: the words around it, as a set,
-    and the context's own hash; equal contexts of an entity once."""
-    spans = docs.select("text", F.explode(base_spans(F.col("text"))).alias("s"))
+    """``entity, source, context, terms`` of every base entity: the text it is in, the
+    words around it, as a set, and hashes of both; equal contexts of a text once."""
+    spans = docs.select("text", _source(F.col("text")).alias("source"), F.explode(base_spans(F.col("text"))).alias("s"))
     text, start, end = F.col("text"), F.col("s.start"), F.col("s.end")
     first = F.greatest(start - CONTEXT, F.lit(0))
     before = F.substr(text, first + 1, start - first)
@@ -127,9 +126,11 @@ def _contexts(docs: DataFrame) -> DataFrame:
     value = F.when(F.col("s.kind") < 2, F.lower("s.found")).otherwise(_digits(F.col("s.found")))
     words = F.array_sort(F.array_distinct(F.regexp_extract_all(around, F.lit(WORDS), F.lit(0))))
     return (
-        spans.select(F.concat(F.col("s.kind").cast("string"), F.lit(":"), value).alias("entity"), words.alias("terms"))
+        spans.select(
+            F.concat(F.col("s.kind").cast("string"), F.lit(":"), value).alias("entity"), "source", words.alias("terms")
+        )
         .withColumn("context", F.xxhash64("terms"))
-        .groupBy("entity", "context")
+        .groupBy("entity", "source", "context")
         .agg(F.first("terms").alias("terms"))
     )
 
@@ -139,20 +140,20 @@ def disclosing_terms(
 ) -> DataFrame:
     """``term, removed`` of ``docs (text)``, staged: what reveals some entity too well."""
     contexts = stage(_contexts(docs), "contexts")
-    entities = contexts.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    together = contexts.select("entity", F.explode("terms").alias("term"))
-    near = together.groupBy("term").agg(F.count("*").alias("n_near"))
+    entities = contexts.groupBy("entity").agg(F.count_distinct("context").alias("n_entity"))
+    together = contexts.select("entity", "source", "context", F.explode("terms").alias("term"))
+    # Texts that hold the term near any entity: at most those that hold it at all.
+    near = together.select("term", "source").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
     prior = F.least(F.lit(1.0), F.col("n_entity") / F.lit(float(max(1, docs.count()))))
 
     def told(count: Column) -> Column:
         given = F.least(F.lit(1.0), F.col("n_both") / count)
         return F.when(prior < 1, F.log(given / prior) / F.log(1 / prior)).otherwise(F.lit(0.0))
 
-    # A term counts at least as often as contexts hold it, so what is common around
-    # entities is settled here and never looked for in the corpus.
+    # What is common around entities is settled here and never looked for in the corpus.
     pairs = (
         together.groupBy("entity", "term")
-        .agg(F.count("*").alias("n_both"))
+        .agg(F.count_distinct("context").alias("n_both"))
         .where(F.col("n_both") >= support)
         .join(entities, "entity")
         .join(near, "term")
@@ -165,12 +166,16 @@ def disclosing_terms(
     asked = stage(pairs.select("term").distinct(), "terms")
     held = docs.select(F.explode(_words(F.col("text"))).alias("term")).join(small(asked), "term")
     counts = held.groupBy("term").agg(F.count("*").alias("n_term"))
-    share = told(F.greatest("n_term", "n_near"))
-    scored = pairs.join(counts, "term").groupBy("term").agg(F.max(share).alias("told"))
+    scored = pairs.join(counts, "term").groupBy("term").agg(F.max(told(F.col("n_term"))).alias("told"))
     chosen = scored.where(F.col("told") >= generalise).select("term", (F.col("told") >= remove).alias("removed"))
     return stage(chosen, "disclosing")
 
 
+def _source(text: Column) -> Column:
+    """What equal texts have in common."""
+    return F.xxhash64(text)
+
+
 def _words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
 

@@ -86,6 +86,26 @@ def test_disclosing_terms(spark):
     assert all(not out[i].spans for i in clean)
 
 
+def passages(spark, told, others):
+    """Distinct filler around each of ``told``, ``others`` texts of filler alone."""
+    rng = random.Random(3)
+    filler = ["".join(rng.choice("aeioulmnrst") for _ in range(6)) for _ in range(300)]
+    texts = [" ".join([*rng.sample(filler, 12), t, *rng.sample(filler, 12)]) for t in told]
+    return texts + [" ".join(rng.sample(filler, 40)) for _ in range(others)], filler
+
+
+def terms_of(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    return {r.term: r.removed for r in pii.disclosing_terms(df).collect()}
+
+
+def test_name_beside_three_entities(spark):
+    beside = "Falconer ann@x.org +1 736 555 2678 10.0.0.1"
+    texts, filler = passages(spark, [beside] * 8, 302)
+    terms = terms_of(spark, [*texts, "a falconer elsewhere"])
+    assert terms.get("falconer") is True and not set(terms) & set(filler)
+
+
 # -- 2 ----------------------------------------------------------------------
 def test_token_counts(spark, docs):
     encode = ChunkEncoder(VOCABULARY).tokenizer.encode
