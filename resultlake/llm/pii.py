@@ -4,10 +4,10 @@ Protected entities are what four patterns find: e-mail and IP addresses, payment
 and telephone numbers. A term reveals an entity as far as knowing the term tells that
 the entity is near: the pointwise mutual information of the two as a share of the
 entity's own information, ``log(P(e|t) / P(e)) / log(1 / P(e))``, estimated from the
-corpus. Joint counts are distinct contexts of an entity that hold the term, so copies
-of a text count once; the term's own count is over all documents. Terms above the first
-threshold are generalised wherever they occur, above the second removed; base entities
-always become their kind.
+corpus. All counts are of distinct texts, so copies count once: those with the entity,
+those with the term, those with the term in a context of the entity, and all. A pair
+needs a few distinct contexts besides. Terms above the first threshold are generalised
+wherever they occur, above the second removed; base entities always become their kind.
 
 All work is column expressions and joins. What is exploded is the contexts of the
 entities and, for the counts, the words of each document; counts are summed up before
@@ -140,11 +140,12 @@ def disclosing_terms(
 ) -> DataFrame:
     """``term, removed`` of ``docs (text)``, staged: what reveals some entity too well."""
     contexts = stage(_contexts(docs), "contexts")
-    entities = contexts.groupBy("entity").agg(F.count_distinct("context").alias("n_entity"))
+    entities = contexts.groupBy("entity").agg(F.count_distinct("source").alias("n_entity"))
     together = contexts.select("entity", "source", "context", F.explode("terms").alias("term"))
     # Texts that hold the term near any entity: at most those that hold it at all.
     near = together.select("term", "source").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    prior = F.least(F.lit(1.0), F.col("n_entity") / F.lit(float(max(1, docs.count()))))
+    total = docs.select(_source(F.col("text"))).distinct().count()
+    prior = F.least(F.lit(1.0), F.col("n_entity") / F.lit(float(max(1, total))))
 
     def told(count: Column) -> Column:
         given = F.least(F.lit(1.0), F.col("n_both") / count)
@@ -153,8 +154,8 @@ def disclosing_terms(
     # What is common around entities is settled here and never looked for in the corpus.
     pairs = (
         together.groupBy("entity", "term")
-        .agg(F.count_distinct("context").alias("n_both"))
-        .where(F.col("n_both") >= support)
+        .agg(F.count_distinct("context").alias("n_contexts"), F.count_distinct("source").alias("n_both"))
+        .where(F.col("n_contexts") >= support)
         .join(entities, "entity")
         .join(near, "term")
         .where(told(F.col("n_near")) >= generalise)
@@ -164,7 +165,8 @@ def disclosing_terms(
     if pairs.isEmpty():
         return empty
     asked = stage(pairs.select("term").distinct(), "terms")
-    held = docs.select(F.explode(_words(F.col("text"))).alias("term")).join(small(asked), "term")
+    words = docs.select(_source(F.col("text")).alias("source"), F.explode(_words(F.col("text"))).alias("term"))
+    held = words.join(small(asked), "term").distinct()
     counts = held.groupBy("term").agg(F.count("*").alias("n_term"))
     scored = pairs.join(counts, "term").groupBy("term").agg(F.max(told(F.col("n_term"))).alias("told"))
     chosen = scored.where(F.col("told") >= generalise).select("term", (F.col("told") >= remove).alias("removed"))

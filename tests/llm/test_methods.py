@@ -106,6 +106,13 @@ def test_name_beside_three_entities(spark):
     assert terms.get("falconer") is True and not set(terms) & set(filler)
 
 
+def test_copies_of_a_text_count_once(spark):
+    texts, filler = passages(spark, ["Falconer writes to ann@x.org"] * 3, 300)
+    once = terms_of(spark, texts)
+    copied = terms_of(spark, [*texts, *texts[:1] * 400])
+    assert once.get("falconer") is True and copied == once and not set(once) & set(filler)
+
+
 # -- 2 ----------------------------------------------------------------------
 def test_token_counts(spark, docs):
     encode = ChunkEncoder(VOCABULARY).tokenizer.encode
