@@ -13,6 +13,9 @@ All work is column expressions and joins. What is exploded is the contexts of th
 entities and, for the counts, the words of each document; counts are summed up before
 they are shuffled, and terms are broadcast only after their size was measured.
 
+A term is any run of letters and digits, whatever its length; where words are not set
+apart, it is all that stands between two other characters.
+
 A null text is an empty one. Rows without spans keep their text. Repeated rows are
 found alike. Spans are in code points, ends exclusive, by start, then kind; a term
 inside a base span is no span of its own. Extra columns are ignored or kept.
@@ -41,7 +44,9 @@ HINTS = {"email": "@", "phone": "+"}
 # Code points of a context on either side, contexts that support an entity or a pair.
 CONTEXT, SUPPORT = 100, 3
 GENERALISE, REMOVE = 0.8, 0.95
-WORDS = r"\p{L}{4,}"
+# Words of letters, with their marks, and digits.
+IN_WORD = r"[\p{L}\p{M}\p{N}]"
+WORDS = IN_WORD + "+"
 GENERALISED, REMOVED = "<WORD>", ""
 
 _SPAN = "array<struct<start: int, kind: int, end: int, found: string>>"
@@ -183,7 +188,7 @@ def _words(text: Column) -> Column:
 
 
 def _term_spans(text: Column, terms: Column) -> Column:
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(terms, "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(f"(?iu)(?<!{IN_WORD})(?:"), F.array_join(terms, "|"), F.lit(f")(?!{IN_WORD})"))
     return F.when(F.size(terms) > 0, _located(text, pattern, len(KINDS))).otherwise(_none())
 
 

@@ -113,6 +113,17 @@ def test_copies_of_a_text_count_once(spark):
     assert once.get("falconer") is True and copied == once and not set(once) & set(filler)
 
 
+@pytest.mark.parametrize("name", ["Lee", "Wu", "王伟", "K4711", "90210", "नाम"])
+def test_short_names_and_codes(spark, name):
+    texts, filler = passages(spark, [f"{name}, ann@x.org"] * 8, 300)
+    texts += [f"so {name} said", f"x{name}9 is another"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert pii.disclosing_terms(df).where(F.lower(F.lit(name)) == F.col("term")).first().removed
+    out = {r.doc_id: r.pii for r in pii.sanitise(df).where("doc_id < 8 or doc_id >= 308").collect()}
+    assert all(name not in out[i].text for i in range(8))
+    assert out[308].text == "so  said" and out[309].text == texts[309]
+
+
 # -- 2 ----------------------------------------------------------------------
 def test_token_counts(spark, docs):
     encode = ChunkEncoder(VOCABULARY).tokenizer.encode
