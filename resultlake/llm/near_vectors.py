@@ -8,6 +8,12 @@ looked up in every table under its own substring and all those one bit away
 only if its codes are close; the original vectors decide. Substrings get longer and
 tables more numerous with the logarithm of the corpus, so buckets stay small.
 
+Codes are those of the vectors less their mean, from which a pair at the threshold looks
+wider apart than from the origin, the more so the nearer the vectors are to the mean.
+Tables are as many as the angle there asks for, measured on the sample. Where that would
+be too many, since nearly all vectors are close to one, they are turned at random about
+the origin instead, where the angle is the threshold's own.
+
 Copies (equal vectors) are one class and are compared once. Vectors that are null, zero
 or hold null or non-finite components are linked with nothing; vectors of different
 lengths are not compared. Repeated rows are vectors of their own. Ties do not matter:
@@ -35,6 +41,9 @@ THRESHOLD = 0.95
 #: Numbers of the sample the rotation is learned on, at most, and its rows.
 SAMPLE_NUMBERS, SAMPLE_ROWS = 1 << 21, 8192
 TURNS, RECALL = 30, 0.94
+#: Share of the sample that may be nearer to the mean than what the tables are sized for;
+#: tables beyond which the mean is not taken off.
+NEAREST, MOST_TABLES = 0.02, 64
 VECTORS_PER_BATCH = 4096
 
 
@@ -46,35 +55,47 @@ class Quantiser:
     axes: np.ndarray  # dimensions x (tables * bits)
     bits: int
     tables: int
+    off: float  # share of bits in which a pair at the threshold differs
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         on = ((x - self.mean) @ self.axes > 0).reshape(len(x), self.tables, self.bits)
         return on.astype(np.int64) @ (1 << np.arange(self.bits, dtype=np.int64))
 
 
-def plan(count: int, threshold: float) -> tuple[int, int]:
+def share_off(threshold: float, radius: float = 1.0) -> float:
+    """Share of bits in which two unit vectors at the threshold differ, seen from a point
+    at the distance ``radius`` of both."""
+    return math.acos(max(-1.0, 1 - (1 - threshold) / max(radius**2, 1e-300))) / math.pi
+
+
+def plan(count: int, off: float) -> tuple[int, float]:
     """Bits of a substring and number of tables: buckets of a few vectors, and the share
     of pairs at the threshold itself that some table finds."""
     bits = min(32, max(12, math.ceil(math.log2(max(2, count)))))
-    off = math.acos(threshold) / math.pi
     hit = (1 - off) ** bits + bits * off * (1 - off) ** (bits - 1)
-    return bits, max(4, math.ceil(math.log(1 - RECALL) / math.log(1 - hit)))
-
-
-def learn(sample: np.ndarray, bits: int, tables: int, seed: int = 11) -> Quantiser:
-    """Iterative quantisation; as many rotations as the code has bits."""
-    mean = sample.mean(0)
+    return bits, max(4, math.ceil(math.log(1 - RECALL) / math.log1p(-hit))) if hit > 1e-9 else math.inf
+
+
+def learn(sample: np.ndarray, count: int, threshold: float, seed: int = 11) -> Quantiser:
+    """Iterative quantisation for ``count`` vectors; as many rotations as the code has bits."""
+    mean, turns = sample.mean(0), TURNS
+    radius = float(np.quantile(np.sqrt(((sample - mean) ** 2).sum(1)), NEAREST))
+    off = share_off(threshold, radius)
+    bits, tables = plan(count, off)
+    if tables > MOST_TABLES:
+        mean, turns, off = np.zeros_like(mean), 0, share_off(threshold)
+        bits, tables = plan(count, off)
     x = sample - mean
     _, axes = np.linalg.eigh(x.T @ x)
     y, rng, found = x @ axes, np.random.default_rng(seed), []
     while sum(a.shape[1] for a in found) < bits * tables:
         turn = np.linalg.qr(rng.normal(size=(y.shape[1], y.shape[1])))[0]
-        for _ in range(TURNS):
+        for _ in range(turns):
             corner = np.where(y @ turn > 0, 1.0, -1.0)
             u, _, v = np.linalg.svd(corner.T @ y)
             turn = (u @ v).T
         found.append(axes @ turn)
-    return Quantiser(mean, np.concatenate(found, 1)[:, : bits * tables], bits, tables)
+    return Quantiser(mean, np.concatenate(found, 1)[:, : bits * tables], bits, tables, off)
 
 
 def _padded(column: pa.Array, width: int | None = None) -> np.ndarray:
@@ -121,7 +142,7 @@ def _similar(batches, threshold: float):
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
 
 
-def candidate_pairs(codes: DataFrame, model: Quantiser, threshold: float) -> DataFrame:
+def candidate_pairs(codes: DataFrame, model: Quantiser) -> DataFrame:
     """Pairs ``(a, b)``, a < b, of ``codes (cls, code, dim)`` that a table has, once each."""
     at, code = F.posexplode("code"), F.col("code")
     listed = codes.select(F.col("cls").alias("b"), code.alias("cb"), F.col("dim").alias("db"), at.alias("t", "key"))
@@ -131,7 +152,7 @@ def candidate_pairs(codes: DataFrame, model: Quantiser, threshold: float) -> Dat
     apart = [F.bit_count(F.col("ca")[t].bitwiseXOR(F.col("cb")[t])) for t in range(model.tables)]
     earlier = reduce(lambda x, y: x | y, ((F.col("t") > t) & (apart[t] <= 1) for t in range(model.tables)))
     # Twice the bits that pairs at the threshold differ in, and a margin.
-    most = int(2 * model.bits * model.tables * math.acos(threshold) / math.pi + 6)
+    most = int(2 * model.bits * model.tables * model.off + 6)
     together = asked.join(listed, ["t", "key"]).where(
         (F.col("a") < F.col("b")) & (F.col("da") == F.col("db")) & ~earlier & (reduce(lambda x, y: x + y, apart) <= most)
     )
@@ -167,10 +188,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         return alone
     limit = max(64, min(SAMPLE_ROWS, SAMPLE_NUMBERS // widest[0]))
     sample = chosen.orderBy(F.xxhash64("vector"), "cls").limit(limit).select("vector").toArrow()
-    learned = learn(_unit(_padded(sample["vector"].combine_chunks(), widest[0])), *plan(widest[1], threshold))
+    learned = learn(_unit(_padded(sample["vector"].combine_chunks(), widest[0])), widest[1], threshold)
     model = spark.sparkContext.broadcast(learned)
     codes = stage(chosen.mapInArrow(partial(_coded, model=model), "cls long, code array<long>, dim int"), "codes")
-    pairs = stage(candidate_pairs(codes, learned, threshold), "vector-pairs")
+    pairs = stage(candidate_pairs(codes, learned), "vector-pairs")
     one = chosen.select(F.col("cls").alias("a"), F.col("vector").alias("va"))
     other = chosen.select(F.col("cls").alias("b"), F.col("vector").alias("vb"))
     compared = pairs.join(one, "a").join(other, "b").select("a", "b", "va", "vb")

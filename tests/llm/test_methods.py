@@ -243,6 +243,38 @@ def test_near_vectors_recall(spark):
     assert rows[700 + 300 + 60].n_links == true[5] and rows[700 + 300 + 60].component_id == 5
 
 
+def links_found(spark, x):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in near_vectors.near_duplicates(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    true = linked.sum(1)
+    assert all(found[i] <= true[i] for i in found)
+    return sum(found.values()), true.sum()
+
+
+@pytest.mark.parametrize("common", [0.8, 0.86, 0.92])
+def test_near_vectors_with_a_common_component(spark, common):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(900, 64))
+    x[:, 0] = 0
+    x *= np.sqrt(1 - common) / np.linalg.norm(x, axis=1)[:, None]
+    x[:, 0] = np.sqrt(common)
+    apart = rng.normal(size=(400, 64))
+    apart[:, 0] = 0
+    other = x[:400] + 0.3 * apart / np.linalg.norm(apart, axis=1)[:, None]
+    found, true = links_found(spark, np.concatenate([x, other]))
+    assert found >= 0.9 * true and true > 400
+
+
+@pytest.mark.parametrize("count", [2, 3, 40])
+def test_near_vectors_of_one_tight_group(spark, count):
+    rng = np.random.default_rng(8)
+    found, true = links_found(spark, 1 + rng.normal(size=(count, 32)) * 0.05)
+    assert found >= 0.9 * true and true == count * (count - 1)
+
+
 # -- 5 ----------------------------------------------------------------------
 @pytest.mark.parametrize("density", [0.05, 1.0])
 def test_top_products(spark, density, monkeypatch):
