@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from resultlake.llm import (
     language,
+    lines,
     mixture,
     near_vectors,
     packing,
@@ -112,6 +113,14 @@ def op10_quality_classifier(spark, sf_dir):
     )
 
 
+@query
+def op11_line_dedup(spark, sf_dir):
+    found = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "lines.n_lines", "lines.n_dropped", F.sha2(F.col("lines.text"), 256).alias("kept_sha256")
+    )
+
+
 # -- counterparts in DuckDB, where SQL can say it ----------------------------
 _REACHED = """
 reach AS (
@@ -199,3 +208,21 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
 FROM p JOIN f USING (payload_digest)
 """
+
+LLM_ORACLES["op11_line_dedup"] = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM d
+),
+k AS (
+  SELECT doc_id, line, pos,
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM l
+),
+often AS (SELECT line_key FROM k WHERE line_key <> '' GROUP BY line_key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(o.line_key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (o.line_key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN often o ON o.line_key = k.line_key
+GROUP BY doc_id
+"""
