@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resultlake.llm import (
+    collocations,
     language,
     lines,
     mixture,
@@ -121,6 +122,11 @@ def op11_line_dedup(spark, sf_dir):
     )
 
 
+@query
+def op13_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 # -- counterparts in DuckDB, where SQL can say it ----------------------------
 _REACHED = """
 reach AS (
@@ -226,3 +232,41 @@ SELECT doc_id, count(*) AS n_lines, count(o.line_key) AS n_dropped,
 FROM k LEFT JOIN often o ON o.line_key = k.line_key
 GROUP BY doc_id
 """
+
+LLM_ORACLES["op13_phrase_collocations"] = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+sizes AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 5)) AS k) WHERE len(ws) >= k
+),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k AS n, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+    CAST(2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, n)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:], ' ')
+),
+best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(a) AS a
+  FROM c, (SELECT unnest(range(1, 4)) AS s), (SELECT unnest(range(2, 4)) AS m)
+  WHERE m < n AND s + m - 1 <= n GROUP BY ALL
+),
+alone AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE i.a IS NULL OR 100::HUGEINT * i.a < 80::HUGEINT * b.a
+)
+SELECT a.lang, row_number() OVER (PARTITION BY a.lang ORDER BY score DESC, a.a DESC, phrase) AS rank, phrase, a.a, l, r, n, score
+FROM alone a JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
