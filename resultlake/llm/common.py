@@ -24,7 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts may hold."""
+    """Bound what one Arrow batch of whole texts may hold, and see that the executors
+    have what is to work on it."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resultlake.llm import (
+    alignment,
     collocations,
     language,
     lines,
@@ -122,6 +123,12 @@ def op11_line_dedup(spark, sf_dir):
     )
 
 
+@query
+def op12_tokenizer_alignment(spark, sf_dir):
+    found = alignment.alignments(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 @query
 def op13_phrase_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))

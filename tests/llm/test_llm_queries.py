@@ -65,7 +65,7 @@ def folder(spark, request, tmp_path_factory):
     return path, len(docs)
 
 
-PER_DOCUMENT = ["op11_line_dedup", "op1_pii_sanitisation", "op3_source_mixture", "op7_ngram_jaccard_join", "op9_language_id", "op10_quality_classifier"]
+PER_DOCUMENT = ["op12_tokenizer_alignment", "op11_line_dedup", "op1_pii_sanitisation", "op3_source_mixture", "op7_ngram_jaccard_join", "op9_language_id", "op10_quality_classifier"]
 
 
 @pytest.mark.parametrize("name", sorted(LLM_QUERIES))
