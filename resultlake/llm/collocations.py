@@ -29,7 +29,9 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -158,17 +160,39 @@ class Ngrams:
 
 
 # -- counting ---------------------------------------------------------------
-_BLOCK = "slot int, fps binary, checks binary, counts binary, docs binary, keys binary"
+_BLOCK = "slot int, entries long, packed binary"
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal rank together, where those that are zero compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+# The columns of a block, each laid out by rank of bytes, so that like stands beside like.
+_COLUMNS = [np.uint64, np.uint16, np.uint32, np.uint32]
 
 
-def _unplaned(raw: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+def _packed(columns: list[np.ndarray], keys: np.ndarray) -> bytes:
+    raw = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([*raw, keys.tobytes()]))
+
+
+def _unpacked(entries: int, packed: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    columns, at = [], 0
+    for kind in _COLUMNS:
+        size = np.dtype(kind).itemsize
+        planes = raw[at : at + size * entries].reshape(size, entries)
+        columns.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += size * entries
+    return columns, raw[at:].view(np.int64) if at < len(raw) else np.zeros(0, np.int64)
+
+
+def _slices(batches, column: int):
+    """Batches cut into stretches of about CHUNK bytes of text, a text at least."""
+    for batch in batches:
+        total = np.cumsum(pa.compute.binary_length(batch.column(column).fill_null("")).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            done = total[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(total, done + CHUNK, "right")))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def _summed(fp: np.ndarray, check: np.ndarray, count: np.ndarray | None):
@@ -216,18 +240,15 @@ def _blocks(batches, ranges: int, seed: int, hold: int):
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             used, place = np.unique(doc[a:b], return_inverse=True)
             steps = np.diff(fp[a:b], prepend=np.uint64(0))
-            rows.append((
-                int(slot[a]), _planes(steps), _planes(check[a:b]), _planes(count[a:b].astype(np.int64)),
-                _planes(place.astype(np.uint32)), known[used].tobytes(),
-            ))
+            columns = [steps, check[a:b], count[a:b].astype(np.uint32), place.astype(np.uint32)]
+            rows.append((int(slot[a]), b - a, _packed(columns, known[used])))
         held.clear(), sizes.clear(), keys.clear()
         waiting = documents = 0
-        kinds = [pa.int32()] + [pa.binary()] * 5
-        names = ["slot", "fps", "checks", "counts", "docs", "keys"]
+        kinds = [pa.int32(), pa.int64(), pa.binary()]
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+        return pa.RecordBatch.from_arrays(columns, names=["slot", "entries", "packed"])
 
-    for batch in batches:
+    for batch in _slices(batches, 2):
         grams = Ngrams(batch.column(1).to_pylist(), batch.column(2), poly)
         keys.append(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
         for _, fp, check, doc, _ in grams.found:
@@ -263,16 +284,13 @@ def _frequent(batches, least: int):
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["fp", "check", "f", "first", "last"])
 
     for batch in batches:
-        for slot, fps, checks, counts, docs, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for slot, entries, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if slot != now and held:
                 yield added()
                 held.clear()
             now = slot
-            place = _unplaned(docs, np.uint32)
-            held.append((
-                np.cumsum(_unplaned(fps, np.uint64), dtype=np.uint64), _unplaned(checks, np.uint16),
-                _unplaned(counts, np.int64), np.frombuffer(keys, np.int64)[place],
-            ))
+            (steps, check, count, place), keys = _unpacked(entries, packed)
+            held.append((np.cumsum(steps, dtype=np.uint64), check, count.astype(np.int64), keys[place]))
     if held:
         yield added()
 
@@ -280,7 +298,7 @@ def _frequent(batches, least: int):
 # -- phrases ----------------------------------------------------------------
 def _materialised(batches, seed: int):
     poly = polynomials(seed)
-    for batch in batches:
+    for batch in _slices(batches, 1):
         grams = Ngrams(batch.column(0).to_pylist(), batch.column(1), poly)
         out: list[tuple] = []
         wanted = [np.unique(np.array(w, np.int64)) for w in batch.column(2).to_pylist()]
