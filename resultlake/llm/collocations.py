@@ -46,6 +46,8 @@ HELD, RANGES_PER_SPLIT = 3_000_000, 4
 # Bytes whose words are coded at a time.
 CHUNK = 1 << 20
 UNKNOWN = "und"
+# Slices of a language that are ranked by themselves first.
+RANK_SLICES = 64
 
 # What a byte is: 0 of a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
@@ -400,7 +402,13 @@ def scored(phrases: DataFrame, covered: int = COVERED) -> DataFrame:
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, covered: int = COVERED, **options) -> DataFrame:
     """The best-scoring phrases of every language: ``lang, rank, phrase, a, l, r, n,
     score``."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(frequent_phrases(docs, least, **options), covered).withColumn("rank", F.row_number().over(order))
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # What leads a language leads its slice of it, so no task ranks a whole language.
+    sliced = scored(frequent_phrases(docs, least, **options), covered).withColumn(
+        "slice", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SLICES))
+    )
+    within = F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))
+    leading = sliced.withColumn("within", within).where(F.col("within") <= top)
+    ranked = leading.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     ranked = ranked.where(F.col("rank") <= top).withColumn("rank", F.col("rank").cast("long"))
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
