@@ -3,7 +3,9 @@
 Two vocabularies encode the same bytes. A token of one and a token of the other are
 linked where their byte ranges overlap; byte offsets at which tokens of both end cut
 the tokens into groups. Cutting the bytes at all ends of either side gives one segment
-for every link, so both come from two sorted arrays of ends.
+for every link, so both come from two sorted arrays of ends. Neither vocabulary has a
+token that goes on past a word into the next space, so a word is encoded and aligned
+alike wherever it stands: new words are aligned as they come, known ones are remembered.
 
 The first pass aligns all documents and hands on, a task at a time, the distinct id
 pairs with their numbers of links, dealt by a hash of the pair into parts. Each part
@@ -27,6 +29,8 @@ of special tokens inside a text are plain text.
 from __future__ import annotations
 
 import hashlib
+import re
+import uuid
 from functools import lru_cache, partial
 
 import numpy as np
@@ -43,6 +47,8 @@ FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 PARTS, BRANCHES = 64, 16
 # Pairs a task holds before it hands them on; texts encoded together.
 HELD, TOGETHER = 2_000_000, 256
+# Words a worker remembers, and bytes of them and of their groups.
+WORDS, WORD_BYTES = 700_000, 150_000_000
 # Bits of a level of the hash for every key left.
 ROOM = 2
 
@@ -85,6 +91,11 @@ class ByteVocabulary:
         encoded = self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         return [e.ids for e in encoded]
 
+    def words_apart(self) -> bool:
+        """True if the file's own splitter, which no token crosses, cuts before a space."""
+        parts = self.model.pre_tokenizer.pre_tokenize_str(" a b. 1 2 é' c")
+        return [len(p.lstrip("Ġ")) < len(p) for p, _ in parts].count(True) == 6
+
 
 class PieceVocabulary:
     """A model file of the sentencepiece library; it puts a space before a text."""
@@ -102,6 +113,10 @@ class PieceVocabulary:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def words_apart(self) -> bool:
+        """True if no token goes on past the end of a word into a space."""
+        return not any(b" " in token.lstrip(b" ") for token in self.tokens)
+
 
 @lru_cache(maxsize=4)
 def vocabulary(name: str):
@@ -117,47 +132,186 @@ class Aligner:
         self.base = len(self.sides[1].tokens)
         # A token's id followed by each mark that may come after it.
         self.marked = [
-            np.array([f"{i}{mark}" for mark in (",", last, "") for i in range(len(v.tokens))], object)
+            np.array([f"{i}{mark}" for mark in (",", last) for i in range(len(v.tokens))], object)
             for v, last in zip(self.sides, ("|", ";"), strict=True)
         ]
 
-    def aligned(self, texts: list[str | None]):
-        """Per text None, or the ids of both sides, for each link the positions of its
-        two tokens, and the position behind the last token of each group on each side."""
-        for at in range(0, len(texts), TOGETHER):
-            some = texts[at : at + TOGETHER]
-            full = [t for t in some if t]
-            encoded = iter(zip(*(side.encode(full) for side in self.sides), strict=True))
-            for text in some:
-                yield self._one(text, *next(encoded)) if text else None
-
-    def _one(self, text: str, one: list[int], other: list[int]):
+    def aligned(self, text: str):
+        """None if a side does not give the text back, else the ids of both sides, for
+        each link the positions of its two tokens and its last byte, and for each group
+        the positions behind its last tokens and its last byte."""
         whole = b" " + text.encode("utf-8", "surrogatepass")
-        ids, ends = [np.array(one, np.int64), np.array(other, np.int64)], []
+        ids, ends = [np.array(side.encode([text])[0], np.int64) for side in self.sides], []
         for side, sizes, i in zip(self.sides, self.sizes, ids, strict=True):
             ends.append(np.cumsum(sizes[i]))
             if not len(i) or ends[-1][-1] != len(whole) or b"".join([side.tokens[t] for t in i.tolist()]) != whole:
                 return None
-        cuts = np.union1d(*ends)
-        links = [np.searchsorted(e, cuts) for e in ends]
-        both = np.intersect1d(*ends, assume_unique=False)
-        return ids, links, [np.searchsorted(e, both) + 1 for e in ends]
+        cuts, both = np.union1d(*ends), np.intersect1d(*ends, assume_unique=True)
+        links, edges = ([np.searchsorted(e, at) for e in ends] for at in (cuts, both))
+        return ids, ends, (links, cuts), ([e + 1 for e in edges], both)
 
     def pairs(self, ids, links) -> np.ndarray:
         return ids[0][links[0]] * self.base + ids[1][links[1]]
 
-    def groups_text(self, ids, edges) -> str:
-        """``a1,a2|b1;a3|b2``: groups by semicolons, sides by a bar, ids by commas."""
+    def marked_ids(self, ids, edges) -> tuple[list[str], np.ndarray]:
+        """Ids with the mark that follows each in ``a1,a2|b1;a3|b2``, in that order, and
+        the number of ids up to each group's end."""
         parts, order = [], []
         for side, (i, edge) in enumerate(zip(ids, edges, strict=True)):
             mark = np.zeros(len(i), np.int64)
             mark[edge - 1] = 1
-            if side:
-                mark[-1] = 2
-            parts.append(self.marked[side][mark * (len(self.marked[side]) // 3) + i])
+            parts.append(self.marked[side][mark * len(self.sides[side].tokens) + i])
             order.append(2 * np.searchsorted(edge, np.arange(len(i)), "right") + side)
         order = np.argsort(np.concatenate(order), kind="stable")
-        return "".join(np.concatenate(parts)[order].tolist())
+        return np.concatenate(parts)[order].tolist(), edges[0] + edges[1]
+
+
+# -- words --------------------------------------------------------------------
+_DOUBLE = re.compile(r"\s\s|\A\s|\s\Z")
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+
+
+def split_words(text: str) -> list[str]:
+    """Cut a text at each single space between two characters that are no white space;
+    what is cut there is encoded alike alone and in the text."""
+    return _BETWEEN.split(text) if _DOUBLE.search(text) else text.split(" ")
+
+
+class Words:
+    """What is known of the words met so far: both vocabularies end a token at the end
+    of a word, so tokens, groups and links of a text are those of its words in order,
+    and a word met before is not aligned again. New words are aligned many at a time,
+    as one text. Without room for more, all are forgotten."""
+
+    def __init__(self, align: Aligner):
+        self.align, self.table, self.highest, self.run = align, None, None, None
+        self.apart = all(side.words_apart() for side in align.sides)
+        self.forget()
+
+    def look_up(self, run: str, rows: list[dict], best: list[tuple[int, int]]) -> None:
+        """Count by this run's table from now on, also the words known already."""
+        if self.run == run:
+            return
+        self.run, self.table = run, PairTable(rows)
+        self.highest = np.zeros(self.align.base, np.int64)
+        for i, count in best:
+            self.highest[i] = count
+        known = len(self.index)
+        if known:
+            try:
+                self._count(slice(0, known), np.concatenate([*self.pairs, np.zeros(0, np.int64)]))
+            except KeyError:
+                self.forget()  # words of another table's documents
+
+    def begin(self) -> None:
+        """Start a first pass: what is known of words stays, their counts do not."""
+        self.times[:] = 0
+        self.run = self.table = self.highest = None
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.texts: list[str] = []
+        self.bytes = 0
+        # Per word: tokens of both sides, groups, links, best links, sum of counts (the
+        # first is -1 where a side does not give the word back).
+        self.stats = np.zeros((1024, 6), np.int64)
+        self.pair_ends = np.zeros(1024, np.int64)
+        self.pairs: list[np.ndarray] = []
+        self.times = np.zeros(1024, np.int64)
+
+    @property
+    def full(self) -> bool:
+        return len(self.index) > WORDS or self.bytes > WORD_BYTES
+
+    def of(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """The numbers of each text's words; None for texts without tokens."""
+        split = [(split_words(t) if self.apart else [t]) if t else [] for t in texts]
+        new = sorted(set().union(*split).difference(self.index))
+        plain = [w for w in new if not (w[:1].isspace() or w[-1:].isspace())]
+        self._learn(plain)
+        for word in set(new).difference(plain):
+            self._learn([word])
+        known = self.index.__getitem__
+        numbers = [np.fromiter(map(known, words), np.int64, len(words)) for words in split]
+        return [n if len(n) and self.stats[n, 0].min() >= 0 else None for n in numbers]
+
+    def _learn(self, words: list[str]) -> None:
+        if not words:
+            return
+        found = self.align.aligned(" ".join(words))
+        if found is None and len(words) > 1:
+            self._learn(words[: len(words) // 2])
+            self._learn(words[len(words) // 2 :])
+            return
+        first, count = len(self.index), len(words)
+        while first + count > len(self.stats):
+            self.stats = np.concatenate([self.stats, np.zeros_like(self.stats)])
+            self.pair_ends = np.concatenate([self.pair_ends, np.zeros_like(self.pair_ends)])
+            self.times = np.concatenate([self.times, np.zeros_like(self.times)])
+        mine = slice(first, first + count)
+        self.index.update(zip(words, range(first, first + count), strict=True))
+        sizes = np.array([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words])
+        self.bytes += int(sizes.sum())
+        before = self.pair_ends[first - 1] if first else 0
+        if found is None:
+            self.stats[first, 0], self.pair_ends[first] = -1, before
+            self.texts.append("")
+            return
+        ids, ends, (links, cuts), (edges, both) = found
+        word_ends = np.cumsum(sizes)
+        for column, at in enumerate([*ends, both, cuts]):
+            self.stats[mine, column] = np.diff(np.searchsorted(at, word_ends, "right"), prepend=0)
+        pairs = self.align.pairs(ids, links)
+        self.pairs.append(pairs)
+        self.pair_ends[mine] = before + np.cumsum(self.stats[mine, 3])
+        if self.table is not None:
+            self._count(mine, pairs)
+        marked, upto = self.align.marked_ids(ids, edges)
+        stops = upto[np.cumsum(self.stats[mine, 2]) - 1].tolist()
+        self.bytes += 4 * len(marked)
+        self.texts += ["".join(marked[a:b]) for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def _count(self, words: slice, pairs: np.ndarray) -> None:
+        counts = self.table.counts[self.table.verified(pairs)]
+        best = counts == self.highest[pairs % self.align.base]
+        ends = np.cumsum(np.maximum(self.stats[words, 3], 0))
+        for column, values in ((4, best), (5, counts)):
+            sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[ends]
+            self.stats[words, column] = np.diff(sums, prepend=0)
+
+    def groups_text(self, numbers: np.ndarray) -> str:
+        return "".join(map(self.texts.__getitem__, numbers.tolist()))[:-1]
+
+    def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of some words and their numbers of links."""
+        flat = self.pairs[0] if len(self.pairs) == 1 else np.concatenate([*self.pairs, np.zeros(0, np.int64)])
+        self.pairs = [flat]
+        words, times = np.unique(numbers, return_counts=True)
+        size = self.stats[words, 3]
+        place = np.repeat(self.pair_ends[words] - np.cumsum(size), size) + np.arange(int(size.sum()))
+        return _added(flat[place], np.repeat(times, size))
+
+    def count(self, numbers: list[np.ndarray]) -> None:
+        if numbers:
+            seen = np.bincount(np.concatenate(numbers))
+            self.times[: len(seen)] += seen
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of all words counted, with their numbers of links; the words'
+        own counts begin anew."""
+        known = len(self.index)
+        flat = np.concatenate([*self.pairs, np.zeros(0, np.int64)])
+        times = np.repeat(self.times[:known], self.stats[:known, 3])
+        self.times[:] = 0
+        return _added(flat[times > 0], times[times > 0])
+
+
+def _added(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and the sums of their numbers, exactly."""
+    order = np.argsort(pairs, kind="stable")
+    pairs = pairs[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(pairs)), bool), pairs[1:] != pairs[:-1]]))
+    return pairs[first], np.add.reduceat(times[order], first) if len(first) else times[:0]
 
 
 @lru_cache(maxsize=2)
@@ -233,7 +387,7 @@ class PairTable:
         """Slots; every key must be the one that its slot was made for."""
         slots = self.slots(keys)
         if len(keys) and ((slots < 0).any() or (self.keys[slots] != keys).any()):
-            raise ValueError("a pair is not in the table that its own documents made")
+            raise KeyError("a pair is not in the table that its own documents made")
         return slots
 
 
@@ -243,7 +397,7 @@ _PARTIAL = "part int, branch int, kind int, pairs binary, counts binary"
 
 def _dealt_pairs(batches, first: str, second: str):
     """Distinct pairs of a task with their numbers of links, a row per part."""
-    align = aligner(first, second)
+    words = known_words(first, second)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     waiting, branch = 0, TaskContext.get().partitionId() % BRANCHES
 
@@ -261,25 +415,31 @@ def _dealt_pairs(batches, first: str, second: str):
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=["part", "branch", "kind", "pairs", "counts"])
 
-    for batch in batches:
-        found = [align.pairs(a[0], a[1]) for a in align.aligned(batch.column(0).to_pylist()) if a]
-        if found:
-            held.append(np.unique(np.concatenate(found), return_counts=True))
+    words.begin()
+    for texts in _together(batches, 0):
+        words.count([n for n in words.of(texts) if n is not None])
+        if words.full:
+            held.append(words.counted())
+            words.forget()
             waiting += len(held[-1][0])
         if waiting >= HELD:
-            held[:] = [_merged(held)]
-            waiting = len(held[0][0])
-            if waiting >= HELD // 2:
-                yield summed()
-                held.clear()
-                waiting = 0
-    if held:
+            yield summed()
+            held.clear()
+            waiting = 0
+    held.append(words.counted())
+    if any(len(pairs) for pairs, _ in held):
         yield summed()
 
 
+def _together(batches, column: int):
+    for batch in batches:
+        texts = batch.column(column).to_pylist()
+        for at in range(0, len(texts), TOGETHER):
+            yield texts[at : at + TOGETHER]
+
+
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    pairs, where = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-    return pairs, np.bincount(where, np.concatenate([h[1] for h in held]), len(pairs)).astype(np.int64)
+    return _added(*(np.concatenate([h[i] for h in held]) for i in range(2)))
 
 
 def _groups(batches):
@@ -414,57 +574,55 @@ _RESULT = (
 )
 
 
-def _looked_up(batches, first: str, second: str, told, whole: bool):
-    align = aligner(first, second)
-    rows, best = told.value
-    table = PairTable(rows)
-    highest = np.zeros(align.base, np.int64)
-    for i, count in best:
-        highest[i] = count
+@lru_cache(maxsize=1)
+def known_words(first: str, second: str) -> Words:
+    """One per worker, for all tasks and both passes."""
+    return Words(aligner(first, second))
+
+
+def _shown(words: Words, numbers: np.ndarray, whole: bool) -> str:
+    text = words.groups_text(numbers)
+    return text if whole else hashlib.sha256(text.encode()).hexdigest()
+
+
+def _looked_up(batches, first: str, second: str, told, run: str, whole: bool):
+    words = known_words(first, second)
+    words.look_up(run, *told.value)
     names = [part.split(" ")[0] for part in _RESULT.split(", ")]
     kinds = [pa.int64()] * 7 + [pa.string()]
     for batch in batches:
-        out = []
-        for doc_id, found in zip(batch.column(0).to_pylist(), align.aligned(batch.column(1).to_pylist()), strict=True):
-            if not found:
-                out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
-                continue
-            ids, links, edges = found
-            pairs, times = np.unique(align.pairs(ids, links), return_counts=True)
-            count = table.counts[table.verified(pairs)]
-            top = count == highest[pairs % align.base]
-            # Python integers: sums may pass 64 bits only where a long could not hold them.
-            out.append((
-                doc_id, len(ids[0]), len(ids[1]), len(edges[0]), len(links[0]), int(times[top].sum()),
-                int((count * times).sum()), _shown(align, ids, edges, whole),
-            ))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-
-
-def _shown(align: Aligner, ids, edges, whole: bool) -> str:
-    text = align.groups_text(ids, edges)
-    return text if whole else hashlib.sha256(text.encode()).hexdigest()
+        out, texts = [], batch.column(1).to_pylist()
+        for at in range(0, len(texts), TOGETHER):
+            if words.full:
+                words.forget()
+            for numbers in words.of(texts[at : at + TOGETHER]):
+                if numbers is None:
+                    out.append((0, 0, 0, 0, 0, 0, ""))
+                else:
+                    out.append((*words.stats[numbers].sum(0).tolist(), _shown(words, numbers, whole)))
+        columns = [batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds[1:], strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _own_pairs(batches, first: str, second: str, whole: bool):
     """Rows of results without counts, each with its distinct pairs and their links."""
-    align = aligner(first, second)
+    words = known_words(first, second)
     for batch in batches:
-        out = []
-        for uid, doc_id, found in zip(
-            batch.column(0).to_pylist(), batch.column(1).to_pylist(), align.aligned(batch.column(2).to_pylist()), strict=True
-        ):
-            if not found:
-                out.append((uid, doc_id, 0, 0, 0, 0, "", []))
-                continue
-            ids, links, edges = found
-            pairs, times = np.unique(align.pairs(ids, links), return_counts=True)
-            each = [{"pair": p, "times": t} for p, t in zip(pairs.tolist(), times.tolist(), strict=True)]
-            shown = _shown(align, ids, edges, whole)
-            out.append((uid, doc_id, len(ids[0]), len(ids[1]), len(edges[0]), len(links[0]), shown, each))
-        kinds = [pa.int64()] * 6 + [pa.string(), pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))]
+        out, texts = [], batch.column(2).to_pylist()
+        for at in range(0, len(texts), TOGETHER):
+            if words.full:
+                words.forget()
+            for numbers in words.of(texts[at : at + TOGETHER]):
+                if numbers is None:
+                    out.append((0, 0, 0, 0, "", []))
+                    continue
+                pairs, times = words.pairs_of(numbers)
+                each = [{"pair": p, "times": t} for p, t in zip(pairs.tolist(), times.tolist(), strict=True)]
+                out.append((*words.stats[numbers, :4].sum(0).tolist(), _shown(words, numbers, whole), each))
+        kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))]
         names = ["uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+        made = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=names)
 
 
 def _unpacked(batches):
@@ -494,7 +652,7 @@ def alignments(
         told = spark.sparkContext.broadcast(
             ([r.asDict() for r in table.collect()], [(r["id"], r["highest"]) for r in best.collect()])
         )
-        look = partial(_looked_up, first=first, second=second, told=told, whole=whole)
+        look = partial(_looked_up, first=first, second=second, told=told, run=uuid.uuid4().hex, whole=whole)
         return rows.mapInArrow(look, _RESULT)
     numbered = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
     own = stage(

@@ -123,15 +123,29 @@ def test_hash_is_minimal_and_perfect():
         at += len(mine)
     slots = alignment.PairTable(rows[::-1]).slots(keys)
     assert np.array_equal(np.sort(slots), np.arange(at))
-    with pytest.raises(ValueError):
+    with pytest.raises(KeyError):
         alignment.PairTable(rows).verified(keys[:1] + 1)
 
 
-def test_same_bytes_again():
+def test_words_are_encoded_alike_alone_and_in_the_text():
     align = alignment.aligner(alignment.FIRST, alignment.SECOND)
-    for text, found in zip(["Ein Fluß, the river.", None], align.aligned(["Ein Fluß, the river.", None]), strict=True):
-        if text is None:
-            assert found is None
-            continue
-        for side, ids in zip(align.sides, found[0], strict=True):
-            assert b"".join(side.tokens[i] for i in ids) == b" " + text.encode()
+    for _, text in made_rows()[:120]:
+        words = alignment.split_words(text)
+        assert " ".join(words) == text
+        for side in align.sides:
+            assert side.words_apart()
+            assert side.encode([text])[0] == [i for ids in side.encode(words) for i in ids]
+
+
+def test_forgotten_words_change_nothing(monkeypatch):
+    align = alignment.aligner(alignment.FIRST, alignment.SECOND)
+    texts = [t for _, t in made_rows()]
+    once = alignment.Words(align)
+    wanted = [n if n is None else (once.stats[n].sum(0).tolist(), once.groups_text(n)) for n in once.of(texts)]
+    again = alignment.Words(align)
+    monkeypatch.setattr(alignment, "WORDS", 5)
+    for text, found in zip(texts, wanted, strict=True):
+        if again.full:
+            again.forget()
+        n = again.of([text])[0]
+        assert (n if n is None else (again.stats[n].sum(0).tolist(), again.groups_text(n))) == found
