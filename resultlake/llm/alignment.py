@@ -35,6 +35,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,9 +147,14 @@ class Aligner:
             ends.append(np.cumsum(sizes[i]))
             if not len(i) or ends[-1][-1] != len(whole) or b"".join([side.tokens[t] for t in i.tolist()]) != whole:
                 return None
-        cuts, both = np.union1d(*ends), np.intersect1d(*ends, assume_unique=True)
-        links, edges = ([np.searchsorted(e, at) for e in ends] for at in (cuts, both))
-        return ids, ends, (links, cuts), ([e + 1 for e in edges], both)
+        marks = np.zeros((2, len(whole) + 1), bool)
+        for mark, end in zip(marks, ends, strict=True):
+            mark[end] = True
+        cuts, both = np.flatnonzero(marks[0] | marks[1]), np.flatnonzero(marks[0] & marks[1])
+        # A byte belongs to the token that has as many ends before it as its position.
+        before = [np.cumsum(mark, dtype=np.int32) for mark in marks]
+        links, edges = [n[cuts - 1] for n in before], [n[both].astype(np.int64) for n in before]
+        return ids, ends, (links, cuts), (edges, both)
 
     def pairs(self, ids, links) -> np.ndarray:
         return ids[0][links[0]] * self.base + ids[1][links[1]]
@@ -167,14 +173,16 @@ class Aligner:
 
 
 # -- words --------------------------------------------------------------------
-_DOUBLE = re.compile(r"\s\s|\A\s|\s\Z")
+_SPACES = "[\\x{9}-\\x{d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+# White space beside white space, or at an end of the text.
+_UNEVEN = f"{_SPACES}{_SPACES}|\\A{_SPACES}|{_SPACES}\\z"
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 def split_words(text: str) -> list[str]:
     """Cut a text at each single space between two characters that are no white space;
     what is cut there is encoded alike alone and in the text."""
-    return _BETWEEN.split(text) if _DOUBLE.search(text) else text.split(" ")
+    return _BETWEEN.split(text)
 
 
 class Words:
@@ -183,30 +191,20 @@ class Words:
     and a word met before is not aligned again. New words are aligned many at a time,
     as one text. Without room for more, all are forgotten."""
 
-    def __init__(self, align: Aligner):
-        self.align, self.table, self.highest, self.run = align, None, None, None
+    def __init__(self, align: Aligner, shown: bool):
+        self.align, self.shown, self.table, self.highest, self.run = align, shown, None, None, None
         self.apart = all(side.words_apart() for side in align.sides)
         self.forget()
 
     def look_up(self, run: str, rows: list[dict], best: list[tuple[int, int]]) -> None:
-        """Count by this run's table from now on, also the words known already."""
+        """Count by this run's table from now on."""
         if self.run == run:
             return
+        self.forget()
         self.run, self.table = run, PairTable(rows)
         self.highest = np.zeros(self.align.base, np.int64)
         for i, count in best:
             self.highest[i] = count
-        known = len(self.index)
-        if known:
-            try:
-                self._count(slice(0, known), np.concatenate([*self.pairs, np.zeros(0, np.int64)]))
-            except KeyError:
-                self.forget()  # words of another table's documents
-
-    def begin(self) -> None:
-        """Start a first pass: what is known of words stays, their counts do not."""
-        self.times[:] = 0
-        self.run = self.table = self.highest = None
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
@@ -223,22 +221,48 @@ class Words:
     def full(self) -> bool:
         return len(self.index) > WORDS or self.bytes > WORD_BYTES
 
-    def of(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """The numbers of each text's words; None for texts without tokens."""
-        split = [(split_words(t) if self.apart else [t]) if t else [] for t in texts]
-        new = sorted(set().union(*split).difference(self.index))
-        plain = [w for w in new if not (w[:1].isspace() or w[-1:].isspace())]
-        self._learn(plain)
-        for word in set(new).difference(plain):
+    def of(self, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+        """The numbers of each text's words, and the sums of their ``stats``; none and
+        zeros for texts without tokens."""
+        texts = texts.fill_null("")
+        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        numbers: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
+        sums = np.zeros((len(texts), 6), np.int64)
+        for chosen in (np.flatnonzero(~uneven), np.flatnonzero(uneven)):
+            if not len(chosen):
+                continue
+            some = texts.take(pa.array(chosen))
+            if not self.apart:
+                split = pa.array([[t] for t in some.to_pylist()], pa.list_(pa.string()))
+            elif uneven[chosen[0]]:
+                split = pa.array([split_words(t) for t in some.to_pylist()], pa.list_(pa.string()))
+            else:
+                split = pc.split_pattern(some, " ")
+            coded = split.flatten().dictionary_encode()
+            known = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            edges = split.offsets.to_numpy() - split.offsets[0].as_py()
+            stats = self.stats[known]
+            total = np.add.reduceat(stats, edges[:-1], axis=0)
+            good = np.minimum.reduceat(stats[:, 0], edges[:-1]) > 0
+            sums[chosen[good]] = total[good]
+            for row, a, b, fine in zip(chosen.tolist(), edges[:-1].tolist(), edges[1:].tolist(), good.tolist(), strict=True):
+                if fine:
+                    numbers[row] = known[a:b]
+        return numbers, sums
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        new = [w for w in words if w not in self.index]
+        alone = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        self._learn([w for w in new if w and not (w[0].isspace() or w[-1].isspace())])
+        for word in alone:
             self._learn([word])
-        known = self.index.__getitem__
-        numbers = [np.fromiter(map(known, words), np.int64, len(words)) for words in split]
-        return [n if len(n) and self.stats[n, 0].min() >= 0 else None for n in numbers]
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
     def _learn(self, words: list[str]) -> None:
         if not words:
             return
-        found = self.align.aligned(" ".join(words))
+        # No word at all is a text without tokens, though a space stands for it.
+        found = self.align.aligned(" ".join(words)) if words != [""] else None
         if found is None and len(words) > 1:
             self._learn(words[: len(words) // 2])
             self._learn(words[len(words) // 2 :])
@@ -266,10 +290,11 @@ class Words:
         self.pair_ends[mine] = before + np.cumsum(self.stats[mine, 3])
         if self.table is not None:
             self._count(mine, pairs)
-        marked, upto = self.align.marked_ids(ids, edges)
-        stops = upto[np.cumsum(self.stats[mine, 2]) - 1].tolist()
-        self.bytes += 4 * len(marked)
-        self.texts += ["".join(marked[a:b]) for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+        if self.shown:
+            marked, upto = self.align.marked_ids(ids, edges)
+            stops = upto[np.cumsum(self.stats[mine, 2]) - 1].tolist()
+            self.bytes += 4 * len(marked)
+            self.texts += ["".join(marked[a:b]) for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
     def _count(self, words: slice, pairs: np.ndarray) -> None:
         counts = self.table.counts[self.table.verified(pairs)]
@@ -397,7 +422,7 @@ _PARTIAL = "part int, branch int, kind int, pairs binary, counts binary"
 
 def _dealt_pairs(batches, first: str, second: str):
     """Distinct pairs of a task with their numbers of links, a row per part."""
-    words = known_words(first, second)
+    words = known_words(first, second, shown=False)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     waiting, branch = 0, TaskContext.get().partitionId() % BRANCHES
 
@@ -415,9 +440,9 @@ def _dealt_pairs(batches, first: str, second: str):
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=["part", "branch", "kind", "pairs", "counts"])
 
-    words.begin()
+    words.times[:] = 0  # a worker keeps what it knows of words, each task its own counts
     for texts in _together(batches, 0):
-        words.count([n for n in words.of(texts) if n is not None])
+        words.count(words.of(texts)[0])
         if words.full:
             held.append(words.counted())
             words.forget()
@@ -433,9 +458,8 @@ def _dealt_pairs(batches, first: str, second: str):
 
 def _together(batches, column: int):
     for batch in batches:
-        texts = batch.column(column).to_pylist()
-        for at in range(0, len(texts), TOGETHER):
-            yield texts[at : at + TOGETHER]
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield batch.column(column).slice(at, TOGETHER)
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -575,9 +599,9 @@ _RESULT = (
 
 
 @lru_cache(maxsize=1)
-def known_words(first: str, second: str) -> Words:
-    """One per worker, for all tasks and both passes."""
-    return Words(aligner(first, second))
+def known_words(first: str, second: str, shown: bool) -> Words:
+    """One per worker and pass, for all its tasks."""
+    return Words(aligner(first, second), shown)
 
 
 def _shown(words: Words, numbers: np.ndarray, whole: bool) -> str:
@@ -586,39 +610,33 @@ def _shown(words: Words, numbers: np.ndarray, whole: bool) -> str:
 
 
 def _looked_up(batches, first: str, second: str, told, run: str, whole: bool):
-    words = known_words(first, second)
+    words = known_words(first, second, shown=True)
     words.look_up(run, *told.value)
     names = [part.split(" ")[0] for part in _RESULT.split(", ")]
-    kinds = [pa.int64()] * 7 + [pa.string()]
     for batch in batches:
-        out, texts = [], batch.column(1).to_pylist()
-        for at in range(0, len(texts), TOGETHER):
+        found, shown = [], []
+        for texts in _together([batch], 1):
             if words.full:
                 words.forget()
-            for numbers in words.of(texts[at : at + TOGETHER]):
-                if numbers is None:
-                    out.append((0, 0, 0, 0, 0, 0, ""))
-                else:
-                    out.append((*words.stats[numbers].sum(0).tolist(), _shown(words, numbers, whole)))
-        columns = [batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds[1:], strict=True))]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+            numbers, sums = words.of(texts)
+            found.append(sums)
+            shown += [_shown(words, n, whole) if len(n) else "" for n in numbers]
+        columns = [pa.array(c) for c in np.concatenate([*found, np.zeros((0, 6), np.int64)]).T]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(shown, pa.string())], names=names)
 
 
 def _own_pairs(batches, first: str, second: str, whole: bool):
     """Rows of results without counts, each with its distinct pairs and their links."""
-    words = known_words(first, second)
+    words = known_words(first, second, shown=True)
     for batch in batches:
-        out, texts = [], batch.column(2).to_pylist()
-        for at in range(0, len(texts), TOGETHER):
+        out = []
+        for texts in _together([batch], 2):
             if words.full:
                 words.forget()
-            for numbers in words.of(texts[at : at + TOGETHER]):
-                if numbers is None:
-                    out.append((0, 0, 0, 0, "", []))
-                    continue
+            for numbers, sums in zip(*words.of(texts), strict=True):
                 pairs, times = words.pairs_of(numbers)
                 each = [{"pair": p, "times": t} for p, t in zip(pairs.tolist(), times.tolist(), strict=True)]
-                out.append((*words.stats[numbers, :4].sum(0).tolist(), _shown(words, numbers, whole), each))
+                out.append((*sums[:4].tolist(), _shown(words, numbers, whole) if len(numbers) else "", each))
         kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))]
         names = ["uid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs"]
         made = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
