@@ -32,6 +32,7 @@ import hashlib
 import re
 import uuid
 from functools import lru_cache, partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ PARTS, BRANCHES = 64, 16
 # Pairs a task holds before it hands them on; texts encoded together.
 HELD, TOGETHER = 2_000_000, 256
 # Words a worker remembers, and bytes of them and of their groups.
-WORDS, WORD_BYTES = 700_000, 150_000_000
+WORDS, WORD_BYTES = 900_000, 180_000_000
 # Bits of a level of the hash for every key left.
 ROOM = 2
 
@@ -239,7 +240,8 @@ class Words:
             else:
                 split = pc.split_pattern(some, " ")
             coded = split.flatten().dictionary_encode()
-            known = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            known = self._numbers(coded.dictionary.to_pylist(), self.apart and not uneven[chosen[0]])
+            known = known[coded.indices.to_numpy()]
             edges = split.offsets.to_numpy() - split.offsets[0].as_py()
             stats = self.stats[known]
             total = np.add.reduceat(stats, edges[:-1], axis=0)
@@ -250,13 +252,22 @@ class Words:
                     numbers[row] = known[a:b]
         return numbers, sums
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.index]
-        alone = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+    def _numbers(self, words: list[str], even: bool) -> np.ndarray:
+        numbers = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(numbers < 0)
+        new = [words[i] for i in missing.tolist()]
+        # Words with white space at an end are none that a text was cut at.
+        apart = [] if even and "" not in new else [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
+        first = len(self.index)
+        if not apart:
+            self._learn(new)  # numbered as they come
+            numbers[missing] = np.arange(first, first + len(new))
+            return numbers
         self._learn([w for w in new if w and not (w[0].isspace() or w[-1].isspace())])
-        for word in alone:
+        for word in apart:
             self._learn([word])
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        numbers[missing] = [self.index[w] for w in new]
+        return numbers
 
     def _learn(self, words: list[str]) -> None:
         if not words:
