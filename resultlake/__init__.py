@@ -13,7 +13,8 @@ from resultlake.plans.job import Run, run_job
 from resultlake.plans.summary import platform_counts, run_summary, surface_counts
 from resultlake.session import clear_stage, configure
 from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
-from resultlake.sources.captures import missing_captures, read_articles, read_captures, request_list
+from resultlake.sources.articles import read_articles, write_article_store
+from resultlake.sources.captures import missing_captures, read_captures, request_list, write_captures
 from resultlake.sources.keywords import keyword_lines, read_keywords
 from resultlake.sources.registry import PLATFORMS, SURFACES, Platforms, Surface
 
@@ -50,4 +51,6 @@ __all__ = [
     "surface_table",
     "to_json_rows",
     "union_tables",
+    "write_article_store",
+    "write_captures",
 ]

@@ -1,7 +1,15 @@
-"""Dates named by article pages (PX11, PX12, URL8, DT3): two hops, page to frame."""
+"""Dates named by article pages (PX11, PX12, URL8, DT3): two hops, page to frame.
+
+All surfaces of a run ask together: the urls their cards link to are the first frontier,
+the frames those articles show the next, less what was visited before. So a run passes
+over the articles once a hop, whatever the number of surfaces.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,15 +22,19 @@ from resultlake.functions import (
     strip_text,
 )
 from resultlake.operators.cards import ARTICLE, extract, read_article
-from resultlake.operators.lookup import likely, lookup_join
+from resultlake.operators.lookup import lookup_join
 from resultlake.operators.rules import BROKEN, READY
 from resultlake.session import stage
+from resultlake.sources.articles import ArticleStore, asked_articles
 
 # Fixed value: the address blog frames are relative to.
 BLOG_HOST = "https://blog.naver.com"
+# An article and the frame it shows.
+HOPS = 2
+SHOWN = ("blog", "cafe")
 
 
-def _facts(articles: DataFrame) -> DataFrame:
+def _read(articles: DataFrame) -> DataFrame:
     """What each article page ``(url, html)`` says, per surface, a row per page: the
     frame it shows and the post date it names. HTML is not shuffled."""
     found = extract(articles.select("url", "html"), read_article, ARTICLE, "found").select(
@@ -41,42 +53,59 @@ def _facts(articles: DataFrame) -> DataFrame:
         parse_post_date(F.col("a.cafe_date")).alias("cafe_date"),
     )
     refused = F.col("malformed") | F.coalesce(is_unfetchable_url(F.col("blog_frame")), F.lit(False))
-    return read.withColumn("blog_refused", refused)
+    return read.withColumn("blog_refused", refused).withColumn("cafe_refused", F.lit(False))
+
+
+def _facts(articles: DataFrame) -> DataFrame:
+    """A row per url: what it shows and says on each surface. Of several pages of a url
+    a failed one hides nothing: the smallest usable frame and date count."""
+    each = []
+    for name in SHOWN:
+        frame, refused = F.col(f"{name}_frame"), F.col(f"{name}_refused")
+        shown = F.when(frame.isNotNull(), F.struct(refused.alias("refused"), frame.alias("frame")))
+        each += [F.min(shown).alias(f"{name}_shown"), F.min(f"{name}_date").alias(f"{name}_date")]
+    return _read(articles).groupBy("url").agg(*each)
+
+
+def article_facts(
+    articles: DataFrame | ArticleStore, urls: DataFrame, surfaces: Sequence[str], hops: int = HOPS
+) -> DataFrame:
+    """``url, <surface>_shown, <surface>_date`` for ``urls (url)`` and, hop by hop, for
+    the frames shown there: one pass over the articles asked for a hop, and no url is
+    read twice. Staged, so every surface looks up the same few rows."""
+    frontier = stage(urls.select("url").where("url is not null").distinct(), "asked-urls")
+    seen = frontier
+    found: list[DataFrame] = []
+    for hop in range(hops):
+        read = _facts(asked_articles(articles, frontier))
+        # The key filter lets a few others through, which a later hop may ask for.
+        found.append(stage(lookup_join(read, frontier, ["url"], "left_semi"), "article-facts"))
+        if hop + 1 == hops:
+            break
+        frames = [
+            found[-1].where(f"not {name}_shown.refused").select(F.col(f"{name}_shown.frame").alias("url"))
+            for name in surfaces
+        ]
+        new = reduce(DataFrame.unionByName, frames).distinct().join(seen, "url", "left_anti")
+        frontier = stage(new, "asked-urls")
+        seen = seen.unionByName(frontier)
+    return reduce(DataFrame.unionByName, found)
 
 
-def article_dates(articles: DataFrame, surface: str, urls: DataFrame) -> DataFrame:
+def article_dates(facts: DataFrame, surface: str, urls: DataFrame) -> DataFrame:
     """``(url, post_date, refused)`` for those of ``urls (url)`` whose article names a
-    date through its frame, or whose frame address an HTTP client refuses (blog only).
-
-    Only articles that are asked for are read: a key filter of the urls, then one of
-    the frames they show, sits below the page reader. Of several pages of a url, a
-    failed one hides nothing: the smallest usable frame and date count.
-    """
-    frame, date = f"{surface}_frame", f"{surface}_date"
-    refused = F.col("blog_refused") if surface == "blog" else F.lit(False)
-    shown = F.when(F.col(frame).isNotNull(), F.struct(refused.alias("refused"), F.col(frame).alias("frame")))
-    outer = stage(
-        _facts(likely(articles, urls, "url"))
-        .groupBy("url")
-        .agg(F.min(shown).alias("shown"))
-        .where("shown is not null")
-        .select("url", "shown.*"),
-        "frames",
+    date through its frame, or whose frame address an HTTP client refuses (blog only)."""
+    outer = lookup_join(facts.where(f"{surface}_shown is not null"), urls.distinct(), ["url"], "left_semi").select(
+        "url", f"{surface}_shown.*"
     )
-    asked = outer.where("not refused")
-    inner = (
-        _facts(likely(articles, asked.select(F.col("frame").alias("url")), "url"))
-        .groupBy(F.col("url").alias("frame"))
-        .agg(F.min(date).alias("post_date"))
-        .where("post_date is not null")
+    inner = facts.where(f"{surface}_date is not null").select(
+        F.col("url").alias("frame"), F.col(f"{surface}_date").alias("post_date")
     )
-    named = lookup_join(asked, inner, ["frame"]).select("url", "post_date", F.lit(False).alias("refused"))
+    named = lookup_join(outer.where("not refused"), inner, ["frame"]).select("url", "post_date", "refused")
     if surface != "blog":
         return named
     return named.unionByName(
-        outer.where("refused").select(
-            "url", F.lit(None).cast("date").alias("post_date"), F.lit(True).alias("refused")
-        )
+        outer.where("refused").select("url", F.lit(None).cast("date").alias("post_date"), "refused")
     )
 
 

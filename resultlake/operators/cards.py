@@ -6,8 +6,11 @@ HTML never leaves the scan's partition. Filters belong below it.
 
 from __future__ import annotations
 
+import signal
 import sys
+import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -181,14 +184,47 @@ def read_article(page: PageTree) -> list[dict]:
 
 Reader = Callable[[PageTree], list[dict]]
 
+#: Seconds a page may take to be read; beyond them it is a page that cannot be read.
+PAGE_SECONDS = 30.0
+
+
+class PageTimeout(Exception):
+    """A page took longer than its share of time."""
+
+
+@contextmanager
+def time_limit(seconds: float | None):
+    """Raise ``PageTimeout`` in the block after so many seconds. Only the main thread
+    can be interrupted, which is where a Python worker runs its tasks."""
+    if not seconds or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def stop(signum, frame):
+        raise PageTimeout(f"not read within {seconds:g} seconds")
+
+    former = signal.signal(signal.SIGALRM, stop)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, former)
+
 
 def extract(
-    pages: DataFrame, read: Reader, card: T.StructType, column: str = "cards", error: str | None = None
+    pages: DataFrame,
+    read: Reader,
+    card: T.StructType,
+    column: str = "cards",
+    error: str | None = None,
+    seconds: float | None = PAGE_SECONDS,
 ) -> DataFrame:
     """Replace ``html`` by an array of raw structs; all other columns stay.
 
     A page that cannot be read at all has a NULL array and yields no rows, without
-    touching any other page; a column named ``error``, if asked for, says why.
+    touching any other page; a column named ``error``, if asked for, says why. So has a
+    page that takes longer than ``seconds``: it holds up its task no further.
     """
     array = T.ArrayType(card)
     rest = [field for field in pages.schema.fields if field.name != "html"]
@@ -199,7 +235,8 @@ def extract(
         if page is None:
             return None, "no page"
         try:
-            return read(PageTree(page)), None
+            with time_limit(seconds):
+                return read(PageTree(page)), None
         except Exception as problem:  # any page may hold what no reader expects
             return None, f"{type(problem).__name__}: {problem}"
 

@@ -8,22 +8,23 @@ for many times costs nothing but its result rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.operators.articles import answer_cards, article_dates
+from resultlake.operators.articles import answer_cards, article_dates, article_facts
 from resultlake.operators.cards import extract
 from resultlake.operators.lookup import lookup_join
 from resultlake.operators.ranking import accepted, exploded, isolation, limit_of, numbered, reached
 from resultlake.operators.rules import BROKEN, FETCH, READY
 from resultlake.schema import POSITIONS, ROWS, with_positions
 from resultlake.session import stage
-from resultlake.sources.captures import platform_positions, surface_pages
+from resultlake.sources.articles import ArticleStore
+from resultlake.sources.captures import CaptureStore, platform_positions, surface_pages
 from resultlake.sources.registry import PLATFORMS, Platforms, Surface
 
 PAGE = ["platform", "keyword"]
@@ -40,10 +41,46 @@ def _limit(surface: Surface, max_rows: int | None) -> int:
     return limit_of(surface.max_rows if max_rows is None else max_rows)
 
 
+def _read_pages(pages: DataFrame, surface: Surface, max_rows: int | None, on_bad_card: str) -> DataFrame:
+    """Pages ``(platform, keyword, page_url, html)`` of one surface to ``(platform,
+    keyword, page_url, error, cards)``; cards that wait for their article still do."""
+    isolate, limit = isolation(on_bad_card), _limit(surface, max_rows)
+    read = extract(pages, surface.read, surface.card, error="error")
+    raw, page_url = F.col("cards"), F.col("page_url")
+    whole = [*PAGE, "page_url", "error"]
+    if not surface.has_articles:
+        stated = read.select(*whole, surface.rule(raw, page_url, limit).alias("cards"))
+        return stated.withColumn("cards", isolate(raw))
+    stated = read.select(*whole, surface.rule(raw, page_url).alias("cards"))
+    return stated.withColumn("cards", isolate(raw)).withColumn("cards", reached(raw, limit))
+
+
+def _staged_pages(near: DataFrame, surface: Surface) -> DataFrame:
+    """Read pages once and for all, each with whether it waits for articles."""
+    waits = F.coalesce(F.exists("cards", lambda c: c["state"] == FETCH), F.lit(False))
+    numbered_pages = near.withColumn("page_id", F.monotonically_increasing_id()).withColumn("waits", waits)
+    return stage(numbered_pages, f"{surface.name}-pages")
+
+
+def _asked_urls(staged: DataFrame) -> DataFrame:
+    """Urls of the articles that staged pages wait for."""
+    asked = F.filter("cards", lambda c: c["state"] == FETCH)
+    return staged.where("waits").select(F.explode(F.transform(asked, lambda c: c["url"])).alias("url"))
+
+
+def _settled(staged: DataFrame, surface: Surface, facts: DataFrame, on_bad_card: str, keep: bool) -> DataFrame:
+    """Staged pages with final states; ``keep`` stages what articles had to answer, for
+    a result that is read more than once."""
+    answered = _answered(staged, surface, facts, isolation(on_bad_card))
+    if keep:
+        answered = stage(answered, f"{surface.name}-answered")
+    return staged.where(~F.col("waits")).select(*PAGE, "page_url", "error", "cards").unionByName(answered)
+
+
 def stated_pages(
     pages: DataFrame,
     surface: Surface,
-    articles: DataFrame | None = None,
+    articles: DataFrame | ArticleStore | None = None,
     max_rows: int | None = None,
     on_bad_card: str = "page",
 ) -> DataFrame:
@@ -51,38 +88,22 @@ def stated_pages(
     keyword, page_url, error, cards)``: their cards with final states, or what kept a
     page from being read. Without articles to ask nothing runs before an action does.
     """
-    isolate = isolation(on_bad_card)
-    limit = _limit(surface, max_rows)
-    read = extract(pages, surface.read, surface.card, error="error")
-    raw, page_url = F.col("cards"), F.col("page_url")
-    whole = [*PAGE, "page_url", "error"]
-
-    if not surface.has_articles:
-        stated = read.select(*whole, surface.rule(raw, page_url, limit).alias("cards"))
-        return stated.withColumn("cards", isolate(raw))
-
-    stated = read.select(*whole, surface.rule(raw, page_url).alias("cards"))
-    near = stated.withColumn("cards", isolate(raw)).withColumn("cards", reached(raw, limit))
-    if articles is None:  # every lookup is a miss
+    near = _read_pages(pages, surface, max_rows, on_bad_card)
+    if not surface.has_articles or articles is None:  # every lookup is a miss
         return near
-    waits = F.coalesce(F.exists("cards", lambda c: c["state"] == FETCH), F.lit(False))
-    staged = stage(
-        near.withColumn("page_id", F.monotonically_increasing_id()).withColumn("waits", waits),
-        f"{surface.name}-pages",
-    )
-    settled = staged.where(~F.col("waits")).select(*whole, "cards")
-    return settled.unionByName(_answered(staged, surface, articles, isolate))
+    staged = _staged_pages(near, surface)
+    facts = article_facts(articles, _asked_urls(staged), [surface.name])
+    return _settled(staged, surface, facts, on_bad_card, keep=False)
 
 
-def _answered(staged: DataFrame, surface: Surface, articles: DataFrame, isolate) -> DataFrame:
+def _answered(staged: DataFrame, surface: Surface, facts: DataFrame, isolate) -> DataFrame:
     """Pages with undated cards, put together again once their articles were asked.
     Only these pages are shuffled, and a group is one page."""
     key = ["page_id", *PAGE, "page_url"]
     cards = exploded(staged.where("waits"), *key, array="cards", name="card")
     asked = cards.where(F.col("card.state") == FETCH)
     known = cards.where(F.col("card.state") != FETCH)
-    urls = asked.select(F.col("card.url").alias("url")).distinct()
-    answered = answer_cards(asked, article_dates(articles, surface.name, urls))
+    answered = answer_cards(asked, article_dates(facts, surface.name, _asked_urls(staged)))
     together = known.unionByName(answered).groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("position", "card"))).alias("placed")
     )
@@ -91,6 +112,48 @@ def _answered(staged: DataFrame, surface: Surface, articles: DataFrame, isolate)
     return together.select(*PAGE, "page_url", error, isolate(cards).alias("cards"))
 
 
+#: Pages of each kind with final states, by the surface definition they were read with.
+Stated = dict[str, list[tuple[Surface, DataFrame]]]
+
+
+def stated_surfaces(
+    pages_of: Callable[[Sequence[str], str], DataFrame],
+    names: Sequence[str],
+    articles: DataFrame | ArticleStore | None = None,
+    max_rows: int | None = None,
+    on_bad_card: str = "page",
+    known: Platforms = PLATFORMS,
+) -> Stated:
+    """All kinds of pages of the named platforms, staged with final states; ``pages_of``
+    gives the pages of some platforms and one kind. The kinds do not wait for each other
+    but to ask for articles together: a hop is one pass over them for the whole run."""
+    run = inheritable_thread_target(SparkSession.active())
+
+    def read(kind: str) -> list[tuple[Surface, bool, DataFrame]]:
+        found = []
+        for surface, sharing in definitions(names, kind, known):
+            near = _read_pages(pages_of(sharing, kind), surface, max_rows, on_bad_card)
+            asks = surface.has_articles and articles is not None
+            found.append((surface, asks, _staged_pages(near, surface) if asks else stage(near, f"{kind}-stated")))
+        return found
+
+    with ThreadPoolExecutor(len(ROWS)) as pool:
+        read_kinds = dict(zip(ROWS, pool.map(run(read), ROWS)))
+        asking = [(surface, staged) for found in read_kinds.values() for surface, asks, staged in found if asks]
+        facts = None
+        if asking:
+            urls = reduce(DataFrame.unionByName, (_asked_urls(staged) for _, staged in asking))
+            facts = article_facts(articles, urls, sorted({surface.name for surface, _ in asking}))
+
+        def settle(kind: str) -> list[tuple[Surface, DataFrame]]:
+            return [
+                (surface, _settled(staged, surface, facts, on_bad_card, keep=True) if asks else staged)
+                for surface, asks, staged in read_kinds[kind]
+            ]
+
+        return dict(zip(ROWS, pool.map(run(settle), ROWS)))
+
+
 def _rows_of(stated: DataFrame, surface: Surface, limit: int) -> DataFrame:
     return accepted(stated, limit).select(*PAGE, _result_rows(F.col("cards"), surface).alias("rows"))
 
@@ -98,7 +161,7 @@ def _rows_of(stated: DataFrame, surface: Surface, limit: int) -> DataFrame:
 def page_rows(
     pages: DataFrame,
     surface: Surface,
-    articles: DataFrame | None = None,
+    articles: DataFrame | ArticleStore | None = None,
     max_rows: int | None = None,
     on_bad_card: str = "page",
 ) -> DataFrame:
@@ -126,7 +189,7 @@ def _rejected(stated: DataFrame, surface: Surface, limit: int) -> DataFrame:
 
 
 def rejected_pages(
-    pages: DataFrame, surface: Surface, articles: DataFrame | None = None, max_rows: int | None = None
+    pages: DataFrame, surface: Surface, articles: DataFrame | ArticleStore | None = None, max_rows: int | None = None
 ) -> DataFrame:
     """Pages of one surface that failed as a whole, with the reason (PR9)."""
     stated = stated_pages(pages, surface, articles, max_rows)
@@ -136,7 +199,7 @@ def rejected_pages(
 def surface_table(
     pages: DataFrame,
     surface: Surface,
-    articles: DataFrame | None = None,
+    articles: DataFrame | ArticleStore | None = None,
     max_rows: int | None = None,
     on_bad_card: str = "page",
 ) -> DataFrame:
@@ -155,8 +218,8 @@ def one_capture(rows: DataFrame) -> DataFrame:
 
 def extract_tables(
     keywords: DataFrame,
-    captures: DataFrame,
-    articles: DataFrame | None = None,
+    captures: DataFrame | CaptureStore,
+    articles: DataFrame | ArticleStore | None = None,
     platforms: Sequence[str] | None = None,
     max_rows: int | None = None,
     on_bad_card: str = "page",
@@ -172,8 +235,8 @@ def extract_tables(
 
 def collect(
     keywords: DataFrame,
-    captures: DataFrame,
-    articles: DataFrame | None = None,
+    captures: DataFrame | CaptureStore,
+    articles: DataFrame | ArticleStore | None = None,
     platforms: Sequence[str] | None = None,
     max_rows: int | None = None,
     on_bad_card: str = "page",
@@ -188,28 +251,38 @@ def collect(
     ).select("p.*", "kw_pos", "keyword")
     wanted = keywords.select("keyword")
 
-    def table_of(kind: str) -> tuple[DataFrame, list[DataFrame]]:
-        parts, failed = [], []
-        for surface, sharing in definitions(names, kind, known):
-            limit = _limit(surface, max_rows)
-            pages = surface_pages(captures, sharing, kind, wanted)
-            stated = stage(stated_pages(pages, surface, articles, max_rows, on_bad_card), f"{kind}-stated")
-            parts.append(_rows_of(stated, surface, limit))
-            # The key filter may let a few pages through that nobody asked for.
-            failed.append(lookup_join(_rejected(stated, surface, limit), wanted.distinct(), ["keyword"], "left_semi"))
-        columns = [*POSITIONS, *ROWS[kind].fieldNames()]
-        if not parts:
-            return keywords.sparkSession.createDataFrame([], with_positions(kind)), failed
-        pages = one_capture(reduce(DataFrame.unionByName, parts))
-        joined = lookup_join(requests, pages, PAGE)
-        return stage(numbered(joined, *POSITIONS, "keyword").select(*columns), kind), failed
-
-    # The three kinds do not wait for each other.
+    stated = stated_surfaces(
+        lambda sharing, kind: surface_pages(captures, sharing, kind, wanted), names, articles, max_rows, on_bad_card, known
+    )
+
+    def table_of(kind: str) -> DataFrame:
+        rows = rows_of(stated, kind, max_rows)
+        if rows is None:
+            return keywords.sparkSession.createDataFrame([], with_positions(kind))
+        joined = lookup_join(requests, rows, PAGE)
+        return stage(numbered(joined, *POSITIONS, "keyword").select(*POSITIONS, *ROWS[kind].fieldNames()), kind)
+
     with ThreadPoolExecutor(len(ROWS)) as pool:
         run = inheritable_thread_target(keywords.sparkSession)(table_of)
-        found = dict(zip(ROWS, pool.map(run, ROWS)))
-    failed = [f for _, parts in found.values() for f in parts]
-    return {kind: table for kind, (table, _) in found.items()}, reduce(DataFrame.unionByName, failed)
+        tables = dict(zip(ROWS, pool.map(run, ROWS)))
+    # The key filter may let a few pages through that nobody asked for.
+    failed = lookup_join(rejected_of(stated, max_rows), wanted.distinct(), ["keyword"], "left_semi")
+    return tables, failed
+
+
+def rejected_of(stated: Stated, max_rows: int | None = None) -> DataFrame:
+    """Pages of any kind that failed as a whole, with the reason."""
+    return reduce(
+        DataFrame.unionByName,
+        (_rejected(pages, surface, _limit(surface, max_rows)) for found in stated.values() for surface, pages in found),
+    )
+
+
+def rows_of(stated: Stated, kind: str, max_rows: int | None = None) -> DataFrame | None:
+    """``(platform, keyword, rows)`` of one kind, one row per page key; None if no
+    platform has such pages."""
+    parts = [_rows_of(pages, surface, _limit(surface, max_rows)) for surface, pages in stated[kind]]
+    return one_capture(reduce(DataFrame.unionByName, parts)) if parts else None
 
 
 def definitions(names: Sequence[str], kind: str, known: Platforms) -> list[tuple[Surface, list[str]]]:

@@ -13,7 +13,8 @@ from resultlake.plans.extraction import collect
 from resultlake.plans.summary import run_summary
 from resultlake.session import configure, stage
 from resultlake.sinks.csv import export
-from resultlake.sources.captures import missing_captures, read_articles, read_captures, request_list
+from resultlake.sources.articles import read_articles
+from resultlake.sources.captures import missing_captures, read_captures, request_list
 from resultlake.sources.keywords import read_keywords
 from resultlake.sources.registry import PLATFORMS, Platforms
 

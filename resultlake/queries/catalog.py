@@ -21,10 +21,11 @@ from resultlake.queries.generated import table
 from resultlake.schema import ROWS
 from resultlake.session import configure, stage, stage_path
 from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
-from resultlake.sources.captures import missing_captures, request_list
+from resultlake.sources.articles import write_article_store
+from resultlake.sources.captures import missing_captures, request_list, write_captures
 from resultlake.sources.keywords import keyword_lines, read_keywords
 from resultlake.sources.registry import BLOG, CAFE, SMARTBLOCK, SURFACES, Platforms
-from resultlake.streaming.incremental import read_increments, run_increment
+from resultlake.streaming.incremental import read_increments, read_rejected, run_increment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -410,24 +411,68 @@ def job_run(spark, sf_dir):
     pages = made.smartblock_pages(spark, sf_dir).withColumn("surface", F.lit("smartblock"))
     pages.write.partitionBy("platform", "surface").parquet(f"{base}/captures")
     run = run_job(spark, "keywords", f"{base}/captures", base_dir=base, output_dir=f"{base}/out", sort_order="date")
-    counts = run.missing.agg(F.count("*").alias("missing_count"))
-    failed = run.rejected.agg(F.count("*").alias("rejected_count"))
     files = F.transform_values("output_files", lambda _, path: F.element_at(F.split(path, "/"), -1))
-    one = run.summary.withColumn("files", F.array_join(F.array_sort(F.map_values(files)), ","))
-    one = one.withColumn("output_dir", F.element_at(F.split("output_dir", "/"), -1)).drop("output_files")
-    return one.join(counts).join(failed)  # one row each
+    names = F.array_join(F.array_sort(F.map_values(files)), ",")
+    folder = F.element_at(F.split("output_dir", "/"), -1)
+    one = run.summary.select("keyword_count", *(f"{kind}_count" for kind in ROWS), folder.alias("output_dir"), names.alias("files"))
+    # One row each, added up into one.
+    nothing = {c: F.lit(None).cast(t).alias(c) for c, t in one.dtypes}
+    counted = [
+        rows.agg(F.count("*").alias("n")).select(*nothing.values(), *(F.col("n").alias(c) if c == name else F.lit(0).cast("long").alias(c) for c in ("missing_count", "rejected_count")))
+        for name, rows in (("missing_count", run.missing), ("rejected_count", run.rejected))
+    ]
+    zero = F.lit(0).cast("long")
+    every = one.withColumn("missing_count", zero).withColumn("rejected_count", zero).unionByName(counted[0]).unionByName(counted[1])
+    return every.agg(
+        *(F.max(c).alias(c) for c in one.columns), *(F.sum(c).alias(c) for c in ("missing_count", "rejected_count"))
+    )
+
+
+def _in_two_batches(spark, base, pages, articles):
+    """Land pages in two batches, a third of them in both, and take each up."""
+    articles.write.parquet(f"{base}/articles")
+    turn = F.pmod(F.xxhash64("keyword"), F.lit(3))
+    dealt = stage(pages.withColumn("turn", turn), "landing")
+    for batch in (1, 2):
+        landed = dealt.where(F.col("turn").isin(0, batch)).select("platform", "surface", "keyword", "page_url", "html")
+        landed.write.mode("append").parquet(f"{base}/landing")
+        run_increment(spark, f"{base}/landing", f"{base}/out", f"{base}/progress", f"{base}/articles")
+    return f"{base}/out"
 
 
 @query
 def incremental_run(spark, sf_dir):
-    """RS1: captures of all surfaces landing in two batches, each run taking up what is
-    new and asking articles for what it needs."""
-    base = stage_path(spark, "increments")
-    halves = stage(made.captured(spark, sf_dir).withColumn("late", F.xxhash64("keyword") % 2 == 0), "landing")
+    """RS1 JN1: captures of all surfaces landing in two batches, a third of the pages in
+    both; each run takes up what is new and asks articles for what it needs."""
     articles = made.blog_articles(spark, sf_dir).unionByName(made.cafe_articles(spark, sf_dir))
-    articles.write.parquet(f"{base}/articles")
-    for late in (False, True):
-        landed = halves.where(F.col("late") == late).drop("late")
-        landed.select("platform", "surface", "keyword", "page_url", "html").write.mode("append").parquet(f"{base}/landing")
-        run_increment(spark, f"{base}/landing", f"{base}/out", f"{base}/progress", f"{base}/articles")
-    return _as_one({kind: read_increments(spark, f"{base}/out", kind) for kind in ("smartblock", "cafe", "blog")})
+    out = _in_two_batches(spark, stage_path(spark, "increments"), made.captured(spark, sf_dir), articles)
+    return _as_one({kind: read_increments(spark, out, kind) for kind in ("smartblock", "cafe", "blog")})
+
+
+@query
+def incremental_rejects(spark, sf_dir):
+    """RS1 PR9: the pages increments could not read, with the reason."""
+    pages = made.blog_pages(spark, sf_dir, broken=True).withColumn("surface", F.lit("blog"))
+    pages = pages.withColumn("html", F.when(~F.col("keyword").endswith("7"), F.col("html")))
+    out = _in_two_batches(spark, stage_path(spark, "increments"), pages, made.blog_articles(spark, sf_dir))
+    return read_rejected(spark, out).select("platform", "surface", "keyword", "reason").distinct()
+
+
+@query
+def article_store(spark, sf_dir):
+    """SC7 JN2 PX11: undated blog cards answered from a store of article pages, of which
+    only the buckets of asked urls are read."""
+    store = write_article_store(made.blog_articles(spark, sf_dir), stage_path(spark, "articles"), buckets=16)
+    return surface_table(made.blog_pages(spark, sf_dir), BLOG, store)
+
+
+@query
+def capture_store(spark, sf_dir):
+    """SC4 SC5 SC6 JN1: a run over stored captures of two platforms, of which one is
+    asked for, with key filters taken by buckets of keywords."""
+    store = write_captures(made.captured(spark, sf_dir, ("naver", "mirror")), stage_path(spark, "captures"), buckets=8)
+    keywords = made.block_keys(spark, sf_dir).selectExpr("k as kw_pos", "keyword").unionByName(
+        made.cafe_keys(spark, sf_dir).selectExpr("k as kw_pos", "keyword")
+    )
+    tables = extract_tables(keywords, store)
+    return _as_one({kind: tables[kind] for kind in ("smartblock", "cafe")})

@@ -114,6 +114,23 @@ def _as_one(**kinds: str) -> str:
     return " union all ".join(parts)
 
 
+def _rejected(limit: int) -> str:
+    return f"""
+        with cards as (
+          select *, {_dated(True)} as day, {made.IS_BROKEN} as broken
+          from ({_cards(BLOG_SOURCE, made.BLOG_SIZE)})
+          where not ({made.IS_AD}) and not ({made.BLOG_NO_PROFILE}) and not ({made.BLOG_NO_NAME})),
+        placed as (
+          select *, coalesce(sum(case when not broken and day is not null then 1 else 0 end)
+                      over (partition by k order by i rows between unbounded preceding and 1 preceding), 0) as before
+          from cards),
+        failed as (select k, min(before) as rows from placed where broken and before < {limit} group by k)
+        select 'naver' as platform, 'blog' as surface, keyword,
+               case when keyword like '%7' then 'no page' else concat('broken card after rows: ', rows) end as reason
+        from ({BLOG_SOURCE}) left join failed using (k)
+        where keyword like '%7' or rows is not null"""
+
+
 ALL_ROWS = _as_one(smartblock=SMARTBLOCK, cafe=cafe(True), blog=blog(True))
 COUNTS = {
     "smartblock": f"(select count(*) from ({SMARTBLOCK}))",
@@ -237,20 +254,10 @@ ORACLES: dict[str, str] = {
         select row_number() over (order by k, "order") as line, keyword, strftime(date, '%Y.%m.%d.') as date,
                cafe_name as "café", subject, url
         from ({cafe(True)}) join (select p_partkey as k, concat(p_name, ' ', p_partkey) as keyword from part) using (keyword)""",
-    "rejected_blog_pages": f"""
-        with cards as (
-          select *, {_dated(True)} as day, {made.IS_BROKEN} as broken
-          from ({_cards(BLOG_SOURCE, made.BLOG_SIZE)})
-          where not ({made.IS_AD}) and not ({made.BLOG_NO_PROFILE}) and not ({made.BLOG_NO_NAME})),
-        placed as (
-          select *, coalesce(sum(case when not broken and day is not null then 1 else 0 end)
-                      over (partition by k order by i rows between unbounded preceding and 1 preceding), 0) as before
-          from cards),
-        failed as (select k, min(before) as rows from placed where broken and before < 4 group by k)
-        select 'naver' as platform, 'blog' as surface, keyword,
-               case when keyword like '%7' then 'no page' else concat('broken card after rows: ', rows) end as reason
-        from ({BLOG_SOURCE}) left join failed using (k)
-        where keyword like '%7' or rows is not null""",
+    "rejected_blog_pages": _rejected(4),
+    "incremental_rejects": _rejected(10),
+    "article_store": blog(True),
+    "capture_store": _as_one(smartblock=SMARTBLOCK, cafe=cafe(False)),
     "repeated_captures": SMARTBLOCK,
     "own_platform": f"""
         select keyword, "order", date, cafe_name as blog_name, subject, url from ({cafe(False)}) where "order" <= 3""",

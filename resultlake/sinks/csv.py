@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from resultlake.functions import post_date_text
 from resultlake.plans.extraction import final_order
 from resultlake.schema import ROWS, with_positions
 from resultlake.session import stage_path
-from resultlake.sinks.files import ensure_folder, exists, qualified, remove, replace_with_only_part
+from resultlake.sinks.files import ensure_folder, exists, qualified, remove, replace, replace_with_only_part
 
 # Header names and date renderings that differ from the tables'.
 _RENDERED = {
@@ -48,39 +50,55 @@ def csv_columns(kind: str) -> list:
     return columns
 
 
-def write_csv(table: DataFrame, kind: str, path: str, single_file: bool = False) -> str:
-    """Write one kind to ``path`` in final order, replacing what is there: a folder of
-    ordered part files, each with its header, or one file, which one task writes."""
-    spark = table.sparkSession
-    order = final_order(table)
+def _drafted(table: DataFrame, kind: str, path: str, single_file: bool) -> str:
+    """Write one kind beside ``path`` in final order; returns where."""
+    order, draft = final_order(table), f"{path}.{uuid.uuid4().hex}.draft"
+    ordered = table.repartition(1).sortWithinPartitions(*order) if single_file else table.orderBy(*order)
+    ordered.select(*csv_columns(kind)).write.options(**_CSV).csv(draft)
+    return draft
+
+
+def _put(spark: SparkSession, draft: str, path: str, single_file: bool) -> str:
     if single_file:
-        folder = f"{path}.parts"
-        one = table.repartition(1).sortWithinPartitions(*order).select(*csv_columns(kind))
-        one.write.mode("overwrite").options(**_CSV).csv(folder)
-        replace_with_only_part(spark, folder, path)
+        replace_with_only_part(spark, draft, path)
     else:
-        remove(spark, path)
-        table.orderBy(*order).select(*csv_columns(kind)).write.options(**_CSV).csv(path)
+        replace(spark, draft, path)
     return qualified(spark, path)
 
 
+def write_csv(table: DataFrame, kind: str, path: str, single_file: bool = False) -> str:
+    """Write one kind to ``path`` in final order, replacing what is there once all of it
+    is written: a folder of ordered part files, each with its header, or one file, which
+    one task writes."""
+    spark = table.sparkSession
+    draft = _drafted(table, kind, path, single_file)
+    try:
+        return _put(spark, draft, path, single_file)
+    finally:
+        remove(spark, draft)
+
+
 def export(tables: dict[str, DataFrame], output_dir: str, single_file: bool = False) -> dict[str, str]:
     """Write the three result tables as ``<output_dir>/<kind>.csv``; a kind that is
-    not given is written with its header only. Returns the path of each kind."""
+    not given is written with its header only. Returns the path of each kind.
+
+    All three are written beside their places before the first takes its own, so a
+    writer that fails leaves the former result as it was."""
     spark = next((t.sparkSession for t in tables.values()), None) or SparkSession.active()
     for table in tables.values():
         final_order(table)
+    drafts: dict[str, str] = {}
+    paths = {kind: f"{output_dir.rstrip('/')}/{kind}.csv" for kind in ROWS}
     try:
         ensure_folder(spark, output_dir)
-        return {
-            kind: write_csv(
-                tables[kind] if kind in tables else spark.createDataFrame([], with_positions(kind)),
-                kind,
-                f"{output_dir.rstrip('/')}/{kind}.csv",
-                single_file,
-            )
-            for kind in ROWS
-        }
+        try:
+            for kind, path in paths.items():
+                table = tables[kind] if kind in tables else spark.createDataFrame([], with_positions(kind))
+                drafts[kind] = _drafted(table, kind, path, single_file)
+            return {kind: _put(spark, drafts[kind], path, single_file) for kind, path in paths.items()}
+        finally:
+            for draft in drafts.values():
+                remove(spark, draft)
     except (OSError, PySparkException, Py4JError) as error:
         raise ExportError(f"cannot write results to {output_dir}") from error
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -41,6 +43,50 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    system, where = _open(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(where)) if system.exists(where) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file that is there as a whole or not at all."""
+    system, where = _open(spark, path)
+    draft = where.suffix(f".{uuid.uuid4().hex}.draft")
+    system.mkdirs(where.getParent())
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if system.exists(where) or not system.rename(draft, where):
+        system.delete(draft, False)
+        raise OSError(f"{path} is there already or cannot be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, where = _open(spark, path)
+    stream = system.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace(spark: SparkSession, draft: str, target: str) -> None:
+    """Put ``draft`` in the place of ``target``, whose former content stays readable
+    until the last step and is put back if that fails."""
+    system, goal = _open(spark, target)
+    new, former = _open(spark, draft)[1], goal.suffix(f".{uuid.uuid4().hex}.former")
+    had = system.exists(goal)
+    if had and not system.rename(goal, former):
+        raise OSError(f"cannot move {target} away")
+    if not system.rename(new, goal):
+        if had:
+            system.rename(former, goal)
+        raise OSError(f"cannot move {draft} to {target}")
+    if had:
+        system.delete(former, True)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, where = _open(spark, path)
     system.delete(where, True)
@@ -49,13 +95,9 @@ def remove(spark: SparkSession, path: str) -> None:
 def replace_with_only_part(spark: SparkSession, folder: str, target: str) -> None:
     """Make the one part file of ``folder`` the file ``target``; drop the folder."""
     system, where = _open(spark, folder)
-    jvm = spark.sparkContext._jvm
     parts = [s.getPath() for s in system.listStatus(where) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         raise OSError(f"{folder} has {len(parts)} part files")
-    goal = jvm.org.apache.hadoop.fs.Path(target)
-    system.delete(goal, True)
-    if not system.rename(parts[0], goal):
-        raise OSError(f"cannot move {parts[0]} to {target}")
+    replace(spark, parts[0].toString(), target)
     # The local file system keeps a checksum beside each file.
     system.delete(where, True)

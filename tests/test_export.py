@@ -6,6 +6,7 @@ import io
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import resultlake as rl
 from resultlake.schema import ROWS, with_positions
@@ -146,3 +147,16 @@ def test_counts_and_summary(spark, tables):
         "output_dir": "out", "output_files": {"blog": "out/blog.csv"},
     }
     assert rl.run_summary(keywords, tables).first().output_files is None
+
+
+def test_a_failed_export_leaves_the_former_result(spark, tables, tmp_path):
+    out = str(tmp_path)
+    for single in (True, False):
+        files = rl.export(tables, out, single_file=single)
+        before = {kind: sorted(map(tuple, read.collect()), key=str) for kind, path in files.items() for read in [rl.read_csv(spark, kind, path)]}
+        bad = tables["blog"].withColumn("subject", F.raise_error(F.lit("lost")))
+        with pytest.raises(rl.ExportError):
+            rl.export({**tables, "blog": bad}, out, single_file=single)
+        after = {kind: sorted(map(tuple, rl.read_csv(spark, kind, path).collect()), key=str) for kind, path in files.items()}
+        assert after == before
+        assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == ["blog.csv", "cafe.csv", "smartblock.csv"]

@@ -200,15 +200,15 @@ def test_increments(spark, tmp_path):
 def test_a_batch_run_again_replaces_its_rows(spark, tmp_path, monkeypatch):
     landing, out, progress = (str(tmp_path / n) for n in ("landing", "out", "progress"))
     captures_of(spark, *PAGES[2:5]).coalesce(1).write.parquet(landing)
-    real, calls = incremental.page_rows, []
+    real, calls = incremental.rows_of, []
 
-    def failing(pages, surface, *rest):
-        calls.append(surface.name)
+    def failing(stated, kind, *rest):
+        calls.append(kind)
         if len(calls) == 3:
             raise OSError("lost")
-        return real(pages, surface, *rest)
+        return real(stated, kind, *rest)
 
-    monkeypatch.setattr(incremental, "page_rows", failing)
+    monkeypatch.setattr(incremental, "rows_of", failing)
     with pytest.raises(Exception, match="lost"):
         run_increment(spark, landing, out, progress)
     run_increment(spark, landing, out, progress)
@@ -217,6 +217,77 @@ def test_a_batch_run_again_replaces_its_rows(spark, tmp_path, monkeypatch):
     assert read_increments(spark, out, "cafe").first().date == datetime.date(2025, 1, 2)
 
 
+def test_pages_captured_again_count_once(spark, tmp_path, monkeypatch):
+    """Increments over any batches give what one run over all captures gives."""
+    landing, out, progress = (str(tmp_path / n) for n in ("landing", "out", "progress"))
+    monkeypatch.setattr(incremental, "MERGE_AFTER", 2)
+    fewer = ("naver", "cafe", "가", cafe_page(cafe_card()))
+    failed = ("naver", "blog", "가", None)
+    batches = [PAGES[:3], [fewer, failed], [PAGES[0], *PAGES[3:5]], [PAGES[2], ("naver", "blog", "나", blog_page(blog_card()))]]
+    for rows in batches:
+        captures_of(spark, *rows).coalesce(1).write.mode("append").parquet(landing)
+        run_increment(spark, landing, out, progress)
+    keywords = spark.createDataFrame([(1, "가"), (2, "나"), (3, "다")], "kw_pos int, keyword string")
+    whole = rl.extract_tables(keywords, captures_of(spark, *(r for b in batches for r in b)))
+    for kind in rl.SURFACES:
+        columns = [c for c in whole[kind].columns if c not in ("platform_pos", "kw_pos")]
+        assert table_rows(read_increments(spark, out, kind).select(columns)) == table_rows(whole[kind].select(columns)) != []
+    assert {(r.surface, r.keyword, r.reason) for r in incremental.read_rejected(spark, out).collect()} == {
+        ("blog", "가", "no page"), ("blog", "나", "broken card after rows: 0")
+    }
+    # A stream begun anew meets known pages only.
+    before = table_rows(read_increments(spark, out, "cafe"))
+    run_increment(spark, landing, out, str(tmp_path / "anew"))
+    assert table_rows(read_increments(spark, out, "cafe")) == before
+
+
+def test_a_batch_is_seen_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    landing, out, progress = (str(tmp_path / n) for n in ("landing", "out", "progress"))
+    captures_of(spark, *PAGES[:1]).coalesce(1).write.parquet(landing)
+    run_increment(spark, landing, out, progress)
+    before = {kind: table_rows(read_increments(spark, out, kind)) for kind in rl.SURFACES}
+    captures_of(spark, *PAGES[2:5]).coalesce(1).write.mode("append").parquet(landing)
+
+    def lost(*_):
+        raise OSError("lost before the manifest")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "_commit", lost)
+        with pytest.raises(Exception, match="lost before the manifest"):
+            run_increment(spark, landing, out, progress)
+    assert {kind: table_rows(read_increments(spark, out, kind)) for kind in rl.SURFACES} == before
+    run_increment(spark, landing, out, progress)
+    assert len(read_increments(spark, out, "cafe").collect()) == 2
+
+
+def test_one_pass_over_articles_a_hop(spark, monkeypatch):
+    """Blog and cafe cards ask together, and a url visited is not read again."""
+    from resultlake.operators import articles as A
+
+    passes, real = [], A.asked_articles
+    monkeypatch.setattr(A, "asked_articles", lambda rows, urls: passes.append({r.url for r in urls.collect()}) or real(rows, urls))
+    rows = [*ARTICLE_ROWS, ("https://search.naver.com/c", "<iframe id='cafe_main' src='/a'></iframe>")]
+    pages = [PAGES[0], ("naver", "cafe", "가", cafe_page(cafe_card(date="어제", link="<a class='title_link' href='/c'>c</a>")))]
+    keywords = spark.createDataFrame([(1, "가")], "kw_pos int, keyword string")
+    tables = rl.extract_tables(keywords, captures_of(spark, *pages), spark.createDataFrame(rows, ARTICLES))
+    assert tables["blog"].count() == 2
+    assert passes[0] >= {"https://search.naver.com/a"} and passes[1] == {"https://blog.naver.com/i"} and len(passes) == 2
+
+
+def test_a_page_that_never_ends_is_a_reject(spark):
+    from resultlake.operators import cards
+
+    def endless(page):
+        while page.text(page.first(cards.MAIN_PACK) or 0) == "stuck":
+            pass
+        return [{"text": "x", "href": "y"}]
+
+    pages = spark.createDataFrame([(1, "<p id='main_pack'>stuck"), (2, "<p id='main_pack'>fine"), (3, "<p id='main_pack'>stuck")], "id int, html string")
+    found = cards.extract(pages.coalesce(1), endless, cards.ANCHOR, error="error", seconds=0.3).collect()
+    assert [(r.id, r.cards is not None) for r in found] == [(1, False), (2, True), (3, False)]
+    assert found[0].error == "PageTimeout: not read within 0.3 seconds"
+
+
 # -- command line and staging ----------------------------------------------------
 def test_command_line(spark, files, capsys, monkeypatch):
     import json

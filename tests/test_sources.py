@@ -126,3 +126,57 @@ def test_measured_size(spark):
     size = 100 * (30 + 16 + 16 + 16) + sum(len(str(i)) for i in range(100))
     assert fits_broadcast(table, size) and not fits_broadcast(table, size - 1)
     assert fits_broadcast(table.limit(0), 0)
+
+
+def scanned(df):
+    """Bytes of the files that the scans of a collected plan opened."""
+    found, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found += node.metrics().get("filesSize").get().value()
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_bytes_read_from_a_store_grow_with_what_is_asked(spark, tmp_path):
+    import resultlake as rl
+
+    pages = spark.range(4000).select(F.concat(F.lit("https://x/"), "id").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 40).alias("html"))
+    pages = pages.unionByName(pages.limit(10)).unionByName(spark.createDataFrame([(None, "nobody asks")], "url string, html string"))
+    rl.write_article_store(pages.where("url is null or url < 'https://x/3'"), str(tmp_path), buckets=64)
+    rl.write_article_store(pages.where("url >= 'https://x/3'"), str(tmp_path), buckets=64)
+    store = rl.read_articles(spark, str(tmp_path))
+    assert store.buckets == 64
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan as it ran
+    try:
+        sizes = []
+        for asked in (1, 8, 4000):
+            urls = spark.range(asked).select(F.concat(F.lit("https://x/"), "id").alias("url"))
+            found = store.asked(urls)
+            rows = found.collect()
+            assert {r.url for r in rows} >= {f"https://x/{i}" for i in range(asked)}
+            sizes.append(scanned(found))
+        whole = store.pages()
+        assert len(whole.collect()) == 4010
+        assert 0 < sizes[0] < scanned(whole) / 30 and sizes[0] < sizes[1] < scanned(whole) / 4 and sizes[2] == scanned(whole)
+        assert store.asked(spark.createDataFrame([], "url string")).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with pytest.raises(ValueError):
+        rl.write_article_store(pages, str(tmp_path), buckets=32)
+
+
+def test_stored_captures(spark, tmp_path):
+    rows = [(p, s, f"k{i}", "u", "<p>") for p in ("naver", "x") for s in SURFACES for i in range(30)]
+    frame = spark.createDataFrame([*rows, ("naver", "blog", None, "u", "<p>")], "platform string, surface string, keyword string, page_url string, html string")
+    C.write_captures(frame, str(tmp_path / "store"), buckets=4)
+    store = C.read_captures(spark, str(tmp_path / "store"))
+    wanted = spark.createDataFrame([("k1",), ("k7",), ("none",)], "keyword string")
+    pages = C.surface_pages(store, ["naver"], "blog", wanted)
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(platform" in plan and "SortMergeJoin" not in plan
+    assert {r.keyword for r in pages.collect()} == {"k1", "k7"}
+    asked = wanted.selectExpr("1 as kw_pos", "keyword")
+    assert {r.keyword for r in C.missing_captures(C.request_list(asked), store).collect()} == {"none"}
