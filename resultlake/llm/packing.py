@@ -40,7 +40,7 @@ def _pieces(batches, vocabulary: str, length: int):
     step = 4 * length
     for batch in batches:
         out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
-        encoded = encode.ids(batch.column(1).to_pylist())
+        encoded = encode.ids(batch.column(1))
         for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
             ids += end
             for piece, at in enumerate(range(0, len(ids), step)):

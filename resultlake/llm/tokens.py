@@ -9,16 +9,19 @@ keeps apart too; new words are encoded many at a time.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 # Chunks a worker remembers before it starts anew, and words of each of the two
 # generations it keeps: what the older one still gives moves to the newer, the rest is
 # forgotten. Both bound its memory.
-CHUNKS, WORDS = 150_000, 300_000
+CHUNKS, WORDS = 400_000, 300_000
 # Texts whose new chunks are looked up together.
-TOGETHER = 64
+TOGETHER = 256
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # no apostrophe, which may begin a token with letters
 WORD_END = "</w>"
 
@@ -31,33 +34,82 @@ class ChunkEncoder:
         path = vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary)
         self.tokenizer = Tokenizer.from_file(path)
         known = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(known.values()) + 1, bool)
-        self.ends[[i for token, i in known.items() if token.endswith(WORD_END)]] = True
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.closing = np.zeros(max(known.values()) + 1, bool)
+        self.closing[[i for token, i in known.items() if token.endswith(WORD_END)]] = True
         self.words: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Chunks have numbers; all their ids stand in one array, one behind the other."""
+        self.index: dict[str, int] = {}
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.ends = np.zeros(1 << 16, np.int64)
 
     def one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Every text's ids as little-endian unsigned 32-bit numbers."""
+    def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks of some texts by number, and where each text's end."""
+        if len(self.index) > CHUNKS:
+            self._forget()
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            numbers[missing] = self._add([words[i] for i in missing.tolist()])
+        edges = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return numbers[coded.indices.to_numpy()], edges
+
+    def _add(self, new: list[str]) -> np.ndarray:
+        known = self._learn(set(new))
+        found = [known[chunk] for chunk in new]
+        first, ids = len(self.index), np.frombuffer(b"".join(found), "<u4")
+        used = int(self.ends[first - 1]) if first else 0
+        while first + len(new) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[used : used + len(ids)] = ids
+        self.ends[first : first + len(new)] = used + np.cumsum([len(f) // 4 for f in found])
+        numbers = np.arange(first, first + len(new))
+        self.index.update(zip(new, numbers.tolist(), strict=True))
+        return numbers
+
+    def _sizes(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = self.ends[numbers]
+        starts = np.where(numbers > 0, self.ends[numbers - 1], 0)
+        return starts, ends - starts
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """Every text's number of ids, without them."""
         out = []
         for at in range(0, len(texts), TOGETHER):
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts[at : at + TOGETHER]]
-            if len(self.chunks) > CHUNKS:
-                self.chunks = {"": b""}
-            new = set().union(*split).difference(self.chunks)
-            if new:
-                self._learn(new)
-            known = self.chunks.__getitem__
-            out += [b"".join(map(known, chunks)) for chunks in split]
+            numbers, edges = self._numbered(texts.slice(at, TOGETHER))
+            out.append(np.add.reduceat(self._sizes(numbers)[1], edges[:-1]))
+        return np.concatenate([*out, np.zeros(0, np.int64)])
+
+    def ids(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Every text's ids as little-endian unsigned 32-bit numbers."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        out: list[bytes] = []
+        for at in range(0, len(texts), TOGETHER):
+            numbers, edges = self._numbered(texts.slice(at, TOGETHER))
+            starts, sizes = self._sizes(numbers)
+            upto = np.cumsum(sizes)
+            place = np.repeat(starts - upto + sizes, sizes) + np.arange(int(sizes.sum()))
+            raw = self.flat[place].astype("<u4").tobytes()
+            stops = (4 * upto[edges[1:] - 1]).tolist()
+            out += [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
         return out
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of new chunks."""
         if len(self.words) > WORDS:
             self.words, self.older = {"": b""}, self.words
-        parts, words = {}, set()
+        parts, words, chunks = {}, set(), {}
         for chunk in new:
             low = chunk.lower()
             word = low.rstrip(MARKS)
@@ -66,20 +118,21 @@ class ChunkEncoder:
                 parts[chunk] = word, low[len(word) :]
                 words.add(word)
             else:
-                self.chunks[chunk] = self.one(chunk)
+                chunks[chunk] = self.one(chunk)
         missing = words.difference(self.words)
         self.words.update([(w, self.older[w]) for w in missing if w in self.older])
         self._learn_words(sorted(missing.difference(self.older)))
         for chunk, (word, marks) in parts.items():
             if marks not in self.words:
                 self.words[marks] = self.one(marks)
-            self.chunks[chunk] = self.words[word] + self.words[marks]
+            chunks[chunk] = self.words[word] + self.words[marks]
+        return chunks
 
     def _learn_words(self, words: list[str]) -> None:
         if not words:
             return
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
+        ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(words):
             self.words.update((w, self.one(w)) for w in words)
             return
