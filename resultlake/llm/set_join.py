@@ -17,7 +17,8 @@ difference itself; and of two empty neighbours the second is found by its own su
 So no link is lost, and no key is shared by sets for being empty alone.
 
 Copies (equal word sequences) are one vertex. Sets with a key in common are compared
-with the smallest of them first, exactly, on their shingles; only where that leaves the
+with the smallest of them first: by their sizes, then by parity sketches, and what these
+leave possible exactly, on their shingles; only where that leaves the
 holders of a key in several components are the members of different components
 compared with each other, and of these only pairs whose parity sketches allow it: one
 differing shingle changes one bit of a sketch, so sketches never differ in more bits
@@ -234,6 +235,22 @@ def _plausible(batches, percent: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs()], names=["a", "b"])
 
 
+def _possible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that sizes, then parity sketches leave a link possible for:
+    none that is linked is lost, and texts are fetched for few others."""
+
+    def of(side: str, *columns: str) -> DataFrame:
+        return about.select(F.col("vertex").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+
+    sized = pairs.join(small(of("a", "n")), "a").join(small(of("b", "n")), "b")
+    fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    near = sized.where(fits).join(small(of("a", "sketch")), "a").join(small(of("b", "sketch")), "b")
+    bits = F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    possible = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    return near.where(possible).select("a", "b")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar enough, staged."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -273,7 +290,9 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     )
     shared = found.where("n is null").select("key", "vertex", "rep")
     pairs = stage(shared.select(F.col("rep").alias("a"), F.col("vertex").alias("b")).distinct(), "pairs")
-    links = _links(pairs, named, words, percent)
+    about = found.where("n is not null").groupBy("vertex").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    about = stage(about, "sizes-and-sketches")
+    links = _links(stage(_possible(pairs, about, percent), "possible-pairs"), named, words, percent)
     again = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("vertex").alias("a"), F.max("vertex").alias("b"))
     links = links.unionByName(again.where("a <> b").select("a", "b"))  # one document, two texts
     labels = components(links)
@@ -289,7 +308,6 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     apart = placed.groupBy("key").agg(
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
     ).where("n > 2 and low <> high")
-    about = found.where("n is not null").groupBy("vertex").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
     apart = stage(apart.select("key", F.ceil(F.col("n") / HOLDERS).cast("long").alias("blocks")), "apart")
     rest = placed.join(apart, "key").join(about, "vertex")
     block = F.pmod(F.xxhash64("vertex"), "blocks")
@@ -307,7 +325,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     if not more.isEmpty():
         labels = components(links.unionByName(_links(more, named, words, percent)))
 
-    sizes = found.where("n is not null").groupBy("vertex").agg(F.max("n").alias("n_shingles"))
+    sizes = about.select("vertex", F.col("n").alias("n_shingles"))
     sized = rows.join(sizes, "vertex", "left").join(labels.withColumnRenamed("id", "vertex"), "vertex", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "vertex"))
     return sized.select("doc_id", F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"), component.alias("component_id"))
