@@ -16,7 +16,8 @@ they are shuffled, and terms are broadcast only after their size was measured.
 A term is any run of letters and digits, whatever its length; where words are not set
 apart, it is all that stands between two other characters.
 
-A null text is an empty one. Rows without spans keep their text. Repeated rows are
+A null text is an empty one. Texts of any length are searched whole, in time linear in
+their length but for the number of their spans. Rows without spans keep their text. Repeated rows are
 found alike. Spans are in code points, ends exclusive, by start, then kind; a term
 inside a base span is no span of its own. Extra columns are ignored or kept.
 """
@@ -31,11 +32,12 @@ from resultlake.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# Possessive forms match what the plain ones do, without deep backtracking; the card
-# pattern takes the maximal runs that have 12 to 19 digits.
+# Possessive forms match what the plain ones do, without deep backtracking, and try a run
+# at its start or where the last match ended only, as what fails there fails further on;
+# the card pattern takes the maximal runs that have 12 to 19 digits.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -65,6 +66,17 @@ def test_base_spans(spark):
         assert r.s == ",".join(plain_spans(texts[r.doc_id])), texts[r.doc_id][:200]
 
 
+def test_long_runs_take_linear_time(spark):
+    """Runs that an address could begin in, before an address further on."""
+    texts = ["a" * 1_000_000 + " x@y.zz", "1" * 1_000_000 + " 1.2.3.4", "x%" * 300_000 + " a@b.c%d@e.f", "1.2." * 200_000 + "x +1 (736) 555-2678"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    started = time.monotonic()
+    found = {r.doc_id: r.s for r in df.select("doc_id", pii.spans_text(pii.base_spans(F.substr("text", F.greatest(F.lit(1), F.length("text") - 40)))).alias("s")).collect()}
+    assert {i: s for i, s in found.items()} == {i: ",".join(plain_spans(t[max(0, len(t) - 41) :])) for i, t in enumerate(texts)}
+    whole = {r.doc_id: r.n for r in df.select("doc_id", F.size(pii.base_spans(F.col("text"))).alias("n")).where("doc_id < 3").collect()}
+    assert whole == {0: 1, 1: 1, 2: 2} and time.monotonic() - started < 60
+
+
 def test_disclosing_terms(spark):
     rng = random.Random(2)
     filler = ["".join(rng.choice("aeioulmnrst") for _ in range(6)) for _ in range(300)]
