@@ -10,9 +10,11 @@ tables more numerous with the logarithm of the corpus, so buckets stay small.
 
 Codes are those of the vectors less their mean, from which a pair at the threshold looks
 wider apart than from the origin, the more so the nearer the vectors are to the mean.
-Tables are as many as the angle there asks for, measured on the sample. Where that would
-be too many, since nearly all vectors are close to one, they are turned at random about
-the origin instead, where the angle is the threshold's own.
+Tables are as many as the angle asks for at a radius that the nearest two percent of the
+sample are within. Pairs with a vector within it have tables of their own, over the
+vectors near enough to be its partners, turned at random about the origin, where the
+angle is the threshold's own. Where even the first would be too many, since nearly all
+vectors are close to one, all are turned so.
 
 Copies (equal vectors) are one class and are compared once. Vectors that are null, zero
 or hold null or non-finite components are linked with nothing; vectors of different
@@ -41,8 +43,8 @@ THRESHOLD = 0.95
 #: Numbers of the sample the rotation is learned on, at most, and its rows.
 SAMPLE_NUMBERS, SAMPLE_ROWS = 1 << 21, 8192
 TURNS, RECALL = 30, 0.94
-#: Share of the sample that may be nearer to the mean than what the tables are sized for;
-#: tables beyond which the mean is not taken off.
+#: Share of the sample that is nearer to the mean than what the tables about it are sized
+#: for; tables beyond which the mean is not taken off.
 NEAREST, MOST_TABLES = 0.02, 64
 VECTORS_PER_BATCH = 4096
 
@@ -56,6 +58,8 @@ class Quantiser:
     bits: int
     tables: int
     off: float  # share of bits in which a pair at the threshold differs
+    #: Distance from the mean that both vectors of a pair must have for this to hold.
+    radius: float = 0.0
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         on = ((x - self.mean) @ self.axes > 0).reshape(len(x), self.tables, self.bits)
@@ -83,8 +87,17 @@ def learn(sample: np.ndarray, count: int, threshold: float, seed: int = 11) -> Q
     off = share_off(threshold, radius)
     bits, tables = plan(count, off)
     if tables > MOST_TABLES:
-        mean, turns, off = np.zeros_like(mean), 0, share_off(threshold)
-        bits, tables = plan(count, off)
+        return learn_about_origin(sample, count, threshold, seed)
+    return _rotations(sample, mean, turns, seed, bits, tables, off, radius)
+
+
+def learn_about_origin(sample: np.ndarray, count: int, threshold: float, seed: int = 11) -> Quantiser:
+    """Codes by random rotations about the origin, where the angle of a pair is its own."""
+    off = share_off(threshold)
+    return _rotations(sample, np.zeros(sample.shape[1]), 0, seed, *plan(count, off), off, 0.0)
+
+
+def _rotations(sample, mean, turns: int, seed: int, bits: int, tables: int, off: float, radius: float) -> Quantiser:
     x = sample - mean
     _, axes = np.linalg.eigh(x.T @ x)
     y, rng, found = x @ axes, np.random.default_rng(seed), []
@@ -95,7 +108,7 @@ def learn(sample: np.ndarray, count: int, threshold: float, seed: int = 11) -> Q
             u, _, v = np.linalg.svd(corner.T @ y)
             turn = (u @ v).T
         found.append(axes @ turn)
-    return Quantiser(mean, np.concatenate(found, 1)[:, : bits * tables], bits, tables, off)
+    return Quantiser(mean, np.concatenate(found, 1)[:, : bits * tables], bits, tables, off, radius)
 
 
 def _padded(column: pa.Array, width: int | None = None) -> np.ndarray:
@@ -123,13 +136,16 @@ def _prepared(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary())], names=["vec_id", "vector", "digest"])
 
 
-def _coded(batches, model):
+def _coded(batches, model, centre: np.ndarray):
+    """Codes, and the distance from the centre."""
     for batch in batches:
-        width = len(model.value.mean)
-        codes = model.value.codes(_unit(_padded(batch.column(1), width))[:, :width])
+        width = len(centre)
+        x = _unit(_padded(batch.column(1), width))[:, :width]
+        codes = model.value.codes(x)
+        away = np.sqrt(((x - centre) ** 2).sum(1))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(list(codes), pa.list_(pa.int64())), batch.column(1).value_lengths().cast(pa.int32())],
-            names=["cls", "code", "dim"],
+            [batch.column(0), pa.array(list(codes), pa.list_(pa.int64())), batch.column(1).value_lengths().cast(pa.int32()), pa.array(away)],
+            names=["cls", "code", "dim", "away"],
         )
 
 
@@ -142,21 +158,26 @@ def _similar(batches, threshold: float):
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
 
 
-def candidate_pairs(codes: DataFrame, model: Quantiser) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of ``codes (cls, code, dim)`` that a table has, once each."""
+def candidate_pairs(codes: DataFrame, model: Quantiser, within: float | None = None) -> DataFrame:
+    """Pairs ``(a, b)``, a < b, of ``codes (cls, code, dim, away)`` that a table has, once
+    each; with ``within`` those of which one vector at least is nearer to the mean."""
     at, code = F.posexplode("code"), F.col("code")
-    listed = codes.select(F.col("cls").alias("b"), code.alias("cb"), F.col("dim").alias("db"), at.alias("t", "key"))
-    own = codes.select(F.col("cls").alias("a"), code.alias("ca"), F.col("dim").alias("da"), at.alias("t", "own"))
+    near_b = F.lit(True) if within is None else F.col("away") < within
+    listed = codes.select(F.col("cls").alias("b"), code.alias("cb"), F.col("dim").alias("db"), near_b.alias("nb"), at.alias("t", "key"))
+    asking = codes if within is None else codes.where(F.col("away") < within)
+    own = asking.select(F.col("cls").alias("a"), code.alias("ca"), F.col("dim").alias("da"), at.alias("t", "own"))
     near = F.array(F.col("own"), *(F.col("own").bitwiseXOR(F.lit(1 << i).cast("long")) for i in range(model.bits)))
     asked = own.select("a", "ca", "da", "t", F.explode(near).alias("key"))
     apart = [F.bit_count(F.col("ca")[t].bitwiseXOR(F.col("cb")[t])) for t in range(model.tables)]
     earlier = reduce(lambda x, y: x | y, ((F.col("t") > t) & (apart[t] <= 1) for t in range(model.tables)))
     # Twice the bits that pairs at the threshold differ in, and a margin.
     most = int(2 * model.bits * model.tables * model.off + 6)
+    # Where both vectors ask, the smaller one's question counts.
     together = asked.join(listed, ["t", "key"]).where(
-        (F.col("a") < F.col("b")) & (F.col("da") == F.col("db")) & ~earlier & (reduce(lambda x, y: x + y, apart) <= most)
-    )
-    return together.select("a", "b")
+        (F.col("a") != F.col("b")) & ((F.col("a") < F.col("b")) | ~F.col("nb"))
+        & (F.col("da") == F.col("db")) & ~earlier & (reduce(lambda x, y: x + y, apart) <= most)
+    )
+    return together.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -188,10 +209,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         return alone
     limit = max(64, min(SAMPLE_ROWS, SAMPLE_NUMBERS // widest[0]))
     sample = chosen.orderBy(F.xxhash64("vector"), "cls").limit(limit).select("vector").toArrow()
-    learned = learn(_unit(_padded(sample["vector"].combine_chunks(), widest[0])), widest[1], threshold)
-    model = spark.sparkContext.broadcast(learned)
-    codes = stage(chosen.mapInArrow(partial(_coded, model=model), "cls long, code array<long>, dim int"), "codes")
+    sample = _unit(_padded(sample["vector"].combine_chunks(), widest[0]))
+    learned = learn(sample, widest[1], threshold)
+    schema = "cls long, code array<long>, dim int, away double"
+
+    def coded(quantiser: Quantiser) -> DataFrame:
+        model = spark.sparkContext.broadcast(quantiser)
+        return chosen.mapInArrow(partial(_coded, model=model, centre=learned.mean), schema)
+
+    codes = stage(coded(learned).where(F.col("away") >= learned.radius), "codes")
     pairs = stage(candidate_pairs(codes, learned), "vector-pairs")
+    if learned.radius > 0:
+        # Linked vectors are no further apart than this, so one of them within the radius
+        # has its partners within both distances; there the angle is taken at the origin.
+        reach = math.sqrt(2 * (1 - threshold)) + 1e-6
+        inner = learn_about_origin(sample, widest[1], threshold)
+        codes = stage(coded(inner).where(F.col("away") < learned.radius + reach), "inner-codes")
+        pairs = stage(pairs.unionByName(candidate_pairs(codes, inner, learned.radius)), "all-vector-pairs")
     one = chosen.select(F.col("cls").alias("a"), F.col("vector").alias("va"))
     other = chosen.select(F.col("cls").alias("b"), F.col("vector").alias("vb"))
     compared = pairs.join(one, "a").join(other, "b").select("a", "b", "va", "vb")

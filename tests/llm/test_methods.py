@@ -521,3 +521,29 @@ def test_quality(spark):
     rows = quality.scores(documents, machine).join(held, "doc_id").collect()
     assert np.mean([r.quality_score.predicted == r.quality for r in rows]) >= 0.95
     assert 0 <= machine.score(None) == machine.score("") <= 1
+
+
+def test_links_of_vectors_near_the_mean(spark):
+    """A common component, and a small cluster about the mean's own direction."""
+    rng = np.random.default_rng(44)
+    dims, common = 64, np.zeros(64)
+    common[0] = 1.0
+
+    def unit(x):
+        return x / np.sqrt((x**2).sum(1))[:, None]
+
+    rest = unit(rng.normal(size=(4000, dims)) * (np.arange(dims) > 0))
+    far = np.sqrt(0.7) * common + np.sqrt(0.3) * rest
+    near = unit(common + 0.12 * unit(rng.normal(size=(100, dims))))
+    planted = unit(far[:300] + 0.3 * unit(rng.normal(size=(300, dims))))
+    x = np.concatenate([far, near, planted])
+    cosine = unit(x) @ unit(x).T >= 0.95
+    np.fill_diagonal(cosine, False)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in near_vectors.near_duplicates(df).collect()}
+    wanted = cosine.sum(1)
+    assert all(found[i] <= wanted[i] for i in found)
+    inside = range(4000, 4100)
+    outside = [i for i in range(len(x)) if i not in inside]
+    for rows in (inside, outside):  # each shell by itself
+        assert sum(found[i] for i in rows) >= 0.9 * sum(wanted[i] for i in rows) > 0
