@@ -19,7 +19,7 @@ VOCABULARY = "word_bpe_49k.json"
 # Chunks a worker remembers before it starts anew, and words of each of the two
 # generations it keeps: what the older one still gives moves to the newer, the rest is
 # forgotten. Both bound its memory.
-CHUNKS, WORDS = 400_000, 300_000
+CHUNKS, WORDS = 500_000, 350_000
 # Texts whose new chunks are looked up together.
 TOGETHER = 256
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # no apostrophe, which may begin a token with letters
@@ -113,8 +113,10 @@ class ChunkEncoder:
         """The ids of new chunks."""
         if len(self.words) > WORDS:
             self.words, self.older = {"": b""}, self.words
-        parts, words, chunks = {}, set(), {}
-        for chunk in new:
+        parts, chunks = {}, {}
+        words = {chunk for chunk in new if chunk.isascii() and chunk.isalpha() and chunk.islower()}
+        plain = list(words)
+        for chunk in new.difference(words):
             low = chunk.lower()
             word = low.rstrip(MARKS)
             # Latin letters and nothing else: lower-casing is the file's own there.
@@ -126,6 +128,7 @@ class ChunkEncoder:
         missing = words.difference(self.words)
         self.words.update([(w, self.older[w]) for w in missing if w in self.older])
         self._learn_words(sorted(missing.difference(self.older)))
+        chunks.update((chunk, self.words[chunk]) for chunk in plain)
         for chunk, (word, marks) in parts.items():
             if marks not in self.words:
                 self.words[marks] = self.one(marks)
