@@ -23,12 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_batches(spark: SparkSession) -> None:
+def text_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
     """Bound what one Arrow batch of whole texts may hold, and see that the executors
     have what is to work on it."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_PER_BATCH))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -34,6 +34,8 @@ SLOT_BITS, PROBES = 20, 3
 LEAST_COUNT, LEAST_SHARE = 3, 0.4
 # Languages of one mask; more languages take more masks.
 MASK_BITS = 62
+# Grams a task holds while it counts (16 bytes each), and bytes of texts in one batch.
+HELD, BATCH_BYTES = 2**20, 4 * 1024 * 1024
 
 
 @lru_cache(maxsize=1)
@@ -67,23 +69,34 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _counts(batches):
-    """Gram counts per language and task; a task holds one count per distinct gram."""
+    """Gram counts per language; a task gives out what it holds, one count per distinct
+    gram, whenever that is more than ``HELD`` grams."""
     found: dict[str, list] = {}
+    waiting = 0
+
+    def summed():
+        for lang, parts in found.items():
+            codes, counts = _merged(parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(counts)],
+                names=["lang", "gram", "n"],
+            )
+
     for batch in batches:
-        rows = batch.to_pydict()
-        for text, lang in zip(rows["text"], rows["lang"], strict=True):
-            g = grams(text)
-            if len(g):
-                parts = found.setdefault(lang, [])
-                parts.append(np.unique(g, return_counts=True))
-                if len(parts) >= 256:
-                    found[lang] = [_merged(parts)]
-    for lang, parts in found.items():
-        codes, counts = _merged(parts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(codes)), pa.array(codes.view(np.int64)), pa.array(counts)],
-            names=["lang", "gram", "n"],
-        )
+        for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            g = grams(text.as_py())
+            if not len(g):
+                continue
+            parts = found.setdefault(lang, [])
+            parts.append(np.unique(g, return_counts=True))
+            waiting += len(parts[-1][0])
+            if waiting > HELD:
+                found = {x: [_merged(held)] for x, held in found.items()}
+                waiting = sum(len(held[0][0]) for held in found.values())
+                if waiting > HELD // 2:
+                    yield from summed()
+                    found, waiting = {}, 0
+    yield from summed()
 
 
 @dataclass
@@ -120,7 +133,7 @@ class LanguageFilters:
 def learn(docs: DataFrame, slot_bits: int = SLOT_BITS) -> LanguageFilters:
     """Filters from ``docs (doc_id, text, lang)``. The driver receives the filter: at
     most ``2 ** slot_bits`` slots, whatever the corpus."""
-    text_batches(docs.sparkSession)
+    text_batches(docs.sparkSession, BATCH_BYTES)
     rows = docs.where(learnable(F.col("doc_id"))).where("text is not null and lang is not null")
     counted = rows.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(
         _counts, "lang string, gram long, n long"
@@ -179,7 +192,7 @@ def identify(docs: DataFrame, filters: LanguageFilters | None = None, name: str
     """All columns of ``docs`` and the prediction in a struct named ``name`` (with
     leading underscores if that name is taken). Filters are learned from ``docs``
     themselves if none are given."""
-    text_batches(docs.sparkSession)
+    text_batches(docs.sparkSession, BATCH_BYTES)
     filters = filters or learn(docs)
     found = predictor(docs, filters)(F.col("text").cast("string"))
     return docs.select(*(col(c) for c in docs.columns), found.alias(fresh(docs, name)))
