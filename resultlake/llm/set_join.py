@@ -31,6 +31,7 @@ columns are ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import zlib
 from functools import partial
 from hashlib import blake2b
 
@@ -51,6 +52,8 @@ SKETCH = 32
 HOLDERS = 1024
 # Documents whose keys a task holds at a time.
 TOGETHER = 512
+# Bytes of texts handed to Python at a time.
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -141,7 +144,8 @@ def sketch(codes: np.ndarray) -> np.ndarray:
 
 
 # -- candidates -------------------------------------------------------------
-_KEYED = "part long, key long, vertex long, rep long, n long, sketch array<long>"
+# Most rows are a key and a holder; all else is one struct, null in these.
+_KEYED = "part long, vertex long, more struct<key: long, rep: long, n: long, sketch: array<long>>"
 
 
 def _keyed(batches, words: int, percent: int):
@@ -168,28 +172,47 @@ def _keyed(batches, words: int, percent: int):
         same = vertex == rep
         spread = _mix(key ^ _mix(vertex.view(np.uint64)))
         part = np.where(same, key, spread).view(np.int64)
-        later = np.zeros(len(ids), bool)
+        n_keys, n_docs = len(key), len(ids)
+        plain = np.concatenate([same, np.zeros(n_docs, bool)])
+        about = np.concatenate([np.zeros(n_keys, bool), np.ones(n_docs, bool)])
+        more = pa.StructArray.from_arrays(
+            [
+                pa.array(np.concatenate([key.view(np.int64), ids]), mask=about),
+                pa.array(np.concatenate([rep, ids]), mask=about),
+                pa.array(np.concatenate([vertex, np.array(sizes, np.int64)]), mask=~about),
+                pa.array([None] * n_keys + sketches, pa.list_(pa.int64())),
+            ],
+            names=["key", "rep", "n", "sketch"],
+            mask=pa.array(plain),
+        )
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([part, _mix(ids.view(np.uint64)).view(np.int64)])),
-                pa.array(np.concatenate([key.view(np.int64), ids]), mask=np.concatenate([same, ~later])),
                 pa.array(np.concatenate([vertex, ids])),
-                pa.array(np.concatenate([rep, ids]), mask=np.concatenate([same, ~later])),
-                pa.array(np.concatenate([vertex, np.array(sizes, np.int64)]), mask=np.concatenate([~same | same, later])),
-                pa.array([None] * len(key) + sketches, pa.list_(pa.int64())),
+                more,
             ],
-            names=["part", "key", "vertex", "rep", "n", "sketch"],
+            names=["part", "vertex", "more"],
         )
 
 
+def _packed(batches):
+    """Texts as their words alone, compressed: what pairs carry through a shuffle."""
+    for batch in batches:
+        words = (zlib.compress(b" ".join(words_of(t.as_py())), 1) for t in batch.column(1))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["doc_id", "words"])
+
+
+def _unpacked(words: bytes) -> list[bytes]:
+    return zlib.decompress(words).split()
+
+
 def _compared(batches, words: int, percent: int):
     for batch in batches:
-        a, b, one, other = (batch.column(i).to_pylist() for i in range(4))
         linked, last, left = [], None, set()
-        for x, s, t in zip(a, one, other, strict=True):
+        for x, s, t in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
             if x != last:
-                last, left = x, shingle_set(words_of(s), words)
-            right = shingle_set(words_of(t), words)
+                last, left = x, shingle_set(_unpacked(s.as_py()), words)
+            right = shingle_set(_unpacked(t.as_py()), words)
             common = len(left & right)
             linked.append(100 * common >= percent * (len(left) + len(right) - common) and common > 0)
         yield pa.RecordBatch.from_arrays(
@@ -254,9 +277,10 @@ def _possible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
 def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar enough, staged."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stage(docs.join(small(stage(ids, "candidate-ids")), "doc_id", "left_semi"), "candidate-texts")
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
-    other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
+    chosen = docs.join(small(stage(ids, "candidate-ids")), "doc_id", "left_semi")
+    texts = stage(chosen.mapInArrow(_packed, "doc_id long, words binary"), "candidate-texts")
+    one = texts.select(F.col("doc_id").alias("a"), F.col("words").alias("one"))
+    other = texts.select(F.col("doc_id").alias("b"), F.col("words").alias("other"))
     joined = pairs.join(other, "b").join(one, "a").select("a", "b", "one", "other")
     return stage(joined.mapInArrow(partial(_compared, words=words, percent=percent), "a long, b long"), "links")
 
@@ -264,7 +288,7 @@ def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs (doc_id, text)`` to ``doc_id, n_shingles, component_id``, a row each."""
     spark = docs.sparkSession
-    text_batches(spark)
+    text_batches(spark, BATCH_BYTES)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stage(docs.mapInArrow(_digests, "doc_id long, digest binary"), "digests")
     full = rows.where("digest is not null")
@@ -283,7 +307,8 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     found = stage(
         keyed.withColumn("first", F.first("vertex").over(running))
         .select(
-            F.coalesce("key", "part").alias("key"), "vertex", F.coalesce("rep", "first").alias("rep"), "n", "sketch"
+            F.coalesce("more.key", "part").alias("key"), "vertex", F.coalesce("more.rep", "first").alias("rep"),
+            F.col("more.n").alias("n"), F.col("more.sketch").alias("sketch"),
         )
         .where("n is not null or vertex <> rep"),
         "candidates",
