@@ -137,15 +137,21 @@ def _digests(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary())], names=["doc_id", "digest"])
 
 
-def sketch(codes: np.ndarray) -> np.ndarray:
-    """Parity of the number of codes in each of ``64 * SKETCH`` hashed classes."""
-    odd = np.bincount((codes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+def sketch(codes: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """Parity of the number of codes in each of ``64 * words`` hashed classes, ``words``
+    being a power of two; the two halves of a sketch make that of half as many classes."""
+    odd = np.bincount((codes & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
+def wide_sketch(codes: np.ndarray) -> np.ndarray | None:
+    """A sketch with a class or more per code, for sets that fill the narrow one."""
+    return sketch(codes, 1 << (-(-len(codes) // 64) - 1).bit_length()) if len(codes) > 64 * SKETCH else None
+
+
 # -- candidates -------------------------------------------------------------
 # Most rows are a key and a holder; all else is one struct, null in these.
-_KEYED = "part long, vertex long, more struct<key: long, rep: long, n: long, sketch: array<long>>"
+_KEYED = "part long, vertex long, more struct<key: long, rep: long, n: long, sketch: array<long>, wide: array<long>>"
 
 
 def _keyed(batches, words: int, percent: int):
@@ -154,12 +160,13 @@ def _keyed(batches, words: int, percent: int):
     dealt out one by one, already compared with it, so no key makes a hot partition."""
     bands = Bands(percent)
     for batch in (b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)):
-        keys, sizes, sketches = [], [], []
+        keys, sizes, sketches, wides = [], [], [], []
         doc_ids = batch.column(0).to_pylist()
         for text in batch.column(1).to_pylist():
             codes = shingle_codes(words_of(text), words)
             sizes.append(len(codes))
             sketches.append(sketch(codes))
+            wides.append(wide_sketch(codes))
             keys.append(keys_of(codes, bands) if len(codes) else codes)
         ids = np.array(doc_ids, np.int64)
         vertex = np.repeat(ids, [len(k) for k in keys])
@@ -181,8 +188,9 @@ def _keyed(batches, words: int, percent: int):
                 pa.array(np.concatenate([rep, ids]), mask=about),
                 pa.array(np.concatenate([vertex, np.array(sizes, np.int64)]), mask=~about),
                 pa.array([None] * n_keys + sketches, pa.list_(pa.int64())),
+                pa.array([None] * n_keys + wides, pa.list_(pa.int64())),
             ],
-            names=["key", "rep", "n", "sketch"],
+            names=["key", "rep", "n", "sketch", "wide"],
             mask=pa.array(plain),
         )
         yield pa.RecordBatch.from_arrays(
@@ -209,9 +217,9 @@ def _unpacked(words: bytes) -> list[bytes]:
 def _compared(batches, words: int, percent: int):
     for batch in batches:
         linked, last, left = [], None, set()
-        for x, s, t in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-            if x != last:
-                last, left = x, shingle_set(_unpacked(s.as_py()), words)
+        for s, t in zip(batch.column(2), batch.column(3), strict=True):
+            if (s := s.as_py()) != last:
+                last, left = s, shingle_set(_unpacked(s), words)
             right = shingle_set(_unpacked(t.as_py()), words)
             common = len(left & right)
             linked.append(100 * common >= percent * (len(left) + len(right) - common) and common > 0)
@@ -260,18 +268,35 @@ def _plausible(batches, percent: int):
 
 def _possible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that sizes, then parity sketches leave a link possible for:
-    none that is linked is lost, and texts are fetched for few others."""
+    none that is linked is lost, and texts are fetched for few others. Sets that fill
+    their narrow sketches are held against each other by the wide ones too."""
 
     def of(side: str, *columns: str) -> DataFrame:
         return about.select(F.col("vertex").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
 
+    def near_enough(x, y):
+        bits = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+        return apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+
     sized = pairs.join(small(of("a", "n")), "a").join(small(of("b", "n")), "b")
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     near = sized.where(fits).join(small(of("a", "sketch")), "a").join(small(of("b", "sketch")), "b")
-    bits = F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
-    possible = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
-    return near.where(possible).select("a", "b")
+    near = stage(near.where(near_enough("sketch_a", "sketch_b")).select("a", "b", "n_a", "n_b").distinct(), "near-pairs")
+
+    filled = F.least("n_a", "n_b") > 64 * SKETCH
+    large = near.where(filled).join(small(of("a", "wide").where("wide_a is not null")), "a")
+    large = large.join(small(of("b", "wide").where("wide_b is not null")), "b")
+    one, other = F.size("wide_a"), F.size("wide_b")
+
+    def halved(name: str):
+        half = (F.size(name) / 2).cast("int")
+        return F.zip_with(F.slice(name, 1, half), F.slice(name, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    same = F.when(one == other, near_enough("wide_a", "wide_b"))
+    same = same.when(one == 2 * other, near_enough(halved("wide_a"), F.col("wide_b")))
+    same = same.when(other == 2 * one, near_enough(F.col("wide_a"), halved("wide_b"))).otherwise(F.lit(True))
+    return near.where(~filled).select("a", "b").unionByName(large.where(same).select("a", "b")).distinct()
 
 
 def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -308,15 +333,15 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         keyed.withColumn("first", F.first("vertex").over(running))
         .select(
             F.coalesce("more.key", "part").alias("key"), "vertex", F.coalesce("more.rep", "first").alias("rep"),
-            F.col("more.n").alias("n"), F.col("more.sketch").alias("sketch"),
+            F.col("more.n").alias("n"), F.col("more.sketch").alias("sketch"), F.col("more.wide").alias("wide"),
         )
         .where("n is not null or vertex <> rep"),
         "candidates",
     )
     shared = found.where("n is null").select("key", "vertex", "rep")
     pairs = stage(shared.select(F.col("rep").alias("a"), F.col("vertex").alias("b")).distinct(), "pairs")
-    about = found.where("n is not null").groupBy("vertex").agg(F.max("n").alias("n"), F.first("sketch").alias("sketch"))
-    about = stage(about, "sizes-and-sketches")
+    # A row per text: a document with two texts has two, and either may link it.
+    about = stage(found.where("n is not null").select("vertex", "n", "sketch", "wide").distinct(), "sizes-and-sketches")
     links = _links(stage(_possible(pairs, about, percent), "possible-pairs"), named, words, percent)
     again = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("vertex").alias("a"), F.max("vertex").alias("b"))
     links = links.unionByName(again.where("a <> b").select("a", "b"))  # one document, two texts
@@ -334,7 +359,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
     ).where("n > 2 and low <> high")
     apart = stage(apart.select("key", F.ceil(F.col("n") / HOLDERS).cast("long").alias("blocks")), "apart")
-    rest = placed.join(apart, "key").join(about, "vertex")
+    rest = placed.join(apart, "key").join(about.drop("wide"), "vertex")
     block = F.pmod(F.xxhash64("vertex"), "blocks")
     dealt = rest.withColumn("block", block).withColumn(
         "beside", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -347,10 +372,11 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     together = dealt.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "vertex")
     more = together.mapInArrow(partial(_plausible, percent=percent), "a long, b long").distinct()
     more = stage(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    more = stage(_possible(more, about, percent), "possible-more-pairs")
     if not more.isEmpty():
         labels = components(links.unionByName(_links(more, named, words, percent)))
 
-    sizes = about.select("vertex", F.col("n").alias("n_shingles"))
+    sizes = about.groupBy("vertex").agg(F.max("n").alias("n_shingles"))
     sized = rows.join(sizes, "vertex", "left").join(labels.withColumnRenamed("id", "vertex"), "vertex", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "vertex"))
     return sized.select("doc_id", F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"), component.alias("component_id"))
