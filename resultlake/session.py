@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resultlake.sinks.files import remove
+from resultlake.sinks.files import is_local, remove
 
 STAGE_SETTING = "spark.checkpoint.dir"
 
@@ -30,9 +30,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def stage_root(spark: SparkSession) -> str:
     """Folder shared by all executors: the one the cluster names, else the warehouse,
-    which a session keeps its tables in anyway."""
-    named = spark.conf.get(STAGE_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir")
-    return named.rstrip("/")
+    which a session keeps its tables in anyway. A warehouse that is a folder of each
+    machine is refused on a cluster, where parts staged in it would be lost."""
+    named = spark.conf.get(STAGE_SETTING, None)
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if is_local(spark, warehouse) and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"set {STAGE_SETTING} to a folder all executors share; {warehouse} is local")
+    return warehouse.rstrip("/")
 
 
 def _stage_folder(spark: SparkSession) -> str:

@@ -33,6 +33,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return text.removeprefix("file:") if text.startswith("file:/") else text
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is on the file system of the machine it is used on."""
+    system, where = _open(spark, path)
+    return system.makeQualified(where).toUri().getScheme() == "file"
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     system, where = _open(spark, path)
     system.mkdirs(where)
