@@ -36,7 +36,8 @@ def stage_root(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    if is_local(spark, warehouse) and not spark.conf.get("spark.master", "local").startswith("local"):
+    alone = (spark.conf.get("spark.master", None) or "local").startswith("local")
+    if not alone and is_local(spark, warehouse):
         raise ValueError(f"set {STAGE_SETTING} to a folder all executors share; {warehouse} is local")
     return warehouse.rstrip("/")
 
