@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,30 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+def give_back() -> None:
+    """Return what this worker has freed to its machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(function):
+    """``function`` over a partition's batches, giving freed memory back after each one:
+    a worker outlives its task, and what it keeps is missing in the stages after."""
+
+    def run(batches):
+        try:
+            for made in function(batches):
+                yield made
+                del made
+                give_back()
+        finally:
+            give_back()
+
+    return run
+
+
 _SHIPPED: set[str] = set()
 
 

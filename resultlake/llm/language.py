@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from resultlake.llm.common import col, fresh, learnable, text_batches
+from resultlake.llm.common import col, fresh, frugal, give_back, learnable, text_batches
 from resultlake.session import stage
 
 UNKNOWN = "und"
@@ -136,7 +136,7 @@ def learn(docs: DataFrame, slot_bits: int = SLOT_BITS) -> LanguageFilters:
     text_batches(docs.sparkSession, BATCH_BYTES)
     rows = docs.where(learnable(F.col("doc_id"))).where("text is not null and lang is not null")
     counted = rows.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(
-        _counts, "lang string, gram long, n long"
+        frugal(_counts), "lang string, gram long, n long"
     )
     counts = stage(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
@@ -179,7 +179,8 @@ def predictor(docs: DataFrame, filters: LanguageFilters):
 
     @F.arrow_udf(PREDICTION)
     def predicted(texts: pa.Array) -> pa.Array:
-        found = [model.value.predict(t) for t in texts.to_pylist()]
+        found = [model.value.predict(t.as_py()) for t in texts]
+        give_back()
         return pa.StructArray.from_arrays(
             [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
             names=["lang_pred", "score"],

@@ -33,6 +33,8 @@ LENGTH, END = 2048, 0
 REGION, ISLANDS, ROUNDS, CHILDREN, POPULATION = 2048, 2, 2, 6, 4
 # Bins at least this full are passed on whole; the worst of a region are packed again.
 WELL_FILLED, WORST, POOLED = 0.985, 16, 64
+# Bytes of texts handed to Python at a time, beside the encoder's own words.
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def _pieces(batches, vocabulary: str, length: int):
@@ -53,7 +55,7 @@ def _pieces(batches, vocabulary: str, length: int):
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH) -> DataFrame:
     """``docs (doc_id, text)`` to ``doc_id, piece, start, length, ids_crc32``."""
-    text_batches(docs.sparkSession)
+    text_batches(docs.sparkSession, BATCH_BYTES)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         partial(_pieces, vocabulary=vocabulary, length=length),
         "doc_id long, piece int, start long, length long, ids_crc32 long",

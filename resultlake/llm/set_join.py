@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import small, text_batches
+from resultlake.llm.common import frugal, small, text_batches
 from resultlake.llm.components import components
 from resultlake.session import stage
 
@@ -303,11 +303,11 @@ def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
     """The pairs ``(a, b)`` whose sets are similar enough, staged."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     chosen = docs.join(small(stage(ids, "candidate-ids")), "doc_id", "left_semi")
-    texts = stage(chosen.mapInArrow(_packed, "doc_id long, words binary"), "candidate-texts")
+    texts = stage(chosen.mapInArrow(frugal(_packed), "doc_id long, words binary"), "candidate-texts")
     one = texts.select(F.col("doc_id").alias("a"), F.col("words").alias("one"))
     other = texts.select(F.col("doc_id").alias("b"), F.col("words").alias("other"))
     joined = pairs.join(other, "b").join(one, "a").select("a", "b", "one", "other")
-    return stage(joined.mapInArrow(partial(_compared, words=words, percent=percent), "a long, b long"), "links")
+    return stage(joined.mapInArrow(frugal(partial(_compared, words=words, percent=percent)), "a long, b long"), "links")
 
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -315,7 +315,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     spark = docs.sparkSession
     text_batches(spark, BATCH_BYTES)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stage(docs.mapInArrow(_digests, "doc_id long, digest binary"), "digests")
+    rows = stage(docs.mapInArrow(frugal(_digests), "doc_id long, digest binary"), "digests")
     full = rows.where("digest is not null")
     least = stage(full.groupBy("digest").agg(F.min("doc_id").alias("vertex")), "classes")
     empty = rows.where("digest is null").select("doc_id", F.col("doc_id").alias("vertex"))
@@ -327,7 +327,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     skipped = stage(others.select("doc_id").distinct(), "skipped")
     named = docs.where("doc_id is not null")
     first = named.join(small(skipped), "doc_id", "left_anti")
-    keyed = first.mapInArrow(partial(_keyed, words=words, percent=percent), _KEYED)
+    keyed = first.mapInArrow(frugal(partial(_keyed, words=words, percent=percent)), _KEYED)
     running = Window.partitionBy("part").orderBy("vertex").rowsBetween(Window.unboundedPreceding, 0)
     found = stage(
         keyed.withColumn("first", F.first("vertex").over(running))
@@ -370,7 +370,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataF
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     together = dealt.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high", "vertex")
-    more = together.mapInArrow(partial(_plausible, percent=percent), "a long, b long").distinct()
+    more = together.mapInArrow(frugal(partial(_plausible, percent=percent)), "a long, b long").distinct()
     more = stage(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     more = stage(_possible(more, about, percent), "possible-more-pairs")
     if not more.isEmpty():
