@@ -22,7 +22,7 @@ from resultlake.operators.lookup import lookup_join
 from resultlake.operators.ranking import accepted, exploded, isolation, limit_of, numbered, reached
 from resultlake.operators.rules import BROKEN, FETCH, READY
 from resultlake.schema import POSITIONS, ROWS, with_positions
-from resultlake.session import stage
+from resultlake.session import stage, stage_counted
 from resultlake.sources.articles import ArticleStore
 from resultlake.sources.captures import CaptureStore, platform_positions, surface_pages
 from resultlake.sources.registry import PLATFORMS, Platforms, Surface
@@ -233,6 +233,10 @@ def extract_tables(
     return collect(keywords, captures, articles, platforms, max_rows, on_bad_card, known)[0]
 
 
+#: Rows per kind and platform position, from 1; repeats of a platform have one each.
+Counts = dict[str, dict[int, int]]
+
+
 def collect(
     keywords: DataFrame,
     captures: DataFrame | CaptureStore,
@@ -241,8 +245,9 @@ def collect(
     max_rows: int | None = None,
     on_bad_card: str = "page",
     known: Platforms = PLATFORMS,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The three tables, and the pages that failed; each page is read once for both."""
+) -> tuple[dict[str, DataFrame], DataFrame, Counts]:
+    """The three tables, the pages that failed and the tables' row counts; each page is
+    read once for all, and rows are counted while their table is staged."""
     names = known.chosen(platforms)
     isolation(on_bad_card)  # refuse a bad choice before any work starts
     keywords = keywords.select(F.col("kw_pos").cast("long").alias("kw_pos"), "keyword")
@@ -255,19 +260,24 @@ def collect(
         lambda sharing, kind: surface_pages(captures, sharing, kind, wanted), names, articles, max_rows, on_bad_card, known
     )
 
-    def table_of(kind: str) -> DataFrame:
+    positions = range(1, len(names) + 1)
+    each = [F.count_if(F.col("platform_pos") == at).alias(str(at)) for at in positions]
+
+    def table_of(kind: str) -> tuple[DataFrame, dict[int, int]]:
         rows = rows_of(stated, kind, max_rows)
         if rows is None:
-            return keywords.sparkSession.createDataFrame([], with_positions(kind))
+            return keywords.sparkSession.createDataFrame([], with_positions(kind)), dict.fromkeys(positions, 0)
         joined = lookup_join(requests, rows, PAGE)
-        return stage(numbered(joined, *POSITIONS, "keyword").select(*POSITIONS, *ROWS[kind].fieldNames()), kind)
+        table = numbered(joined, *POSITIONS, "keyword").select(*POSITIONS, *ROWS[kind].fieldNames())
+        staged, found = stage_counted(table, kind, *each)
+        return staged, {at: found[str(at)] for at in positions}
 
     with ThreadPoolExecutor(len(ROWS)) as pool:
         run = inheritable_thread_target(keywords.sparkSession)(table_of)
-        tables = dict(zip(ROWS, pool.map(run, ROWS)))
+        made = dict(zip(ROWS, pool.map(run, ROWS)))
     # The key filter may let a few pages through that nobody asked for.
     failed = lookup_join(rejected_of(stated, max_rows), wanted.distinct(), ["keyword"], "left_semi")
-    return tables, failed
+    return {kind: table for kind, (table, _) in made.items()}, failed, {kind: n for kind, (_, n) in made.items()}
 
 
 def rejected_of(stated: Stated, max_rows: int | None = None) -> DataFrame:

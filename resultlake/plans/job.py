@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from resultlake.errors import CollectionError, ExportError
 from resultlake.operators.ranking import isolation
 from resultlake.plans.extraction import collect
-from resultlake.plans.summary import run_summary
-from resultlake.session import configure, stage
+from resultlake.plans.summary import counted_platforms, run_summary
+from resultlake.session import configure, stage_counted
 from resultlake.sinks.csv import export
 from resultlake.sources.articles import read_articles
 from resultlake.sources.captures import missing_captures, read_captures, request_list
@@ -24,7 +25,8 @@ OUTPUT_SETTING = "spark.resultlake.output.dir"
 @dataclass(frozen=True)
 class Run:
     """What a run left behind. ``rejected`` are pages that failed as a whole,
-    ``requests`` all searches of the run and ``missing`` those no page answers."""
+    ``requests`` all searches of the run and ``missing`` those no page answers.
+    ``summary`` and ``platform_counts`` were counted while the tables were staged."""
 
     tables: dict[str, DataFrame]
     output_files: dict[str, str]
@@ -32,6 +34,7 @@ class Run:
     rejected: DataFrame
     requests: DataFrame
     missing: DataFrame
+    platform_counts: DataFrame
 
 
 def output_folder(spark: SparkSession, output_dir: str | None) -> str:
@@ -58,13 +61,14 @@ def run_job(
 ) -> Run:
     """Extract, export and sum up. Bad arguments fail before any work starts."""
     configure(spark)
-    known.chosen(platforms)
+    names = known.chosen(platforms)
     isolation(on_bad_card)
     folder = output_folder(spark, output_dir)
-    keywords = stage(read_keywords(spark, keywords_path, base_dir), "keywords")
+    listed = read_keywords(spark, keywords_path, base_dir)
+    keywords, lines = stage_counted(listed, "keywords", F.count(F.lit(1)).alias("n"))
     try:
         captures = read_captures(spark, captures_path)
-        tables, rejected = collect(
+        tables, rejected, counts = collect(
             keywords,
             captures,
             read_articles(spark, articles_path) if articles_path else None,
@@ -77,5 +81,7 @@ def run_job(
         raise CollectionError("result pages could not be extracted") from error
     files = export(tables, folder, single_file)
     requests = request_list(keywords, platforms, sort_order, known)
-    summary = run_summary(keywords, tables, folder, files)
-    return Run(tables, files, summary, rejected, requests, missing_captures(requests, captures))
+    totals = {"keyword": lines["n"], **{kind: sum(found.values()) for kind, found in counts.items()}}
+    summary = run_summary(keywords, tables, folder, files, totals)
+    by_platform = counted_platforms(spark, counts, names)
+    return Run(tables, files, summary, rejected, requests, missing_captures(requests, captures), by_platform)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from resultlake.plans.extraction import Counts
 from resultlake.schema import ROWS, RUN_SUMMARY
 
 
@@ -42,19 +43,41 @@ def platform_counts(tables: dict[str, DataFrame], platforms: Sequence[str]) -> D
     return known.select("platform_pos", "platform", "surface", F.coalesce("row_count", F.lit(0)).alias("row_count"))
 
 
+def counted_platforms(spark: SparkSession, counts: Counts, platforms: Sequence[str]) -> DataFrame:
+    """What ``platform_counts`` gives, from counts taken while the tables were staged."""
+    rows = [(at, name, kind, counts[kind][at]) for at, name in enumerate(platforms, start=1) for kind in counts]
+    return spark.createDataFrame(rows, "platform_pos int, platform string, surface string, row_count long")
+
+
 def run_summary(
     keywords: DataFrame,
     tables: dict[str, DataFrame],
     output_dir: str | None = None,
     output_files: dict[str, str] | None = None,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
-    """One row about a run: keyword count, row count per kind, where the files are."""
+    """One row about a run: keyword count, row count per kind, where the files are.
+    ``counts`` by kind, ``keyword`` among them, if they are known: nothing is read then."""
+    if counts is not None:
+        return _summary(
+            _known(keywords.sparkSession, {f"{kind}_count": counts.get(kind, 0) for kind in ["keyword", *ROWS]}),
+            output_dir,
+            output_files,
+        )
     tagged = [keywords.select(F.lit("keyword").alias("kind"))] + [
         table.select(F.lit(kind).alias("kind")) for kind, table in tables.items()
     ]
-    counts = reduce(DataFrame.union, tagged).agg(
+    found = reduce(DataFrame.union, tagged).agg(
         *(F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in ["keyword", *ROWS])
     )
+    return _summary(found, output_dir, output_files)
+
+
+def _known(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
+def _summary(counts: DataFrame, output_dir: str | None, output_files: dict[str, str] | None) -> DataFrame:
     pairs = [F.lit(x) for pair in (output_files or {}).items() for x in pair]
     files = F.create_map(*pairs) if pairs else F.lit(None)
     return counts.select(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from resultlake.sinks.files import is_local, remove
@@ -62,6 +62,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str, *counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``stage``, and what the aggregates ``counts`` come to, taken by the tasks that
+    write: the counts cost no job and no second reading. A task that is run again is
+    counted once, as its parts are."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *counts), name)
+    return staged, seen.get
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure a table of strings and numbers; True if it is small enough to send
     to every executor."""

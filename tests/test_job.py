@@ -69,6 +69,37 @@ def test_run_job(spark, files):
     assert summary.output_files == run.output_files and summary.output_dir == str(files / "out")
 
 
+def test_counts_of_a_run_are_taken_while_it_is_staged(spark, files):
+    known = rl.Platforms()
+    known.register("naver", SURFACES)
+    known.register("other", {"blog": BLOG})
+    run = rl.run_job(
+        spark, str(files / "keywords.txt"), str(files / "captures"), str(files / "articles"),
+        platforms=["other", "naver", "naver"], output_dir=str(files / "out"), known=known,
+    )
+    names = ["other", "naver", "naver"]
+    # What was seen in passing is what the tables hold.
+    order = ["platform_pos", "surface"]
+    found = run.platform_counts.orderBy(*order).collect()
+    assert found == rl.platform_counts(run.tables, names).orderBy(*order).collect() and len(found) == 9
+    keywords = rl.read_keywords(spark, str(files / "keywords.txt"))
+    assert run.summary.collect() == rl.run_summary(keywords, run.tables, str(files / "out"), run.output_files).collect()
+    assert {t: run.tables[t].count() for t in run.tables} == {t: run.summary.first()[f"{t}_count"] for t in run.tables}
+    for counted in (run.summary, run.platform_counts):
+        assert "FileScan" not in counted._jdf.queryExecution().toString()
+
+
+def test_counts_of_a_run_without_rows(spark, files):
+    (files / "none.txt").write_text("nothing of this was captured\n", encoding="utf-8")
+    run = rl.run_job(spark, str(files / "none.txt"), str(files / "captures"), output_dir=str(files / "out"))
+    assert run.summary.select("keyword_count", "smartblock_count", "cafe_count", "blog_count").first() == (1, 0, 0, 0)
+    assert [r.row_count for r in run.platform_counts.collect()] == [0, 0, 0]
+    known = rl.Platforms()
+    known.register("other", {"blog": BLOG})
+    run = rl.run_job(spark, str(files / "none.txt"), str(files / "captures"), output_dir=str(files / "out"), known=known)
+    assert [r.row_count for r in run.platform_counts.collect()] == [0, 0, 0]
+
+
 def test_run_job_without_articles_and_with_default_folder(spark, files):
     with pytest.raises(rl.ExportError):
         rl.run_job(spark, str(files / "keywords.txt"), str(files / "captures"))
