@@ -99,3 +99,17 @@ def test_nested_cards_are_all_seen_once():
         "<section class='sc_new sp_ncafe'><div id='main_pack'><ul><li class=bx>a<li class=bx>b</ul></div></section>"
     )
     assert len(cards.read_cafe_cards(page)) == 2
+
+
+def test_tags_seen_on_earlier_pages_change_nothing():
+    rng, seen = random.Random(4), {}
+    for _ in range(3000):
+        page = "".join(rng.choices(PIECES, k=rng.randint(1, 12)))
+        assert shape(PageTree(page, seen)) == shape(Lenient(page)), page
+
+
+def test_tags_written_alike_are_taken_apart_once():
+    seen = {}
+    first, second = (PageTree("<ul>" + "<li class='a b'>x &amp; y</li>" * 3 + "</ul>", seen) for _ in range(2))
+    assert first.elements[1] is first.elements[3] is second.elements[2]
+    assert second.select(css("li.b")) == [1, 2, 3] and second.text(2) == "x & y"
