@@ -188,6 +188,11 @@ Reader = Callable[[PageTree], list[dict]]
 PAGE_SECONDS = 30.0
 
 
+#: Pages, and characters of HTML, whose cards are Python objects at a time. What a worker
+#: holds is bounded by these and one incoming batch, whatever the number of pages.
+BATCH_PAGES, BATCH_TEXT = 128, 1 << 20
+
+
 class PageTimeout(Exception):
     """A page took longer than its share of time."""
 
@@ -227,27 +232,41 @@ def extract(
     page that takes longer than ``seconds``: it holds up its task no further.
     """
     array = T.ArrayType(card)
+    most_pages, most_text = BATCH_PAGES, BATCH_TEXT
     rest = [field for field in pages.schema.fields if field.name != "html"]
     arrow = to_arrow_type(array)
     names = [field.name for field in rest] + [column] + ([error] if error else [])
 
-    def cards_of(page: str | None) -> tuple[list[dict] | None, str | None]:
+    def cards_of(page: str | None, seen: dict) -> tuple[list[dict] | None, str | None]:
         if page is None:
             return None, "no page"
         try:
             with time_limit(seconds):
-                return read(PageTree(page)), None
+                return read(PageTree(page, seen)), None
         except Exception as problem:  # any page may hold what no reader expects
             return None, f"{type(problem).__name__}: {problem}"
 
+    def given(batch: pa.RecordBatch, at: int, found: list) -> pa.RecordBatch:
+        """What the pages of ``batch`` from the row ``at`` on say."""
+        made = [batch.column(field.name).slice(at, len(found)) for field in rest]
+        made.append(pa.array([cards for cards, _ in found], type=arrow))
+        if error:
+            made.append(pa.array([problem for _, problem in found], type=pa.string()))
+        return pa.RecordBatch.from_arrays(made, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = {}
         for batch in batches:
-            found = [cards_of(page.as_py()) for page in batch.column("html")]
-            made = [batch.column(field.name) for field in rest]
-            made.append(pa.array([cards for cards, _ in found], type=arrow))
-            if error:
-                made.append(pa.array([problem for _, problem in found], type=pa.string()))
-            yield pa.RecordBatch.from_arrays(made, names=names)
+            at, found, size = 0, [], 0
+            for page in batch.column("html"):
+                text = page.as_py()
+                found.append(cards_of(text, seen))
+                size += len(text or "")
+                if len(found) >= most_pages or size >= most_text:
+                    yield given(batch, at, found)
+                    at, found, size = at + len(found), [], 0
+            if found or not batch.num_rows:
+                yield given(batch, at, found)
 
     said = [T.StructField(error, T.StringType())] if error else []
     schema = T.StructType([*rest, T.StructField(column, array), *said])

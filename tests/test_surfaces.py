@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from resultlake.operators import cards
+from resultlake.operators.cards import extract
 from resultlake.plans.extraction import surface_table
 from resultlake.sources.registry import BLOG, CAFE, SMARTBLOCK
 
@@ -338,3 +340,23 @@ def test_added_ads_change_nothing(spark):
     ad = blog_card(extra=SVG)
     plain = [blog_card(date=f"2025.1.{i}") for i in range(1, 9)]
     assert blog(spark, *plain) == blog(spark, ad, *[c for p in plain for c in (p, ad)])
+
+
+# -- batches -----------------------------------------------------------------
+def test_cards_of_few_pages_are_held_at_a_time(spark):
+    def read(page):
+        import builtins
+
+        held = builtins.__dict__.setdefault("_held_cards", [0])
+
+        class Held(dict):
+            def __del__(self):
+                held[0] -= 1
+
+        held[0] += 1
+        return [Held(text=str(held[0]), href=None)]
+
+    pages = spark.range(0, 3000, 1, 1).selectExpr("id", "'<a href=x>y</a>' as html")
+    found = extract(pages, read, cards.ANCHOR).selectExpr("id", "cast(cards[0].text as int) as held").collect()
+    assert sorted(r["id"] for r in found) == list(range(3000))
+    assert max(r["held"] for r in found) <= 2 * cards.BATCH_PAGES
