@@ -20,7 +20,7 @@ from resultlake.queries import generated as made
 from resultlake.queries.generated import table
 from resultlake.schema import ROWS
 from resultlake.session import configure, stage, stage_path
-from resultlake.sinks.csv import export, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
+from resultlake.sinks.csv import export, file_rows, from_json_rows, load_tables, read_csv, save_tables, to_json_rows
 from resultlake.sources.articles import write_article_store
 from resultlake.sources.captures import missing_captures, request_list, write_captures
 from resultlake.sources.keywords import keyword_lines, read_keywords
@@ -324,9 +324,7 @@ def export_roundtrip(spark, sf_dir):
 
 def _written_rows(spark, path, columns):
     """Rows of a file as text, numbered as they stand in it."""
-    raw = spark.read.options(multiLine=True, quote='"', escape='"', header=True).csv(path)
-    named = raw.toDF(*(c.removeprefix("\ufeff") for c in raw.columns)).coalesce(1)
-    return named.select((F.monotonically_increasing_id() + 1).alias("line"), *columns)
+    return file_rows(spark, path).select("line", *columns)
 
 
 @query

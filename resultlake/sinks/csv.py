@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +15,17 @@ from resultlake.errors import ExportError
 from resultlake.functions import post_date_text
 from resultlake.plans.extraction import final_order
 from resultlake.schema import ROWS, with_positions
-from resultlake.session import stage_path
-from resultlake.sinks.files import ensure_folder, exists, qualified, remove, replace, replace_with_only_part
+from resultlake.session import stage, stage_path
+from resultlake.sinks.files import (
+    ensure_folder,
+    exists,
+    is_local,
+    join_parts,
+    qualified,
+    remove,
+    replace,
+    replace_with_only_part,
+)
 
 # Header names and date renderings that differ from the tables'.
 _RENDERED = {
@@ -39,6 +49,9 @@ _CSV = dict(
 )
 
 
+_WHOLE = "whole"
+
+
 def csv_columns(kind: str) -> list:
     """A kind's file columns; the first header carries the byte order mark."""
     columns = []
@@ -52,14 +65,28 @@ def csv_columns(kind: str) -> list:
 
 def _drafted(table: DataFrame, kind: str, path: str, single_file: bool) -> str:
     """Write one kind beside ``path`` in final order; returns where."""
-    order, draft = final_order(table), f"{path}.{uuid.uuid4().hex}.draft"
+    spark, order, draft = table.sparkSession, final_order(table), f"{path}.{uuid.uuid4().hex}.draft"
+    if single_file and is_local(spark, path):
+        # The rows as parts in order, then all parts at their places of one file.
+        head = spark.createDataFrame([], with_positions(kind)).repartition(1).select(*csv_columns(kind))
+        rows = table.orderBy(*order).select(*csv_columns(kind))
+        try:
+            head.write.options(**_CSV).csv(f"{draft}/head")
+            rows.write.options(**{**_CSV, "header": False}).csv(f"{draft}/rows")
+            join_parts(spark, [f"{draft}/head", f"{draft}/rows"], f"{draft}/{_WHOLE}")
+        except Exception:
+            remove(spark, draft)
+            raise
+        return draft
     ordered = table.repartition(1).sortWithinPartitions(*order) if single_file else table.orderBy(*order)
     ordered.select(*csv_columns(kind)).write.options(**_CSV).csv(draft)
     return draft
 
 
 def _put(spark: SparkSession, draft: str, path: str, single_file: bool) -> str:
-    if single_file:
+    if single_file and exists(spark, f"{draft}/{_WHOLE}"):
+        replace(spark, f"{draft}/{_WHOLE}", path)
+    elif single_file:
         replace_with_only_part(spark, draft, path)
     else:
         replace(spark, draft, path)
@@ -68,8 +95,9 @@ def _put(spark: SparkSession, draft: str, path: str, single_file: bool) -> str:
 
 def write_csv(table: DataFrame, kind: str, path: str, single_file: bool = False) -> str:
     """Write one kind to ``path`` in final order, replacing what is there once all of it
-    is written: a folder of ordered part files, each with its header, or one file, which
-    one task writes."""
+    is written: a folder of ordered part files, each with its header, or one file. On a
+    folder that tasks can open its parts are written side by side; elsewhere one task
+    writes the file."""
     spark = table.sparkSession
     draft = _drafted(table, kind, path, single_file)
     try:
@@ -127,6 +155,42 @@ def read_csv(spark: SparkSession, kind: str, path: str) -> DataFrame:
     )
 
 
+def file_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of one exported file as text, with the ``line`` each has in it, from 1.
+
+    The file is read in splits, though a quoted value may hold line breaks: a line begins
+    a row if an even number of quotes is before it. Quotes and rows are added up by split,
+    so no task sees more than one split and a few lines of the next.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    first = text.where("_metadata.file_block_start = 0").first()["value"].removeprefix("\ufeff")
+    names = next(csv.reader([first]))
+
+    block = F.struct("_metadata.file_path", "_metadata.file_block_start").alias("block")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = text.select(block, F.monotonically_increasing_id().alias("at"), "value", (quotes % 2).alias("odd"))
+
+    def before(total: str):  # one row per split: small by construction
+        return F.coalesce(F.sum(total).over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    odd = lines.groupBy("block").agg(F.sum("odd").alias("odds")).select("block", before("odds").alias("odds"))
+    earlier = Window.partitionBy("block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy("block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    begins = (F.col("odds") + F.coalesce(F.sum("odd").over(earlier), F.lit(0))) % 2 == 0
+    told = lines.join(F.broadcast(odd), "block").withColumn("begins", begins.cast("int"))
+    placed = stage(told.select("block", "at", "value", F.sum("begins").over(up_to).alias("row")), "file-lines")
+
+    rows = placed.groupBy("block").agg(F.max("row").alias("rows")).select("block", before("rows").alias("rows"))
+    numbered = placed.join(F.broadcast(rows), "block").select((F.col("rows") + F.col("row")).alias("row"), "block", "at", "value")
+    together = F.array_sort(F.collect_list(F.struct("block", "at", "value")))
+    whole = numbered.where("row > 1").groupBy("row").agg(
+        F.array_join(F.transform(together, lambda line: line["value"]), "\n").alias("text")
+    )
+    schema = ", ".join(f"`{name}` string" for name in names)
+    read = F.from_csv("text", schema, dict(quote='"', escape='"', lineSep="\n"))
+    return whole.select((F.col("row") - 1).alias("line"), read.alias("r")).select("line", "r.*")
+
+
 def save_tables(tables: dict[str, DataFrame], path: str | None = None, spark: SparkSession | None = None) -> str:
     """Hand result tables over as Parquet; returns the folder."""
     spark = spark or next(iter(tables.values())).sparkSession

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -107,3 +109,29 @@ def replace_with_only_part(spark: SparkSession, folder: str, target: str) -> Non
     replace(spark, parts[0].toString(), target)
     # The local file system keeps a checksum beside each file.
     system.delete(where, True)
+
+
+def join_parts(spark: SparkSession, folders: list[str], target: str) -> None:
+    """The part files of local ``folders``, in order, as one file: a task copies a part to
+    its place."""
+    parts, size = [], 0
+    for folder in folders:
+        system, where = _open(spark, folder)
+        found = [s for s in system.listStatus(where) if s.getPath().getName().startswith("part-")]
+        for status in sorted(found, key=lambda s: s.getPath().getName()):
+            if status.getLen():
+                parts.append((status.getPath().toUri().getPath(), size))
+                size += status.getLen()
+    whole = _open(spark, target)[1].toUri().getPath()
+    with open(whole, "wb") as made:
+        made.truncate(size)
+
+    def copy(part):
+        source, at = part
+        with open(source, "rb") as old, open(whole, "r+b") as new:
+            new.seek(at)
+            shutil.copyfileobj(old, new, 1 << 20)
+
+    spark.sparkContext.parallelize(parts, max(1, len(parts))).foreach(copy)
+    if os.path.getsize(whole) != size:
+        raise OSError(f"{target} is not whole")

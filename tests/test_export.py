@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import resultlake as rl
 from resultlake.schema import ROWS, with_positions
+from resultlake.sinks.csv import file_rows
 
 D = datetime.date
 WILD = ['plain', 'a,b', 'say "hi"', 'two\nlines', ' edges ', '', '가나다', "it's", '#x', 'a\\b', 'tab\there', 'cr\rx', '"', ',']
@@ -160,3 +161,22 @@ def test_a_failed_export_leaves_the_former_result(spark, tables, tmp_path):
         after = {kind: sorted(map(tuple, rl.read_csv(spark, kind, path).collect()), key=str) for kind, path in files.items()}
         assert after == before
         assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == ["blog.csv", "cafe.csv", "smartblock.csv"]
+
+
+def test_one_file_is_written_and_read_by_many_tasks(spark, tables, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    many = {kind: table.withColumn("kw_pos", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(40).cast("long")))) for kind, table in tables.items()}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        files = rl.export(many, str(tmp_path), single_file=True)
+        for kind in ("cafe", "blog"):
+            text = open(files[kind], encoding="utf-8-sig", newline="").read()
+            names, *want = csv.reader(io.StringIO(text, newline=""))
+            found = file_rows(spark, files[kind])
+            assert spark.read.text(files[kind]).rdd.getNumPartitions() > 10
+            got = sorted(map(tuple, found.collect()))
+            assert found.columns == ["line", *names] and len(want) == 40 * len(WILD)
+            assert [r[0] for r in got] == list(range(1, len(want) + 1))
+            assert [["" if v is None else v for v in r[1:]] for r in got] == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
