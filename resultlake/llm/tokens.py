@@ -16,10 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
-# Chunks a worker remembers before it starts anew, and words of each of the two
-# generations it keeps: what the older one still gives moves to the newer, the rest is
-# forgotten. Both bound its memory.
-CHUNKS, WORDS = 500_000, 350_000
+# Chunks of each of the two generations a worker remembers: what the older one still
+# gives moves to the newer, the rest is forgotten. This bounds its memory.
+CHUNKS = 350_000
 # Texts whose new chunks are looked up together.
 TOGETHER = 256
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # no apostrophe, which may begin a token with letters
@@ -38,23 +37,31 @@ class ChunkEncoder:
         known = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(known.values()) + 1, bool)
         self.closing[[i for token, i in known.items() if token.endswith(WORD_END)]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self._forget()
+        self.older: tuple[dict[str, int], np.ndarray, np.ndarray] = ({}, np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        self._begin()
 
-    def _forget(self) -> None:
+    def _begin(self) -> None:
         """Chunks have numbers; all their ids stand in one array, one behind the other."""
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)
 
+    def _known(self, chunk: str) -> bytes | None:
+        """The ids of a chunk of either generation."""
+        for index, flat, ends in ((self.index, self.flat, self.ends), self.older):
+            at = index.get(chunk)
+            if at is not None:
+                return flat[ends[at - 1] if at else 0 : ends[at]].astype("<u4").tobytes()
+        return None
+
     def one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _numbered(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The chunks of some texts by number, and where each text's end."""
         if len(self.index) > CHUNKS:
-            self._forget()
+            self.older = self.index, self.flat, self.ends
+            self._begin()
         # A-Z here, as the file does with all letters: fewer chunks to be known.
         spaced = pc.replace_substring(pc.ascii_lower(texts.fill_null("")), "\n", " ")
         split = pc.split_pattern(pc.replace_substring_regex(spaced, _CLOSING, "\\1 \\2 "), " ")
@@ -68,8 +75,10 @@ class ChunkEncoder:
         return numbers[coded.indices.to_numpy()], edges
 
     def _add(self, new: list[str]) -> np.ndarray:
-        known = self._learn(set(new))
-        found = [known[chunk] for chunk in new]
+        count = len(new)
+        learned = self._learn(new)
+        new = [*new, *learned.keys() - set(new)]
+        found = [learned[chunk] for chunk in new]
         first, ids = len(self.index), np.frombuffer(b"".join(found), "<u4")
         used = int(self.ends[first - 1]) if first else 0
         while first + len(new) > len(self.ends):
@@ -80,7 +89,7 @@ class ChunkEncoder:
         self.ends[first : first + len(new)] = used + np.cumsum([len(f) // 4 for f in found])
         numbers = np.arange(first, first + len(new))
         self.index.update(zip(new, numbers.tolist(), strict=True))
-        return numbers
+        return numbers[:count]
 
     def _sizes(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = self.ends[numbers]
@@ -109,44 +118,55 @@ class ChunkEncoder:
             out += [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
         return out
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of new chunks."""
-        if len(self.words) > WORDS:
-            self.words, self.older = {"": b""}, self.words
-        parts, chunks = {}, {}
-        words = {chunk for chunk in new if chunk.isascii() and chunk.isalpha() and chunk.islower()}
-        plain = list(words)
-        for chunk in new.difference(words):
-            low = chunk.lower()
-            word = low.rstrip(MARKS)
-            # Latin letters and nothing else: lower-casing is the file's own there.
-            if (not word or word.isalpha()) and _latin(chunk):
-                parts[chunk] = word, low[len(word) :]
-                words.add(word)
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that the younger generation does not have, and of the words
+        and marks that make them up."""
+        old, learned, parts, words = self.older[0], {"": b""}, {}, set()
+        for chunk in new:
+            if chunk in old:
+                learned[chunk] = self._known(chunk)
+            elif chunk.isascii() and chunk.isalpha() and chunk.islower():
+                words.add(chunk)
             else:
-                chunks[chunk] = self.one(chunk)
-        missing = words.difference(self.words)
-        self.words.update([(w, self.older[w]) for w in missing if w in self.older])
-        self._learn_words(sorted(missing.difference(self.older)))
-        chunks.update((chunk, self.words[chunk]) for chunk in plain)
+                low = chunk.lower()
+                word = low.rstrip(MARKS)
+                # Latin letters and nothing else: lower-casing is the file's own there.
+                if (not word or word.isalpha()) and _latin(chunk):
+                    parts[chunk] = word, low[len(word) :]
+                else:
+                    learned[chunk] = self.one(chunk)
+        made: dict[str, bytes] = {}
+        for word, marks in parts.values():
+            for part in (word, marks):
+                if part and part not in learned and part not in words and part not in made:
+                    found = self._known(part)
+                    if found is not None:
+                        made[part] = found
+                    elif part is word:
+                        words.add(word)
+                    else:
+                        made[marks] = self.one(marks)
+        self._learn_words(sorted(words), learned)
+        ids = {**made, **learned}
         for chunk, (word, marks) in parts.items():
-            if marks not in self.words:
-                self.words[marks] = self.one(marks)
-            chunks[chunk] = self.words[word] + self.words[marks]
-        return chunks
+            learned[chunk] = ids[word] + ids[marks]
+        learned.update((part, found) for part, found in made.items() if part not in self.index)
+        if "" not in new:
+            del learned[""]
+        return learned
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn_words(self, words: list[str], learned: dict[str, bytes]) -> None:
         if not words:
             return
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(words):
-            self.words.update((w, self.one(w)) for w in words)
+            learned.update((w, self.one(w)) for w in words)
             return
         raw = ids.tobytes()
         starts = np.concatenate([[0], ends[:-1]])
         spans = zip(words, (4 * starts).tolist(), (4 * ends).tolist(), strict=True)
-        self.words.update((w, raw[a:b]) for w, a, b in spans)
+        learned.update((w, raw[a:b]) for w, a, b in spans)
 
 
 def _latin(text: str) -> bool:
