@@ -12,13 +12,16 @@ import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from resultlake.operators import dom
+from resultlake.operators import bulk, dom
+from resultlake.operators.bulk import Forest
 from resultlake.operators.dom import PageTree, css
 
 _LINK = T.StructType([T.StructField("text", T.StringType()), T.StructField("href", T.StringType())])
@@ -184,13 +187,91 @@ def read_article(page: PageTree) -> list[dict]:
 
 Reader = Callable[[PageTree], list[dict]]
 
+
+# The same cards of many pages, as columns.
+def _structs(kind: pa.StructType, columns: list, none: np.ndarray | None = None) -> pa.StructArray:
+    fields = [kind.field(i) for i in range(kind.num_fields)]
+    made = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, fields, strict=True)]
+    return pa.StructArray.from_arrays(made, fields=fields, mask=None if none is None else pa.array(none))
+
+
+def _lists(kind: pa.ListType, upto: np.ndarray, values: pa.Array) -> pa.ListArray:
+    ends = np.concatenate([[0], upto]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values, type=kind)
+
+
+def _links(forest: Forest, kind: pa.StructType, numbers: np.ndarray) -> pa.StructArray:
+    return _structs(kind, [forest.texts(numbers), forest.attributes(numbers, "href")], numbers < 0)
+
+
+def many_anchors(forest: Forest, kind: pa.ListType) -> pa.ListArray:
+    anchors, upto = forest.all(ANY_LINK, *forest.pages())
+    return _lists(kind, upto, _links(forest, kind.value_type, anchors))
+
+
+def many_blog_cards(forest: Forest, kind: pa.ListType) -> pa.ListArray:
+    cards, upto = forest.all(BLOG_CARDS, *forest.pages())
+    card, whole = kind.value_type, forest.ranges(cards)
+    profile = forest.first(BLOG_PROFILE, *whole)
+    inside = forest.ranges(profile)
+    anchors, ends = forest.all(ANY_LINK, *whole)
+    anchors_kind = card.field("anchors").type
+    columns = [
+        forest.first(BLOG_AD, *whole) >= 0,
+        profile >= 0,
+        _links(forest, card.field("name").type, forest.first(BLOG_NAME, *inside)),
+        forest.texts(forest.first(BLOG_DATE, *inside)),
+        _lists(anchors_kind, ends, _links(forest, anchors_kind.value_type, anchors)),
+    ]
+    return _lists(kind, upto, _structs(card, columns))
+
+
+def many_cafe_cards(forest: Forest, kind: pa.ListType) -> pa.ListArray:
+    cards, upto = forest.all(CAFE_CARDS, *forest.pages())
+    card, whole = kind.value_type, forest.ranges(cards)
+    columns = [
+        forest.first(CAFE_AD, *whole) >= 0,
+        forest.texts(forest.first(CAFE_NAME, *whole)),
+        forest.texts(forest.first(CAFE_DATE, *whole)),
+        _links(forest, card.field("subject").type, forest.first(CAFE_SUBJECT, *whole)),
+    ]
+    return _lists(kind, upto, _structs(card, columns))
+
+
+def many_articles(forest: Forest, kind: pa.ListType) -> pa.ListArray:
+    whole = forest.pages()
+    count, article = len(whole[0]), kind.value_type
+    framed, shown = (forest.first(selector, *whole) for selector in BLOG_FRAMES)
+    found = [forest.all(selector, *whole) for selector in BLOG_POST_DATES]
+    pages = np.concatenate([np.repeat(np.arange(count), np.diff(upto, prepend=0)) for _, upto in found])
+    dates = pa.concat_arrays([forest.texts(numbers) for numbers, _ in found])
+    dates = dates.take(pa.array(np.argsort(pages, kind="stable")))
+    columns = [
+        forest.attributes(np.where(framed < 0, shown, framed), "src"),
+        _lists(article.field("blog_dates").type, np.cumsum(np.bincount(pages, minlength=count)), dates),
+        forest.attributes(forest.first(CAFE_FRAME, *whole), "src"),
+        forest.texts(forest.first(CAFE_POST_DATE, *whole)),
+    ]
+    return _lists(kind, np.arange(1, count + 1), _structs(article, columns))
+
+
+#: Readers of many pages together, by the reader of one page whose cards they give.
+TOGETHER: dict[Reader, Callable[[Forest, pa.ListType], pa.ListArray]] = {
+    read_anchors: many_anchors,
+    read_blog_cards: many_blog_cards,
+    read_cafe_cards: many_cafe_cards,
+    read_article: many_articles,
+}
+
 #: Seconds a page may take to be read; beyond them it is a page that cannot be read.
 PAGE_SECONDS = 30.0
 
 
-#: Pages, and characters of HTML, whose cards are Python objects at a time. What a worker
+#: Pages, and bytes of HTML, that are taken apart at a time. What a worker
 #: holds is bounded by these and one incoming batch, whatever the number of pages.
 BATCH_PAGES, BATCH_TEXT = 128, 1 << 20
+#: Bytes of HTML from which on pages are read together; fewer are read one by one, sooner.
+TOGETHER_TEXT = 1 << 16
 
 
 class PageTimeout(Exception):
@@ -232,7 +313,7 @@ def extract(
     page that takes longer than ``seconds``: it holds up its task no further.
     """
     array = T.ArrayType(card)
-    most_pages, most_text = BATCH_PAGES, BATCH_TEXT
+    most_pages, most_text, together, enough = BATCH_PAGES, BATCH_TEXT, TOGETHER.get(read), TOGETHER_TEXT
     rest = [field for field in pages.schema.fields if field.name != "html"]
     arrow = to_arrow_type(array)
     names = [field.name for field in rest] + [column] + ([error] if error else [])
@@ -246,27 +327,47 @@ def extract(
         except Exception as problem:  # any page may hold what no reader expects
             return None, f"{type(problem).__name__}: {problem}"
 
-    def given(batch: pa.RecordBatch, at: int, found: list) -> pa.RecordBatch:
-        """What the pages of ``batch`` from the row ``at`` on say."""
-        made = [batch.column(field.name).slice(at, len(found)) for field in rest]
-        made.append(pa.array([cards for cards, _ in found], type=arrow))
-        if error:
-            made.append(pa.array([problem for _, problem in found], type=pa.string()))
-        return pa.RecordBatch.from_arrays(made, names=names)
+    def found_in(pages: pa.Array, seen: dict, tags: dict) -> tuple[pa.Array, list[str | None]]:
+        """The cards of some pages, those of regular ones taken together."""
+        made, alone = pa.array([], type=arrow), np.ones(len(pages), bool)
+        known = pages.is_valid().to_numpy(zero_copy_only=False)
+        if together and (pc.sum(pc.binary_length(pages)).as_py() or 0) >= enough:
+            forest = Forest(pages.drop_null(), tags)
+            made = together(forest, arrow)
+            alone[known] = ~forest.regular
+        if not alone.any():
+            return made, [None] * len(pages)
+        others = [cards_of(page.as_py(), seen) for page in pages.filter(pa.array(alone))]
+        place = np.cumsum(known) - 1
+        place[alone] = len(made) + np.arange(len(others))
+        problems: list[str | None] = [None] * len(pages)
+        for at, (_, problem) in zip(np.flatnonzero(alone).tolist(), others):
+            problems[at] = problem
+        both = pa.concat_arrays([made, pa.array([cards for cards, _ in others], type=arrow)])
+        return both.take(pa.array(place)), problems
+
+    def shares(pages: pa.Array) -> Iterator[tuple[int, int]]:
+        """Where the pages that are read at a time begin and end."""
+        sizes, at, size = pc.binary_length(pages).fill_null(0).to_pylist(), 0, 0
+        for end, bytes_more in enumerate(sizes, start=1):
+            size += bytes_more
+            if end - at >= most_pages or size >= most_text or end == len(sizes):
+                yield at, end
+                at, size = end, 0
+        if not sizes:
+            yield 0, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
+        tags: dict = {}
         for batch in batches:
-            at, found, size = 0, [], 0
-            for page in batch.column("html"):
-                text = page.as_py()
-                found.append(cards_of(text, seen))
-                size += len(text or "")
-                if len(found) >= most_pages or size >= most_text:
-                    yield given(batch, at, found)
-                    at, found, size = at + len(found), [], 0
-            if found or not batch.num_rows:
-                yield given(batch, at, found)
+            for at, end in shares(batch.column("html")):
+                some = batch.slice(at, end - at)
+                found, problems = found_in(some.column("html"), seen, tags)
+                made = [*(some.column(field.name) for field in rest), found]
+                if error:
+                    made.append(pa.array(problems, type=pa.string()))
+                yield pa.RecordBatch.from_arrays(made, names=names)
 
     said = [T.StructField(error, T.StringType())] if error else []
     schema = T.StructType([*rest, T.StructField(column, array), *said])
@@ -275,4 +376,5 @@ def extract(
 
 # Executors get the readers with the task, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(dom)
+cloudpickle.register_pickle_by_value(bulk)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
