@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resultlake.llm.common import numbered_rows, text_batches
+from resultlake.llm.common import frugal, numbered_rows, text_batches
 from resultlake.llm.tokens import VOCABULARY, encoder
 from resultlake.session import stage
 
@@ -57,7 +57,7 @@ def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH)
     """``docs (doc_id, text)`` to ``doc_id, piece, start, length, ids_crc32``."""
     text_batches(docs.sparkSession, BATCH_BYTES)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        partial(_pieces, vocabulary=vocabulary, length=length),
+        frugal(partial(_pieces, vocabulary=vocabulary, length=length)),
         "doc_id long, piece int, start long, length long, ids_crc32 long",
     )
 
