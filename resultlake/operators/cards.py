@@ -186,6 +186,9 @@ def read_article(page: PageTree) -> list[dict]:
 
 
 Reader = Callable[[PageTree], list[dict]]
+#: What takes raw arrays, and what it remembers from batch to batch, to arrays of other
+#: structs (null for a page it leaves alone) and where it did so; and those structs.
+Ruled = tuple[Callable[[pa.ListArray, dict], tuple[pa.ListArray, np.ndarray]], T.StructType]
 
 
 # The same cards of many pages, as columns.
@@ -305,18 +308,23 @@ def extract(
     column: str = "cards",
     error: str | None = None,
     seconds: float | None = PAGE_SECONDS,
+    ruled: Ruled | None = None,
 ) -> DataFrame:
     """Replace ``html`` by an array of raw structs; all other columns stay.
 
     A page that cannot be read at all has a NULL array and yields no rows, without
     touching any other page; a column named ``error``, if asked for, says why. So has a
     page that takes longer than ``seconds``: it holds up its task no further.
+
+    With ``ruled``, a function and its structs, what it makes of the arrays is a column
+    ``ruled``; pages that have one have no raw structs then.
     """
     array = T.ArrayType(card)
     most_pages, most_text, together, enough = BATCH_PAGES, BATCH_TEXT, TOGETHER.get(read), TOGETHER_TEXT
     rest = [field for field in pages.schema.fields if field.name != "html"]
     arrow = to_arrow_type(array)
-    names = [field.name for field in rest] + [column] + ([error] if error else [])
+    names = [field.name for field in rest] + [column] + (["ruled"] if ruled else []) + ([error] if error else [])
+    settle = ruled and ruled[0]
 
     def cards_of(page: str | None, seen: dict) -> tuple[list[dict] | None, str | None]:
         if page is None:
@@ -360,17 +368,23 @@ def extract(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
         tags: dict = {}
+        known: dict = {}
         for batch in batches:
             for at, end in shares(batch.column("html")):
                 some = batch.slice(at, end - at)
                 found, problems = found_in(some.column("html"), seen, tags)
                 made = [*(some.column(field.name) for field in rest), found]
+                if settle:
+                    settled, plain = settle(found, known)
+                    made[-1] = found.take(pa.array(np.arange(len(found)), mask=plain))
+                    made.append(settled)
                 if error:
                     made.append(pa.array(problems, type=pa.string()))
                 yield pa.RecordBatch.from_arrays(made, names=names)
 
     said = [T.StructField(error, T.StringType())] if error else []
-    schema = T.StructType([*rest, T.StructField(column, array), *said])
+    stated = [T.StructField("ruled", T.ArrayType(ruled[1]))] if ruled else []
+    schema = T.StructType([*rest, T.StructField(column, array), *stated, *said])
     return pages.mapInArrow(run, schema)
 
 

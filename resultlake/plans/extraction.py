@@ -20,6 +20,7 @@ from resultlake.operators.articles import answer_cards, article_dates, article_f
 from resultlake.operators.cards import extract
 from resultlake.operators.lookup import lookup_join
 from resultlake.operators.ranking import accepted, exploded, isolation, limit_of, numbered, reached
+from resultlake.operators.ruled import RULED, STATED
 from resultlake.operators.rules import BROKEN, FETCH, READY
 from resultlake.schema import POSITIONS, ROWS, with_positions
 from resultlake.session import stage, stage_counted
@@ -45,13 +46,17 @@ def _read_pages(pages: DataFrame, surface: Surface, max_rows: int | None, on_bad
     """Pages ``(platform, keyword, page_url, html)`` of one surface to ``(platform,
     keyword, page_url, error, cards)``; cards that wait for their article still do."""
     isolate, limit = isolation(on_bad_card), _limit(surface, max_rows)
-    read = extract(pages, surface.read, surface.card, error="error")
+    card, ruled = RULED.get(surface.rule, (None, None))
+    plain = surface.has_articles and card == surface.card
+    read = extract(pages, surface.read, surface.card, error="error", ruled=(ruled, STATED) if plain else None)
     raw, page_url = F.col("cards"), F.col("page_url")
     whole = [*PAGE, "page_url", "error"]
     if not surface.has_articles:
         stated = read.select(*whole, surface.rule(raw, page_url, limit).alias("cards"))
         return stated.withColumn("cards", isolate(raw))
-    stated = read.select(*whole, surface.rule(raw, page_url).alias("cards"))
+    # Pages of plain cards are ruled where they are read, all others by the expression.
+    said = surface.rule(raw, page_url)
+    stated = read.select(*whole, (F.coalesce("ruled", said) if plain else said).alias("cards"))
     return stated.withColumn("cards", isolate(raw)).withColumn("cards", reached(raw, limit))
 
 
