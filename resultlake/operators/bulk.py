@@ -41,6 +41,16 @@ _REFERENCE = re.compile(
 )
 
 
+# A start tag of quoted attributes among which is a link: most tags that no other is written
+# like differ from others in it alone. No value but the link's holds what may begin another.
+_LINKED = (
+    r'(?s)\A(?P<before>[a-zA-Z][a-zA-Z0-9]*(?: [a-z][a-z-]*="[^"&=]*")*? href=")(?P<link>[^"&]*)'
+    r'(?P<after>"(?: [a-z][a-z-]*="[^"&=]*")*)\z'
+)
+# References most texts have no others of; the last one resolved is the one that makes more.
+_COMMON = [("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+
+
 def _referred(found: re.Match) -> str:
     number, name = found[1], found[2]
     if number:
@@ -83,6 +93,8 @@ class Forest:
     that closes them. ``seen`` are tags that earlier batches hold."""
 
     def __init__(self, pages: pa.Array, seen: dict) -> None:
+        # What tags are written like, their links left out, is told apart once; ``codes`` are
+        # of that, ``whole`` of tags as written.
         cut = pc.split_pattern(pages, "<")
         edges = cut.offsets.to_numpy().astype(np.int64)
         self.edges = edges - edges[0]
@@ -95,8 +107,8 @@ class Forest:
         self.regular = np.ones(len(pages), bool)
 
         coded = flat.take(pa.array(offsets[:-1])).dictionary_encode()
-        self.codes = coded.indices.to_numpy()
-        self._written = coded.dictionary
+        self.whole, self._tags_whole = coded.indices.to_numpy(), coded.dictionary
+        self._part_links()
         written = self._written.to_pylist()
         self._tags(written, seen)
         # Before a page's first tag there is but text, which belongs to no element.
@@ -118,6 +130,17 @@ class Forest:
         self.regular[self.page[kinds == ODD]] = False
 
     # -- reading -----------------------------------------------------------
+    def _part_links(self) -> None:
+        """Tags without their links, and the links by tag as written; null for other tags."""
+        written = self._tags_whole
+        found = pc.extract_regex(written, _LINKED)
+        before, links, after = (pc.struct_field(found, name) for name in ("before", "link", "after"))
+        again = pc.fill_null(pc.match_substring(after, ' href="'), True)
+        self._links = pc.if_else(again, pa.scalar(None, links.type), links)
+        bare = pc.if_else(again, written, pc.binary_join_element_wise(before, after, "")).dictionary_encode()
+        self._written = bare.dictionary
+        self.codes = bare.indices.to_numpy()[self.whole]
+
     def _tags(self, written: list[str], seen: dict) -> None:
         numbers: dict[str, int] = {}
         kinds, names, self._elements = [], [], []
@@ -145,15 +168,18 @@ class Forest:
             own = names[raw] == name
             ends = np.append(np.flatnonzero((kinds == CLOSE) & (names == name)), len(kinds))
             behind[own] = ends[np.searchsorted(ends, raw[own])]
-        upto, comments = -1, self._comments[self.codes]
-        for at, end, page in zip(raw.tolist(), behind.tolist(), self.page[raw].tolist()):
-            if at < upto:
-                continue
-            upto = min(end, int(self.edges[page + 1]))
-            if upto < end or comments[at + 1 : end].any():
-                self.regular[page] = False
-            kinds[at + 1 : upto] = MARKUP
-            silent[at:upto] = True
+        pages = self.page[raw]
+        upto = np.minimum(behind, self.edges[pages + 1])
+        if (raw[1:] < upto[:-1]).any():  # one within another is its text
+            kept, last = np.zeros(len(raw), bool), -1
+            for i, (at, end) in enumerate(zip(raw.tolist(), upto.tolist())):
+                if at >= last:
+                    kept[i], last = True, end
+            raw, behind, upto, pages = raw[kept], behind[kept], upto[kept], pages[kept]
+        comments = np.concatenate([[0], np.cumsum(self._comments[self.codes])])
+        self.regular[pages[(upto < behind) | (comments[behind] > comments[raw + 1])]] = False
+        kinds[_marked(raw + 1, upto, len(kinds))] = MARKUP
+        silent |= _marked(raw, upto, len(kinds))
 
     def _nest(self, kinds: np.ndarray) -> None:
         """Positions of all elements and of what closes them."""
@@ -205,28 +231,43 @@ class Forest:
         shown = pc.match_substring_regex(texts, r"[\x21-\x25\x27-\x7e]").to_numpy(zero_copy_only=False) & ~silent
         refers = pc.match_substring(texts, "&").to_numpy(zero_copy_only=False)
         doubt = np.flatnonzero(~silent & (refers | (~shown & (pc.binary_length(texts).to_numpy() > 0))))
-        last, changed, made = set((self.edges[1:] - 1).tolist()), [], []
-        for at, text in zip(doubt.tolist(), texts.take(pa.array(doubt)).to_pylist()):
-            if "&" in text:
-                text = None if at in last else unescaped(text)
-                if text is None:
-                    self.regular[self.page[at]] = False
-                    continue
-                changed.append(at)
-                made.append(text)
-            shown[at] = bool(text.strip())
-        if changed:
+        told, refers = texts.take(pa.array(doubt)), refers[doubt]
+        at, written = doubt[refers], told.filter(pa.array(refers))
+        # Behind a page's last tag a reference may go on.
+        self.regular[self.page[at[np.isin(at, self.edges[1:] - 1)]]] = False
+        made = self._resolved(written, at)
+        shown[doubt[~refers]] = _not_blank(told.filter(pa.array(~refers)))
+        shown[at] = _not_blank(made)
+        if len(at):
             own = np.arange(len(texts))
-            own[changed] = len(texts) + np.arange(len(made))
-            self._pieces = pa.concat_arrays([texts, pa.array(made, texts.type)])
+            own[at] = len(texts) + np.arange(len(made))
+            self._pieces = pa.concat_arrays([texts, made])
             self._text_of = own[shown]
         else:
             self._text_of = np.flatnonzero(shown)
         return np.concatenate([[0], np.cumsum(shown)])
 
+    def _resolved(self, texts: pa.Array, at: np.ndarray) -> pa.Array:
+        """Texts of pieces ``at`` with their references resolved."""
+        plain = texts
+        for written, meant in _COMMON[:-1]:
+            plain = pc.replace_substring(plain, written, meant)
+        written, meant = _COMMON[-1]
+        others = np.flatnonzero(pc.not_equal(pc.count_substring(plain, "&"), pc.count_substring(plain, written)).to_numpy(zero_copy_only=False))
+        plain = pc.replace_substring(plain, written, meant)
+        if not len(others):
+            return plain
+        made = [unescaped(text) for text in texts.take(pa.array(others)).to_pylist()]
+        self.regular[self.page[at[others[[text is None for text in made]]]]] = False
+        mask = np.zeros(len(texts), bool)
+        mask[others] = True
+        return pc.replace_with_mask(plain, pa.array(mask), pa.array([text or "" for text in made], texts.type))
+
     # -- asking ------------------------------------------------------------
     def _matching(self, compound: Compound) -> np.ndarray:
         """Which elements pass one compound, whatever is above them."""
+        if any(name == "href" and value for name, _, value in compound.tests):
+            return self._matching_links(compound)
         may = self._opening
         if compound.tag is not None:
             may = may & (self._names == self._numbers.get(compound.tag, -1))
@@ -237,6 +278,13 @@ class Forest:
             fits[code] = self._elements[code].fits(compound)
         return fits[self.codes[self.at]]
 
+    def _matching_links(self, compound: Compound) -> np.ndarray:
+        """``_matching`` for a compound that reads links, by tags as written."""
+        codes, place = np.unique(self.whole[self.at], return_inverse=True)
+        written = (_read_tag(tag) for tag in self._tags_whole.take(pa.array(codes)).to_pylist())
+        fits = [(not compound.tag or name == compound.tag) and element.fits(compound) for _, name, element in written]
+        return np.array(fits, bool)[place]
+
     def _below(self, tops: np.ndarray) -> np.ndarray:
         """Which elements are within one of those marked."""
         size, at = len(self.codes) + 2, self.at[tops] + 1
@@ -299,9 +347,25 @@ class Forest:
         """An attribute of elements; null for -1."""
         if not len(self.at):
             return pa.nulls(len(numbers), pa.string())
-        codes, place = np.unique(np.where(numbers < 0, -1, self.codes[self.at[numbers]]), return_inverse=True)
-        values = [self._elements[code].attrs().get(name) if code >= 0 else None for code in codes.tolist()]
-        return pa.array(values, pa.string()).take(pa.array(place))
+        pieces = self.at[numbers]
+        codes = self.codes[pieces]
+        values = [None] * len(self._elements)
+        for code in np.flatnonzero(np.bincount(codes[numbers >= 0], minlength=len(values))).tolist():
+            values[code] = self._elements[code].attrs().get(name)
+        found = pa.array(values, pa.string()).take(pa.array(codes, mask=numbers < 0))
+        if name != "href":
+            return found
+        return pc.coalesce(self._links.take(pa.array(self.whole[pieces], mask=numbers < 0)), found)
+
+
+def _marked(first: np.ndarray, behind: np.ndarray, size: int) -> np.ndarray:
+    """A mask of some ranges."""
+    change = np.bincount(first, minlength=size + 1) - np.bincount(np.maximum(first, behind), minlength=size + 1)
+    return np.cumsum(change)[:size] > 0
+
+
+def _not_blank(texts: pa.Array) -> np.ndarray:
+    return pc.binary_length(pc.utf8_trim(texts, characters=_BLANKS)).to_numpy(zero_copy_only=False) > 0
 
 
 def _spread(first: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
