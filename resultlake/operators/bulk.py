@@ -51,6 +51,11 @@ _LINKED = (
 _COMMON = [("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
+# Tests of links, and compounds without theirs.
+_PASSES = {"=": pc.equal, "^=": pc.starts_with, "*=": pc.match_substring}
+_UNLINKED: dict[Compound, tuple[Compound, list]] = {}
+
+
 def _referred(found: re.Match) -> str:
     number, name = found[1], found[2]
     if number:
@@ -138,7 +143,7 @@ class Forest:
         again = pc.fill_null(pc.match_substring(after, ' href="'), True)
         self._links = pc.if_else(again, pa.scalar(None, links.type), links)
         bare = pc.if_else(again, written, pc.binary_join_element_wise(before, after, "")).dictionary_encode()
-        self._written = bare.dictionary
+        self._written, self._like = bare.dictionary, bare.indices
         self.codes = bare.indices.to_numpy()[self.whole]
 
     def _tags(self, written: list[str], seen: dict) -> None:
@@ -228,10 +233,13 @@ class Forest:
     def _shown(self, silent: np.ndarray) -> np.ndarray:
         """Before every piece, the number of pieces whose text counts and is not blank."""
         texts = self._pieces
-        shown = pc.match_substring_regex(texts, r"[\x21-\x25\x27-\x7e]").to_numpy(zero_copy_only=False) & ~silent
-        refers = pc.match_substring(texts, "&").to_numpy(zero_copy_only=False)
-        doubt = np.flatnonzero(~silent & (refers | (~shown & (pc.binary_length(texts).to_numpy() > 0))))
-        told, refers = texts.take(pa.array(doubt)), refers[doubt]
+        shown = np.zeros(len(texts), bool)
+        some = np.flatnonzero(~silent & (pc.binary_length(texts).to_numpy() > 0))
+        told = texts.take(pa.array(some))
+        shown[some] = plain = pc.match_substring_regex(told, r"[\x21-\x25\x27-\x7e]").to_numpy(zero_copy_only=False)
+        refers = pc.match_substring(told, "&").to_numpy(zero_copy_only=False)
+        doubt = refers | ~plain
+        told, refers, doubt = told.filter(pa.array(doubt)), refers[doubt], some[doubt]
         at, written = doubt[refers], told.filter(pa.array(refers))
         # Behind a page's last tag a reference may go on.
         self.regular[self.page[at[np.isin(at, self.edges[1:] - 1)]]] = False
@@ -279,11 +287,18 @@ class Forest:
         return fits[self.codes[self.at]]
 
     def _matching_links(self, compound: Compound) -> np.ndarray:
-        """``_matching`` for a compound that reads links, by tags as written."""
-        codes, place = np.unique(self.whole[self.at], return_inverse=True)
-        written = (_read_tag(tag) for tag in self._tags_whole.take(pa.array(codes)).to_pylist())
-        fits = [(not compound.tag or name == compound.tag) and element.fits(compound) for _, name, element in written]
-        return np.array(fits, bool)[place]
+        """``_matching`` for a compound that reads links, which are columns of their own."""
+        if compound not in _UNLINKED:
+            links = [test for test in compound.tests if test[0] == "href" and test[2]]
+            others = [test for test in compound.tests if test not in links]
+            _UNLINKED[compound] = Compound(compound.tag, list(compound.classes), others), links
+        bare, links = _UNLINKED[compound]
+        kept = pa.array([e and e.attrs().get("href") for e in self._elements], pa.string())
+        written = pc.coalesce(self._links, kept.take(self._like))
+        fits = np.ones(len(written), bool)
+        for _, operator, value in links:
+            fits &= pc.fill_null(_PASSES[operator](written, value), False).to_numpy(zero_copy_only=False)
+        return self._matching(bare) & fits[self.whole[self.at]]
 
     def _below(self, tops: np.ndarray) -> np.ndarray:
         """Which elements are within one of those marked."""
@@ -331,6 +346,33 @@ class Forest:
         places, upto = _spread(first, behind)
         return found[places], upto
 
+    def children(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is right below elements, none of which is within another (-1: nothing), one
+        after the other, and where each one's end."""
+        first, behind = self.within(np.arange(len(self.at)), *self.ranges(numbers))
+        places, upto = _spread(first, behind)
+        owner = np.repeat(np.arange(len(numbers)), np.diff(upto, prepend=0))
+        before = np.maximum.accumulate(np.concatenate([[-1], self.end[places]]))[:-1]
+        own = self.at[places] > before  # not within one before it
+        return places[own], np.cumsum(np.bincount(owner[own], minlength=len(numbers)))
+
+    def tags(self, numbers: np.ndarray) -> pa.Array:
+        return pa.array([e and e.tag for e in self._elements], pa.string()).take(pa.array(self.codes[self.at[numbers]]))
+
+    def classes(self, numbers: np.ndarray) -> pa.Array:
+        codes, place = np.unique(self.codes[self.at[numbers]], return_inverse=True)
+        words = [self._elements[code].attrs().get("class", "").split() for code in codes.tolist()]
+        return pa.array(words, pa.list_(pa.string())).take(pa.array(place))
+
+    def have_text(self, numbers: np.ndarray) -> np.ndarray:
+        """Whether ``PageTree.text`` of elements is anything."""
+        low, high = self.ranges(numbers)
+        shown = self._visible[high] > self._visible[low]
+        # A script's text is its own; more than a piece of it has a "<".
+        raw = np.flatnonzero(self._kinds[self.codes[low]] == HIDDEN) if len(numbers) else np.zeros(0, np.int64)
+        shown[raw] = (high[raw] - low[raw] > 1) | _not_blank(self._pieces.take(pa.array(low[raw])))
+        return shown
+
     def texts(self, numbers: np.ndarray) -> pa.Array:
         """``PageTree.text`` of elements; null for -1."""
         own = self.at[numbers[numbers >= 0]]

@@ -203,6 +203,10 @@ def _lists(kind: pa.ListType, upto: np.ndarray, values: pa.Array) -> pa.ListArra
     return pa.ListArray.from_arrays(pa.array(ends), values, type=kind)
 
 
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    return np.cumsum(pc.list_value_length(lists).to_numpy()), lists.flatten()
+
+
 def _links(forest: Forest, kind: pa.StructType, numbers: np.ndarray) -> pa.StructArray:
     return _structs(kind, [forest.texts(numbers), forest.attributes(numbers, "href")], numbers < 0)
 
@@ -241,6 +245,34 @@ def many_cafe_cards(forest: Forest, kind: pa.ListType) -> pa.ListArray:
     return _lists(kind, upto, _structs(card, columns))
 
 
+def many_blocks(forest: Forest, kind: pa.ListType) -> pa.ListArray:
+    blocks, upto = forest.children(forest.first(MAIN_PACK, *forest.pages()))
+    block, whole, count = kind.value_type, forest.ranges(blocks), len(blocks)
+    titles = pa.concat_arrays([forest.texts(forest.first(title, *whole)) for title in BLOCK_TITLES])
+    turns = np.arange(len(titles)).reshape(len(BLOCK_TITLES), count).T.ravel()
+    footer = forest.first(FOOTER_LINK, *whole)
+    inside, footer_kind = forest.ranges(footer), block.field("footer").type
+    found = np.array([forest.first(selector, *whole) for selector in MORE_LINKS]).T
+    fallbacks_kind = block.field("fallbacks").type
+
+    def more(anchors: np.ndarray) -> list[pa.Array]:
+        return [forest.attributes(anchors, "data-lb-trigger"), forest.attributes(anchors, "href")]
+
+    subject, button = (forest.texts(forest.first(s, *inside)) for s in (FOOTER_SUBJECT, FOOTER_BUTTON))
+    columns = [
+        forest.tags(blocks),
+        _lists(block.field("classes").type, *_flat(forest.classes(blocks))),
+        forest.attributes(blocks, "data-slog-container"),
+        forest.first(POWER_LINK, *whole) >= 0,
+        forest.have_text(blocks),
+        _lists(block.field("titles").type, np.arange(1, count + 1) * len(BLOCK_TITLES), titles.take(pa.array(turns))),
+        forest.texts(forest.first(AD_TITLE, *whole)),
+        _structs(footer_kind, [subject, button, *more(footer)], footer < 0),
+        _lists(fallbacks_kind, np.cumsum((found >= 0).sum(axis=1)), _structs(fallbacks_kind.value_type, more(found[found >= 0]))),
+    ]
+    return _lists(kind, upto, _structs(block, columns))
+
+
 def many_articles(forest: Forest, kind: pa.ListType) -> pa.ListArray:
     whole = forest.pages()
     count, article = len(whole[0]), kind.value_type
@@ -263,6 +295,7 @@ TOGETHER: dict[Reader, Callable[[Forest, pa.ListType], pa.ListArray]] = {
     read_anchors: many_anchors,
     read_blog_cards: many_blog_cards,
     read_cafe_cards: many_cafe_cards,
+    read_blocks: many_blocks,
     read_article: many_articles,
 }
 
@@ -275,6 +308,8 @@ PAGE_SECONDS = 30.0
 BATCH_PAGES, BATCH_TEXT = 128, 1 << 20
 #: Bytes of HTML from which on pages are read together; fewer are read one by one, sooner.
 TOGETHER_TEXT = 1 << 16
+#: Pages of a share whose reader takes them together.
+TOGETHER_PAGES = 1024
 
 
 class PageTimeout(Exception):
@@ -320,7 +355,8 @@ def extract(
     ``ruled``; pages that have one have no raw structs then.
     """
     array = T.ArrayType(card)
-    most_pages, most_text, together, enough = BATCH_PAGES, BATCH_TEXT, TOGETHER.get(read), TOGETHER_TEXT
+    most_text, together, enough = BATCH_TEXT, TOGETHER.get(read), TOGETHER_TEXT
+    most_pages = TOGETHER_PAGES if together else BATCH_PAGES
     rest = [field for field in pages.schema.fields if field.name != "html"]
     arrow = to_arrow_type(array)
     names = [field.name for field in rest] + [column] + (["ruled"] if ruled else []) + ([error] if error else [])

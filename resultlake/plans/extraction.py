@@ -183,8 +183,11 @@ def page_rows(
 def _rejected(stated: DataFrame, surface: Surface, limit: int) -> DataFrame:
     """Pages of ``stated`` that gave no rows since they, or a card reached, cannot be
     read: ``(platform, surface, keyword, page_url, reason)``."""
-    decided = F.filter("cards", lambda c: c["state"].isin(READY, BROKEN))
-    within = stated.withColumn("cards", decided).withColumn("cards", reached(F.col("cards"), limit))
+    # Only states are read, and few pages have what is looked for.
+    states = F.filter("cards.state", lambda state: state.isin(READY, BROKEN))
+    decided = F.transform(states, lambda state: F.struct(state.alias("state")))
+    some = stated.where(F.col("error").isNotNull() | F.array_contains("cards.state", BROKEN))
+    within = some.withColumn("cards", decided).withColumn("cards", reached(F.col("cards"), limit))
     broken = F.exists("cards", lambda c: c["state"] == BROKEN)
     rows = (F.size("cards") - 1).cast("string")
     reason = F.coalesce("error", F.when(broken, F.concat(F.lit("broken card after rows: "), rows)))

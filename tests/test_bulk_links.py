@@ -43,6 +43,28 @@ def test_links_are_read_as_written(read, card):
     assert np.mean(regular) > 0.2
 
 
+BLOCKS = [
+    '<div id="main_pack">', "<div class='api_sc_page_wrap  z' data-slog-container=\"s\">", '<div data-slog-container="">', "<section>", "</section>", "<div>", "</div>", "</div>", "<p>", "<br>",
+    '<div id="pcPowerLink_1">', '<i class="pcPowerLink_dacf">', '<div data-sds-comp="Header">', '<span class="sds-comps-text-type-headline1 q">', '<h2 class="sds-comps-text">', "</h2>",
+    '<div class="mod_title_area">', '<h2 class="title">', '<b class="title">', '<div data-template-id="footer" data-template-type="more">', '<a href="/more?{n}" data-lb-trigger="/x?a=1&amp;b={n}">',
+    '<span class="fds-comps-footer-more-subject">', '<span class="fds-comps-footer-more-button-text">', "</span>", "</a>", '<a href="?page=2{n}">', '<a href="?where=image&amp;query={n}">',
+    '<a href="https://map.naver.com/{n}">', '<a href="https://ad.search.naver.com/search.naver?where=ad&amp;q={n}">', '<a href="#lb_api={n}">', "<a href='?where=influencer'>", '<a href="https://search.shopping.naver.com/{n}" title="where=image">',
+    "<script>x</script>", "<script data-slog-container='s'> </script>", "<script></script>", "<style>a > b</style>", "<script>a('</b>')</script>", "text", " ", "&nbsp;", " two  words &amp; ", '<link rel="x">', "<title>x</title>",
+]
+
+
+def test_blocks_are_read_alike():
+    rng = random.Random(9)
+    pages = ["", "<p>none</p>", '<div id="main_pack"></div>', '<div id="main_pack">', '<div id="main_pack"><p>a<p>b</div><div>c</div>']
+    for _ in range(800):
+        some = "".join(rng.choice(BLOCKS).replace("{n}", str(rng.randrange(9))) for _ in range(rng.randrange(1, 40)))
+        pages.append(f'<html><div id="main_pack">{some}' + rng.choice(["", "</div><p>x</p></html>"]))
+    made, alone, regular = both(pages, cards.read_blocks, cards.BLOCK)
+    for page, one, other, whole in zip(pages, made, alone, regular):
+        assert not whole or one == other, page
+    assert np.mean(regular) > 0.9
+
+
 @pytest.mark.parametrize("text", ["a[href*='1']", "a[href='/7'], li[href^='/4']", "[href='/twice3']", "a.name[href]"])
 def test_selectors_of_links(text):
     selectors, pages = css(text), made_pages(4)
