@@ -65,6 +65,17 @@ def test_blocks_are_read_alike():
     assert np.mean(regular) > 0.9
 
 
+def test_pages_of_blocks_are_read_together(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("read alone")
+
+    monkeypatch.setattr(cards, "PageTree", refuse)
+    page = '<div id="main_pack">' + '<div data-slog-container="s"><a href="?page=2">x</a></div><script>a("</p>")</script>' * 600 + "</div>"
+    rows = spark.createDataFrame([(i, page) for i in range(3)], "id int, html string").coalesce(1)
+    found = cards.extract(rows, cards.read_blocks, cards.BLOCK, error="error").selectExpr("error", "size(cards) n").collect()
+    assert [tuple(r) for r in found] == [(None, 1200)] * 3
+
+
 @pytest.mark.parametrize("text", ["a[href*='1']", "a[href='/7'], li[href^='/4']", "[href='/twice3']", "a.name[href]"])
 def test_selectors_of_links(text):
     selectors, pages = css(text), made_pages(4)

@@ -135,3 +135,15 @@ def test_plain_pages_meet_no_expression(spark, sf_dir, monkeypatch, surface):
     quick = rows()
     monkeypatch.setattr(extraction, "RULED", {})
     assert quick == rows()
+
+
+def test_rejects_read_states_alone(spark, sf_dir):
+    from resultlake.queries import generated as made
+    from resultlake.session import stage
+
+    pages = made.blog_pages(spark, sf_dir, broken=True)
+    staged = stage(extraction._read_pages(pages, BLOG, None, "page"), "blog-pages")
+    rejected = extraction._rejected(staged, BLOG, 10)
+    assert rejected.count() > 0
+    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert "cards:array<struct<state:string>>" in plan
